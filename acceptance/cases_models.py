@@ -30,18 +30,18 @@ def _ids(bronze):
 
 @case("filter_scrape_date", Q.query("SELECT id FROM bronze WHERE d = (SELECT max(d) FROM bronze)", "bronze"))
 def _(spark, sf):
-    bronze = X.bronze(spark, sf)
-    return _ids(V.select_scope(bronze, file_date=bronze.agg(F.max(F.to_date("SRC_EXECUTED_AT_TS"))).scalar()))
+    bronze = X.stored_bronze(spark, sf)
+    return _ids(V.select_scope(bronze, file_date=bronze.agg(F.max(S.BRONZE_PARTITION)).scalar()))
 
 
 @case("filter_city_eq", Q.query("SELECT id FROM bronze WHERE city = 'asia'", "bronze"))
 def _(spark, sf):
-    return _ids(V.select_scope(X.bronze(spark, sf), city="asia"))
+    return _ids(V.select_scope(X.stored_bronze(spark, sf), city="asia"))
 
 
 @case("filter_in_list", Q.query("SELECT id FROM bronze WHERE site <> 'other' AND kind = 'house'", "bronze"))
 def _(spark, sf):
-    return _ids(V.select_scope(X.bronze(spark, sf), sites=["vivareal", "zapimoveis"], property_types=["house"]))
+    return _ids(V.select_scope(X.stored_bronze(spark, sf), sites=["vivareal", "zapimoveis"], property_types=["house"]))
 
 
 @case(
@@ -49,7 +49,7 @@ def _(spark, sf):
     Q.query("SELECT id FROM bronze WHERE url IS NOT NULL AND size IS NOT NULL AND price IS NOT NULL", "bronze"),
 )
 def _(spark, sf):
-    return _ids(V.require_measures(X.bronze(spark, sf)))
+    return _ids(V.require_measures(V.flatten_structs(X.stored_bronze(spark, sf))))
 
 
 _SILVER_SQL = f"""
@@ -67,7 +67,7 @@ FROM {{source}}"""
 
 @case("silver_listings", Q.query(_SILVER_SQL.format(source="silver"), "silver"))
 def _(spark, sf):
-    return X.silver(spark, sf)
+    return V.silver_listings(X.stored_bronze(spark, sf), X.RUN_TS)
 
 
 @case(
@@ -77,14 +77,9 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    return X.bronze(spark, sf).select(
-        F.col("ID").alias("id"),
-        F.col("LISTING_ADDRESS_INFOS.STREET_ADDRESS").alias("street"),
-        F.col("LISTING_ADDRESS_INFOS.LOCALITY").alias("locality"),
-        F.col("LISTING_FLOOR_SIZE_INFOS.VALUE").alias("size"),
-        F.col("LISTING_OFFERS_INFOS.PRICE").alias("price"),
-        F.col("LISTING_OFFERS_INFOS.PROPERTY_VALUE.NAME").alias("fee_name"),
-        F.col("LISTING_OFFERS_INFOS.PROPERTY_VALUE.VALUE").alias("fee"),
+    return V.flatten_structs(X.stored_bronze(spark, sf)).selectExpr(
+        "ID AS id", "STREET_ADDRESS AS street", "LOCALITY AS locality", "FLOOR_SIZE AS size", "PRICE AS price",
+        "FEE_NAME AS fee_name", "FEE_VALUE AS fee",
     )
 
 
@@ -99,7 +94,7 @@ SELECT id, coalesce(pets, true) AS pets, coalesce(rooms, 0) AS rooms, coalesce(s
 )
 def _(spark, sf):
     columns = V.silver_columns(X.RUN_TS)
-    return X.bronze(spark, sf).select(
+    return V.flatten_structs(X.stored_bronze(spark, sf)).select(
         columns["BRONZE_ID"].alias("id"),
         columns["PETS_ALLOWED"].alias("pets"),
         columns["ROOMS"].alias("rooms"),
@@ -132,7 +127,7 @@ def _(spark, sf):
 
 @case("fn_initcap", Q.query(f"SELECT id, {Q.initcap('name')} AS v FROM bronze", "bronze"))
 def _(spark, sf):
-    return X.bronze(spark, sf).select(F.col("ID").alias("id"), H.initcap_words(F.col("LISTING_NAME")).alias("v"))
+    return X.stored_bronze(spark, sf).select(F.col("ID").alias("id"), H.initcap_words(F.col("LISTING_NAME")).alias("v"))
 
 
 @case(
@@ -146,7 +141,7 @@ SELECT id, nullif(regexp_extract(fee_unit, '^([A-Za-z]+)', 1), '') AS currency,
 )
 def _(spark, sf):
     unit = F.col("LISTING_OFFERS_INFOS.PROPERTY_VALUE.UNIT_TEXT")
-    return X.bronze(spark, sf).select(
+    return X.stored_bronze(spark, sf).select(
         F.col("ID").alias("id"),
         H.regexp_extract_or_null(unit, "^([A-Za-z]+)").alias("currency"),
         H.regexp_extract_or_null(unit, "/([A-Za-z]+)$").alias("period"),
@@ -155,7 +150,7 @@ def _(spark, sf):
 
 @case("fn_cast_int", Q.query("SELECT id, CAST(round(size) AS BIGINT) AS size, CAST(round(price) AS BIGINT) AS price FROM bronze", "bronze"))
 def _(spark, sf):
-    return X.bronze(spark, sf).select(
+    return X.stored_bronze(spark, sf).select(
         F.col("ID").alias("id"),
         H.round_to_long(F.col("LISTING_FLOOR_SIZE_INFOS.VALUE")).alias("size"),
         H.round_to_long(F.col("LISTING_OFFERS_INFOS.PRICE")).alias("price"),
@@ -164,7 +159,7 @@ def _(spark, sf):
 
 @case("fn_date", Q.query("SELECT id, CAST(d AS VARCHAR) AS d FROM bronze", "bronze"))
 def _(spark, sf):
-    return X.bronze(spark, sf).select(F.col("ID").alias("id"), F.to_date("SRC_EXECUTED_AT_TS").alias("d"))
+    return X.stored_bronze(spark, sf).select(F.col("ID").alias("id"), F.to_date("SRC_EXECUTED_AT_TS").alias("d"))
 
 
 @case(
@@ -172,7 +167,7 @@ def _(spark, sf):
     Q.query("SELECT id, list_position(['vivareal', 'zapimoveis', 'other'], site) AS rank FROM bronze", "bronze"),
 )
 def _(spark, sf):
-    return X.bronze(spark, sf).select(F.col("ID").alias("id"), H.site_rank(F.col("SRC_SITE_NAME")).alias("rank"))
+    return X.stored_bronze(spark, sf).select(F.col("ID").alias("id"), H.site_rank(F.col("SRC_SITE_NAME")).alias("rank"))
 
 
 @case("fn_if", Q.query('SELECT bronze_id, condo_fee AS "CONDO_FEE_BRL" FROM fact', "fact"))
@@ -185,13 +180,13 @@ def _(spark, sf):
 def _(spark, sf):
     address = "LISTING_ADDRESS_INFOS"
     key = H.surrogate_key(*[f"{address}.{c}" for c in S.ADDRESS_COLUMNS])
-    return X.bronze(spark, sf).select(F.col("ID").alias("id"), key.alias("sk"))
+    return X.stored_bronze(spark, sf).select(F.col("ID").alias("id"), key.alias("sk"))
 
 
 @case("fn_md5_key_array", Q.query(f"SELECT id, {Q.IMAGES_SK} AS sk FROM bronze", "bronze"))
 def _(spark, sf):
     key = H.surrogate_key(arrays=("LISTING_IMAGES_LIST",))
-    return X.bronze(spark, sf).select(F.col("ID").alias("id"), key.alias("sk"))
+    return X.stored_bronze(spark, sf).select(F.col("ID").alias("id"), key.alias("sk"))
 
 
 @case("fn_current_timestamp", Q.query(f"SELECT bronze_id, {Q.at(Q.RUN_1)} AS ts FROM silver", "silver"))
@@ -341,12 +336,9 @@ def _(spark, sf):
     Q.query("SELECT bronze_id, site, CAST(d AS VARCHAR) AS d, price FROM silver", "silver"),
 )
 def _(spark, sf):
-    kept = V.dedup_cross_site(V.require_measures(X.bronze(spark, sf)))
+    kept = V.dedup_cross_site(V.require_measures(V.flatten_structs(X.stored_bronze(spark, sf))))
     return kept.selectExpr(
-        "ID AS bronze_id",
-        "SRC_SITE_NAME AS site",
-        "CAST(SRC_EXECUTED_AT_TS AS date) AS d",
-        "LISTING_OFFERS_INFOS.PRICE AS price",
+        "ID AS bronze_id", "SRC_SITE_NAME AS site", "CAST(SRC_EXECUTED_AT_TS AS date) AS d", "PRICE AS price"
     )
 
 
@@ -574,7 +566,9 @@ FROM fact GROUP BY city, kind, d"""
 
 @case("price_trend", Q.query(_TREND_SQL, "fact"))
 def _(spark, sf):
-    return A.price_trend(A.fact_listings(X.silver(spark, sf), X.RUN_TS))
+    # End to end: bronze built from the tables, silver, fact, trend in one plan.
+    silver = V.silver_listings(X.bronze(spark, sf), X.RUN_TS)
+    return A.price_trend(A.fact_listings(silver, X.RUN_TS))
 
 
 # ---------------------------------------------------------------------------
@@ -678,7 +672,7 @@ _NULLABLE = {"LISTING_NAME": "name", "LISTING_URL": "url", "LISTING_DESCRIPTION"
     ),
 )
 def _(spark, sf):
-    return C.not_null(X.bronze(spark, sf), list(_NULLABLE))
+    return C.not_null(X.stored_bronze(spark, sf), list(_NULLABLE))
 
 
 @case(
@@ -686,7 +680,7 @@ def _(spark, sf):
     Q.query("SELECT listing_id AS value, count(*) AS occurrences FROM bronze GROUP BY listing_id HAVING count(*) > 1", "bronze"),
 )
 def _(spark, sf):
-    return C.unique(X.bronze(spark, sf), "LISTING_ID")
+    return C.unique(X.stored_bronze(spark, sf), "LISTING_ID")
 
 
 @case(
@@ -694,7 +688,7 @@ def _(spark, sf):
     Q.query("SELECT site AS value, count(*) AS occurrences FROM bronze WHERE site = 'other' GROUP BY site", "bronze"),
 )
 def _(spark, sf):
-    return C.accepted_values(X.bronze(spark, sf), "SRC_SITE_NAME", ["vivareal", "zapimoveis"])
+    return C.accepted_values(X.stored_bronze(spark, sf), "SRC_SITE_NAME", ["vivareal", "zapimoveis"])
 
 
 @case(

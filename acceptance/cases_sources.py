@@ -385,8 +385,8 @@ def _(spark, sf):
     Q.query("SELECT DISTINCT blob FROM bronze WHERE d = (SELECT min(d) FROM bronze)", "bronze"),
 )
 def _(spark, sf):
-    bronze = X.bronze(spark, sf)
-    return P.loaded_blobs(bronze, bronze.agg(F.min(F.to_date("SRC_EXECUTED_AT_TS"))).scalar())
+    bronze = X.stored_bronze(spark, sf)
+    return P.loaded_blobs(bronze, bronze.agg(F.min(S.BRONZE_PARTITION)).scalar())
 
 
 @case(

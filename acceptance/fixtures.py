@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthlake import schemas as S
+from hearthlake.plans.bronze import with_partition
 from hearthlake.plans.silver import silver_listings
+from hearthlake.session import work_dir
+from hearthlake.sources.tables import Lake
 
 RUN_TS = "2026-01-01 00:00:00"
 RUN_1, RUN_2, RUN_3 = "2026-01-01 00:00:00", "2026-01-02 00:00:00", "2026-01-03 00:00:00"
@@ -112,8 +115,28 @@ def bronze(spark: SparkSession, sf_dir: str, unique: bool = False) -> DataFrame:
     ).select(*S.BRONZE.fieldNames())
 
 
+_STORED: dict[tuple, Lake] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, build, spec_cluster: tuple[str, ...], partition: str) -> DataFrame:
+    """A layer table as the pipeline stores it, written once per session and scale."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        lake = Lake(spark, work_dir(spark, name), "dev")
+        lake.overwrite_partitions(build(), name, partition, spec_cluster)
+        _STORED[key] = lake
+    return _STORED[key].read(name)
+
+
+def stored_bronze(spark: SparkSession, sf_dir: str, unique: bool = False) -> DataFrame:
+    build = lambda: with_partition(bronze(spark, sf_dir, unique))
+    cluster = ("SRC_SITE_NAME", "SRC_CITY_NAME", "SRC_PROPERTY_TYPE_CAT", "SRC_PAGE_NUM")
+    return _stored(spark, sf_dir, f"bronze{'_unique' * unique}", build, cluster, S.BRONZE_PARTITION)
+
+
 def silver(spark: SparkSession, sf_dir: str, unique: bool = False) -> DataFrame:
-    return silver_listings(bronze(spark, sf_dir, unique), RUN_TS)
+    build = lambda: silver_listings(bronze(spark, sf_dir, unique), RUN_TS)
+    return _stored(spark, sf_dir, f"silver{'_unique' * unique}", build, S.SILVER.cluster, "SCRAPE_DATE")
 
 
 def day(silver_rows: DataFrame, back: int):

@@ -18,12 +18,16 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).count().where("count > 1")
 
 
-def require_unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Fail loudly on a repeated key. Runs a job: pass a materialised frame."""
-    repeated = duplicate_keys(df, keys).head(1)
-    if repeated:
-        raise DuplicateKeyError(f"more than one source row for {repeated[0].asDict()}")
-    return df
+def require_mergeable(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fail loudly where several source rows would update one target row.
+
+    Repeated keys the target does not hold are inserted side by side, as on a
+    first load. Runs a job: pass a materialised source.
+    """
+    clash = duplicate_keys(source, keys).join(target.select(*keys), list(keys), "left_semi").head(1)
+    if clash:
+        raise DuplicateKeyError(f"more than one source row for {clash[0].asDict()}")
+    return source
 
 
 def sync_columns(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -43,7 +47,7 @@ def merge_upsert(
     """Target after the merge: source rows, plus target rows whose key is not in source.
 
     ``on_duplicate`` (an ordering) keeps the first source row of a repeated key.
-    Without it the caller answers for unique keys, see ``require_unique_keys``.
+    Without it the caller checks for ambiguous keys, see ``require_mergeable``.
     """
     if on_duplicate is not None:
         source = first_per_key(source, keys, on_duplicate)

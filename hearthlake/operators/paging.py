@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 
 from hearthlake.operators.extract import OK
 from hearthlake.operators.pick import first_per_key
+from hearthlake.schemas import BRONZE_PARTITION
 
 SEARCH = ("site", "city", "property_type")
+BY_DATE = (*SEARCH, "file_date")
 
 
-def latest_snapshot(snapshots: DataFrame, keys: Sequence[str] = (*SEARCH, "page", "file_date")) -> DataFrame:
+def latest_snapshot(snapshots: DataFrame, keys: Sequence[str] = (*BY_DATE, "page")) -> DataFrame:
     """The most recently modified snapshot of each page and date (ties: path)."""
     return first_per_key(snapshots, keys, [F.desc("modified_ts"), F.desc("blob")])
 
@@ -74,7 +76,7 @@ def before_first_missing(df: DataFrame, bounds: DataFrame, search: Sequence[str]
 
 
 def contiguous_pages(
-    snapshots: DataFrame, start_page: int = 1, search: Sequence[str] = (*SEARCH, "file_date")
+    snapshots: DataFrame, start_page: int = 1, search: Sequence[str] = BY_DATE
 ) -> DataFrame:
     """Drop the pages behind the first page without a snapshot."""
     bounds = first_missing_page(snapshots, search, start_page)
@@ -101,8 +103,6 @@ def skip_loaded(snapshots: DataFrame, loaded: DataFrame) -> DataFrame:
 
 def on_date(bronze: DataFrame, file_date) -> DataFrame:
     """Bronze rows of one UTC date; prunes partitions where the table has them."""
-    from hearthlake.schemas import BRONZE_PARTITION
-
     if BRONZE_PARTITION in bronze.columns:
         return bronze.where(F.col(BRONZE_PARTITION) == F.lit(file_date))
     return bronze.where(F.to_date("SRC_EXECUTED_AT_TS") == F.lit(file_date))

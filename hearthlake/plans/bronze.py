@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from hearthlake import schemas as S
 from hearthlake.functions import member, non_empty_object, surrogate_key
-from hearthlake.operators.paging import contiguous_pages, latest_snapshot, page_bounds, skip_loaded
+from hearthlake.operators.paging import (
+    BY_DATE,
+    before_first_missing,
+    first_missing_page,
+    latest_snapshot,
+    page_bounds,
+    skip_loaded,
+)
 from hearthlake.operators.scd import as_ts
 from hearthlake.sources.snapshots import parse_snapshot_json
 
@@ -124,18 +131,33 @@ def audit_columns(run_ts: datetime | str, version: str) -> list[Column]:
 def select_snapshots(
     snapshots: DataFrame, loaded: DataFrame | None, start_page: int = 1, max_page: int | None = None
 ) -> DataFrame:
-    """Snapshots to load. A loaded page is skipped but still counts as present, so
-    gaps are judged before loaded paths are dropped."""
-    chosen = contiguous_pages(latest_snapshot(page_bounds(snapshots, start_page, max_page)), start_page)
+    """Snapshots to load: the latest of each page up to the first page without one.
+
+    A loaded page is skipped but still counts as present, so gaps are judged
+    before loaded paths are dropped. Which pages exist does not depend on which
+    snapshot is the latest, so the bounds need no window.
+    """
+    wanted = page_bounds(snapshots, start_page, max_page)
+    bounds = first_missing_page(wanted, BY_DATE, start_page)
+    chosen = before_first_missing(latest_snapshot(wanted), bounds, BY_DATE, start_page)
     return chosen if loaded is None else skip_loaded(chosen, loaded)
 
 
-def bronze_rows(snapshots: DataFrame, chosen: DataFrame, run_ts: datetime | str, version: str) -> DataFrame:
-    """Bronze rows of the chosen snapshots. The choice is made on paths alone; the
-    payloads are read once, here. Listings without an id are left out (see
-    ``rejected_listings``), as the table does not take them."""
+def raw_bronze_rows(snapshots: DataFrame, chosen: DataFrame, run_ts: datetime | str, version: str) -> DataFrame:
+    """Every listing of the chosen snapshots as a bronze row. The choice is made on
+    paths alone; the payloads are read once, here."""
     wanted = snapshots.join(chosen.select("blob"), "blob", "left_semi")
-    return flatten_listings(parse_snapshot_json(wanted), run_ts, version).where(F.col("LISTING_ID").isNotNull())
+    return flatten_listings(parse_snapshot_json(wanted), run_ts, version)
+
+
+def bronze_rows(snapshots: DataFrame, chosen: DataFrame, run_ts: datetime | str, version: str) -> DataFrame:
+    """The rows the table takes: LISTING_ID is not nullable."""
+    return raw_bronze_rows(snapshots, chosen, run_ts, version).where(F.col("LISTING_ID").isNotNull())
+
+
+def rejected_rows(snapshots: DataFrame, chosen: DataFrame, run_ts: datetime | str, version: str) -> DataFrame:
+    """The rows it does not take, for a quarantine."""
+    return raw_bronze_rows(snapshots, chosen, run_ts, version).where(F.col("LISTING_ID").isNull())
 
 
 def with_partition(bronze: DataFrame) -> DataFrame:

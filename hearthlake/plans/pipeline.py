@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthlake import schemas as S
 from hearthlake.operators import extract, paging
-from hearthlake.operators.merge import merge_upsert, require_unique_keys
+from hearthlake.operators.merge import merge_upsert, require_mergeable
 from hearthlake.params import RunParams
 from hearthlake.plans import bronze as bronze_plan
 from hearthlake.plans.dimensions import ALL
@@ -36,13 +37,16 @@ def in_scope(df: DataFrame, params: RunParams) -> DataFrame:
 def land_snapshots(pages: DataFrame, root: str, params: RunParams) -> DataFrame:
     """Pages -> snapshot rows, written unless it is a dry run.
 
-    The extraction is written once to the shared folder: the search bounds read
-    four narrow columns of it, the snapshots its listings. The HTML is parsed
-    once. There are at most sites x types bounds, so they are broadcast by size.
+    The extraction is written once to the shared folder, so HTML is parsed once:
+    the search bounds read its narrow columns, the snapshots its listings. The
+    bounds are written too, so the planner knows their size and broadcasts them
+    where they are small, instead of shuffling the listings.
     """
     wanted = paging.page_bounds(in_scope(url_lineage(pages), params), params.start_page, params.max_page)
     extracted = materialize(extract.keep_last_per_id(extract.extract_pages(wanted)), "extracted")
-    kept = paging.stop_at_first_empty_page(extracted, params.start_page)
+    usable = F.col("status") == extract.OK
+    bounds = materialize(paging.first_missing_page(extracted, paging.SEARCH, params.start_page, usable), "bounds")
+    kept = paging.before_first_missing(extracted, bounds, paging.SEARCH, params.start_page)
     rows = snapshot_source.snapshot_rows(kept, params.environment, params.run_ts)
     if params.write_snapshots:
         snapshot_source.write_snapshots(rows, root)
@@ -66,21 +70,28 @@ def load_bronze(
         if lake.exists(BRONZE_TABLE):
             loaded = paging.loaded_blobs(lake.read(BRONZE_TABLE), file_date)
         paths = snapshots.drop("payload")
-        chosen = bronze_plan.select_snapshots(paths, loaded, start_page, max_page)
+        chosen = bronze_plan.select_snapshots(paths, loaded, start_page, max_page).select("blob")
+        # Written so that its true size decides how the payloads are matched.
+        chosen = materialize(chosen, "chosen")
     rows = bronze_plan.bronze_rows(snapshots, chosen, run_ts, version)
     if write:
         lake.append(bronze_plan.with_partition(rows), BRONZE_TABLE, S.BRONZE_PARTITION, _BRONZE_CLUSTER)
     return rows
 
 
-def upsert_date(lake: Lake, rows: DataFrame, spec: S.TableSpec, file_date) -> None:
+def upsert_date(
+    lake: Lake, rows: DataFrame, spec: S.TableSpec, file_date, on_duplicate: Sequence[Column] | None = None
+) -> None:
     """Merge one date's rows into a date-partitioned table. Only that date is read
-    and rewritten."""
-    source = require_unique_keys(materialize(rows, spec.name), spec.keys)
-    if lake.exists(spec.name):
+    and rewritten. A repeated key that would update one row twice is an error,
+    unless ``on_duplicate`` says which row comes first."""
+    if str(file_date) in lake.partition_values(spec.name, spec.partition):
+        source = materialize(rows, spec.name)
         same_date = lake.read(spec.name).where(F.col(spec.partition) == F.lit(str(file_date)).cast("date"))
-        source = merge_upsert(same_date, source, spec.keys)
-    lake.overwrite_partitions(source, spec.name, spec.partition, spec.cluster)
+        if on_duplicate is None:
+            require_mergeable(same_date, source, spec.keys)
+        rows = merge_upsert(same_date, source, spec.keys, on_duplicate)
+    lake.overwrite_partitions(rows, spec.name, spec.partition, spec.cluster)
 
 
 def build_silver(lake: Lake, params: RunParams) -> None:
@@ -107,7 +118,7 @@ def build_dimensions(lake: Lake, params: RunParams) -> None:
             if newest is None:
                 continue
             latest = dim.rows_of(silver.where(F.col("SCRAPE_DATE") == F.lit(newest).cast("date")))
-            source = require_unique_keys(materialize(latest, dim.spec.name), dim.spec.keys)
+            source = require_mergeable(target, materialize(latest, dim.spec.name), dim.spec.keys)
             rows = dim.next_version(source, target, params.run_ts)
         lake.publish(rows, dim.spec.name, dim.spec.cluster)
 

@@ -4,24 +4,25 @@ Two layouts hold the same thing and scan to the same columns
 (``blob``, ``payload``, ``modified_ts`` and the parts of the path):
 
 * files  ``env/site/city/property_type/page/<run time>.json``, as scrapers land them;
-* a table of JSON lines partitioned by date, site, city and type, as written here.
-  A directory per page would mean one tiny file per page; the page number and the
-  path are columns instead.
+* a table partitioned by date and sorted by search and page, as written here. A
+  directory per page would mean one tiny file per page. Parquet by default, so
+  that choosing paths does not read the payloads; JSON lines on request.
 """
 
 from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthlake.functions import member, parse_stem_ts
 from hearthlake.operators.extract import OK
 from hearthlake.operators.scd import as_ts
+from hearthlake.sources.tables import clustered
 
-_TABLE = "file_date date, site string, city string, property_type string, page bigint, blob string, payload string"
-_PARTITION = ["file_date", "site", "city", "property_type"]
+TABLE_COLUMNS = "file_date date, site string, city string, property_type string, page bigint, blob string, payload string"
+_CLUSTER = ("site", "city", "property_type", "page")
 
 
 def path_lineage(df: DataFrame, blob: str = "blob") -> DataFrame:
@@ -42,15 +43,13 @@ def path_lineage(df: DataFrame, blob: str = "blob") -> DataFrame:
     ).withColumn("file_date", F.to_date("executed_at"))
 
 
-def _files(spark: SparkSession, root: str, fmt: str, file_date: date | str | None, extension: str):
+def _files(spark: SparkSession, root: str, fmt: str, file_date: date | str | None, extension: str) -> DataFrame:
     stem = f"{file_date}T*" if file_date else "*"
-    reader = spark.read.format(fmt).option("recursiveFileLookup", True)
-    return reader.option("pathGlobFilter", f"{stem}.{extension}").load(root) if fmt != "text" else (
-        reader.option("wholetext", True).option("pathGlobFilter", f"{stem}.{extension}").load(root)
-    )
+    reader = spark.read.format(fmt).option("recursiveFileLookup", True).option("pathGlobFilter", f"{stem}.{extension}")
+    return (reader.option("wholetext", True) if fmt == "text" else reader).load(root)
 
 
-def _blob() -> F.Column:
+def _blob() -> Column:
     """The last six parts of the file's path."""
     return F.regexp_extract("_metadata.file_path", r"((?:[^/]+/){5}[^/]+)$", 1)
 
@@ -77,9 +76,11 @@ def scan_snapshots(
     )
 
 
-def scan_snapshot_table(spark: SparkSession, root: str, file_date: date | str | None = None) -> DataFrame:
+def scan_snapshot_table(
+    spark: SparkSession, root: str, file_date: date | str | None = None, fmt: str = "parquet"
+) -> DataFrame:
     """Snapshots written by ``write_snapshots``; a date prunes partitions."""
-    table = spark.read.schema(_TABLE).json(root)
+    table = spark.read.schema(TABLE_COLUMNS).format(fmt).load(root)
     if file_date:
         table = table.where(F.col("file_date") == F.lit(str(file_date)).cast("date"))
     return path_lineage(
@@ -104,10 +105,9 @@ def snapshot_rows(extracted: DataFrame, environment: str, run_ts: datetime | str
     )
 
 
-def write_snapshots(rows: DataFrame, root: str) -> None:
-    """Append snapshots. Rebalancing gives files of even size however many pages
-    one search has."""
-    rows.hint("rebalance", *_PARTITION).write.mode("append").partitionBy(*_PARTITION).json(root)
+def write_snapshots(rows: DataFrame, root: str, fmt: str = "parquet") -> None:
+    """Append snapshots, in files of even size however many pages one search has."""
+    clustered(rows, "file_date", _CLUSTER).write.mode("append").partitionBy("file_date").format(fmt).save(root)
 
 
 def parse_snapshot_json(snapshots: DataFrame) -> DataFrame:

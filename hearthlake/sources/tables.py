@@ -7,6 +7,7 @@ the current one is the highest that finished.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,15 +15,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def clustered(df: DataFrame, partition: str | None, cluster: Sequence[str]) -> DataFrame:
+_SCHEMA_FILE = "_columns.json"
+
+
+def clustered(df: DataFrame, partition: str, cluster: Sequence[str]) -> DataFrame:
     """Even files, sorted by the cluster columns so that readers skip row groups.
 
     ``rebalance`` splits an oversized partition and joins small ones at run time;
     a plain repartition by date would write a day with a single task.
     """
-    layout = [*([partition] if partition else []), *cluster]
-    even = df.hint("rebalance", *layout)
-    return even.sortWithinPartitions(*layout) if layout else even
+    layout = [partition, *cluster]
+    return df.hint("rebalance", *layout).sortWithinPartitions(*layout)
 
 
 class Lake:
@@ -49,13 +52,36 @@ class Lake:
         fs, hadoop_path = self._fs(f"{path}/_SUCCESS")
         return fs.exists(hadoop_path)
 
+    # -- schema ------------------------------------------------------------
+    def _remember_schema(self, df: DataFrame, name: str) -> None:
+        """Keep the table's columns next to it, those of the last write. Readers
+        then need no footers: columns an old file lacks are NULL, columns it has
+        beyond these are not read."""
+        text = df.schema.json()
+        if self._schema_text(name) == text:
+            return
+        fs, hadoop_path = self._fs(f"{self.path(name)}/{_SCHEMA_FILE}")
+        out = fs.create(hadoop_path, True)
+        out.write(bytearray(text, "utf-8"))
+        out.close()
+
+    def _schema_text(self, name: str) -> str | None:
+        fs, hadoop_path = self._fs(f"{self.path(name)}/{_SCHEMA_FILE}")
+        if not fs.exists(hadoop_path):
+            return None
+        stream = fs.open(hadoop_path)
+        try:
+            return bytes(stream.readAllBytes()).decode("utf-8")
+        finally:
+            stream.close()
+
     # -- date-partitioned tables -------------------------------------------
     def exists(self, name: str) -> bool:
-        return bool(self._children(self.path(name)))
+        return self._schema_text(name) is not None
 
-    def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
-        reader = self.spark.read
-        return (reader.schema(schema) if schema else reader.option("mergeSchema", True)).parquet(self.path(name))
+    def read(self, name: str) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(self._schema_text(name)))
+        return self.spark.read.schema(schema).parquet(self.path(name))
 
     def partition_values(self, name: str, column: str) -> list[str]:
         """Values of a partition column, from the folder names: one per date."""
@@ -63,6 +89,7 @@ class Lake:
         return sorted(c[len(prefix):] for c in self._children(self.path(name)) if c.startswith(prefix))
 
     def append(self, df: DataFrame, name: str, partition: str, cluster: Sequence[str] = ()) -> None:
+        self._remember_schema(df, name)
         clustered(df, partition, cluster).write.mode("append").partitionBy(partition).parquet(self.path(name))
 
     def overwrite_partitions(self, df: DataFrame, name: str, partition: str, cluster: Sequence[str] = ()) -> None:
@@ -71,6 +98,7 @@ class Lake:
         Files are written aside and moved in when the job commits, so ``df`` may
         read the same table and a failed job leaves the old dates alone.
         """
+        self._remember_schema(df, name)
         (
             clustered(df, partition, cluster)
             .write.mode("overwrite")
@@ -92,12 +120,15 @@ class Lake:
         """Write the next complete version, then drop all but the last ``keep``.
 
         The success marker makes a version current, so readers see the old or the
-        new version and never a part. An unfinished number is written over.
+        new version and never a part. An unfinished number is written over. The
+        rows come out of a join or aggregation on the key and are spread by it
+        already, so they are only sorted, not shuffled again.
         """
         path = self.path(name)
         versions = self.versions(name)
         number = int(versions[-1][1:]) + 1 if versions else 1
-        clustered(df, None, cluster).write.mode("overwrite").parquet(f"{path}/v{number:08d}")
+        ordered = df.sortWithinPartitions(*cluster) if cluster else df
+        ordered.write.mode("overwrite").parquet(f"{path}/v{number:08d}")
         for old in self.versions(name)[:-keep]:
             fs, hadoop_path = self._fs(f"{path}/{old}")
             fs.delete(hadoop_path, True)
