@@ -53,8 +53,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     rows = N.parse_snapshot_json(X.snapshot_payloads(spark, sf))
-    read = B.listing_columns(F.col("listing"))
-    return rows.select(
+    read = B.listing_columns()
+    return B.read_listing(rows).select(
         "blob",
         "listing_key",
         read["LISTING_ID"].alias("listing_id"),
@@ -424,8 +424,8 @@ def _(spark, sf):
              '{"address": {}, "offers": {"propertyValue": {"@type": "P"}}}',
              '{"address": {"addressLocality": "' || locality || '"}}'), CAST(eid % 4 + 1 AS int))) AS listing""",
     )
-    read = B.listing_columns(F.col("listing"))
-    return raw.select(
+    read = B.listing_columns()
+    return B.read_listing(raw).select(
         "id",
         read["LISTING_ADDRESS_INFOS"].isNull().alias("no_address"),
         read["LISTING_ADDRESS_INFOS"]["LOCALITY"].alias("locality"),
@@ -440,8 +440,8 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    read = B.listing_columns(F.col("listing"))
-    return X.raw_listings(spark, sf).select(
+    read = B.listing_columns()
+    return B.read_listing(X.raw_listings(spark, sf)).select(
         F.col("listing_key").alias("id"),
         read["LISTING_IMAGES_LIST"].alias("images"),
         F.size(read["LISTING_AMENITY_FEATURES_INFOS"]).alias("amenities"),
@@ -455,8 +455,8 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    renamed = B.renamed_features(F.col("listing")).alias("amenities")
-    return X.raw_listings(spark, sf).select(F.col("listing_key").alias("id"), renamed).where("amenities IS NOT NULL")
+    renamed = B.renamed_features().alias("amenities")
+    return B.read_listing(X.raw_listings(spark, sf)).select(F.col("listing_key").alias("id"), renamed).where("amenities IS NOT NULL")
 
 
 @case("bronze_row_id", Q.query("SELECT id AS listing_key, md5(blob || '||' || id) AS id FROM bronze", "bronze"))

@@ -9,6 +9,7 @@ from hearthlake import schemas as S
 from hearthlake.plans.bronze import with_partition
 from hearthlake.plans.silver import silver_listings
 from hearthlake.session import work_dir
+from hearthlake.sources.pages import scan_raw_pages, spread
 from hearthlake.sources.tables import Lake
 
 RUN_TS = "2026-01-01 00:00:00"
@@ -24,9 +25,10 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event with its user's place, and the scalar parts of a listing."""
     events, customer, nation, region = (table(spark, sf_dir, t) for t in ("events", "customer", "nation", "region"))
     joined = (
-        events.join(customer, events.user_id == customer.c_custkey)
-        .join(nation, F.col("c_nationkey") == nation.n_nationkey)
-        .join(region, F.col("n_regionkey") == region.r_regionkey)
+        spread(events, "event_id")
+        .join(customer, F.col("user_id") == F.col("c_custkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
     return joined.selectExpr(
         "event_id AS eid",
@@ -219,7 +221,7 @@ def listing_pages(spark: SparkSession, sf_dir: str, repeat_ids: bool = False) ->
                transform(es, (e, i) -> named_struct('@type', 'ListItem', 'position', i + 1, 'item', e.item)))) AS list""",
         )
     )
-    pages = table(spark, sf_dir, "pages")
+    pages = scan_raw_pages(spark, f"{sf_dir}/pages.parquet")
     block = lambda body: F.concat(F.lit('<script type="application/ld+json">'), body, F.lit("</script>"))
     web_page = F.lit('{"@type": "WebPage"}')
     second = F.when(F.col("page_id") % 7 == 0, F.lit("{not valid json}")).otherwise(F.coalesce("list", web_page))

@@ -21,80 +21,89 @@ from hearthlake.operators.scd import as_ts
 from hearthlake.sources.snapshots import parse_snapshot_json
 
 
-def null_empty_struct(listing: Column, path: str, *fields: Column) -> Column:
-    """A struct of ``fields``, or NULL where the raw object is absent or empty. An
-    object with only unknown members still gives a struct."""
-    return F.when(non_empty_object(listing, path), F.struct(*fields))
+#: The members of a raw listing that bronze keeps. One cast reads them all in a
+#: single pass; a value that does not fit its type is NULL on its own.
+RAW_LISTING = """struct<
+  `@id`: string, name: string, url: string, description: string, petsAllowed: boolean,
+  numberOfRooms: bigint, numberOfBedrooms: bigint, numberOfBathroomsTotal: bigint,
+  address: struct<streetAddress: string, addressLocality: string, addressRegion: string, addressCountry: string>,
+  floorSize: struct<value: double, unitCode: string>,
+  image: array<string>,
+  amenityFeature: array<struct<name: string, value: string>>,
+  offers: struct<price: double, priceCurrency: string, availability: string,
+    potentialAction: struct<target: string, priceSpecification: struct<price: double, priceCurrency: string>>,
+    propertyValue: struct<name: string, value: double, unitText: string>>>"""
+
+
+def read_listing(listings: DataFrame, listing: str = "listing") -> DataFrame:
+    """Add ``raw``, the listing's members by type, next to the VARIANT."""
+    return listings.withColumn("raw", member(F.col(listing), "$", RAW_LISTING))
+
+
+def null_empty_struct(path: str, members: dict[str, str], *nested: Column) -> Column:
+    """The struct of a raw object's ``members`` (and ``nested`` structs), or NULL
+    where the object is absent or empty.
+
+    An object with only unknown members still gives a struct. That is looked up in
+    the VARIANT only where no known member has a value.
+    """
+    values = [F.col(f"raw.{path}.{name}") for name in members]
+    seen = values[0].isNotNull()
+    for value in [*values[1:], *nested]:
+        seen |= value.isNotNull()
+    fields = [value.alias(new) for value, new in zip(values, members.values(), strict=True)]
+    present = F.col(f"raw.{path}").isNotNull() & (seen | non_empty_object(F.col("listing"), f"$.{path}"))
+    return F.when(present, F.struct(*fields, *nested))
 
 
 def empty_array_default(array: Column, as_type: str) -> Column:
     return F.coalesce(array, F.array().cast(as_type))
 
 
-def renamed_features(listing: Column) -> Column:
+def renamed_features() -> Column:
     """``[{name, value}]`` -> ``[{NAME, VALUE}]``."""
     return F.transform(
-        member(listing, "$.amenityFeature", "array<variant>"),
-        lambda f: F.struct(member(f, "$.name", "string").alias("NAME"), member(f, "$.value", "string").alias("VALUE")),
+        "raw.amenityFeature", lambda f: F.struct(f["name"].alias("NAME"), f["value"].alias("VALUE"))
     )
 
 
-def listing_columns(listing: Column) -> dict[str, Column]:
-    """The payload columns of a bronze row, from the raw listing (a VARIANT)."""
-    get = lambda path, kind, name: member(listing, path, kind).alias(name)
-    offers, action, fee = "$.offers", "$.offers.potentialAction", "$.offers.propertyValue"
-    price_spec = f"{action}.priceSpecification"
+def listing_columns() -> dict[str, Column]:
+    """The payload columns of a bronze row, over ``read_listing``."""
+    price_spec = null_empty_struct(
+        "offers.potentialAction.priceSpecification", {"price": "PRICE", "priceCurrency": "PRICE_CURRENCY"}
+    )
+    action = null_empty_struct(
+        "offers.potentialAction", {"target": "TARGET"}, price_spec.alias("PRICE_SPECIFICATION")
+    )
+    fee = null_empty_struct("offers.propertyValue", {"name": "NAME", "value": "VALUE", "unitText": "UNIT_TEXT"})
     return {
-        "LISTING_ID": member(listing, '$["@id"]', "string"),
-        "LISTING_NAME": member(listing, "$.name", "string"),
-        "LISTING_URL": member(listing, "$.url", "string"),
-        "LISTING_DESCRIPTION": member(listing, "$.description", "string"),
-        "LISTING_PETS_ALLOWED_FLAG": member(listing, "$.petsAllowed", "boolean"),
-        "LISTING_NUMBER_OF_ROOMS_AMT": member(listing, "$.numberOfRooms", "bigint"),
-        "LISTING_NUMBER_OF_BEDROOMS_AMT": member(listing, "$.numberOfBedrooms", "bigint"),
-        "LISTING_NUMBER_OF_BATHROOMS_AMT": member(listing, "$.numberOfBathroomsTotal", "bigint"),
+        "LISTING_ID": F.col("raw.`@id`"),
+        "LISTING_NAME": F.col("raw.name"),
+        "LISTING_URL": F.col("raw.url"),
+        "LISTING_DESCRIPTION": F.col("raw.description"),
+        "LISTING_PETS_ALLOWED_FLAG": F.col("raw.petsAllowed"),
+        "LISTING_NUMBER_OF_ROOMS_AMT": F.col("raw.numberOfRooms"),
+        "LISTING_NUMBER_OF_BEDROOMS_AMT": F.col("raw.numberOfBedrooms"),
+        "LISTING_NUMBER_OF_BATHROOMS_AMT": F.col("raw.numberOfBathroomsTotal"),
         "LISTING_ADDRESS_INFOS": null_empty_struct(
-            listing,
-            "$.address",
-            get("$.address.streetAddress", "string", "STREET_ADDRESS"),
-            get("$.address.addressLocality", "string", "LOCALITY"),
-            get("$.address.addressRegion", "string", "REGION"),
-            get("$.address.addressCountry", "string", "COUNTRY"),
-        ),
-        "LISTING_FLOOR_SIZE_INFOS": null_empty_struct(
-            listing,
-            "$.floorSize",
-            get("$.floorSize.value", "double", "VALUE"),
-            get("$.floorSize.unitCode", "string", "UNIT_CODE"),
+            "address",
+            {
+                "streetAddress": "STREET_ADDRESS",
+                "addressLocality": "LOCALITY",
+                "addressRegion": "REGION",
+                "addressCountry": "COUNTRY",
+            },
         ),
-        "LISTING_IMAGES_LIST": empty_array_default(member(listing, "$.image", "array<string>"), "array<string>"),
+        "LISTING_FLOOR_SIZE_INFOS": null_empty_struct("floorSize", {"value": "VALUE", "unitCode": "UNIT_CODE"}),
+        "LISTING_IMAGES_LIST": empty_array_default(F.col("raw.image"), "array<string>"),
         "LISTING_AMENITY_FEATURES_INFOS": empty_array_default(
-            renamed_features(listing), "array<struct<NAME:string,VALUE:string>>"
+            renamed_features(), "array<struct<NAME:string,VALUE:string>>"
         ),
         "LISTING_OFFERS_INFOS": null_empty_struct(
-            listing,
-            offers,
-            get(f"{offers}.price", "double", "PRICE"),
-            get(f"{offers}.priceCurrency", "string", "PRICE_CURRENCY"),
-            get(f"{offers}.availability", "string", "AVAILABILITY"),
-            null_empty_struct(
-                listing,
-                action,
-                get(f"{action}.target", "string", "TARGET"),
-                null_empty_struct(
-                    listing,
-                    price_spec,
-                    get(f"{price_spec}.price", "double", "PRICE"),
-                    get(f"{price_spec}.priceCurrency", "string", "PRICE_CURRENCY"),
-                ).alias("PRICE_SPECIFICATION"),
-            ).alias("POTENTIAL_ACTION"),
-            null_empty_struct(
-                listing,
-                fee,
-                get(f"{fee}.name", "string", "NAME"),
-                get(f"{fee}.value", "double", "VALUE"),
-                get(f"{fee}.unitText", "string", "UNIT_TEXT"),
-            ).alias("PROPERTY_VALUE"),
+            "offers",
+            {"price": "PRICE", "priceCurrency": "PRICE_CURRENCY", "availability": "AVAILABILITY"},
+            action.alias("POTENTIAL_ACTION"),
+            fee.alias("PROPERTY_VALUE"),
         ),
     }
 
@@ -106,8 +115,8 @@ def bronze_row_id(blob: Column, key: Column) -> Column:
 
 def flatten_listings(listings: DataFrame, run_ts: datetime | str, version: str) -> DataFrame:
     """Snapshot listings (see ``parse_snapshot_json``) -> the 23 bronze columns."""
-    payload = listing_columns(F.col("listing"))
-    return listings.select(
+    payload = listing_columns()
+    return read_listing(listings).select(
         bronze_row_id(F.col("blob"), F.col("listing_key")).alias("ID"),
         *[column.alias(name) for name, column in payload.items()],
         F.col("blob").alias("SRC_BLOB"),

@@ -24,9 +24,18 @@ TYPE_SLUGS = {
 }
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give CPU-bound work behind a scan at least one partition per core.
+
+    A scan of many files already has more, and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def scan_raw_pages(spark: SparkSession, path: str) -> DataFrame:
     """(page_id, url, html) of every landed page."""
-    return spark.read.parquet(path).select("page_id", "url", "html")
+    return spread(spark.read.parquet(path).select("page_id", "url", "html"), "page_id")
 
 
 def url_lineage(pages: DataFrame, url: str = "url") -> DataFrame:
