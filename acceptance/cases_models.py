@@ -148,12 +148,12 @@ def _(spark, sf):
     )
 
 
-@case("fn_cast_int", Q.query("SELECT id, CAST(round(size) AS BIGINT) AS size, CAST(round(price) AS BIGINT) AS price FROM bronze", "bronze"))
+@case("fn_cast_int", Q.query("SELECT id, CAST(CAST(round(size) AS BIGINT) AS VARCHAR) AS size, CAST(CAST(round(price) AS BIGINT) AS VARCHAR) AS price FROM bronze", "bronze"))
 def _(spark, sf):
     return X.stored_bronze(spark, sf).select(
         F.col("ID").alias("id"),
-        H.round_to_long(F.col("LISTING_FLOOR_SIZE_INFOS.VALUE")).alias("size"),
-        H.round_to_long(F.col("LISTING_OFFERS_INFOS.PRICE")).alias("price"),
+        H.round_to_long(F.col("LISTING_FLOOR_SIZE_INFOS.VALUE")).cast("string").alias("size"),
+        H.round_to_long(F.col("LISTING_OFFERS_INFOS.PRICE")).cast("string").alias("price"),
     )
 
 
@@ -164,7 +164,7 @@ def _(spark, sf):
 
 @case(
     "fn_case_rank",
-    Q.query("SELECT id, list_position(['vivareal', 'zapimoveis', 'other'], site) AS rank FROM bronze", "bronze"),
+    Q.query("SELECT id, CAST(list_position(['vivareal', 'zapimoveis', 'other'], site) AS BIGINT) AS rank FROM bronze", "bronze"),
 )
 def _(spark, sf):
     return X.stored_bronze(spark, sf).select(F.col("ID").alias("id"), H.site_rank(F.col("SRC_SITE_NAME")).alias("rank"))
@@ -609,7 +609,7 @@ def _(spark, sf):
 
 @case(
     "clustered_write",
-    Q.query("SELECT site, city, kind AS property_type, page, count(*) AS n, sum(CAST(price AS DECIMAL(18,2))) AS price FROM silver GROUP BY ALL", "silver"),
+    Q.query("SELECT site, city, kind AS property_type, page, count(*) AS n, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS price FROM silver GROUP BY site, city, kind, page", "silver"),
 )
 def _(spark, sf):
     lake = Lake(spark, work_dir(spark, "clustered"), "dev")
@@ -618,7 +618,7 @@ def _(spark, sf):
         F.col("SITE").alias("site"), F.col("CITY").alias("city"), F.col("PROPERTY_TYPE").alias("property_type"),
         F.col("PAGE").alias("page"),
     )
-    return by_place.agg(F.count("*").alias("n"), F.sum(F.col("PRICE").cast("decimal(18,2)")).alias("price"))
+    return by_place.agg(F.count("*").alias("n"), F.sum(F.col("PRICE").cast("decimal(18,2)")).cast("double").alias("price"))
 
 
 @case("create_or_full_refresh", Q.query("SELECT listing_id, count(*) AS n FROM silver_u GROUP BY listing_id", "silver_u"))
@@ -726,11 +726,11 @@ def _(spark, sf):
     "dq_contracts",
     Q.query(
         "\nUNION ALL\n".join(
-            [f"SELECT 'not_null' AS test, '{c}' AS \"column\", 0 AS failures" for c in S.SILVER.not_null]
+            [f"SELECT 'not_null' AS test, '{c}' AS \"column\", CAST(0 AS BIGINT) AS failures" for c in S.SILVER.not_null]
             + [
                 "SELECT 'unique', 'BRONZE_ID', (SELECT count(*) - count(DISTINCT bronze_id) FROM silver)",
                 "SELECT 'accepted_values', 'SITE', (SELECT count(DISTINCT site) FROM silver WHERE site = 'other')",
-                "SELECT 'accepted_values', 'PROPERTY_TYPE', 0",
+                "SELECT 'accepted_values', 'PROPERTY_TYPE', CAST(0 AS BIGINT)",
             ]
         ),
         "silver",

@@ -11,9 +11,11 @@ from hearthlake import schemas as S
 from hearthlake.functions import parse_json_strict
 from hearthlake.operators import extract as E
 from hearthlake.operators import paging as P
+from hearthlake.params import RunParams
 from hearthlake.plans import bronze as B
 from hearthlake.plans import dimensions as D
-from hearthlake.session import work_dir
+from hearthlake.plans.pipeline import load_bronze
+from hearthlake.session import Staging, work_dir
 from hearthlake.sources import snapshots as N
 from hearthlake.sources.pages import scan_raw_pages, url_lineage
 from hearthlake.sources.tables import Lake, count_tables, ensure_table
@@ -85,10 +87,10 @@ def _bronze_leaves(bronze):
         F.col("LISTING_NAME").alias("name"),
         F.col("LISTING_URL").alias("url"),
         F.col("LISTING_DESCRIPTION").alias("description"),
-        F.col("LISTING_PETS_ALLOWED_FLAG").alias("pets"),
-        F.col("LISTING_NUMBER_OF_ROOMS_AMT").alias("rooms"),
-        F.col("LISTING_NUMBER_OF_BEDROOMS_AMT").alias("bedrooms"),
-        F.col("LISTING_NUMBER_OF_BATHROOMS_AMT").alias("bathrooms"),
+        F.col("LISTING_PETS_ALLOWED_FLAG").cast("string").alias("pets"),
+        F.col("LISTING_NUMBER_OF_ROOMS_AMT").cast("string").alias("rooms"),
+        F.col("LISTING_NUMBER_OF_BEDROOMS_AMT").cast("string").alias("bedrooms"),
+        F.col("LISTING_NUMBER_OF_BATHROOMS_AMT").cast("string").alias("bathrooms"),
         F.col("LISTING_ADDRESS_INFOS").isNull().alias("no_address"),
         F.col("LISTING_ADDRESS_INFOS.STREET_ADDRESS").alias("street"),
         F.col("LISTING_ADDRESS_INFOS.LOCALITY").alias("locality"),
@@ -131,8 +133,9 @@ def _amenities_text(features: str = "") -> str:
 def _bronze_sql(row_id: str, source: str = "bronze") -> str:
     return Q.query(
         f"""
-SELECT {row_id} AS id, {{listing_id}} AS listing_id, name, url, description, pets, rooms, bedrooms, bathrooms,
-  eid % 19 = 0 AS no_address, street, locality, region, country,
+SELECT {row_id} AS id, {{listing_id}} AS listing_id, name, url, description,
+  CAST(pets AS VARCHAR) AS pets, CAST(rooms AS VARCHAR) AS rooms, CAST(bedrooms AS VARCHAR) AS bedrooms,
+  CAST(bathrooms AS VARCHAR) AS bathrooms, eid % 19 = 0 AS no_address, street, locality, region, country,
   eid % 29 = 0 AS no_size, size, size_unit, CAST(to_json(images) AS VARCHAR) AS images,
   {_amenities_text()} AS amenities,
   eid % 43 = 0 AS no_offers, price, currency, availability, target, spec_price IS NULL AS no_spec, spec_price,
@@ -188,94 +191,100 @@ def _(spark, sf):
 # ---------------------------------------------------------------------------
 # page extraction
 
-_LISTED = "(SELECT uid, count(*) AS n FROM bronze GROUP BY uid)"
-_STATUS = "CASE WHEN p.page_id % 7 = 0 THEN 'malformed_json' WHEN l.n IS NULL THEN 'no_item_list' ELSE 'ok' END"
+# A landed page: the events of one user out of one block of ids, or a page without events.
+Q.part(
+    "landed",
+    """
+SELECT p.page_id, coalesce(l.block, 0) AS block, l.n, p.page_id % 7 = 0 AS broken
+FROM pages p LEFT JOIN (SELECT uid, block, count(*) AS n FROM bronze GROUP BY uid, block) l ON l.uid = p.page_id
+""",
+    "bronze",
+)
+Q.part(
+    "listed",
+    """
+SELECT b.*, b.uid AS page_id, row_number() OVER (PARTITION BY b.uid, b.block ORDER BY b.eid) - 1 AS pos
+FROM bronze b SEMI JOIN pages p ON p.page_id = b.uid WHERE b.uid % 7 <> 0
+""",
+    "bronze",
+)
 
 
 @case(
     "extract_jsonld_blocks",
     Q.query(
-        f"""
-SELECT p.page_id, k.pos, CASE WHEN k.pos = 0 THEN 'WebPage' WHEN p.page_id % 7 = 0 THEN NULL
-  WHEN l.n IS NULL THEN 'WebPage' ELSE 'ItemList' END AS kind
-FROM pages p LEFT JOIN {_LISTED} l ON l.uid = p.page_id, (VALUES (0), (1)) k(pos)""",
-        "bronze",
+        """
+SELECT page_id, block, CAST(0 AS BIGINT) AS pos, 'WebPage' AS kind FROM landed
+UNION ALL
+SELECT page_id, block, CAST(1 AS BIGINT), CASE WHEN NOT broken THEN CASE WHEN n > 0 THEN 'ItemList' ELSE 'WebPage' END END
+FROM landed""",
+        "landed",
     ),
 )
 def _(spark, sf):
     pages = X.listing_pages(spark, sf).withColumn("blocks", parse_json_strict(E.jsonld_blocks(F.col("html"))))
-    return pages.select("page_id", F.posexplode("blocks").alias("pos", "block")).select(
-        "page_id", "pos", F.try_variant_get("block", '$["@type"]', "string").alias("kind")
+    return pages.select("page_id", "block", F.posexplode("blocks").alias("pos", "body")).select(
+        "page_id", "block", "pos", F.try_variant_get("body", '$["@type"]', "string").alias("kind")
     )
 
 
 @case(
     "select_item_list",
-    Q.query(
-        f"SELECT p.page_id, l.n AS elements FROM pages p JOIN {_LISTED} l ON l.uid = p.page_id WHERE p.page_id % 7 <> 0",
-        "bronze",
-    ),
+    Q.query("SELECT page_id, block, n AS elements FROM landed WHERE n > 0 AND NOT broken", "landed"),
 )
 def _(spark, sf):
     pages = E.extract_pages(X.listing_pages(spark, sf))
-    return pages.select("page_id", F.size("elements").alias("elements")).where("elements >= 0")
+    return pages.select("page_id", "block", F.size("elements").alias("elements")).where("elements >= 0")
 
 
-@case(
-    "explode_listings",
-    Q.query(
-        """
-SELECT p.page_id, row_number() OVER (PARTITION BY p.page_id ORDER BY b.eid) - 1 AS pos, b.id AS listing_id, b.name
-FROM bronze b JOIN pages p ON p.page_id = b.uid WHERE p.page_id % 7 <> 0""",
-        "bronze",
-    ),
-)
+@case("explode_listings", Q.query("SELECT page_id, block, pos, id AS listing_id, name FROM listed", "listed"))
 def _(spark, sf):
     rows = E.explode_listings(E.extract_pages(X.listing_pages(spark, sf)))
-    return rows.select("page_id", "pos", "listing_id", F.try_variant_get("listing", "$.name", "string").alias("name"))
+    name = F.try_variant_get("listing", "$.name", "string").alias("name")
+    return rows.select("page_id", "block", "pos", "listing_id", name)
 
 
 @case(
     "dedup_last_id_in_page",
     Q.query(
         """
-SELECT page_id, listing_id, max(pos) AS pos, max_by(name, pos) AS name FROM (
-  SELECT p.page_id, b.uid || '-' || b.eid % 7 AS listing_id, coalesce(b.name, '~') AS name,
-    row_number() OVER (PARTITION BY p.page_id ORDER BY b.eid) - 1 AS pos
-  FROM bronze b JOIN pages p ON p.page_id = b.uid WHERE p.page_id % 7 <> 0)
-GROUP BY page_id, listing_id""",
-        "bronze",
+SELECT page_id, block, listing_id, max(pos) AS pos, max_by(name, pos) AS name
+FROM (SELECT page_id, block, uid || '-' || eid % 7 AS listing_id, coalesce(name, '~') AS name, pos FROM listed)
+GROUP BY page_id, block, listing_id""",
+        "listed",
     ),
 )
 def _(spark, sf):
     pages = E.keep_last_per_id(E.extract_pages(X.listing_pages(spark, sf, repeat_ids=True)))
     name = F.coalesce(F.try_variant_get("listing", "$.name", "string"), F.lit("~"))
-    return E.explode_listings(pages).select("page_id", "listing_id", "pos", name.alias("name"))
+    return E.explode_listings(pages).select("page_id", "block", "listing_id", "pos", name.alias("name"))
 
 
-@case(
-    "page_status",
-    Q.query(
-        f"SELECT p.page_id, {_STATUS} AS status FROM pages p LEFT JOIN {_LISTED} l ON l.uid = p.page_id", "bronze"
-    ),
-)
+_STATUS = "CASE WHEN broken THEN 'malformed_json' WHEN n > 0 THEN 'ok' ELSE 'no_item_list' END"
+
+
+@case("page_status", Q.query(f"SELECT page_id, block, {_STATUS} AS status FROM landed", "landed"))
 def _(spark, sf):
-    return E.extract_pages(X.listing_pages(spark, sf)).select("page_id", "status")
+    return E.extract_pages(X.listing_pages(spark, sf)).select("page_id", "block", "status")
 
 
-_SEARCHED = f"""
-SELECT p.page_id, p.page_id % 12 AS search, p.page_id // 12 + 1 AS page, {_STATUS} AS status,
-  CASE WHEN p.page_id % 4 < 2 THEN 'vivareal' ELSE 'zapimoveis' END AS site,
-  CASE p.page_id % 3 WHEN 0 THEN 'macae' WHEN 1 THEN 'niteroi' ELSE 'campos' END AS city,
-  CASE WHEN p.page_id % 2 = 0 THEN 'apartment' ELSE 'house' END AS property_type
-FROM pages p LEFT JOIN {_LISTED} l ON l.uid = p.page_id
-"""
-Q.part("searched", _SEARCHED, "bronze")
+Q.part(
+    "searched",
+    f"""
+SELECT page_id, block, page_id // 12 + 1 AS page, {_STATUS} AS status,
+  CASE WHEN page_id % 4 < 2 THEN 'vivareal' ELSE 'zapimoveis' END AS site,
+  CASE page_id % 3 WHEN 0 THEN 'macae' WHEN 1 THEN 'niteroi' ELSE 'campos' END || '-' || block AS city,
+  CASE WHEN page_id % 2 = 0 THEN 'apartment' ELSE 'house' END AS property_type
+FROM landed
+""",
+    "landed",
+)
 Q.part(
     "kept_pages",
     """
-SELECT * FROM searched s WHERE status = 'ok' AND NOT EXISTS (
-  SELECT 1 FROM searched e WHERE e.search = s.search AND e.page < s.page AND e.status <> 'ok')
+SELECT * FROM searched s WHERE status = 'ok' AND page = (
+  SELECT count(*) FROM searched e
+  WHERE e.page_id % 12 = s.page_id % 12 AND e.block = s.block AND e.page <= s.page AND e.status = 'ok')
 """,
     "searched",
 )
@@ -304,7 +313,7 @@ def _(spark, sf):
         """
 SELECT 'dev/' || k.site || '/' || k.city || '/' || k.property_type || '/' || k.page || '/2026-01-01T00:00:00Z.json' AS blob,
   '2026-01-01' AS file_date, b.id AS listing_id, b.description
-FROM kept_pages k JOIN bronze b ON b.uid = k.page_id""",
+FROM kept_pages k JOIN bronze b ON b.uid = k.page_id AND b.block = k.block""",
         "kept_pages",
     ),
 )
@@ -524,7 +533,7 @@ def _(spark, sf):
 
 @case(
     "count_tables",
-    Q.query("SELECT 0 AS tables_before, 1 AS tables_after, count(*) AS n FROM bronze", "bronze"),
+    Q.query("SELECT CAST(0 AS BIGINT) AS tables_before, CAST(1 AS BIGINT) AS tables_after, count(*) AS n FROM bronze", "bronze"),
 )
 def _(spark, sf):
     name, before, _, _, after = _catalog_table(spark, sf)
@@ -535,17 +544,23 @@ def _(spark, sf):
 
 @case(
     "dry_run",
-    Q.query("SELECT blob, id, price, false AS written FROM bronze", "bronze"),
+    Q.query(
+        """
+SELECT b.blob, b.id, b.price, false AS written FROM bronze b JOIN (
+  SELECT DISTINCT site, city, kind, d, page FROM bronze) p USING (site, city, kind, d, page)
+WHERE p.page = (
+  SELECT count(DISTINCT page) FROM bronze q
+  WHERE q.site = b.site AND q.city = b.city AND q.kind = b.kind AND q.d = b.d AND q.page <= b.page)""",
+        "bronze",
+    ),
 )
 def _(spark, sf):
-    from hearthlake.plans.pipeline import load_bronze
-
     lake = Lake(spark, work_dir(spark, "dry"), "dev")
-    snapshots = N.path_lineage(
-        X.snapshot_payloads(spark, sf).select("blob", "payload", F.lit(X.RUN_TS).cast("timestamp").alias("modified_ts"))
-    )
-    # Pages need not be contiguous in this input, so the choice is every page.
-    rows = load_bronze(lake, snapshots, X.RUN_TS, X.VERSION, chosen=snapshots.select("blob"), write=False)
+    payloads = X.snapshot_payloads(spark, sf).select("blob", "payload")
+    snapshots = N.path_lineage(payloads.withColumn("modified_ts", F.lit(X.RUN_TS).cast("timestamp")))
+    # The job with its write switched off: every search's pages up to its first gap.
+    params = RunParams("dev", "macae", "vivareal", "apartment", run_ts=X.RUN_TS_VALUE, write_bronze=False)
+    rows = load_bronze(lake, snapshots, params, Staging(spark))
     return rows.select(
         F.col("SRC_BLOB").alias("blob"),
         F.col("LISTING_ID").alias("id"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +16,13 @@ from hearthlake.sources.tables import Lake
 
 RUN_TS = "2026-01-01 00:00:00"
 RUN_1, RUN_2, RUN_3 = "2026-01-01 00:00:00", "2026-01-02 00:00:00", "2026-01-03 00:00:00"
+RUN_TS_VALUE = datetime(2026, 1, 1)
 VERSION = "v0"
 
+#: A page or snapshot draws its listings from one block of this many event ids, so
+#: its size is bounded however many events one user or search has.
+BLOCK = 65536
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -65,7 +72,8 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "element_at(array('zapimoveis', 'vivareal', 'other'), CAST(event_id % 3 + 1 AS int)) AS site",
         "lower(r_name) AS city",
         "CASE WHEN event_id % 2 = 0 THEN 'apartment' ELSE 'house' END AS property_type",
-        "event_id div 6 % 10 + 1 AS page",
+        f"event_id div {BLOCK} AS block",
+        f"event_id div 6 % 10 + 1 + 10 * (event_id div {BLOCK}) AS page",
     ).withColumn(
         "blob",
         F.expr("concat_ws('/', 'dev', site, city, property_type, CAST(page AS string), d || 'T00:00:00Z.json')"),
@@ -191,7 +199,7 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the snapshot table: the events of one search page and date as one
-    JSON object. (A snapshot is one page, so its listings belong in one row.)"""
+    JSON object (at most BLOCK of them)."""
     item = ITEM.format(id="CAST(eid AS string)")
     keyed = raw_events(spark, sf_dir).selectExpr(
         "d AS file_date", "site", "city", "property_type", "page", "blob",
@@ -203,7 +211,8 @@ def snapshot_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing_pages(spark: SparkSession, sf_dir: str, repeat_ids: bool = False) -> DataFrame:
-    """Landed pages with JSON-LD spliced in: page ``n`` lists the events of user ``n``.
+    """Landed pages with JSON-LD spliced in: page ``n`` lists the events of user
+    ``n``, one landed page per block of event ids.
 
     Every page also holds a commented-out broken block, an empty block and a
     foreign script, none of which may count. Every seventh page has a broken
@@ -212,11 +221,12 @@ def listing_pages(spark: SparkSession, sf_dir: str, repeat_ids: bool = False) ->
     id_sql = "concat(uid, '-', eid % 7)" if repeat_ids else "CAST(eid AS string)"
     lists = (
         raw_events(spark, sf_dir)
-        .selectExpr("uid", f"named_struct('eid', eid, 'item', {ITEM.format(id=id_sql)}) AS e")
-        .groupBy("uid")
+        .selectExpr("uid", "block", f"named_struct('eid', eid, 'item', {ITEM.format(id=id_sql)}) AS e")
+        .groupBy("uid", "block")
         .agg(F.array_sort(F.collect_list("e"), lambda a, b: (a["eid"] - b["eid"]).cast("int")).alias("es"))
         .selectExpr(
             "uid",
+            "block",
             """to_json(named_struct('@context', 'https://schema.org', '@type', 'ItemList', 'itemListElement',
                transform(es, (e, i) -> named_struct('@type', 'ListItem', 'position', i + 1, 'item', e.item)))) AS list""",
         )
@@ -235,8 +245,9 @@ def listing_pages(spark: SparkSession, sf_dir: str, repeat_ids: bool = False) ->
         ELSE 'https://www.zapimoveis.com.br/aluguel/casas/rj+' || city || '/?pagina=' || ({number}) END"""
     return (
         pages.join(lists, F.col("page_id") == F.col("uid"), "left")
-        .withColumn("city", F.expr("element_at(array('macae', 'niteroi', 'campos'), CAST(page_id % 3 + 1 AS int))"))
-        .select("page_id", F.expr(url).alias("url"), F.replace("html", F.lit("<body>"), spliced).alias("html"))
+        .withColumn("block", F.coalesce("block", F.lit(0)))
+        .withColumn("city", F.expr("element_at(array('macae', 'niteroi', 'campos'), CAST(page_id % 3 + 1 AS int)) || '-' || block"))
+        .select("page_id", "block", F.expr(url).alias("url"), F.replace("html", F.lit("<body>"), spliced).alias("html"))
     )
 
 

@@ -60,7 +60,8 @@ SELECT e.event_id AS eid, e.user_id AS uid, e.ts, CAST(e.ts AS DATE) AS d, e.eve
   CASE e.event_id % 3 WHEN 0 THEN 'zapimoveis' WHEN 1 THEN 'vivareal' ELSE 'other' END AS site,
   lower(r.r_name) AS city,
   CASE WHEN e.event_id % 2 = 0 THEN 'apartment' ELSE 'house' END AS kind,
-  (e.event_id // 6) % 10 + 1 AS page
+  e.event_id // 65536 AS block,
+  (e.event_id // 6) % 10 + 1 + 10 * (e.event_id // 65536) AS page
 FROM events e
 JOIN customer c ON c.c_custkey = e.user_id
 JOIN nation n ON n.n_nationkey = c.c_nationkey
@@ -71,7 +72,7 @@ JOIN region r ON r.r_regionkey = n.n_regionkey
 part(
     "bronze",
     """
-SELECT eid, uid, d, ts, value, seg, event_type, props, n_name, r_name, site, city, kind, page,
+SELECT eid, uid, d, ts, value, seg, event_type, props, n_name, r_name, site, city, kind, block, page,
   CAST(eid AS VARCHAR) AS id, CAST(uid AS VARCHAR) AS listing_id,
   CASE WHEN eid % 7 <> 0 THEN seg || '-' || event_type END AS name,
   CASE WHEN eid % 50 <> 0 THEN 'https://example.com/l/' || uid END AS url,
@@ -87,7 +88,7 @@ SELECT eid, uid, d, ts, value, seg, event_type, props, n_name, r_name, site, cit
   CASE WHEN eid % 29 <> 0 THEN CAST(eid % 5 AS DOUBLE) + 0.5 END AS size,
   CASE WHEN eid % 29 <> 0 THEN CASE WHEN eid % 23 = 0 THEN 'FT' ELSE 'M2' END END AS size_unit,
   list_transform(range(eid % 4), lambda i: 'https://img/' || uid || '/' || i) AS images,
-  CASE eid % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS n_amenities,
+  CAST(eid % 3 AS BIGINT) AS n_amenities,
   CASE WHEN eid % 31 <> 0 THEN event_type END AS amenity_1,
   seg AS amenity_2,
   CASE WHEN eid % 43 <> 0 AND eid % 41 <> 0 THEN value END AS price,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from hearthlake.plans import bronze as bronze_plan
 from hearthlake.plans.dimensions import ALL
 from hearthlake.plans.fact import fact_listings
 from hearthlake.plans.silver import silver_listings
-from hearthlake.session import materialize
+from hearthlake.session import Staging
 from hearthlake.sources import snapshots as snapshot_source
 from hearthlake.sources.pages import url_lineage
 from hearthlake.sources.tables import Lake, latest_date_with
@@ -34,18 +34,18 @@ def in_scope(df: DataFrame, params: RunParams) -> DataFrame:
     )
 
 
-def land_snapshots(pages: DataFrame, root: str, params: RunParams) -> DataFrame:
+def land_snapshots(pages: DataFrame, root: str, params: RunParams, stage: Staging) -> DataFrame:
     """Pages -> snapshot rows, written unless it is a dry run.
 
-    The extraction is written once to the shared folder, so HTML is parsed once:
-    the search bounds read its narrow columns, the snapshots its listings. The
-    bounds are written too, so the planner knows their size and broadcasts them
-    where they are small, instead of shuffling the listings.
+    The extraction is kept, so HTML is parsed once: the search bounds read its
+    narrow columns, the snapshots its listings. The bounds are kept too, so the
+    planner knows their size and broadcasts them where they are small, instead of
+    shuffling the listings.
     """
     wanted = paging.page_bounds(in_scope(url_lineage(pages), params), params.start_page, params.max_page)
-    extracted = materialize(extract.keep_last_per_id(extract.extract_pages(wanted)), "extracted")
+    extracted = stage.keep(extract.keep_last_per_id(extract.extract_pages(wanted)), "extracted")
     usable = F.col("status") == extract.OK
-    bounds = materialize(paging.first_missing_page(extracted, paging.SEARCH, params.start_page, usable), "bounds")
+    bounds = stage.keep(paging.first_missing_page(extracted, paging.SEARCH, params.start_page, usable), "bounds")
     kept = paging.before_first_missing(extracted, bounds, paging.SEARCH, params.start_page)
     rows = snapshot_source.snapshot_rows(kept, params.environment, params.run_ts)
     if params.write_snapshots:
@@ -56,95 +56,94 @@ def land_snapshots(pages: DataFrame, root: str, params: RunParams) -> DataFrame:
 def load_bronze(
     lake: Lake,
     snapshots: DataFrame,
-    run_ts: datetime | str,
-    version: str,
-    start_page: int = 1,
-    max_page: int | None = None,
-    file_date=None,
-    chosen: DataFrame | None = None,
-    write: bool = True,
+    params: RunParams,
+    stage: Staging,
+    paths: DataFrame | None = None,
+    file_date: date | str | None = None,
 ) -> DataFrame:
-    """Append the snapshots bronze does not hold yet; returns their rows."""
-    if chosen is None:
-        loaded = None
-        if lake.exists(BRONZE_TABLE):
-            loaded = paging.loaded_blobs(lake.read(BRONZE_TABLE), file_date)
-        paths = snapshots.drop("payload")
-        chosen = bronze_plan.select_snapshots(paths, loaded, start_page, max_page).select("blob")
-        # Written so that its true size decides how the payloads are matched.
-        chosen = materialize(chosen, "chosen")
-    rows = bronze_plan.bronze_rows(snapshots, chosen, run_ts, version)
-    if write:
+    """Append the snapshots bronze does not hold yet; returns their rows, which a
+    dry run does not write.
+
+    ``paths`` lists the snapshots without their payloads, where that is cheaper to
+    get than from ``snapshots``. ``file_date`` is their date, if it is one.
+    """
+    paths = snapshots.drop("payload") if paths is None else paths
+    loaded = None
+    if lake.exists(BRONZE_TABLE):
+        partition = S.BRONZE_PARTITION if file_date is not None else None
+        loaded = paging.loaded_blobs(lake.read(BRONZE_TABLE, partition, file_date))
+    chosen = bronze_plan.select_snapshots(paths, loaded, params.start_page, params.max_page).select("blob")
+    # Kept so that its true size decides how the payloads are matched.
+    rows = bronze_plan.bronze_rows(snapshots, stage.keep(chosen, "chosen"), params.run_ts, params.version)
+    if params.write_bronze:
         lake.append(bronze_plan.with_partition(rows), BRONZE_TABLE, S.BRONZE_PARTITION, _BRONZE_CLUSTER)
     return rows
 
 
 def upsert_date(
-    lake: Lake, rows: DataFrame, spec: S.TableSpec, file_date, on_duplicate: Sequence[Column] | None = None
+    lake: Lake,
+    rows: DataFrame,
+    spec: S.TableSpec,
+    file_date: date | str,
+    stage: Staging,
+    on_duplicate: Sequence[Column] | None = None,
 ) -> None:
     """Merge one date's rows into a date-partitioned table. Only that date is read
     and rewritten. A repeated key that would update one row twice is an error,
     unless ``on_duplicate`` says which row comes first."""
-    if str(file_date) in lake.partition_values(spec.name, spec.partition):
-        source = materialize(rows, spec.name)
-        same_date = lake.read(spec.name).where(F.col(spec.partition) == F.lit(str(file_date)).cast("date"))
+    if lake.exists(spec.name) and str(file_date) in lake.partition_values(spec.name, spec.partition):
+        source = stage.keep(rows, spec.name)
+        same_date = lake.read(spec.name, spec.partition, file_date)
         if on_duplicate is None:
             require_mergeable(same_date, source, spec.keys)
         rows = merge_upsert(same_date, source, spec.keys, on_duplicate)
     lake.overwrite_partitions(rows, spec.name, spec.partition, spec.cluster)
 
 
-def build_silver(lake: Lake, params: RunParams) -> None:
+def build_silver(lake: Lake, params: RunParams, stage: Staging) -> None:
     rows = silver_listings(
-        lake.read(BRONZE_TABLE),
+        lake.read(BRONZE_TABLE, S.BRONZE_PARTITION, params.file_date),
         params.run_ts,
-        file_date=params.file_date,
         city=params.city,
         sites=params.sites,
         property_types=params.property_types,
     )
-    upsert_date(lake, rows, S.SILVER, params.file_date)
+    upsert_date(lake, rows, S.SILVER, params.file_date, stage)
 
 
-def build_dimensions(lake: Lake, params: RunParams) -> None:
+def build_dimensions(lake: Lake, params: RunParams, stage: Staging) -> None:
     """Each dimension: a first load, or its next version from the latest scrape."""
-    silver = lake.read(S.SILVER.name)
+    name, partition = S.SILVER.name, S.SILVER.partition
     for dim in ALL:
         target = lake.current(dim.spec.name)
         if target is None:
-            rows = dim.full(silver, params.run_ts)
+            rows = dim.full(lake.read(name), params.run_ts)
         else:
-            newest = latest_date_with(lake, S.SILVER.name, "SCRAPE_DATE", dim.counts or "true")
+            newest = latest_date_with(lake, name, partition, dim.counts or "true")
             if newest is None:
                 continue
-            latest = dim.rows_of(silver.where(F.col("SCRAPE_DATE") == F.lit(newest).cast("date")))
-            source = require_mergeable(target, materialize(latest, dim.spec.name), dim.spec.keys)
+            latest = stage.keep(dim.rows_of(lake.read(name, partition, newest)), dim.spec.name)
+            source = require_mergeable(target, latest, dim.spec.keys)
             rows = dim.next_version(source, target, params.run_ts)
         lake.publish(rows, dim.spec.name, dim.spec.cluster)
 
 
-def build_fact(lake: Lake, params: RunParams) -> None:
-    rows = fact_listings(lake.read(S.SILVER.name), params.run_ts, params.file_date)
-    upsert_date(lake, rows, S.FACT, params.file_date)
+def build_fact(lake: Lake, params: RunParams, stage: Staging) -> None:
+    silver = lake.read(S.SILVER.name, S.SILVER.partition, params.file_date)
+    upsert_date(lake, fact_listings(silver, params.run_ts), S.FACT, params.file_date, stage)
 
 
 def run(lake: Lake, pages: DataFrame | None, snapshot_root: str, params: RunParams) -> None:
-    """All layers for one run. Without ``pages`` it starts from landed snapshots."""
-    if pages is not None:
-        land_snapshots(pages, snapshot_root, params)
-    snapshots = in_scope(
-        snapshot_source.scan_snapshot_table(lake.spark, snapshot_root, params.file_date), params
-    )
-    load_bronze(
-        lake,
-        snapshots,
-        params.run_ts,
-        params.version,
-        params.start_page,
-        params.max_page,
-        params.file_date,
-        write=params.write_bronze,
-    )
-    build_silver(lake, params)
-    build_dimensions(lake, params)
-    build_fact(lake, params)
+    """All layers for one run. Without ``pages`` it starts from landed snapshots.
+
+    Every step can be repeated: snapshots are skipped once loaded, dates are merged
+    by key, dimensions get a new version. A failed run is simply run again.
+    """
+    with Staging(lake.spark) as stage:
+        if pages is not None:
+            land_snapshots(pages, snapshot_root, params, stage)
+        landed = snapshot_source.scan_snapshot_table(lake.spark, snapshot_root, params.file_date)
+        load_bronze(lake, in_scope(landed, params), params, stage, file_date=params.file_date)
+        build_silver(lake, params, stage)
+        build_dimensions(lake, params, stage)
+        build_fact(lake, params, stage)

@@ -18,6 +18,7 @@ RUNTIME_CONF = {
     # Splits skewed join and rebalance partitions at run time.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
@@ -51,13 +52,29 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+class Staging:
+    """Intermediate results of one run, in one folder that goes when the run ends.
 
-    Used where a result feeds several actions: the work is not repeated, the
-    lineage is cut in a way that survives lost executors, and the planner sees
-    the true size when it chooses a join.
+    ``keep`` writes a frame once and reads it back. Used where a result feeds
+    several actions: the work is not repeated, the lineage is cut in a way that
+    survives lost executors, and the planner sees the true size when it chooses a
+    join.
     """
-    path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = work_dir(spark, "run")
+        self._count = 0
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        self._count += 1
+        path = f"{self.root}/{self._count:03d}-{label}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_error) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -24,13 +24,16 @@ TYPE_SLUGS = {
 }
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give CPU-bound work behind a scan at least one partition per core.
+#: A scan of at most this many partitions (each of spark.sql.files.maxPartitionBytes
+#: or one row group) is small enough to be shuffled for the sake of more cores. A
+#: larger one is busy already, and moving it would cost more than it gains.
+SPREAD_LIMIT = 16
 
-    A scan of many files already has more, and is returned as it is.
-    """
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give CPU-bound work behind a small scan one partition per core."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < min(cores, SPREAD_LIMIT) else df
 
 
 def scan_raw_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -11,7 +11,6 @@ import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -79,9 +78,15 @@ class Lake:
     def exists(self, name: str) -> bool:
         return self._schema_text(name) is not None
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, partition: str | None = None, value=None) -> DataFrame:
+        """The table, or one partition of it, of which only the folder is listed."""
         schema = T.StructType.fromJson(json.loads(self._schema_text(name)))
-        return self.spark.read.schema(schema).parquet(self.path(name))
+        if partition is None:
+            return self.spark.read.schema(schema).parquet(self.path(name))
+        if str(value) not in self.partition_values(name, partition):
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", self.path(name))
+        return reader.parquet(f"{self.path(name)}/{partition}={value}")
 
     def partition_values(self, name: str, column: str) -> list[str]:
         """Values of a partition column, from the folder names: one per date."""
@@ -152,14 +157,13 @@ def count_tables(spark: SparkSession, name: str) -> int:
     return int(spark.catalog.tableExists(name))
 
 
-def latest_date_with(lake: Lake, name: str, column: str, condition: str) -> str | None:
+def latest_date_with(lake: Lake, name: str, partition: str, condition: str) -> str | None:
     """Newest partition with a row that meets ``condition``.
 
-    Goes back date by date and reads one row of each, so it normally touches only
-    the newest date instead of the table's whole history.
+    Goes back date by date and looks for one row of each, so it normally touches
+    only the newest date instead of the table's whole history.
     """
-    table = lake.read(name)
-    for value in reversed(lake.partition_values(name, column)):
-        if table.where(F.col(column) == F.lit(value).cast("date")).where(condition).head(1):
+    for value in reversed(lake.partition_values(name, partition)):
+        if lake.read(name, partition, value).where(condition).head(1):
             return value
     return None

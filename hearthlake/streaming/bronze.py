@@ -5,6 +5,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hearthlake.params import RunParams
 from hearthlake.plans.pipeline import in_scope, load_bronze
+from hearthlake.session import Staging
 from hearthlake.sources.snapshots import TABLE_COLUMNS, scan_snapshot_table
 from hearthlake.sources.tables import Lake
 
@@ -19,17 +20,11 @@ def follow_snapshots(lake: Lake, snapshot_root: str, params: RunParams, checkpoi
     spark = lake.spark
 
     def load(news: DataFrame, _batch_id: int) -> None:
-        # At most one row per calendar day.
-        for day in sorted(row.file_date for row in news.select("file_date").distinct().collect()):
-            load_bronze(
-                lake,
-                in_scope(scan_snapshot_table(spark, snapshot_root, day), params),
-                params.run_ts,
-                params.version,
-                params.start_page,
-                params.max_page,
-                day,
-            )
+        with Staging(spark) as stage:
+            # At most one row per calendar day.
+            for day in sorted(row.file_date for row in news.select("file_date").distinct().collect()):
+                snapshots = in_scope(scan_snapshot_table(spark, snapshot_root, day), params)
+                load_bronze(lake, snapshots, params, stage, file_date=day)
 
     landed = spark.readStream.schema(TABLE_COLUMNS).parquet(snapshot_root).select("file_date")
     return (

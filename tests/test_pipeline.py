@@ -10,6 +10,7 @@ from hearthlake import schemas as S
 from hearthlake.operators import quality as C
 from hearthlake.operators.merge import DuplicateKeyError
 from hearthlake.plans import pipeline as L
+from hearthlake.session import Staging
 from hearthlake.sources import snapshots as N
 from hearthlake.sources.tables import Lake
 from hearthlake.streaming import follow_snapshots
@@ -118,23 +119,36 @@ def test_one_listing_at_two_prices(spark, lake, root, raw_listing):
     # A first load keeps both; a second one cannot say which updates which.
     assert lake.read(S.SILVER.name).count() == 2
     with pytest.raises(DuplicateKeyError):
-        L.build_silver(lake, params(1))
+        L.build_silver(lake, params(1), Staging(spark))
+
+
+def test_a_run_leaves_no_staging_behind(spark, lake, root, raw_listing, tmp_path):
+    saved = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
+    try:
+        L.run(lake, pages(spark, vivareal=[[item(raw_listing, "a")]]), root, params(1))
+    finally:
+        if saved:
+            spark.conf.set("spark.checkpoint.dir", saved)
+        else:
+            spark.conf.unset("spark.checkpoint.dir")
+    assert list((tmp_path / "shared").iterdir()) == []
 
 
 def test_dry_runs_write_nothing(spark, lake, root, raw_listing):
     landed = pages(spark, vivareal=[[item(raw_listing, "a")]])
-    rows = L.land_snapshots(landed, root, params(1, write_snapshots=False))
+    rows = L.land_snapshots(landed, root, params(1, write_snapshots=False), Staging(spark))
     assert rows.count() == 1
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         N.scan_snapshot_table(spark, root).count()
-    L.land_snapshots(landed, root, params(1))
-    would = L.load_bronze(lake, N.scan_snapshot_table(spark, root), "2026-01-01", "v", write=False)
+    L.land_snapshots(landed, root, params(1), Staging(spark))
+    would = L.load_bronze(lake, N.scan_snapshot_table(spark, root), params(1, write_bronze=False), Staging(spark))
     assert would.count() == 1 and not lake.exists(L.BRONZE_TABLE)
 
 
 def test_page_bounds_and_scope(spark, lake, root, raw_listing):
     landed = pages(spark, vivareal=[[item(raw_listing, c)] for c in "abcd"], zapimoveis=[[item(raw_listing, "z")]])
-    rows = L.land_snapshots(landed, root, params(1, start_page=2, max_page=3, sites=("vivareal",)))
+    rows = L.land_snapshots(landed, root, params(1, start_page=2, max_page=3, sites=("vivareal",)), Staging(spark))
     assert sorted((r.site, r.page) for r in rows.collect()) == [("vivareal", 2), ("vivareal", 3)]
 
 
@@ -149,11 +163,11 @@ def test_backfill_of_an_old_date_leaves_the_dimensions(spark, lake, root, raw_li
 def test_stream_loads_each_snapshot_once(spark, lake, root, raw_listing, tmp_path):
     checkpoint = str(tmp_path / "checkpoint")
     follow = lambda: follow_snapshots(lake, root, params(1), checkpoint).awaitTermination(120)
-    L.land_snapshots(pages(spark, vivareal=[[item(raw_listing, "a")], [item(raw_listing, "b")]]), root, params(1))
+    L.land_snapshots(pages(spark, vivareal=[[item(raw_listing, "a")], [item(raw_listing, "b")]]), root, params(1), Staging(spark))
     follow()
     assert lake.read(L.BRONZE_TABLE).count() == 2
     follow()
-    L.land_snapshots(pages(spark, vivareal=[[item(raw_listing, "c")]]), root, params(2))
+    L.land_snapshots(pages(spark, vivareal=[[item(raw_listing, "c")]]), root, params(2), Staging(spark))
     follow()
     loaded = lake.read(L.BRONZE_TABLE).groupBy(F.dayofmonth(S.BRONZE_PARTITION).alias("d")).count()
     assert {r.d: r["count"] for r in loaded.collect()} == {1: 2, 2: 1}
