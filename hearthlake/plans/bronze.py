@@ -159,14 +159,17 @@ def raw_bronze_rows(snapshots: DataFrame, chosen: DataFrame, run_ts: datetime |
     return flatten_listings(parse_snapshot_json(wanted), run_ts, version)
 
 
+#: What the table takes: a listing id, and a run time read from the path.
+_LOADABLE = "LISTING_ID IS NOT NULL AND SRC_EXECUTED_AT_TS IS NOT NULL"
+
+
 def bronze_rows(snapshots: DataFrame, chosen: DataFrame, run_ts: datetime | str, version: str) -> DataFrame:
-    """The rows the table takes: LISTING_ID is not nullable."""
-    return raw_bronze_rows(snapshots, chosen, run_ts, version).where(F.col("LISTING_ID").isNotNull())
+    return raw_bronze_rows(snapshots, chosen, run_ts, version).where(_LOADABLE)
 
 
 def rejected_rows(snapshots: DataFrame, chosen: DataFrame, run_ts: datetime | str, version: str) -> DataFrame:
-    """The rows it does not take, for a quarantine."""
-    return raw_bronze_rows(snapshots, chosen, run_ts, version).where(F.col("LISTING_ID").isNull())
+    """The rows the table does not take, for a quarantine."""
+    return raw_bronze_rows(snapshots, chosen, run_ts, version).where(f"NOT ({_LOADABLE})")
 
 
 def with_partition(bronze: DataFrame) -> DataFrame:

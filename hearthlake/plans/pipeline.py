@@ -27,11 +27,14 @@ _BRONZE_CLUSTER = ("SRC_SITE_NAME", "SRC_CITY_NAME", "SRC_PROPERTY_TYPE_CAT", "S
 
 def in_scope(df: DataFrame, params: RunParams) -> DataFrame:
     """Pages or snapshots of the searches this run asks for."""
-    return df.where(
+    wanted = (
         (F.col("city") == params.city)
         & F.col("site").isin(*params.sites)
         & F.col("property_type").isin(*params.property_types)
     )
+    if "environment" in df.columns:
+        wanted &= F.col("environment") == params.environment
+    return df.where(wanted)
 
 
 def land_snapshots(pages: DataFrame, root: str, params: RunParams, stage: Staging) -> DataFrame:
@@ -119,9 +122,8 @@ def build_dimensions(lake: Lake, params: RunParams, stage: Staging) -> None:
         if target is None:
             rows = dim.full(lake.read(name), params.run_ts)
         else:
+            # No date at all has any: the latest scrape is empty and every key vanished.
             newest = latest_date_with(lake, name, partition, dim.counts or "true")
-            if newest is None:
-                continue
             latest = stage.keep(dim.rows_of(lake.read(name, partition, newest)), dim.spec.name)
             source = require_mergeable(target, latest, dim.spec.keys)
             rows = dim.next_version(source, target, params.run_ts)
@@ -133,7 +135,33 @@ def build_fact(lake: Lake, params: RunParams, stage: Staging) -> None:
     upsert_date(lake, fact_listings(silver, params.run_ts), S.FACT, params.file_date, stage)
 
 
-def run(lake: Lake, pages: DataFrame | None, snapshot_root: str, params: RunParams) -> None:
+def load_landed(lake: Lake, root: str, params: RunParams, stage: Staging, layout: str = "table") -> DataFrame:
+    """Bronze load of one date from either snapshot layout.
+
+    ``files``: one JSON file per page and run, below the folders of the searches
+    asked for; paths are listed without opening files. ``table``: as written by
+    ``land_snapshots``.
+    """
+    spark, day = lake.spark, params.file_date
+    if layout == "table":
+        snapshots = in_scope(snapshot_source.scan_snapshot_table(spark, root, day), params)
+        return load_bronze(lake, snapshots, params, stage, file_date=day)
+    folders = snapshot_source.search_folders(
+        spark, root, params.environment, params.city, params.sites, params.property_types
+    )
+    if not folders:
+        return spark.createDataFrame([], S.BRONZE)
+    snapshots = snapshot_source.scan_snapshots(spark, folders, day)
+    paths = snapshot_source.list_snapshots(spark, folders, day)
+    return load_bronze(lake, snapshots, params, stage, paths, day)
+
+
+def build_gold(lake: Lake, params: RunParams, stage: Staging) -> None:
+    build_dimensions(lake, params, stage)
+    build_fact(lake, params, stage)
+
+
+def run(lake: Lake, pages: DataFrame | None, snapshot_root: str, params: RunParams, layout: str = "table") -> None:
     """All layers for one run. Without ``pages`` it starts from landed snapshots.
 
     Every step can be repeated: snapshots are skipped once loaded, dates are merged
@@ -142,8 +170,21 @@ def run(lake: Lake, pages: DataFrame | None, snapshot_root: str, params: RunPara
     with Staging(lake.spark) as stage:
         if pages is not None:
             land_snapshots(pages, snapshot_root, params, stage)
-        landed = snapshot_source.scan_snapshot_table(lake.spark, snapshot_root, params.file_date)
-        load_bronze(lake, in_scope(landed, params), params, stage, file_date=params.file_date)
+        load_landed(lake, snapshot_root, params, stage, layout)
         build_silver(lake, params, stage)
-        build_dimensions(lake, params, stage)
-        build_fact(lake, params, stage)
+        build_gold(lake, params, stage)
+
+
+def open_views(lake: Lake) -> list[str]:
+    """Make the lake's tables readable by name in SQL; returns the names."""
+    names = []
+    for name in (BRONZE_TABLE, S.SILVER.name, S.FACT.name):
+        if lake.exists(name):
+            lake.read(name).createOrReplaceTempView(name)
+            names.append(name)
+    for dim in ALL:
+        current = lake.current(dim.spec.name)
+        if current is not None:
+            current.createOrReplaceTempView(dim.spec.name)
+            names.append(dim.spec.name)
+    return names

@@ -11,6 +11,7 @@ Two layouts hold the same thing and scan to the same columns
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from hearthlake.functions import member, parse_stem_ts
 from hearthlake.operators.extract import OK
 from hearthlake.operators.scd import as_ts
-from hearthlake.sources.tables import clustered
+from hearthlake.sources.tables import clustered, path_exists
 
 TABLE_COLUMNS = "file_date date, site string, city string, property_type string, page bigint, blob string, payload string"
 _CLUSTER = ("site", "city", "property_type", "page")
@@ -43,7 +44,15 @@ def path_lineage(df: DataFrame, blob: str = "blob") -> DataFrame:
     ).withColumn("file_date", F.to_date("executed_at"))
 
 
-def _files(spark: SparkSession, root: str, fmt: str, file_date: date | str | None, extension: str) -> DataFrame:
+def search_folders(
+    spark: SparkSession, root: str, environment: str, city: str, sites: Sequence[str], property_types: Sequence[str]
+) -> list[str]:
+    """Folders of the landed layout that these searches have."""
+    wanted = [f"{root}/{environment}/{site}/{city}/{kind}" for site in sites for kind in property_types]
+    return [folder for folder in wanted if path_exists(spark, folder)]
+
+
+def _files(spark: SparkSession, root: str | list[str], fmt: str, file_date: date | str | None, extension: str) -> DataFrame:
     stem = f"{file_date}T*" if file_date else "*"
     reader = spark.read.format(fmt).option("recursiveFileLookup", True).option("pathGlobFilter", f"{stem}.{extension}")
     return (reader.option("wholetext", True) if fmt == "text" else reader).load(root)
@@ -55,7 +64,7 @@ def _blob() -> Column:
 
 
 def list_snapshots(
-    spark: SparkSession, root: str, file_date: date | str | None = None, extension: str = "json"
+    spark: SparkSession, root: str | list[str], file_date: date | str | None = None, extension: str = "json"
 ) -> DataFrame:
     """Snapshot files without their content (no file is opened)."""
     files = _files(spark, root, "binaryFile", file_date, extension)
@@ -63,7 +72,7 @@ def list_snapshots(
 
 
 def scan_snapshots(
-    spark: SparkSession, root: str, file_date: date | str | None = None, extension: str = "json"
+    spark: SparkSession, root: str | list[str], file_date: date | str | None = None, extension: str = "json"
 ) -> DataFrame:
     """Snapshot files with their content, those of one date if given."""
     files = _files(spark, root, "text", file_date, extension)

@@ -27,6 +27,16 @@ def clustered(df: DataFrame, partition: str, cluster: Sequence[str]) -> DataFram
     return df.hint("rebalance", *layout).sortWithinPartitions(*layout)
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.exists(hadoop_path)
+
+
 class Lake:
     """The tables of one environment below a root folder."""
 
@@ -38,18 +48,12 @@ class Lake:
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
-    def _fs(self, path: str):
-        jvm = self.spark._jvm
-        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
-
     def _children(self, path: str) -> list[str]:
-        fs, hadoop_path = self._fs(path)
+        fs, hadoop_path = _file_system(self.spark, path)
         return [s.getPath().getName() for s in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
 
     def _finished(self, path: str) -> bool:
-        fs, hadoop_path = self._fs(f"{path}/_SUCCESS")
-        return fs.exists(hadoop_path)
+        return path_exists(self.spark, f"{path}/_SUCCESS")
 
     # -- schema ------------------------------------------------------------
     def _remember_schema(self, df: DataFrame, name: str) -> None:
@@ -59,13 +63,13 @@ class Lake:
         text = df.schema.json()
         if self._schema_text(name) == text:
             return
-        fs, hadoop_path = self._fs(f"{self.path(name)}/{_SCHEMA_FILE}")
+        fs, hadoop_path = _file_system(self.spark, f"{self.path(name)}/{_SCHEMA_FILE}")
         out = fs.create(hadoop_path, True)
         out.write(bytearray(text, "utf-8"))
         out.close()
 
     def _schema_text(self, name: str) -> str | None:
-        fs, hadoop_path = self._fs(f"{self.path(name)}/{_SCHEMA_FILE}")
+        fs, hadoop_path = _file_system(self.spark, f"{self.path(name)}/{_SCHEMA_FILE}")
         if not fs.exists(hadoop_path):
             return None
         stream = fs.open(hadoop_path)
@@ -135,7 +139,7 @@ class Lake:
         ordered = df.sortWithinPartitions(*cluster) if cluster else df
         ordered.write.mode("overwrite").parquet(f"{path}/v{number:08d}")
         for old in self.versions(name)[:-keep]:
-            fs, hadoop_path = self._fs(f"{path}/{old}")
+            fs, hadoop_path = _file_system(self.spark, f"{path}/{old}")
             fs.delete(hadoop_path, True)
 
 

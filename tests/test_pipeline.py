@@ -1,6 +1,9 @@
 """All layers, run after run."""
 
+import json
+import os
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,17 +125,18 @@ def test_one_listing_at_two_prices(spark, lake, root, raw_listing):
         L.build_silver(lake, params(1), Staging(spark))
 
 
-def test_a_run_leaves_no_staging_behind(spark, lake, root, raw_listing, tmp_path):
-    saved = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
-    try:
-        L.run(lake, pages(spark, vivareal=[[item(raw_listing, "a")]]), root, params(1))
-    finally:
-        if saved:
-            spark.conf.set("spark.checkpoint.dir", saved)
-        else:
-            spark.conf.unset("spark.checkpoint.dir")
-    assert list((tmp_path / "shared").iterdir()) == []
+def test_a_run_leaves_no_staging_behind(spark, lake, root, raw_listing, monkeypatch):
+    stages = []
+
+    class Recorded(Staging):
+        def __exit__(self, *error):
+            stages.append((self.root, os.path.isdir(self.root)))
+            super().__exit__(*error)
+
+    monkeypatch.setattr(L, "Staging", Recorded)
+    L.run(lake, pages(spark, vivareal=[[item(raw_listing, "a")]]), root, params(1))
+    ((folder, was_used),) = stages
+    assert was_used and not os.path.exists(folder)
 
 
 def test_dry_runs_write_nothing(spark, lake, root, raw_listing):
@@ -146,6 +150,70 @@ def test_dry_runs_write_nothing(spark, lake, root, raw_listing):
     assert would.count() == 1 and not lake.exists(L.BRONZE_TABLE)
 
 
+def test_landed_files(spark, lake, root, raw_listing):
+    for path, listing in [
+        ("dev/vivareal/macae/apartment/1/2026-01-01T00:00:00Z", item(raw_listing, "a")),
+        ("dev/vivareal/macae/apartment/2/2026-01-01T00:00:00Z", item(raw_listing, "b")),
+        ("dev/vivareal/macae/apartment/3/2026-01-01Tlate", item(raw_listing, "no run time")),
+        ("dev/vivareal/macae/house/2/2026-01-01T00:00:00Z", item(raw_listing, "behind a gap")),
+        ("dev/zapimoveis/macae/house/1/2026-01-02T00:00:00Z", item(raw_listing, "other day")),
+        ("prod/vivareal/macae/apartment/1/2026-01-01T00:00:00Z", item(raw_listing, "other environment")),
+    ]:
+        file = Path(root, path + ".json")
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text(json.dumps({listing["@id"]: listing}))
+    for _ in range(2):
+        L.run(lake, None, root, params(1), layout="files")
+        assert sorted(r.LISTING_ID for r in lake.read(L.BRONZE_TABLE).collect()) == ["a", "b"]
+    assert flags(lake) == {"a": True, "b": True}
+    with Staging(spark) as stage:
+        assert L.load_landed(lake, root, params(1, environment="test"), stage, "files").count() == 0
+
+
+def test_other_environments_stay_apart(spark, lake, root, raw_listing):
+    landed = pages(spark, vivareal=[[item(raw_listing, "a")]])
+    L.land_snapshots(landed, root, params(1, environment="prod"), Staging(spark))
+    L.land_snapshots(pages(spark, vivareal=[[item(raw_listing, "b")]]), root, params(1), Staging(spark))
+    L.run(lake, None, root, params(1))
+    assert [r.LISTING_ID for r in lake.read(L.BRONZE_TABLE).collect()] == ["b"]
+
+
+def test_amenities_that_all_vanish_are_deactivated(spark, lake, root, raw_listing):
+    L.run(lake, pages(spark, vivareal=[[item(raw_listing, "a")]]), root, params(1))
+    bare = item(raw_listing, "a", amenityFeature=[])
+    L.run(lake, pages(spark, vivareal=[[bare]]), root, params(1, run_ts=datetime(2026, 1, 1, 9)))
+    assert [r.IN_LAST_SCRAPE_FLAG for r in lake.current(S.DIM_AMENITIES.name).collect()] == [False]
+
+
+def test_tables_are_open_to_sql(spark, lake, root, raw_listing):
+    L.run(lake, pages(spark, vivareal=[[item(raw_listing, "a")]]), root, params(1))
+    assert len(L.open_views(lake)) == 7
+    row = spark.sql(
+        """SELECT l.LISTING_NAME, a.STREET_ADDRESS, f.PRICE_BRL
+           FROM gold_fact_listings_scrapes f JOIN gold_dim_listings l USING (LISTING_ID)
+           JOIN gold_dim_address a USING (ADDRESS_SK)"""
+    ).first()
+    assert tuple(row) == ("Sunny-Flat", "Rua a", 2000.0)
+
+
+def test_jobs_by_layer(spark, tmp_path, raw_listing, monkeypatch):
+    from hearthlake import __main__ as jobs
+
+    landed = pages(spark, vivareal=[[item(raw_listing, "a")]]).withColumn("page_id", F.lit(1))
+    landed.write.parquet(str(tmp_path / "pages"))
+    for key, value in {
+        "ENVIRONMENT": "dev", "CITY": "macae", "SITES": "vivareal", "PROPERTY_TYPES": "apartment",
+        "START_PAGE": "1", "MAX_PAGE": "0",
+    }.items():
+        monkeypatch.setenv(key, value)
+    monkeypatch.delenv("FILE_DATE", raising=False)
+    places = ["--lake", str(tmp_path / "lake"), "--snapshots", str(tmp_path / "snapshots")]
+    jobs.main(["snapshots", *places, "--pages", str(tmp_path / "pages")])
+    for job in ("bronze", "silver", "gold"):
+        jobs.main([job, *places])
+    assert Lake(spark, str(tmp_path / "lake"), "dev").read(S.FACT.name).count() == 1
+
+
 def test_page_bounds_and_scope(spark, lake, root, raw_listing):
     landed = pages(spark, vivareal=[[item(raw_listing, c)] for c in "abcd"], zapimoveis=[[item(raw_listing, "z")]])
     rows = L.land_snapshots(landed, root, params(1, start_page=2, max_page=3, sites=("vivareal",)), Staging(spark))
