@@ -557,10 +557,10 @@ def _(spark, sf):
 
 _TREND_SQL = """
 SELECT city AS "CITY", kind AS "PROPERTY_TYPE", CAST(d AS VARCHAR) AS "SCRAPE_DATE", count(*) AS "LISTINGS",
-  round(CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(*), 4) AS "AVG_PRICE_BRL",
+  CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS "AVG_PRICE_BRL",
   min(price) AS "MIN_PRICE_BRL", max(price) AS "MAX_PRICE_BRL",
-  round(CAST(sum(CAST(condo_fee AS DECIMAL(18,2))) AS DOUBLE) / count(*), 4) AS "AVG_CONDO_FEE_BRL",
-  round(CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / CAST(sum(CAST(size AS DECIMAL(18,2))) AS DOUBLE), 4) AS "PRICE_PER_M2_BRL"
+  CAST(sum(CAST(condo_fee AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS "AVG_CONDO_FEE_BRL",
+  CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / CAST(sum(CAST(size AS DECIMAL(18,2))) AS DOUBLE) AS "PRICE_PER_M2_BRL"
 FROM fact GROUP BY city, kind, d"""
 
 

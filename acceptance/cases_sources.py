@@ -295,7 +295,8 @@ SELECT * FROM searched s WHERE status = 'ok' AND page = (
     Q.query("SELECT page_id, site, city, property_type, page FROM kept_pages", "kept_pages"),
 )
 def _(spark, sf):
-    pages = url_lineage(E.extract_pages(X.listing_pages(spark, sf)))
+    # The extraction is kept, as in the pipeline: the rule reads it twice.
+    pages = Staging(spark).keep(url_lineage(E.extract_pages(X.listing_pages(spark, sf))), "extracted")
     return P.stop_at_first_empty_page(pages).select("page_id", "site", "city", "property_type", "page")
 
 
@@ -319,6 +320,7 @@ FROM kept_pages k JOIN bronze b ON b.uid = k.page_id AND b.block = k.block""",
 )
 def _(spark, sf):
     pages = url_lineage(E.keep_last_per_id(E.extract_pages(X.listing_pages(spark, sf))))
+    pages = Staging(spark).keep(pages, "extracted")
     root = work_dir(spark, "snapshots")
     N.write_snapshots(N.snapshot_rows(P.stop_at_first_empty_page(pages), "dev", X.RUN_TS), root)
     rows = N.parse_snapshot_json(N.scan_snapshot_table(spark, root, "2026-01-01"))

@@ -1,10 +1,11 @@
-"""Run cases in Spark and their SQL in DuckDB and compare the rows."""
+"""Compare the rows of a case with those of its SQL in DuckDB."""
 
 from __future__ import annotations
 
 import duckdb
+from pyspark.sql import DataFrame
 
-from acceptance.registry import ORACLES, QUERIES
+from acceptance.registry import ORACLES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -23,9 +24,8 @@ def _sorted_rows(columns: list[str], rows) -> list[tuple]:
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
-def differences(spark, con: duckdb.DuckDBPyConnection, sf_dir: str, name: str) -> tuple[int, list[str]]:
+def differences(con: duckdb.DuckDBPyConnection, name: str, df: DataFrame) -> tuple[int, list[str]]:
     """(rows, what differs). No differences: same columns and equal values."""
-    df = QUERIES[name](spark, sf_dir)
     got = _sorted_rows(df.columns, [tuple(r) for r in df.collect()])
     cursor = con.execute(ORACLES[name])
     columns = [c[0] for c in cursor.description]

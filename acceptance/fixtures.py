@@ -138,6 +138,16 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, build, spec_cluster: tu
     return _STORED[key].read(name)
 
 
+def _published(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """The same for a table without a date partition."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        lake = Lake(spark, work_dir(spark, name), "dev")
+        lake.publish(build(), name)
+        _STORED[key] = lake
+    return _STORED[key].current(name)
+
+
 def stored_bronze(spark: SparkSession, sf_dir: str, unique: bool = False) -> DataFrame:
     build = lambda: with_partition(bronze(spark, sf_dir, unique))
     cluster = ("SRC_SITE_NAME", "SRC_CITY_NAME", "SRC_PROPERTY_TYPE_CAT", "SRC_PAGE_NUM")
@@ -182,6 +192,10 @@ ITEM = """named_struct(
 
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published(spark, sf_dir, "raw_listings", lambda: build_raw_listings(spark, sf_dir))
+
+
+def build_raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw listing (VARIANT) per event, with the path columns of its snapshot."""
     item = ITEM.format(id="CAST(eid AS string)")
     return raw_events(spark, sf_dir).selectExpr(
@@ -198,6 +212,10 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published(spark, sf_dir, "snapshots", lambda: build_snapshot_payloads(spark, sf_dir))
+
+
+def build_snapshot_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the snapshot table: the events of one search page and date as one
     JSON object (at most BLOCK of them)."""
     item = ITEM.format(id="CAST(eid AS string)")
@@ -211,6 +229,12 @@ def snapshot_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing_pages(spark: SparkSession, sf_dir: str, repeat_ids: bool = False) -> DataFrame:
+    """Landed pages, stored once per session and scale."""
+    name = f"landed_pages{'_repeated' * repeat_ids}"
+    return _published(spark, sf_dir, name, lambda: build_listing_pages(spark, sf_dir, repeat_ids))
+
+
+def build_listing_pages(spark: SparkSession, sf_dir: str, repeat_ids: bool) -> DataFrame:
     """Landed pages with JSON-LD spliced in: page ``n`` lists the events of user
     ``n``, one landed page per block of event ids.
 

@@ -73,14 +73,15 @@ def amenity_bridge(fact: DataFrame, amenities: DataFrame) -> DataFrame:
 
 
 def price_trend(fact: DataFrame) -> DataFrame:
-    """Rent level per city, property type and date. Money is summed as decimals, so
-    the result does not depend on the order of the rows."""
-    money = lambda c: F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
+    """Rent level per city, property type and date. Sums are decimal, so the result
+    does not depend on the order of the rows. A floor size of zero overall has no
+    price per square metre."""
+    money = lambda c: F.sum(F.col(c).cast("decimal(38,2)")).cast("double")
     return fact.groupBy("CITY", "PROPERTY_TYPE", "SCRAPE_DATE").agg(
         F.count("*").alias("LISTINGS"),
-        F.round(money("PRICE_BRL") / F.count("*"), 4).alias("AVG_PRICE_BRL"),
+        (money("PRICE_BRL") / F.count("*")).alias("AVG_PRICE_BRL"),
         F.min("PRICE_BRL").alias("MIN_PRICE_BRL"),
         F.max("PRICE_BRL").alias("MAX_PRICE_BRL"),
-        F.round(money("CONDO_FEE_BRL") / F.count("*"), 4).alias("AVG_CONDO_FEE_BRL"),
-        F.round(money("PRICE_BRL") / money("FLOOR_SIZE_M2"), 4).alias("PRICE_PER_M2_BRL"),
+        (money("CONDO_FEE_BRL") / F.count("*")).alias("AVG_CONDO_FEE_BRL"),
+        F.try_divide(money("PRICE_BRL"), money("FLOOR_SIZE_M2")).alias("PRICE_PER_M2_BRL"),
     )
