@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthlake.llm import mixing
+from hearthlake.llm import decontam, mixing, token_ids, toxicity, warc
 from hearthlake.llm.registry import ORACLES, QUERIES, query, table
 from hearthlake.session import Staging
 
@@ -14,3 +14,25 @@ __all__ = ["ORACLES", "QUERIES"]
 @query("op8_source_mix", mixing.SQL)
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(Staging(spark), table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
+@query("op2_warc", warc.SQL)
+def warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(Staging(spark), table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@query("op3_decontamination", decontam.SQL)
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
+    return decontam.contamination(Staging(spark), documents, benchmark)
+
+
+@query("op4_token_ids")
+def token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_ids.token_output(Staging(spark), table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op10_toxicity")
+def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic")
+    return toxicity.toxicity(documents, labels)
