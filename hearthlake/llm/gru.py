@@ -1,7 +1,8 @@
 """A bidirectional gated recurrent network with attention pooling, in numpy.
 
-A word's input is a hashed word vector plus the mean of its hashed character n-grams, so an
-unseen word is read by its letters. All arrays are feature-major, (features, windows).
+A word's input is a hashed word vector plus the sum of its hashed character n-gram vectors
+over the root of their number, so an unseen word is read by its letters. These vectors are
+set before training and stay; the network's own weights are trained. All arrays are feature-major, (features, windows).
 Word number 0 is the pad: its input is 0 and attention never looks at it.
 """
 
@@ -65,7 +66,7 @@ class Network:
     def new(cls, seed: int) -> Network:
         rng = np.random.default_rng(seed)
         normal = lambda *shape, scale: (rng.standard_normal(shape) * scale).astype(np.float32)
-        p = {"word": normal(WORD_SLOTS, INPUT, scale=0.1), "gram": normal(GRAM_SLOTS, INPUT, scale=0.1)}
+        p = {"word": np.zeros((WORD_SLOTS, INPUT), np.float32), "gram": normal(GRAM_SLOTS, INPUT, scale=0.1)}
         for side in "fb":
             p[f"in_{side}"] = normal(INPUT, 3 * HIDDEN, scale=0.5)
             p[f"own_{side}"] = normal(3 * HIDDEN, HIDDEN, scale=0.3)
@@ -79,7 +80,7 @@ class Network:
         some = counts > 0
         if some.any():
             sums = np.add.reduceat(self.p["gram"][table.gram], table.first[:-1][some], axis=0)
-            x[some] += 2 * sums / np.sqrt(counts[some])[:, None]
+            x[some] += sums / np.sqrt(counts[some])[:, None]
         return x
 
     def projected(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,44 +116,34 @@ class Network:
         said = np.einsum("h,thb->tb", out[:HIDDEN], f) + np.einsum("h,thb->tb", out[HIDDEN:], b)
         return (weight * said).sum(axis=0) + self.p["level"][0], weight, said
 
-    def gradients(self, table: WordTable, places: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Weighted logistic loss of the windows and its gradient."""
-        x = self.inputs(table)
-        x = np.concatenate([np.zeros((1, INPUT), np.float32), x])
+    def gradients(self, x: np.ndarray, places: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> dict[str, np.ndarray]:
+        """Gradient of the windows' weighted logistic loss; ``x`` has the words' inputs, the pad's first."""
         projected = self.projected(x)
         kept = {"f": [], "b": []}
         h = {s: self.run(projected[i], places, s, kept[s]) for i, s in enumerate("fb")}
         logit, weight, said = self._pool(h["f"], h["b"], places)
-        total = weights.sum()
-        loss = float((weights * (np.logaddexp(0, logit) - labels * logit)).sum() / total)
-        back = (weights * (_sigmoid(logit) - labels) / total).astype(np.float32)
+        back = (weights * (_sigmoid(logit) - labels) / weights.sum()).astype(np.float32)
         pooled = logit - self.p["level"][0]
         d_said, d_seen = weight * back, weight * (said - pooled) * back
         g = {"level": np.array([back.sum()], np.float32)}
         g["out"] = np.concatenate([np.einsum("tb,thb->h", d_said, h[s]) for s in "fb"])
         g["look"] = np.concatenate([np.einsum("tb,thb->h", d_seen, h[s]) for s in "fb"])
-        dx = np.zeros_like(x)
         for i, s in enumerate("fb"):
             part = slice(i * HIDDEN, (i + 1) * HIDDEN)
-            own, d_own = self.p[f"own_{s}"], np.zeros_like(self.p[f"own_{s}"])
-            d_proj = np.zeros_like(projected[i])
+            own = self.p[f"own_{s}"]
+            d_own, d_in, d_bias = np.zeros_like(own), np.zeros_like(self.p[f"in_{s}"]), np.zeros_like(self.p[f"bias_{s}"])
             carry = np.zeros((HIDDEN, places.shape[1]), np.float32)
             for t, before, z, r, n, un in reversed(kept[s]):
                 dh = carry + np.outer(self.p["out"][part], d_said[t]) + np.outer(self.p["look"][part], d_seen[t])
                 dz, dn = dh * (before - n) * z * (1 - z), dh * (1 - z) * (1 - n * n)
                 du = np.concatenate([dz, dn * un * r * (1 - r), dn * r])
+                d_gate = np.concatenate([du[: 2 * HIDDEN], dn])
                 d_own += du @ before.T
+                d_in += x[places[t]].T @ d_gate.T
+                d_bias += d_gate.sum(axis=1)
                 carry = dh * z + own.T @ du
-                np.add.at(d_proj, places[t], np.concatenate([du[: 2 * HIDDEN], dn]).T)
-            d_proj[0] = 0  # the pad has no input
-            g[f"own_{s}"], g[f"in_{s}"], g[f"bias_{s}"] = d_own, x.T @ d_proj, d_proj.sum(axis=0)
-            dx += d_proj @ self.p[f"in_{s}"].T
-        dx = dx[1:]
-        g["word"], g["gram"] = np.zeros_like(self.p["word"]), np.zeros_like(self.p["gram"])
-        np.add.at(g["word"], table.word, dx)
-        counts = table.counts()
-        np.add.at(g["gram"], table.gram, np.repeat(2 * dx / np.sqrt(np.maximum(counts, 1))[:, None], counts, axis=0))
-        return loss, g
+            g[f"own_{s}"], g[f"in_{s}"], g[f"bias_{s}"] = d_own, d_in, d_bias
+        return g
 
 
 class Adam:

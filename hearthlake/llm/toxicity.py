@@ -5,24 +5,30 @@ A document's score is that of its worst window, calibrated on labelled documents
 
 from __future__ import annotations
 
+from collections import defaultdict
 from dataclasses import dataclass
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthlake.llm.gru import Adam, Network, WordTable
+from hearthlake.llm.gru import INPUT, Adam, Network, WordTable
 from hearthlake.llm.words import alnum_words
 
 WINDOW, STRIDE = 48, 24
 #: Labelled documents used for training, per class, in an order that a hash of the id
 #: fixes, and the longest text used.
-SAMPLE, LONGEST = 2500, 60_000
+SAMPLE, LONGEST = 1500, 12_000
+#: Rounds go on until the network has been updated so often, so a small sample is seen more often.
+UPDATES = 100
 #: Every so many-th labelled document is kept from training to calibrate scores.
 CALIBRATION = 5
 HELD_OUT = 5
-ROUNDS, BATCH, RATE, SEED = 6, 1024, 0.02, 20_260_101
+ROUNDS, BATCH, RATE, SEED = 5, 256, 0.01, 20_260_101
+#: z values up to this are taken as chance.
+BY_CHANCE = 4.0
 #: Windows scored together; words whose inputs a worker keeps.
 WINDOWS_TOGETHER, WORDS_KEPT = 4096, 1 << 18
 
@@ -36,39 +42,29 @@ def window_starts(words: int) -> np.ndarray:
 
 
 class Numbers:
-    """Numbers for words, from 1 on; ``table`` describes those met since the last call."""
+    """Numbers for words, from 1 on, in the order in which they are met."""
 
     def __init__(self):
-        self.of: dict[bytes, int] = {}
+        self.of: dict[bytes, int] = defaultdict(count(1).__next__)
 
     def places(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """(places (WINDOW, windows), document of each window, words not met before)."""
-        of, seen = self.of, len(self.of)
+        number, seen = self.of.__getitem__, len(self.of)
         ids, starts, docs, at = [], [], [], 0
         for d, text in enumerate(texts):
             words = alnum_words(text)
-            known = np.fromiter([of.setdefault(w, len(of) + 1) for w in words], np.int64, len(words))
+            known = np.fromiter(map(number, words), np.int32, len(words))
             own = window_starts(len(words))
             starts.append(own + at)
             docs.append(np.full(len(own), d))
             if 0 < len(words) < WINDOW:
-                known = np.concatenate([known, np.zeros(WINDOW - len(words), np.int64)])
+                known = np.concatenate([known, np.zeros(WINDOW - len(words), np.int32)])
             ids.append(known)
             at += len(known)
-        all_ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+        all_ids = np.concatenate(ids) if ids else np.zeros(0, np.int32)
         start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-        places = all_ids[start[None, :] + np.arange(WINDOW)[:, None]] if len(start) else np.zeros((WINDOW, 0), np.int64)
-        new = list(of)[seen:] if not seen else _tail(of, seen)
-        return places, np.concatenate(docs) if docs else start, new
-
-
-def _tail(of: dict[bytes, int], seen: int) -> list[bytes]:
-    out = []
-    for word in reversed(of):
-        if len(out) == len(of) - seen:
-            break
-        out.append(word)
-    return out[::-1]
+        places = all_ids[start[None, :] + np.arange(WINDOW)[:, None]] if len(start) else np.zeros((WINDOW, 0), np.int32)
+        return places, np.concatenate(docs) if docs else start, list(islice(self.of, seen, None))
 
 
 @dataclass
@@ -135,11 +131,24 @@ def calibrate(logits: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tu
     return max(a, 1e-3), b
 
 
+def associations(slots: np.ndarray, docs: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
+    """For each slot, how surely it goes with class 1: the z value of its share of documents, beyond what chance gives."""
+    pairs = np.unique(docs.astype(np.int64) * size + slots)
+    doc, slot = pairs // size, pairs % size
+    ones, zeros = np.bincount(slot[y[doc] == 1], minlength=size), np.bincount(slot[y[doc] == 0], minlength=size)
+    n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
+    share = (ones + zeros + 1) / (n1 + n0 + 2)
+    z = (ones / n1 - zeros / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
+    return (np.sign(z) * np.clip((np.abs(z) - BY_CHANCE) / BY_CHANCE, 0, 3)).astype(np.float32)
+
+
 def train(texts: list[str], labels: list[int], shares: tuple[float, float]) -> Scorer | None:
     """A scorer for the labelled texts, or None if one class is missing.
 
-    First all windows of a document get its label; from then on each round trains the
-    window that scores highest in its document, and another by chance for the others.
+    The first two input features are a word's and its n-grams' association with the label; the
+    others tell n-grams apart.
+    Each round trains one window of every document, the one that scores highest (at first by
+    association), and for class 0 another by chance.
     ``shares``: weight of a document of either class that restores its true share.
     """
     y = np.array(labels, np.float32)
@@ -151,32 +160,35 @@ def train(texts: list[str], labels: list[int], shares: tuple[float, float]) -> S
     table = WordTable.of(words)
     calibration = (np.arange(len(texts)) % CALIBRATION == 0) if len(texts) >= 10 * CALIBRATION else np.zeros(len(texts), bool)
     learn = np.flatnonzero(~calibration[docs])
-    for round_ in range(ROUNDS):
-        shuffled = rng.permutation(learn)
+    word, doc = places[:, learn].ravel(), np.tile(docs[learn], WINDOW)
+    word, doc = word[word > 0] - 1, doc[word > 0]
+    seen = np.unique(doc.astype(np.int64) * len(words) + word)
+    word, doc = seen % len(words), seen // len(words)
+    grams = table.counts()[word]
+    gram = table.gram[np.repeat(table.first[word] - np.cumsum(grams) + grams, grams) + np.arange(grams.sum())]
+    network.p["word"][:, 0] = associations(table.word[word], doc, y, len(network.p["word"]))
+    network.p["gram"][:, :2] = 0
+    network.p["gram"][:, 1] = associations(gram, np.repeat(doc, grams), y, len(network.p["gram"]))
+    x = np.concatenate([np.zeros((1, INPUT), np.float32), network.inputs(table)])
+    logits = x[places[:, learn], :2].sum(axis=2).max(axis=0)
+    round_ = 0
+    while round_ < ROUNDS or adam.step < UPDATES:
+        order = learn[np.lexsort((-logits, docs[learn]))]
+        top = order[np.unique(docs[order], return_index=True)[1]]
+        shuffled = rng.permutation(learn[y[docs[learn]] == 0])
         by_chance = shuffled[np.unique(docs[shuffled], return_index=True)[1]]
-        if round_ == 0:
-            more = rng.permutation(learn)
-            chosen = np.concatenate([by_chance, more[np.unique(docs[more], return_index=True)[1]]])
-            chosen = np.concatenate([chosen, learn[y[docs[learn]] == 1][:: max(1, len(learn) // 40_000)]])
-        else:
-            rows = _rows(network, table)
-            logits = np.concatenate([network.logits(rows, places[:, learn[i : i + WINDOWS_TOGETHER]]) for i in range(0, len(learn), WINDOWS_TOGETHER)])
-            order = learn[np.lexsort((-logits, docs[learn]))]
-            top = order[np.unique(docs[order], return_index=True)[1]]
-            chosen = np.concatenate([top, by_chance[y[docs[by_chance]] == 0]])
-        chosen = rng.permutation(chosen)
+        chosen = rng.permutation(np.concatenate([top, by_chance]))
         classes = y[docs[chosen]]
         balance = np.where(classes == 1, 0.5 / max(1e-9, classes.mean()), 0.5 / max(1e-9, 1 - classes.mean())).astype(np.float32)
         size = min(BATCH, max(32, len(chosen) // 8))
         for i in range(0, len(chosen), size):
             some = chosen[i : i + size]
-            used, local = np.unique(places[:, some], return_inverse=True)
-            local = local.reshape(WINDOW, len(some))
-            if used[0] != 0:
-                used, local = np.concatenate([[0], used]), local + 1
-            _, g = network.gradients(_part(table, used[1:] - 1), local, classes[i : i + size], balance[i : i + size])
-            adam.update(network.p, g)
-        adam.rate *= 0.8
+            adam.update(network.p, network.gradients(x, places[:, some], classes[i : i + size], balance[i : i + size]))
+        adam.rate = RATE * 0.1 ** min(1.0, adam.step / UPDATES)
+        round_ += 1
+        if round_ < ROUNDS or adam.step < UPDATES:
+            rows = network.projected(x)
+            logits = np.concatenate([network.logits(rows, places[:, learn[i : i + WINDOWS_TOGETHER]]) for i in range(0, len(learn), WINDOWS_TOGETHER)])
     prior = shares[1] * y.sum() / (shares[1] * y.sum() + shares[0] * (1 - y).sum())
     scorer = Scorer(network, 1.0, 0.0, float(min(prior, 0.49)))
     held = np.flatnonzero(calibration) if calibration.any() and len(set(y[calibration])) == 2 else np.arange(len(texts))
@@ -185,18 +197,6 @@ def train(texts: list[str], labels: list[int], shares: tuple[float, float]) -> S
     return scorer
 
 
-def _rows(network: Network, table: WordTable) -> tuple[np.ndarray, np.ndarray]:
-    x = network.inputs(table)
-    return network.projected(np.concatenate([np.zeros((1, x.shape[1]), np.float32), x]))
-
-
-def _part(table: WordTable, words: np.ndarray) -> WordTable:
-    counts = table.counts()[words]
-    ends = np.cumsum(counts)
-    at = np.repeat(table.first[words], counts) + np.arange(counts.sum()) - np.repeat(ends - counts, counts)
-    return WordTable(table.word[words], table.gram[at], np.concatenate([[0], ends]))
-
-
 def labelled_sample(documents: DataFrame, labels: DataFrame) -> tuple[list[str], list[int], tuple[float, float]]:
     """Texts and labels to learn from, and the weights of the classes.
 
