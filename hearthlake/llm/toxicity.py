@@ -22,11 +22,11 @@ WINDOW, STRIDE = 48, 24
 #: fixes, and the longest text used.
 SAMPLE, LONGEST = 1500, 12_000
 #: Rounds go on until the network has been updated so often, so a small sample is seen more often.
-UPDATES = 100
+UPDATES = 400
 #: Every so many-th labelled document is kept from training to calibrate scores.
 CALIBRATION = 5
 HELD_OUT = 5
-ROUNDS, BATCH, RATE, SEED = 5, 256, 0.01, 20_260_101
+ROUNDS, BATCH, RATE, SEED = 5, 256, 0.03, 20_260_101
 #: z values up to this are taken as chance.
 BY_CHANCE = 4.0
 #: Windows scored together; words whose inputs a worker keeps.
