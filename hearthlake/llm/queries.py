@@ -4,18 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthlake.llm import decontam, mixing, token_ids, toxicity, warc
+from hearthlake.llm import decontam, jaccard, language, mixing, neighbours, pii, secrets, token_ids, toxicity, warc
 from hearthlake.llm.registry import ORACLES, QUERIES, query, table
 from hearthlake.session import Staging
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query("op5_secrets")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(Staging(spark), table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op6_neighbours")
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(Staging(spark), table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+@query("op7_jaccard_join", jaccard.SQL)
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_documents(Staging(spark), table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op8_source_mix", mixing.SQL)
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(Staging(spark), table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+@query("op1_personal_data")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(Staging(spark), table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op2_warc", warc.SQL)
 def warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(Staging(spark), table(spark, sf_dir, "pages", "page_id", "url", "html"))
@@ -32,6 +52,11 @@ def token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.token_output(Staging(spark), table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query("op9_language")
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 @query("op10_toxicity")
 def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic")
