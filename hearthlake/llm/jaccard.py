@@ -315,13 +315,15 @@ def linked_documents(staging: Staging, documents: DataFrame, n: int = NGRAM, per
 def one_of_each(staging: Staging, documents: DataFrame, n: int = NGRAM, percent: int = PERCENT) -> DataFrame:
     """The documents without near copies, all columns: of each component the smallest doc_id stays.
 
-    Documents with an empty set all stay, as do rows without id. Of rows that repeat the
-    smallest id of their component one stays.
+    Documents with an empty set all stay, as do rows without id. Rows that repeat an id count
+    as one document, of which one row stays.
     """
     linked = linked_documents(staging, documents, n, percent)
-    kept = linked.filter("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias("_kept"), F.col("n_shingles").alias("_n")).distinct()
-    some = documents.join(kept.filter("_kept is not null").select("_kept").distinct(), documents["doc_id"] == F.col("_kept"), "left_semi")
-    single = some.dropDuplicates(["doc_id"])
+    kept = staging.keep(linked.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
+    wanted = kept.select(F.col("doc_id").alias("_kept"))
+    single = documents.join(wanted, documents["doc_id"] == F.col("_kept"), "left_semi")
+    if not kept.filter("rows > 1").isEmpty():
+        single = single.dropDuplicates(["doc_id"])
     return single.unionByName(documents.filter("doc_id is null"))
 
 

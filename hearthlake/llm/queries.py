@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from hearthlake.llm import decontam, jaccard, language, mixing, neighbours, pii, secrets, token_ids, toxicity, warc
 from hearthlake.llm.registry import ORACLES, QUERIES, query, table
 from hearthlake.session import Staging
@@ -61,3 +63,6 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic")
     return toxicity.toxicity(documents, labels)
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
