@@ -9,6 +9,7 @@ import os
 import unicodedata
 import uuid
 import zlib
+from struct import pack
 
 import numpy as np
 import public_tokenizers
@@ -30,7 +31,7 @@ TERMINALS = 49_408
 #: Ids that are compressed together, unless one document has more.
 BLOCK_IDS = 1 << 21
 #: Words whose ids a worker keeps; the store is emptied when full.
-WORDS_KEPT = 1 << 20
+WORDS_KEPT = 1 << 19
 
 
 class WordEncoder:
@@ -44,6 +45,7 @@ class WordEncoder:
 
     # How this tokenizer cuts words, and its byte alphabet.
     PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    MARKS = frozenset(bytes([b]) for b in b".,;:!?")
     PLAIN = regex.compile(r"[\x21-\x7E\xA1-\xAC\xAE-įĲ-ɏ]+")
 
     def __init__(self, name: str = TOKENIZER):
@@ -62,13 +64,19 @@ class WordEncoder:
             if len(self.pieces) >= WORDS_KEPT:
                 self.pieces.clear()
             shown = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
-            ids = self.pieces[piece] = np.array([t.id for t in self.model.tokenize(shown)], "<u2").tobytes()
+            found = [t.id for t in self.model.tokenize(shown)]
+            ids = self.pieces[piece] = pack(f"<{len(found)}H", *found)
         return ids
 
     def _word(self, word: bytes) -> bytes:
+        if word.isalpha():
+            return self._piece(word.decode().lower())
+        if word[:-1].isalpha() and word[-1:] in self.MARKS:
+            return self._piece(word[:-1].decode().lower()) + self._piece(word[-1:].decode())
         text = word.decode("utf-8", "replace")
         if "<|" not in text and self.PLAIN.fullmatch(text) and (text.isascii() or unicodedata.is_normalized("NFC", text)):
-            return b"".join(map(self._piece, self.PIECES.findall(text.lower())))
+            lower = text.lower()
+            return self._piece(lower) if lower.isalpha() else b"".join(map(self._piece, self.PIECES.findall(lower)))
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
     def __call__(self, text: str | None) -> bytes:
