@@ -8,7 +8,9 @@ only groups for which some set passes this bound are opened and their sets compa
 Which groups meet at all follows from prefixes: with all tokens in one order, two sets that
 are alike share a token among the first few of both. The order is by frequency (rarest
 first), so that passages that many documents share come last. Any order gives all links; the
-frequencies are counted for all tokens in a table of fixed size.
+frequencies are counted for all tokens in a table of fixed size. Prefixes are a few tokens
+longer than one shared token asks for, so that two sets alike share not one but ``SHARED``
+tokens there; a line that two documents have in common does not make them candidates.
 """
 
 from __future__ import annotations
@@ -18,50 +20,73 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthlake.llm.components import components
-from hearthlake.llm.words import mix64, spaced_words
+from hearthlake.llm.words import UPPER_TO_LOWER, encoded, mix64
 from hearthlake.session import Staging
 
 NGRAM, PERCENT = 4, 85
-#: Counters for token frequencies, and counters in one row.
-COUNTERS, ROW = 1 << 20, 1 << 12
+#: Tokens that two sets alike share in their prefixes, unless the smaller has fewer.
+SHARED = 16
+#: Counters for token frequencies, and bits of the filters; both of fixed size.
+COUNTERS, BITS = 1 << 22, 1 << 26
+#: Such tables are added up in so many parts.
+PARTS = 256
 #: A group holds about so many sets, and about so many tokens with repeats.
 GROUP_SETS, GROUP_TOKENS = 256, 1 << 17
-WORDS_KEPT = 1 << 20
+#: Texts that are cut into words together.
+TOGETHER = 256
 #: Tokens of two groups that are compared at a time.
 COLUMNS = 1 << 12
 
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
-class WordCodes(dict):
-    """64-bit codes of words; the store is emptied when full."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        code = self[word] = xxhash.xxh3_64_intdigest(word)
-        return code
+def word_codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit code of each word, words before each text and after all) of texts, A-Z lower-cased.
 
-
-_CODES = WordCodes()
-
-
-def tokens(text: str | None, n: int = NGRAM) -> np.ndarray:
-    """Sorted distinct 64-bit codes of the text's word n-grams; of all its words if they are fewer."""
-    words = spaced_words(text)
-    if not words:
+    A code is the word's bytes as a polynomial, scrambled; all words are summed up at once.
+    """
+    parts = [encoded(t).translate(UPPER_TO_LOWER) for t in texts]
+    data = np.frombuffer(b" ".join([*parts, b""]), np.uint8)
+    blank = _SPACE[data]
+    starts = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]])) if len(data) else np.zeros(0, np.int64)
+    begins = np.cumsum([0, *(len(p) + 1 for p in parts)])
+    before = np.searchsorted(starts, begins)
+    if not len(starts):
+        return np.zeros(0, np.uint64), before
+    run = np.diff(np.append(starts, len(data)))
+    at = np.arange(starts[0], len(data)) - np.repeat(starts, run)
+    powers = np.cumprod(np.full(int(run.max()), _BASE, np.uint64))
+    own = np.where(blank[starts[0] :], np.uint64(0), (data[starts[0] :].astype(np.uint64) + np.uint64(1)) * powers[at])
+    return mix64(np.add.reduceat(own, starts - starts[0])), before
+
+
+def token_sets(texts: list[str | None], n: int = NGRAM) -> list[np.ndarray]:
+    """For each text the sorted distinct 64-bit codes of its word n-grams; of all its words if they are fewer."""
+    out: list[np.ndarray] = []
+    for i in range(0, len(texts), TOGETHER):
+        codes, before = word_codes(texts[i : i + TOGETHER])
+        grams = _grams(codes, n)
+        for low, high in zip(before[:-1].tolist(), before[1:].tolist(), strict=True):
+            own = grams[low : high - n + 1] if high - low >= n else _grams(codes[low:high], high - low)
+            out.append(np.unique(own))
+    return out
+
+
+def _grams(codes: np.ndarray, width: int) -> np.ndarray:
+    if not width:
         return np.zeros(0, np.uint64)
-    codes = np.fromiter(map(_CODES.__getitem__, words), np.uint64, len(words))
-    width = min(n, len(codes))
-    out = np.full(len(codes) - width + 1, width, np.uint64)
-    with np.errstate(over="ignore"):
-        for j in range(width):
-            out = (out ^ codes[j : j + len(out)]) * np.uint64(0x9E3779B97F4A7C15)
-            out ^= out >> np.uint64(29)
-    return np.unique(mix64(out))
+    out = np.full(max(0, len(codes) - width + 1), width, np.uint64)
+    for j in range(width):
+        out = (out ^ codes[j : j + len(out)]) * _BASE
+        out ^= out >> np.uint64(29)
+    return mix64(out)
 
 
 def signature(own: np.ndarray) -> int:
@@ -70,7 +95,7 @@ def signature(own: np.ndarray) -> int:
 
 
 def counter_of(own: np.ndarray) -> np.ndarray:
-    return (own >> np.uint64(44)).astype(np.int64)
+    return (own % np.uint64(COUNTERS)).astype(np.int64)
 
 
 def least_overlap(n: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -78,50 +103,144 @@ def least_overlap(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     return -(-percent * n // 100)
 
 
+def shared_tokens(n: int, percent: int) -> int:
+    """How many tokens of the prefix of a set of size ``n`` any set alike has in its own, if as large."""
+    return min(SHARED, least_overlap(n, percent))
+
+
 def prefix(own: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
-    """The tokens of which one must be in the prefix of any set alike: the rarest ones."""
-    length = len(own) - least_overlap(len(own), percent) + 1
+    """The rarest tokens: with any set alike, ``shared_tokens`` of them are in the prefixes of both."""
+    n = len(own)
+    length = n - least_overlap(n, percent) + shared_tokens(n, percent)
     order = np.lexsort((own, counts[counter_of(own)]))
     return own[order[:length]]
 
 
-def _count(n, batches):
-    counts = np.zeros(COUNTERS, np.int64)
-    for batch in batches:
-        for text in batch.column(0):
-            np.add.at(counts, counter_of(tokens(text.as_py(), n)), 1)
-    rows = counts.reshape(-1, ROW)
-    some = np.flatnonzero(rows.any(axis=1))
-    for i in range(0, len(some), 64):
-        part = some[i : i + 64]
-        yield pa.RecordBatch.from_pydict({"place": pa.array(part, pa.int64()), "counts": [zlib.compress(rows[k].astype("<i8").tobytes(), 1) for k in part]})
+def _rows(table: np.ndarray):
+    """A table in ``PARTS`` parts, those that are not empty, packed."""
+    for place, part in enumerate(table.reshape(PARTS, -1)):
+        if part.any():
+            yield pa.RecordBatch.from_pydict({"place": pa.array([place], pa.int64()), "data": [zlib.compress(part.tobytes(), 1)]})
 
 
-def _add(batches):
-    sums: dict[int, np.ndarray] = {}
+def _combined(kind, combine, batches):
+    parts: dict[int, np.ndarray] = {}
     for batch in batches:
         for place, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            own = np.frombuffer(zlib.decompress(data), "<i8")
-            sums[place] = sums[place] + own if place in sums else own
-    if sums:
-        yield pa.RecordBatch.from_pydict({"place": pa.array(list(sums), pa.int64()), "counts": [s.astype("<i8").tobytes() for s in sums.values()]})
+            own = np.frombuffer(zlib.decompress(data), kind)
+            parts[place] = combine(parts[place], own) if place in parts else own
+    for place, part in parts.items():
+        yield pa.RecordBatch.from_pydict({"place": pa.array([place], pa.int64()), "data": [zlib.compress(part.tobytes(), 1)]})
+
+
+_TABLE = "place bigint, data binary"
+
+
+def collected(rows: DataFrame, size: int, kind: str, combine) -> np.ndarray:
+    """The sum (or union) of the tasks' tables of ``size`` entries; combined by part before it is collected."""
+    out = np.zeros((PARTS, size // PARTS), kind)
+    for place, data in rows.repartition("place").mapInArrow(lambda b: _combined(kind, combine, b), _TABLE).collect():
+        out[place] = np.frombuffer(zlib.decompress(data), kind)
+    return out.reshape(-1)
 
 
 def token_counts(documents: DataFrame, n: int) -> np.ndarray:
     """Documents per counter, over all documents; the table has ``COUNTERS`` entries at any size."""
-    own = documents.select("text").mapInArrow(lambda b: _count(n, b), "place bigint, counts binary")
-    rows = own.repartition("place").mapInArrow(_add, "place bigint, counts binary").collect()
-    counts = np.zeros((COUNTERS // ROW, ROW), np.int64)
-    for place, data in rows:
-        counts[place] = np.frombuffer(data, "<i8")
-    return counts.reshape(-1)
+
+    def count(batches):
+        counts = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for i in range(0, batch.num_rows, TOGETHER):
+                own = token_sets(batch.column(0).slice(i, TOGETHER).to_pylist(), n)
+                np.add.at(counts, counter_of(np.concatenate(own)), 1)
+        yield from _rows(counts)
+
+    return collected(documents.select("text").mapInArrow(count, _TABLE), COUNTERS, "<i8", np.add)
+
+
+class Filter:
+    """A set of 64-bit codes as bits: no member is missed, some others pass."""
+
+    def __init__(self, bits: np.ndarray | None = None):
+        self.bits = np.zeros(BITS // 8, np.uint8) if bits is None else bits
+
+    def add(self, codes: np.ndarray) -> None:
+        at = codes % np.uint64(BITS)
+        np.bitwise_or.at(self.bits, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+
+    def has(self, codes: np.ndarray) -> np.ndarray:
+        at = codes % np.uint64(BITS)
+        return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _deal(buckets, batches):
+    """The prefix tokens of each batch with the lowest and highest signature that has them, dealt by token."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 2048):
+            part = batch.slice(i, 2048)
+            lists = part.column(1)
+            token = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            owner = np.repeat(part.column(0).to_numpy(zero_copy_only=False), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
+            if not len(token):
+                continue
+            order = np.lexsort((owner, token))
+            token, owner = token[order], owner[order]
+            edge = token[1:] != token[:-1]
+            ends = np.concatenate([[True], edge]) | np.concatenate([edge, [True]])
+            token, owner = token[ends], owner[ends]
+            bucket = (token >> np.uint64(32)) % np.uint64(buckets)
+            order = np.argsort(bucket, kind="stable")
+            token, owner, bucket = token[order], owner[order], bucket[order]
+            first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            for low, high in zip(first.tolist(), [*first[1:].tolist(), len(token)], strict=True):
+                yield pa.RecordBatch.from_pydict(
+                    {"bucket": pa.array([int(bucket[low])], pa.int64()), "tokens": [token[low:high].tobytes()], "owners": [owner[low:high].tobytes()]}
+                )
+
+
+def _meeting(batches):
+    """A filter of the tokens that different sets have, from all postings of some buckets."""
+    own: dict[int, list[tuple[bytes, bytes]]] = {}
+    for batch in batches:
+        for bucket, tokens, owners in zip(*[batch.column(c).to_pylist() for c in range(3)], strict=True):
+            own.setdefault(bucket, []).append((tokens, owners))
+    found = Filter()
+    for parts in own.values():
+        token = np.frombuffer(b"".join(p[0] for p in parts), np.uint64)
+        owner = np.frombuffer(b"".join(p[1] for p in parts), np.int64)
+        order = np.lexsort((owner, token))
+        token, owner = token[order], owner[order]
+        found.add(np.unique(token[1:][(token[1:] == token[:-1]) & (owner[1:] != owner[:-1])]))
+    yield from _rows(found.bits)
+
+
+def _may_meet(percent, sent, batches):
+    """The prefixes of sets that may share enough tokens with another, without tokens that no other set has."""
+    for batch in batches:
+        lists = batch.column("prefix")
+        token = lists.flatten().to_numpy(zero_copy_only=False)
+        lengths = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
+        owner = np.repeat(np.arange(batch.num_rows), lengths)
+        hit = Filter(sent.value).has(token.view(np.uint64))
+        n = batch.column("n_shingles").to_numpy(zero_copy_only=False)
+        shared = np.minimum(SHARED, least_overlap(n, percent))
+        enough = np.bincount(owner[hit], minlength=batch.num_rows) >= shared
+        some = hit & enough[owner]
+        yield pa.RecordBatch.from_pydict(
+            {
+                "signature": batch.column("signature").to_numpy(zero_copy_only=False)[owner[some]],
+                "n": n[owner[some]],
+                "shared": shared[owner[some]],
+                "token": token[some],
+            }
+        )
 
 
 def _describe(n, percent, counts, batches):
     for batch in batches:
         for i in range(0, batch.num_rows, 1024):
             part = batch.slice(i, 1024)
-            own = [tokens(t.as_py(), n) for t in part.column(1)]
+            own = token_sets(part.column(1).to_pylist(), n)
             prefixes = [prefix(t, counts, percent).view(np.int64) for t in own]
             ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
             flat = np.concatenate([*prefixes, np.zeros(0, np.int64)])
@@ -135,15 +254,20 @@ def _describe(n, percent, counts, batches):
             )
 
 
-def _own_tokens(n, batches):
+def _own_tokens(n, sent, batches):
+    """(signature, tokens) of the documents whose id passes the filter."""
     for batch in batches:
-        for i in range(0, batch.num_rows, 256):
-            part = batch.slice(i, 256)
-            own = [tokens(t.as_py(), n) for t in part.column("text")]
-            same = [len(t) > 0 and signature(t) == s for t, s in zip(own, part.column("signature").to_pylist(), strict=True)]
-            rows = pa.array(np.flatnonzero(same))
-            data = pa.array([t.tobytes() for t, k in zip(own, same, strict=True) if k], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("group").take(rows), part.column("signature").take(rows), data], names=["group", "signature", "tokens"])
+        ids = batch.column(0)
+        codes = mix64(pa.compute.fill_null(ids, 0).to_numpy(zero_copy_only=False).view(np.uint64))
+        wanted = batch.filter(pa.array(Filter(sent.value).has(codes)))
+        for i in range(0, wanted.num_rows, TOGETHER):
+            part = wanted.slice(i, TOGETHER)
+            own = token_sets(part.column(1).to_pylist(), n)
+            data = [(i, signature(t), t.tobytes()) for i, t in zip(part.column(0).to_pylist(), own, strict=True) if len(t)]
+            columns = list(zip(*data, strict=True)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary())], names=["id", "own", "tokens"]
+            )
 
 
 def pack_group(signatures: list[int], sets: list[np.ndarray]) -> dict[str, bytes]:
@@ -253,48 +377,75 @@ def linked_documents(staging: Staging, documents: DataFrame, n: int = NGRAM, per
     """
     spark = staging.spark
     texts = documents.select("doc_id", "text")
-    with Batches(spark, 1024):
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with Batches(spark, 2048):
         counts = spark.sparkContext.broadcast(token_counts(texts, n))
         described = texts.mapInArrow(
             lambda b: _describe(n, percent, counts.value, b), "doc_id bigint, n_shingles bigint, signature bigint, prefix array<bigint>"
         )
         sets = staging.keep(described, "sets")
 
-    # Tokens that are in the prefixes of different sets, and the sets that have them.
-    postings = sets.filter("signature is not null").select("signature", "n_shingles", F.explode("prefix").alias("token"))
+        # Prefixes without the tokens that only one set has. What passes a filter is checked below.
+        some = sets.filter("signature is not null")
+        dealt = some.select("signature", "prefix").mapInArrow(lambda b: _deal(buckets, b), "bucket bigint, tokens binary, owners binary")
+        bits = collected(dealt.repartition("bucket").mapInArrow(_meeting, _TABLE), BITS // 8, "u1", np.bitwise_or)
+        meeting = spark.sparkContext.broadcast(bits)
+        postings = some.select("signature", "n_shingles", "prefix").mapInArrow(
+            lambda b: _may_meet(percent, meeting, b), "signature bigint, n bigint, shared bigint, token bigint"
+        )
+        postings = staging.keep(postings, "may_meet")
     spread = postings.groupBy("token").agg(F.min("signature").alias("low"), F.max("signature").alias("high"), F.count("*").alias("often"))
-    meeting = spread.filter("low < high").select("token", "often")
-    active = postings.join(meeting, "token").groupBy("token", "signature").agg(F.first("n_shingles").alias("n"), F.first("often").alias("often"))
+    both_sides = spread.filter("low < high").select("token", "often")
+    active = postings.join(both_sides, "token").groupBy("token", "signature").agg(
+        F.first("n").alias("n"), F.first("shared").alias("shared"), F.first("often").alias("often")
+    )
     active = staging.keep(active, "postings")
 
     # Groups: sets with the same most frequent prefix token, in parts of bounded size.
-    leads = active.groupBy("signature").agg(F.max("n").alias("n"), F.max(F.struct("often", "token"))["token"].alias("lead"))
-    leads = staging.keep(leads, "leads")
+    leads = active.groupBy("signature").agg(
+        F.max("n").alias("n"), F.max("shared").alias("shared"), F.count("*").alias("has"), F.max(F.struct("often", "token"))["token"].alias("lead")
+    )
+    leads = staging.keep(leads.filter("has >= shared"), "leads")
     rooms = leads.groupBy("lead").agg(F.ceil(F.greatest(F.count("*") / GROUP_SETS, F.sum("n") / GROUP_TOKENS)).alias("parts"))
     part = F.pmod(F.xxhash64("signature"), F.col("parts"))
     grouped = staging.keep(leads.join(rooms, "lead").select("signature", "n", F.xxhash64("lead", part).alias("group")), "groups")
 
-    # Groups that share a prefix token and whose sizes allow a link.
-    per_token = active.join(grouped.select("signature", "group"), "signature").groupBy("token", "group").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    # Groups that share enough prefix tokens and whose sizes allow a link; a group with itself if it has several sets.
+    per_token = active.join(grouped.select("signature", "group"), "signature").groupBy("token", "group").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("shared").alias("shared")
+    )
     per_token = staging.keep(per_token, "tokens")
     a, b = per_token.alias("a"), per_token.alias("b")
     near = (F.col("a.most") * 100 >= F.col("b.least") * percent) & (F.col("b.most") * 100 >= F.col("a.least") * percent)
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.group") <= F.col("b.group")) & near)
-    pairs = staging.keep(pairs.select(F.col("a.group").alias("ga"), F.col("b.group").alias("gb")).distinct(), "pairs")
-
-    # The token-group matrix, from the texts of one document per set.
+    met = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.group") < F.col("b.group")) & near)
+    met = met.groupBy(F.col("a.group").alias("ga"), F.col("b.group").alias("gb")).agg(
+        F.count("*").alias("common"), F.min(F.least("a.shared", "b.shared")).alias("needed")
+    )
+    alone = grouped.groupBy(F.col("group").alias("ga")).agg(F.count("*").alias("sets")).filter("sets > 1")
+    pairs = met.filter("common >= needed").select("ga", "gb").unionByName(alone.select("ga", F.col("ga").alias("gb")))
+    pairs = staging.keep(pairs, "pairs")
+
+    # The token-group matrix, from the text of one document per set.
     reps = sets.filter("signature is not null").groupBy("signature").agg(F.min("doc_id").alias("rep"))
-    wanted = grouped.select("signature", "group").join(reps, "signature")
-    chosen = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["rep"])).select("group", "signature", "text")
-    own = chosen.mapInArrow(lambda b: _own_tokens(n, b), "group bigint, signature bigint, tokens binary")
+    wanted = staging.keep(grouped.select("signature", "group").join(reps, "signature"), "wanted")
+
+    def mark(batches):
+        found = Filter()
+        for batch in batches:
+            found.add(mix64(pa.compute.fill_null(batch.column(0), 0).to_numpy(zero_copy_only=False).view(np.uint64)))
+        yield from _rows(found.bits)
+
+    chosen = spark.sparkContext.broadcast(collected(wanted.select("rep").mapInArrow(mark, _TABLE), BITS // 8, "u1", np.bitwise_or))
+    with Batches(spark, 2048):
+        own = texts.mapInArrow(lambda b: _own_tokens(n, chosen, b), "id bigint, own bigint, tokens binary")
+        own = own.join(wanted, (own["own"] == wanted["signature"]) & own["id"].eqNullSafe(wanted["rep"])).select("group", "signature", "tokens")
 
-    def pack(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("signature").sort_values("signature")
-        packed = pack_group(frame["signature"].tolist(), [np.frombuffer(t, np.uint64) for t in frame["tokens"]])
-        return pd.DataFrame([{"group": frame["group"].iloc[0], **packed}])
+        def pack(frame: pd.DataFrame) -> pd.DataFrame:
+            frame = frame.drop_duplicates("signature").sort_values("signature")
+            packed = pack_group(frame["signature"].tolist(), [np.frombuffer(t, np.uint64) for t in frame["tokens"]])
+            return pd.DataFrame([{"group": frame["group"].iloc[0], **packed}])
 
-    columns = ["members", "sizes", "union_tokens", "places"]
-    with Batches(spark, 256):
+        columns = ["members", "sizes", "union_tokens", "places"]
         matrix = own.groupBy("group").applyInPandas(pack, "group bigint, " + ", ".join(f"{c} binary" for c in columns))
         matrix = staging.keep(matrix, "matrix")
     with Batches(spark, 8):
