@@ -14,13 +14,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthlake.llm.gru import INPUT, Adam, Network, WordTable
+from hearthlake.llm.gru import GRAM_SLOTS, INPUT, WORD_SLOTS, Adam, Network, WordTable
 from hearthlake.llm.words import alnum_words
 
 WINDOW, STRIDE = 48, 24
-#: Labelled documents used for training, per class, in an order that a hash of the id
-#: fixes, and the longest text used.
-SAMPLE, LONGEST = 1500, 12_000
+#: Labelled documents used for training, of class 0 and 1, in an order that a hash of the
+#: id fixes, and the longest text used.
+SAMPLE, LONGEST = (3000, 1500), 20_000
 #: Rounds go on until the network has been updated so often, so a small sample is seen more often.
 UPDATES = 400
 #: Every so many-th labelled document is kept from training to calibrate scores.
@@ -131,15 +131,27 @@ def calibrate(logits: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tu
     return max(a, 1e-3), b
 
 
-def associations(slots: np.ndarray, docs: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
-    """For each slot, how surely it goes with class 1: the z value of its share of documents, beyond what chance gives."""
-    pairs = np.unique(docs.astype(np.int64) * size + slots)
-    doc, slot = pairs // size, pairs % size
-    ones, zeros = np.bincount(slot[y[doc] == 1], minlength=size), np.bincount(slot[y[doc] == 0], minlength=size)
-    n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
-    share = (ones + zeros + 1) / (n1 + n0 + 2)
-    z = (ones / n1 - zeros / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
-    return (np.sign(z) * np.clip((np.abs(z) - BY_CHANCE) / BY_CHANCE, 0, 3)).astype(np.float32)
+def associations(table: WordTable, places: np.ndarray, docs: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How surely each word slot and each n-gram slot goes with class 1: the z value of its
+    share of documents, beyond what chance gives. Documents are counted one by one."""
+    counts = {name: np.zeros((2, size), np.int64) for name, size in (("word", WORD_SLOTS), ("gram", GRAM_SLOTS))}
+    order = np.argsort(docs, kind="stable")
+    first = np.searchsorted(docs[order], np.arange(len(y) + 1))
+    lengths = table.counts()
+    for d in np.unique(docs).tolist():
+        words = np.unique(places[:, order[first[d] : first[d + 1]]])
+        words = words[words > 0] - 1
+        n = lengths[words]
+        grams = table.gram[np.repeat(table.first[words] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        counts["word"][int(y[d]), np.unique(table.word[words])] += 1
+        counts["gram"][int(y[d]), np.unique(grams)] += 1
+    n1, n0 = (max(1, int((y[np.unique(docs)] == c).sum())) for c in (1, 0))
+    out = []
+    for zeros, ones in counts.values():
+        share = (ones + zeros + 1) / (n1 + n0 + 2)
+        z = (ones / n1 - zeros / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
+        out.append((np.sign(z) * np.clip((np.abs(z) - BY_CHANCE) / BY_CHANCE, 0, 3)).astype(np.float32))
+    return tuple(out)
 
 
 def train(texts: list[str], labels: list[int], shares: tuple[float, float]) -> Scorer | None:
@@ -160,17 +172,12 @@ def train(texts: list[str], labels: list[int], shares: tuple[float, float]) -> S
     table = WordTable.of(words)
     calibration = (np.arange(len(texts)) % CALIBRATION == 0) if len(texts) >= 10 * CALIBRATION else np.zeros(len(texts), bool)
     learn = np.flatnonzero(~calibration[docs])
-    word, doc = places[:, learn].ravel(), np.tile(docs[learn], WINDOW)
-    word, doc = word[word > 0] - 1, doc[word > 0]
-    seen = np.unique(doc.astype(np.int64) * len(words) + word)
-    word, doc = seen % len(words), seen // len(words)
-    grams = table.counts()[word]
-    gram = table.gram[np.repeat(table.first[word] - np.cumsum(grams) + grams, grams) + np.arange(grams.sum())]
-    network.p["word"][:, 0] = associations(table.word[word], doc, y, len(network.p["word"]))
+    word, gram = associations(table, places[:, learn], docs[learn], y)
+    network.p["word"][:, 0] = word
     network.p["gram"][:, :2] = 0
-    network.p["gram"][:, 1] = associations(gram, np.repeat(doc, grams), y, len(network.p["gram"]))
+    network.p["gram"][:, 1] = gram
     x = np.concatenate([np.zeros((1, INPUT), np.float32), network.inputs(table)])
-    logits = x[places[:, learn], :2].sum(axis=2).max(axis=0)
+    logits = x[:, :2].sum(axis=1)[places[:, learn]].max(axis=0)
     round_ = 0
     while round_ < ROUNDS or adam.step < UPDATES:
         order = learn[np.lexsort((-logits, docs[learn]))]
@@ -201,13 +208,13 @@ def labelled_sample(documents: DataFrame, labels: DataFrame) -> tuple[list[str],
     """Texts and labels to learn from, and the weights of the classes.
 
     Only labels 0 and 1 of documents outside the held-out fifth count; a document with
-    both is toxic. At most ``SAMPLE`` of each class reach the driver.
+    both is toxic. At most ``SAMPLE`` of either class reach the driver.
     """
     own = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)")
     own = own.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     totals = dict(own.groupBy("toxic").count().collect())
     by_hash = F.xxhash64(F.lit(SEED), "doc_id")
-    picks = [own.filter(F.col("toxic") == c).orderBy(by_hash, "doc_id").limit(SAMPLE) for c in (0, 1)]
+    picks = [own.filter(F.col("toxic") == c).orderBy(by_hash, "doc_id").limit(SAMPLE[c]) for c in (0, 1)]
     rows = picks[0].union(picks[1]).collect()
     spark = documents.sparkSession
     chosen = spark.createDataFrame([tuple(r) for r in rows], "doc_id bigint, toxic int")
