@@ -472,7 +472,7 @@ def one_of_each(staging: Staging, documents: DataFrame, n: int = NGRAM, percent:
     linked = linked_documents(staging, documents, n, percent)
     kept = staging.keep(linked.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
     wanted = kept.select(F.col("doc_id").alias("_kept"))
-    single = documents.join(wanted, documents["doc_id"] == F.col("_kept"), "left_semi")
+    single = documents.join(wanted, documents["doc_id"] == wanted["_kept"], "left_semi")
     if not kept.filter("rows > 1").isEmpty():
         single = single.dropDuplicates(["doc_id"])
     return single.unionByName(documents.filter("doc_id is null"))

@@ -101,13 +101,13 @@ def mix_report(staging: Staging, documents: DataFrame) -> DataFrame:
 
 def mixed_documents(staging: Staging, documents: DataFrame) -> DataFrame:
     """The documents of the mix, all columns, repeated as often as the mix takes them."""
-    sized = documents.withColumn("_size", word_count(F.col("text")))
-    mixed = mix(staging, sized.select("doc_id", "source", F.col("_size").alias("size"))).filter("copies > 0")
-    mixed = mixed.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_of"), "copies")
-    mixed = mixed.withColumnRenamed("copies", "_copies")
-    same = sized["doc_id"].eqNullSafe(mixed["_id"]) & sized["source"].eqNullSafe(mixed["_source"]) & (sized["_size"] == mixed["_of"])
-    repeated = sized.join(mixed, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(*documents.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    packed = documents.select(row, word_count(F.col("text")).alias("words"))
+    units = packed.select(F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"), F.col("words").alias("size"))
+    taken = mix(staging, units).filter("copies > 0").select("doc_id", "source", "size", "copies")
+    same = F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & F.col("row.source").eqNullSafe(F.col("source")) & (F.col("words") == F.col("size"))
+    each = packed.join(taken, same).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return each.select("row.*")
 
 
 SQL = """

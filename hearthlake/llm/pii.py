@@ -3,8 +3,8 @@
 Everything that runs on the data is a built-in function. Base spans (exact patterns and
 their checks) always count. Wider generators propose more spans, which may overlap; boosted
 trees score them by format and context, having learned how candidates that meet a base span
-differ from those that meet none; those above a threshold that keeps the wanted precision on
-held-out candidates are added. Trees are fitted on counts of binned features over all
+of their kind differ from those that lie in a match of another kind; those above a threshold that keeps the wanted precision on
+held-out candidates are added. Trees are fitted on counts of binned features over all such
 candidates and applied as CASE expressions.
 """
 
@@ -29,10 +29,10 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-# Wider patterns: addresses with written-out or spaced signs, numbers with separators.
+# Wider patterns: addresses with written-out signs, numbers with separators.
 WIDE_EMAIL = (
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\]|\{at\})\x20?[A-Za-z0-9-]{1,63}+"
-    r"(?:\x20?(?:\.|\(dot\)|\[dot\]|\{dot\})\x20?[A-Za-z0-9-]{1,63}+){1,8}+"
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:@|\x20?[\[({]at[\])}]\x20?)[A-Za-z0-9-]{1,63}+"
+    r"(?:(?:\.|\x20?[\[({]dot[\])}]\x20?)[A-Za-z0-9-]{1,63}+){1,8}+"
 )
 WIDE_NUMBER = r"(?<![0-9])\+?\(?[0-9](?:[\x20()./-]{0,3}+[0-9]){6,19}+"
 
@@ -125,13 +125,15 @@ def find_spans(staging: Staging, documents: DataFrame) -> tuple[DataFrame, DataF
     """
     rows, found = candidates(staging, documents, generators())
     wide = F.col("generator").startswith("wide_")
-    checked = staging.keep(found.filter(wide | passes(F.col("generator"), F.col("value"))), "candidates")
+    checked = found.withColumn("valid", wide | passes(F.col("generator"), F.col("value")))
     # A wide candidate meets a base span if one that begins before its end ends behind its start.
     in_order = Window.partitionBy("row").orderBy("start", "end")
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     behind = in_order.rowsBetween(1, Window.unboundedFollowing)
     kind = F.when(wide, F.when(F.col("generator") == "wide_email", "email").otherwise("phone")).otherwise(F.col("generator"))
-    base_end, base_start = F.when(~wide, F.col("end")), F.when(~wide, F.col("start"))
+    is_base = ~wide & F.col("valid")
+    base_end, base_start = F.when(is_base, F.col("end")), F.when(is_base, F.col("start"))
+    up_to = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     own_kind = F.col("kind").isin("email", "phone")
     met = checked.withColumn("kind", kind).withColumns(
         {
@@ -139,11 +141,12 @@ def find_spans(staging: Staging, documents: DataFrame) -> tuple[DataFrame, DataF
             | (F.coalesce(F.min(base_start).over(behind), F.lit(2**62)) < F.col("end")),
             "meets_own": (F.coalesce(F.max(F.when(own_kind, base_end)).over(before), F.lit(-1)) > F.col("start"))
             | (F.coalesce(F.min(F.when(own_kind, base_start)).over(behind), F.lit(2**62)) < F.col("end")),
+            "other": F.coalesce(F.max(F.when(F.col("generator").isin("ip", "card"), F.col("end"))).over(up_to), F.lit(-1)) >= F.col("end"),
         }
     )
-    met = staging.keep(met, "met")
-    featured = with_features(met.filter(wide)).withColumn("label", F.col("meets_own").cast("int"))
-    keep = fit(featured.withColumn("fold", F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(FOLDS)).cast("int")))
+    met = staging.keep(met.filter("valid"), "met")
+    featured = with_features(met.filter(wide)).withColumn("label", F.when(F.col("meets_own"), 1).when(F.col("other"), 0))
+    keep = fit(featured.filter("label is not null").withColumn("fold", F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(FOLDS)).cast("int")))
     added = featured.filter(keep & ~F.col("meets"))
     first = F.coalesce(F.max("end").over(before), F.lit(-1)) <= F.col("start")
     added = added.withColumn("first", first).filter("first")

@@ -112,7 +112,8 @@ class Scorer:
     def scores(self, texts: list[str | None]) -> np.ndarray:
         logit = self.worst(texts)
         calibrated = 1 / (1 + np.exp(-np.clip(self.slope * np.nan_to_num(logit) + self.offset, -30, 30)))
-        return np.where(np.isnan(logit), self.empty, calibrated)
+        # Six digits: what other texts of a batch do to the last bits does not show.
+        return np.round(np.where(np.isnan(logit), self.empty, calibrated), 6)
 
 
 def calibrate(logits: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, float]:

@@ -51,7 +51,7 @@ def grow(x: dict[str, np.ndarray], g: np.ndarray, h: np.ndarray, depth: int, lea
         high_g, high_h = total_g - low_g, total_h - low_h
         gain = low_g**2 / (low_h + ridge) + high_g**2 / (high_h + ridge) - total_g**2 / (total_h + ridge)
         gain = np.where((low_h >= least) & (high_h >= least), gain, 0)
-        if len(gain) and gain.max() > best:
+        if len(gain) and gain.max() > best * (1 + 1e-9):  # equal gains: the first feature
             best, node.feature, node.limit = gain.max(), name, int(gain.argmax())
     if node.feature is None:
         return node
