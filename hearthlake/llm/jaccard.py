@@ -173,6 +173,22 @@ class Filter:
         return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
+def _codes_of(ids: np.ndarray) -> np.ndarray:
+    return mix64(ids.astype(np.int64).view(np.uint64))
+
+
+def filter_of(rows: DataFrame, column: str) -> np.ndarray:
+    """The bits of a filter of a column of ids; NULL counts as 0."""
+
+    def mark(batches):
+        found = Filter()
+        for batch in batches:
+            found.add(_codes_of(pa.compute.fill_null(batch.column(0), 0).to_numpy(zero_copy_only=False)))
+        yield from _rows(found.bits)
+
+    return collected(rows.select(column).mapInArrow(mark, _TABLE), BITS // 8, "u1", np.bitwise_or)
+
+
 def _deal(buckets, batches):
     """The prefix tokens of each batch with the lowest and highest signature that has them, dealt by token."""
     for batch in batches:
@@ -257,8 +273,7 @@ def _describe(n, percent, counts, batches):
 def _own_tokens(n, sent, batches):
     """(signature, tokens) of the documents whose id passes the filter."""
     for batch in batches:
-        ids = batch.column(0)
-        codes = mix64(pa.compute.fill_null(ids, 0).to_numpy(zero_copy_only=False).view(np.uint64))
+        codes = _codes_of(pa.compute.fill_null(batch.column(0), 0).to_numpy(zero_copy_only=False))
         wanted = batch.filter(pa.array(Filter(sent.value).has(codes)))
         for i in range(0, wanted.num_rows, TOGETHER):
             part = wanted.slice(i, TOGETHER)
@@ -410,7 +425,7 @@ def linked_documents(staging: Staging, documents: DataFrame, n: int = NGRAM, per
     part = F.pmod(F.xxhash64("signature"), F.col("parts"))
     grouped = staging.keep(leads.join(rooms, "lead").select("signature", "n", F.xxhash64("lead", part).alias("group")), "groups")
 
-    # Groups that share enough prefix tokens and whose sizes allow a link; a group with itself if it has several sets.
+    # Groups that share enough prefix tokens and whose sizes allow a link.
     per_token = active.join(grouped.select("signature", "group"), "signature").groupBy("token", "group").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("shared").alias("shared")
     )
@@ -421,38 +436,40 @@ def linked_documents(staging: Staging, documents: DataFrame, n: int = NGRAM, per
     met = met.groupBy(F.col("a.group").alias("ga"), F.col("b.group").alias("gb")).agg(
         F.count("*").alias("common"), F.min(F.least("a.shared", "b.shared")).alias("needed")
     )
-    alone = grouped.groupBy(F.col("group").alias("ga")).agg(F.count("*").alias("sets")).filter("sets > 1")
-    pairs = met.filter("common >= needed").select("ga", "gb").unionByName(alone.select("ga", F.col("ga").alias("gb")))
-    pairs = staging.keep(pairs, "pairs")
+    pairs = staging.keep(met.filter("common >= needed").select("ga", "gb"), "pairs")
 
     # The token-group matrix, from the text of one document per set.
     reps = sets.filter("signature is not null").groupBy("signature").agg(F.min("doc_id").alias("rep"))
     wanted = staging.keep(grouped.select("signature", "group").join(reps, "signature"), "wanted")
 
-    def mark(batches):
-        found = Filter()
-        for batch in batches:
-            found.add(mix64(pa.compute.fill_null(batch.column(0), 0).to_numpy(zero_copy_only=False).view(np.uint64)))
-        yield from _rows(found.bits)
-
-    chosen = spark.sparkContext.broadcast(collected(wanted.select("rep").mapInArrow(mark, _TABLE), BITS // 8, "u1", np.bitwise_or))
+    chosen = spark.sparkContext.broadcast(filter_of(wanted, "rep"))
+    crossing = spark.sparkContext.broadcast(filter_of(pairs.select("ga").union(pairs.select("gb")), "ga"))
     with Batches(spark, 2048):
         own = texts.mapInArrow(lambda b: _own_tokens(n, chosen, b), "id bigint, own bigint, tokens binary")
         own = own.join(wanted, (own["own"] == wanted["signature"]) & own["id"].eqNullSafe(wanted["rep"])).select("group", "signature", "tokens")
 
         def pack(frame: pd.DataFrame) -> pd.DataFrame:
-            frame = frame.drop_duplicates("signature").sort_values("signature")
+            """A group's links among its own sets, and its matrix if it meets another group."""
+            frame, group = frame.drop_duplicates("signature").sort_values("signature"), int(frame["group"].iloc[0])
             packed = pack_group(frame["signature"].tolist(), [np.frombuffer(t, np.uint64) for t in frame["tokens"]])
-            return pd.DataFrame([{"group": frame["group"].iloc[0], **packed}])
+            own = Group(*packed.values())
+            left, right = open_pair(own, own, percent) if len(own.members) > 1 else (np.zeros(0, np.int64),) * 2
+            low, high = _spanning(own.members[left], own.members[right])
+            if not Filter(crossing.value).has(_codes_of(np.array([group])))[0]:
+                packed = dict.fromkeys(packed)
+            return pd.DataFrame([{"group": group, **packed, "a": low.tolist(), "b": high.tolist()}])
 
         columns = ["members", "sizes", "union_tokens", "places"]
-        matrix = own.groupBy("group").applyInPandas(pack, "group bigint, " + ", ".join(f"{c} binary" for c in columns))
-        matrix = staging.keep(matrix, "matrix")
+        schema = "group bigint, " + ", ".join(f"{c} binary" for c in columns) + ", a array<bigint>, b array<bigint>"
+        matrix = staging.keep(own.groupBy("group").applyInPandas(pack, schema), "matrix")
     with Batches(spark, 8):
-        x, y = matrix.select(*[F.col(c).alias(f"a_{c}") for c in ["group", *columns]]), matrix.select(*[F.col(c).alias(f"b_{c}") for c in ["group", *columns]])
-        opened = pairs.join(x, F.col("ga") == F.col("a_group")).join(y, F.col("gb") == F.col("b_group"))
-        opened = opened.select(*[f"a_{c}" for c in columns], *[f"b_{c}" for c in columns])
-        edges = staging.keep(opened.mapInArrow(lambda b: _open_pairs(percent, b), "a bigint, b bigint"), "links")
+        stored = matrix.filter("members is not null")
+        x, y = (stored.select(*[F.col(c).alias(f"{side}_{c}") for c in ["group", *columns]]) for side in "xy")
+        opened = pairs.join(x, F.col("ga") == F.col("x_group")).join(y, F.col("gb") == F.col("y_group"))
+        opened = opened.select(*[f"x_{c}" for c in columns], *[f"y_{c}" for c in columns])
+        within = matrix.filter("size(a) > 0").select(F.inline(F.arrays_zip("a", "b")))
+        edges = opened.mapInArrow(lambda b: _open_pairs(percent, b), "a bigint, b bigint").unionByName(within)
+        edges = staging.keep(edges, "links")
 
     roots = components(staging, edges)
     named = reps.join(roots, reps["signature"] == roots["node"], "left").select("signature", F.coalesce("root", "signature").alias("root"), "rep")
