@@ -390,8 +390,12 @@ def linked_documents(staging: Staging, documents: DataFrame, n: int = NGRAM, per
     without words or text have an empty set and are linked with nothing. Null ids are passed over as
     component_id unless a component has no other. Repeated rows have one set and are linked.
     """
+    with Staging(staging.spark) as own:  # only the result outlives this call
+        return staging.keep(_linked(own, documents.select("doc_id", "text"), n, percent), "linked")
+
+
+def _linked(staging: Staging, texts: DataFrame, n: int, percent: int) -> DataFrame:
     spark = staging.spark
-    texts = documents.select("doc_id", "text")
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     with Batches(spark, 2048):
         counts = spark.sparkContext.broadcast(token_counts(texts, n))

@@ -103,19 +103,18 @@ class Shard:
         return cls(ids, vectors, codes, np.argsort(codes, axis=0, kind="stable").astype(np.int32))
 
     def tables(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per substring: its distinct values, and where each one's rows begin in ``order``."""
+        """Per substring: its distinct values, and how many rows in ``order`` each one has."""
         out = []
         for j in range(self.codes.shape[1]):
-            values, first = np.unique(self.codes[self.order[:, j], j], return_index=True)
-            out.append((values, np.append(first, len(self.ids))))
+            out.append(np.unique(self.codes[self.order[:, j], j], return_counts=True))
         return out
 
     def within(self, code: np.ndarray, radius: int, tables) -> np.ndarray:
         """All rows whose code is within ``radius``: some substring is within its share of it."""
         share, hit = radius // self.codes.shape[1], np.zeros(len(self.ids), bool)
-        for j, (values, first) in enumerate(tables):
-            for bucket in np.flatnonzero(np.bitwise_count(values ^ code[j]) <= share):
-                hit[self.order[first[bucket] : first[bucket + 1], j]] = True
+        for j, (values, counts) in enumerate(tables):
+            opened = np.bitwise_count(values ^ code[j]) <= share
+            hit[self.order[np.repeat(opened, counts), j]] = True
         rows = np.flatnonzero(hit)
         return rows[np.bitwise_count(self.codes[rows] ^ code).sum(axis=1, dtype=np.int64) <= radius]
 
