@@ -557,10 +557,11 @@ def _(spark, sf):
 
 _TREND_SQL = """
 SELECT city AS "CITY", kind AS "PROPERTY_TYPE", CAST(d AS VARCHAR) AS "SCRAPE_DATE", count(*) AS "LISTINGS",
-  CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS "AVG_PRICE_BRL",
-  min(price) AS "MIN_PRICE_BRL", max(price) AS "MAX_PRICE_BRL",
-  CAST(sum(CAST(condo_fee AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS "AVG_CONDO_FEE_BRL",
-  CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / CAST(sum(CAST(size AS DECIMAL(18,2))) AS DOUBLE) AS "PRICE_PER_M2_BRL"
+  CAST(sum(CAST(price AS DECIMAL(38,10))) AS DOUBLE) / count(*) AS "AVG_PRICE_BRL",
+  round(quantile_cont(price, 0.25), 6) AS "Q1_PRICE_BRL", round(quantile_cont(price, 0.5), 6) AS "MEDIAN_PRICE_BRL",
+  round(quantile_cont(price, 0.75), 6) AS "Q3_PRICE_BRL", min(price) AS "MIN_PRICE_BRL", max(price) AS "MAX_PRICE_BRL",
+  CAST(sum(CAST(condo_fee AS DECIMAL(38,10))) AS DOUBLE) / count(*) AS "AVG_CONDO_FEE_BRL",
+  CAST(sum(CAST(price AS DECIMAL(38,10))) AS DOUBLE) / CAST(sum(CAST(size AS DECIMAL(38,10))) AS DOUBLE) AS "PRICE_PER_M2_BRL"
 FROM fact GROUP BY city, kind, d"""
 
 
@@ -701,6 +702,9 @@ UNION ALL
 SELECT 'LISTING_ID', listing_id, count(*) FROM fact
 WHERE listing_id NOT IN (SELECT listing_id FROM silver WHERE d = (SELECT d FROM last_day)) GROUP BY listing_id
 UNION ALL
+SELECT 'ADDRESS_SK', address_sk, count(*) FROM fact
+WHERE address_sk NOT IN (SELECT {Q.ADDRESS_SK} FROM silver WHERE d = (SELECT d FROM last_day)) GROUP BY address_sk
+UNION ALL
 SELECT 'AMENITIES_SKS', sk, count(*) FROM (SELECT unnest(sks) AS sk FROM fact)
 WHERE sk NOT IN (SELECT {Q.md5key('aname', 'avalue')} FROM features WHERE d = (SELECT max(d) FROM features)) GROUP BY sk""",
         "fact", "pictures", "last_day",
@@ -709,35 +713,47 @@ WHERE sk NOT IN (SELECT {Q.md5key('aname', 'avalue')} FROM features WHERE d = (S
 def _(spark, sf):
     # Dimensions of the latest scrape only: facts of earlier dates lack some keys.
     silver = X.silver(spark, sf)
-    fact = A.fact_listings(silver, X.RUN_TS)
-    checks = [
-        ("IMAGES_SK", "IMAGES_SK", D.IMAGES),
-        ("LISTING_ID", "LISTING_ID", D.LISTINGS),
-        ("AMENITIES_SKS", F.explode("AMENITIES_SKS"), D.AMENITIES),
-    ]
-    failed = [
-        C.foreign_key(fact, key, dim.source(silver), dim.spec.keys[0]).select(F.lit(fk).alias("fk"), "value", "occurrences")
-        for fk, key, dim in checks
-    ]
-    return failed[0].unionByName(failed[1]).unionByName(failed[2])
+    keys = {"IMAGES_SK": D.IMAGES, "LISTING_ID": D.LISTINGS, "ADDRESS_SK": D.ADDRESS, "AMENITIES_SKS": D.AMENITIES}
+    dimensions = {name: dim.source(silver).select(dim.spec.keys[0]) for name, dim in keys.items()}
+    return C.foreign_keys(A.fact_listings(silver, X.RUN_TS), {name: F.col(name) for name in keys}, dimensions)
+
+
+#: Where silver's columns are in the SQL; the audit columns have a value in every row.
+_SILVER_SQL = dict(
+    zip(
+        S.SILVER.not_null,
+        "bronze_id listing_id listing_name url description pets rooms bedrooms bathrooms street locality region country "
+        "size_unit images n_amenities price currency availability fee_name fee fee_currency fee_period site city kind page d d d".split(),
+        strict=True,
+    )
+)
 
 
 @case(
     "dq_contracts",
     Q.query(
         "\nUNION ALL\n".join(
-            [f"SELECT 'not_null' AS test, '{c}' AS \"column\", CAST(0 AS BIGINT) AS failures" for c in S.SILVER.not_null]
+            [
+                f"SELECT 'not_null' AS test, '{c}' AS \"column\", count(*) FILTER ({at} IS NULL OR eid % 97 = {i}) AS failures FROM silver"
+                for i, (c, at) in enumerate(_SILVER_SQL.items())
+            ]
             + [
                 "SELECT 'unique', 'BRONZE_ID', (SELECT count(*) - count(DISTINCT bronze_id) FROM silver)",
                 "SELECT 'accepted_values', 'SITE', (SELECT count(DISTINCT site) FROM silver WHERE site = 'other')",
-                "SELECT 'accepted_values', 'PROPERTY_TYPE', CAST(0 AS BIGINT)",
+                "SELECT 'accepted_values', 'PROPERTY_TYPE', (SELECT count(DISTINCT eid % 3) FROM silver WHERE eid % 41 = 0 "
+                f"AND eid % 97 <> {S.SILVER.not_null.index('PROPERTY_TYPE')})",
             ]
         ),
         "silver",
     ),
 )
 def _(spark, sf):
-    return C.run_contract(X.silver(spark, sf), S.SILVER)
+    # Each column is emptied in some rows, and some rows have a type that is none.
+    silver = X.silver(spark, sf).withColumn("_eid", F.col("BRONZE_ID").cast("bigint"))
+    odd = F.when(F.col("_eid") % 41 == 0, F.concat(F.lit("castle-"), F.col("_eid") % 3)).otherwise(F.col("PROPERTY_TYPE"))
+    silver = silver.withColumn("PROPERTY_TYPE", odd)
+    holes = {c: F.when(F.col("_eid") % 97 != i, F.col(c)) for i, c in enumerate(S.SILVER.not_null)}
+    return C.run_contract(silver.withColumns(holes), S.SILVER)
 
 
 @case("run_date_scope", Q.query(_FACT_SQL + " WHERE d = (SELECT d FROM last_day)", "fact", "last_day"))

@@ -41,6 +41,14 @@ FROM bronze GROUP BY ALL
 """
 
 
+@case("scan_snapshot_table", Q.query(_BLOB_ROWS, "bronze"))
+def _(spark, sf):
+    listings = N.parse_snapshot_json(_snapshot_table(spark, sf))
+    return listings.groupBy("blob", "site", "city", "property_type", "page", "file_date").agg(
+        F.count("*").alias("listings")
+    )
+
+
 @case("scan_snapshots", Q.query(_BLOB_ROWS, "bronze"))
 def _(spark, sf):
     listings = N.parse_snapshot_json(_snapshot_table(spark, sf))
@@ -308,24 +316,78 @@ def _(spark, sf):
     return url_lineage(X.listing_pages(spark, sf)).select("page_id", "site", "state", "city", "property_type", "page")
 
 
+_SNAPSHOTS_SQL = """
+SELECT 'dev/' || k.site || '/' || k.city || '/' || k.property_type || '/' || k.page || '/2026-01-01T00:00:00Z.json' AS blob,
+  '2026-01-01' AS file_date, b.id AS listing_id, b.description
+FROM kept_pages k JOIN bronze b ON b.uid = k.page_id AND b.block = k.block"""
+
+
+def _extracted(spark, sf):
+    pages = url_lineage(E.keep_last_per_id(E.extract_pages(X.listing_pages(spark, sf))))
+    return P.stop_at_first_empty_page(Staging(spark).keep(pages, "extracted"))
+
+
+def _written(spark, sf, times):
+    root = work_dir(spark, "snapshots")
+    for _ in range(times):
+        N.write_snapshots(N.snapshot_rows(_extracted(spark, sf), "dev", X.RUN_TS), root)
+    rows = N.parse_snapshot_json(N.scan_snapshot_table(spark, root, "2026-01-01"))
+    description = F.try_variant_get("listing", "$.description", "string")
+    return rows.select("blob", "file_date", F.col("listing_key").alias("listing_id"), description.alias("description"))
+
+
+@case("write_snapshots", Q.query(_SNAPSHOTS_SQL, "kept_pages"))
+def _(spark, sf):
+    return _written(spark, sf, 1)
+
+
+@case("write_snapshots_retry", Q.query(_SNAPSHOTS_SQL, "kept_pages"))
+def _(spark, sf):
+    # The same run lands twice; each snapshot is there once.
+    return _written(spark, sf, 2)
+
+
 @case(
-    "write_snapshots",
+    "quarantine_listings",
     Q.query(
         """
 SELECT 'dev/' || k.site || '/' || k.city || '/' || k.property_type || '/' || k.page || '/2026-01-01T00:00:00Z.json' AS blob,
-  '2026-01-01' AS file_date, b.id AS listing_id, b.description
-FROM kept_pages k JOIN bronze b ON b.uid = k.page_id AND b.block = k.block""",
-        "kept_pages",
+  count(*) FILTER (l.pos % 4 <> 3) AS kept, count(*) FILTER (l.pos % 4 = 3) AS lost
+FROM kept_pages k JOIN listed l ON l.page_id = k.page_id AND l.block = k.block GROUP BY ALL""",
+        "kept_pages", "listed",
     ),
 )
 def _(spark, sf):
-    pages = url_lineage(E.keep_last_per_id(E.extract_pages(X.listing_pages(spark, sf))))
-    pages = Staging(spark).keep(pages, "extracted")
+    # Every fourth listing of a page loses its id: it is in the quarantine, the others in the snapshot.
+    drop = lambda e: F.struct(e["pos"].alias("pos"), F.when(e["pos"] % 4 != 3, e["id"]).alias("id"), e["item"].alias("item"))
+    pages = Staging(spark).keep(_extracted(spark, sf).withColumn("elements", F.transform("elements", drop)), "without_ids")
     root = work_dir(spark, "snapshots")
-    N.write_snapshots(N.snapshot_rows(P.stop_at_first_empty_page(pages), "dev", X.RUN_TS), root)
-    rows = N.parse_snapshot_json(N.scan_snapshot_table(spark, root, "2026-01-01"))
-    description = F.try_variant_get("listing", "$.description", "string")
-    return rows.select("blob", "file_date", F.col("listing_key").alias("listing_id"), description.alias("description"))
+    N.write_snapshots(N.snapshot_rows(pages, "dev", X.RUN_TS), root)
+    N.write_quarantine(N.listings_without_id(pages, "dev", X.RUN_TS), root)
+    kept = N.parse_snapshot_json(N.scan_snapshot_table(spark, root)).select("blob", F.lit(1).alias("kept"), F.lit(0).alias("lost"))
+    lost = N.scan_quarantine(spark, root).select("blob", F.lit(0).alias("kept"), F.lit(1).alias("lost"))
+    return kept.unionAll(lost).groupBy("blob").agg(F.sum("kept").alias("kept"), F.sum("lost").alias("lost"))
+
+
+@case(
+    "quarantine_snapshots",
+    Q.query(
+        """
+SELECT blob, CASE WHEN page % 5 = 0 THEN 0 ELSE count(*) END AS loaded, CASE WHEN page % 5 = 0 THEN 1 ELSE 0 END AS unreadable
+FROM bronze GROUP BY blob, page""",
+        "bronze",
+    ),
+)
+def _(spark, sf):
+    # Every fifth page's snapshot is cut off: one unreadable entry instead of its listings.
+    rows = X.snapshot_payloads(spark, sf).select("blob", "payload").withColumn("modified_ts", F.lit(X.RUN_TS).cast("timestamp"))
+    cut = F.when(F.col("page") % 5 == 0, F.expr("left(payload, length(payload) - 1)")).otherwise(F.col("payload"))
+    snapshots = N.path_lineage(rows).withColumn("payload", cut)
+    every = B.raw_bronze_rows(snapshots, snapshots.select("blob"), X.RUN_TS, X.VERSION)
+    return every.groupBy(F.col("SRC_BLOB").alias("blob")).agg(
+        F.count_if(F.col(B.REASON).isNull()).alias("loaded"),
+        F.count_if(F.col(B.REASON) == B.UNREADABLE).alias("unreadable"),
+    )
 
 
 # ---------------------------------------------------------------------------

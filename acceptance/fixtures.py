@@ -11,7 +11,7 @@ from hearthlake import schemas as S
 from hearthlake.plans.bronze import with_partition
 from hearthlake.plans.silver import silver_listings
 from hearthlake.session import work_dir
-from hearthlake.sources.pages import scan_raw_pages, spread
+from hearthlake.sources.pages import scan_raw_pages
 from hearthlake.sources.tables import Lake
 
 RUN_TS = "2026-01-01 00:00:00"
@@ -20,8 +20,8 @@ RUN_TS_VALUE = datetime(2026, 1, 1)
 VERSION = "v0"
 
 #: A page or snapshot draws its listings from one block of this many event ids, so
-#: its size is bounded however many events one user or search has.
-BLOCK = 65536
+#: its size is bounded and the number of pages grows with the events, at every size.
+BLOCK = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,11 +29,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event with its user's place, and the scalar parts of a listing."""
+    """Every event with its user's place, and the scalar parts of a listing.
+
+    Prices are coarse and a region has one street, so many listings of a day are the same
+    home, on one site and on several, also with ties in run time.
+    """
     events, customer, nation, region = (table(spark, sf_dir, t) for t in ("events", "customer", "nation", "region"))
     joined = (
-        spread(events, "event_id")
-        .join(customer, F.col("user_id") == F.col("c_custkey"))
+        events.join(customer, F.col("user_id") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
@@ -45,14 +48,14 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type",
         "value",
         "props",
-        "CASE WHEN event_id % 7 <> 0 THEN lower(c_mktsegment) || '-' || event_type END AS name",
+        "CASE WHEN event_id % 7 <> 0 THEN lower(c_mktsegment) || element_at(array('-', '/', ' ', '_'), CAST(event_id % 4 + 1 AS int)) || event_type END AS name",
         "CASE WHEN event_id % 50 <> 0 THEN 'https://example.com/l/' || user_id END AS url",
         "CASE WHEN event_id % 13 <> 0 THEN c_name END AS description",
         "CASE WHEN event_id % 3 <> 0 THEN event_id % 2 = 0 END AS pets",
-        "CASE WHEN event_id % 17 <> 0 THEN event_id % 5 END AS rooms",
-        "CASE WHEN event_id % 17 <> 0 THEN event_id % 4 END AS bedrooms",
-        "CASE WHEN event_id % 17 <> 0 THEN event_id % 3 END AS bathrooms",
-        "CASE WHEN event_id % 11 <> 0 THEN n_name END AS street",
+        "CASE WHEN event_id % 17 <> 0 THEN event_id % 2 END AS rooms",
+        "CASE WHEN event_id % 17 <> 0 THEN event_id % 2 END AS bedrooms",
+        "CASE WHEN event_id % 17 <> 0 THEN event_id % 2 END AS bathrooms",
+        "CASE WHEN event_id % 11 <> 0 THEN r_name END AS street",
         "n_name AS locality",
         "r_name AS region",
         "CAST(event_id % 5 + 0.5 AS double) AS size",
@@ -62,7 +65,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
              named_struct('NAME', CASE WHEN event_id % 31 <> 0 THEN event_type END, 'VALUE', props),
              named_struct('NAME', lower(c_mktsegment), 'VALUE', props)),
            1, CAST(event_id % 3 AS int)) AS amenities""",
-        "CASE WHEN event_id % 41 <> 0 THEN value END AS price",
+        "CASE WHEN event_id % 41 <> 0 THEN CAST(floor(value / 25) * 25 + 25 AS double) END AS price",
         "CASE WHEN event_id % 37 = 0 THEN 'USD' ELSE 'BRL' END AS currency",
         "CASE WHEN event_id % 5 <> 0 THEN 'InStock' END AS availability",
         "'https://example.com/a/' || user_id AS target",
@@ -217,7 +220,7 @@ def snapshot_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build_snapshot_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the snapshot table: the events of one search page and date as one
-    JSON object (at most BLOCK of them)."""
+    JSON object (some of one block)."""
     item = ITEM.format(id="CAST(eid AS string)")
     keyed = raw_events(spark, sf_dir).selectExpr(
         "d AS file_date", "site", "city", "property_type", "page", "blob",

@@ -60,8 +60,8 @@ SELECT e.event_id AS eid, e.user_id AS uid, e.ts, CAST(e.ts AS DATE) AS d, e.eve
   CASE e.event_id % 3 WHEN 0 THEN 'zapimoveis' WHEN 1 THEN 'vivareal' ELSE 'other' END AS site,
   lower(r.r_name) AS city,
   CASE WHEN e.event_id % 2 = 0 THEN 'apartment' ELSE 'house' END AS kind,
-  e.event_id // 65536 AS block,
-  (e.event_id // 6) % 10 + 1 + 10 * (e.event_id // 65536) AS page
+  e.event_id // 4096 AS block,
+  (e.event_id // 6) % 10 + 1 + 10 * (e.event_id // 4096) AS page
 FROM events e
 JOIN customer c ON c.c_custkey = e.user_id
 JOIN nation n ON n.n_nationkey = c.c_nationkey
@@ -74,14 +74,14 @@ part(
     """
 SELECT eid, uid, d, ts, value, seg, event_type, props, n_name, r_name, site, city, kind, block, page,
   CAST(eid AS VARCHAR) AS id, CAST(uid AS VARCHAR) AS listing_id,
-  CASE WHEN eid % 7 <> 0 THEN seg || '-' || event_type END AS name,
+  CASE WHEN eid % 7 <> 0 THEN seg || list_extract(['-', '/', ' ', '_'], CAST(eid % 4 + 1 AS INTEGER)) || event_type END AS name,
   CASE WHEN eid % 50 <> 0 THEN 'https://example.com/l/' || uid END AS url,
   CASE WHEN eid % 13 <> 0 THEN c_name END AS description,
   CASE WHEN eid % 3 <> 0 THEN eid % 2 = 0 END AS pets,
-  CASE WHEN eid % 17 <> 0 THEN eid % 5 END AS rooms,
-  CASE WHEN eid % 17 <> 0 THEN eid % 4 END AS bedrooms,
-  CASE WHEN eid % 17 <> 0 THEN eid % 3 END AS bathrooms,
-  CASE WHEN eid % 19 <> 0 AND eid % 11 <> 0 THEN n_name END AS street,
+  CASE WHEN eid % 17 <> 0 THEN eid % 2 END AS rooms,
+  CASE WHEN eid % 17 <> 0 THEN eid % 2 END AS bedrooms,
+  CASE WHEN eid % 17 <> 0 THEN eid % 2 END AS bathrooms,
+  CASE WHEN eid % 19 <> 0 AND eid % 11 <> 0 THEN r_name END AS street,
   CASE WHEN eid % 19 <> 0 THEN n_name END AS locality,
   CASE WHEN eid % 19 <> 0 THEN r_name END AS region,
   CASE WHEN eid % 19 <> 0 THEN 'BR' END AS country,
@@ -91,7 +91,7 @@ SELECT eid, uid, d, ts, value, seg, event_type, props, n_name, r_name, site, cit
   CAST(eid % 3 AS BIGINT) AS n_amenities,
   CASE WHEN eid % 31 <> 0 THEN event_type END AS amenity_1,
   seg AS amenity_2,
-  CASE WHEN eid % 43 <> 0 AND eid % 41 <> 0 THEN value END AS price,
+  CASE WHEN eid % 43 <> 0 AND eid % 41 <> 0 THEN floor(value / 25) * 25 + 25 END AS price,
   CASE WHEN eid % 43 <> 0 THEN CASE WHEN eid % 37 = 0 THEN 'USD' ELSE 'BRL' END END AS currency,
   CASE WHEN eid % 43 <> 0 AND eid % 5 <> 0 THEN 'InStock' END AS availability,
   CASE WHEN eid % 43 <> 0 AND eid % 2 = 0 THEN 'https://example.com/a/' || uid END AS target,

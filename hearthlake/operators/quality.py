@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearthlake.schemas import TableSpec
 
@@ -52,6 +54,27 @@ def foreign_key(
     return counted.join(dimension.select(F.col(dimension_key).alias("value")), "value", "left_anti")
 
 
+def foreign_keys(fact: DataFrame, keys: Mapping[str, Column], dimensions: Mapping[str, DataFrame]) -> DataFrame:
+    """(fk, value, occurrences) of every key of the fact that its dimension lacks.
+
+    ``keys``: name -> the fact's key, or an array of keys. ``dimensions``: name -> the
+    dimension's key, one column. The fact is read once: all its keys are counted together,
+    so a hot key is one row in the join.
+    """
+    entry = lambda name, value: F.struct(F.lit(name).alias("fk"), value.alias("value"))
+    named = lambda name: lambda value: entry(name, value)
+    arrays = [
+        F.transform(key, named(name))
+        if isinstance(fact.select(key).schema[0].dataType, T.ArrayType)
+        else F.array(entry(name, key))
+        for name, key in keys.items()
+    ]
+    used = fact.select(F.inline(F.concat(*arrays))).where("value is not null")
+    counted = used.groupBy("fk", "value").agg(F.count("*").alias("occurrences"))
+    known = [d.select(F.lit(name).alias("fk"), F.col(d.columns[0]).alias("value")) for name, d in dimensions.items()]
+    return counted.join(reduce(DataFrame.unionByName, known), ["fk", "value"], "left_anti")
+
+
 def run_contract(df: DataFrame, spec: TableSpec) -> DataFrame:
     """(test, column, failures) for every test a table declares."""
     labelled = [not_null(df, spec.not_null).select(F.lit("not_null").alias("test"), "column", "failures")]

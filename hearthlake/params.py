@@ -12,6 +12,11 @@ ENVIRONMENTS = ("dev", "test", "prod")
 CITY_STATES = {"macae": "rj"}
 SITES = ("vivareal", "zapimoveis")
 PROPERTY_TYPES = ("apartment", "house")
+#: A snapshot that cannot be read stops the load, or is noted in the quarantine.
+UNREADABLE = ("raise", "quarantine")
+#: A repeated key that would update one row twice stops the model, or its first row
+#: (by page and id, or by its values) is taken.
+DUPLICATES = ("raise", "first")
 
 
 def _utc_now() -> datetime:
@@ -64,6 +69,8 @@ class RunParams:
     run_ts: datetime = field(default_factory=_utc_now)
     write_snapshots: bool = True
     write_bronze: bool = True
+    on_unreadable: str = "raise"
+    on_duplicate: str = "raise"
     cities: tuple[str, ...] = tuple(CITY_STATES)
 
     def __post_init__(self) -> None:
@@ -78,6 +85,8 @@ class RunParams:
         fix("file_date", _file_date(self.file_date, self.run_ts))
         fix("write_snapshots", _flag("write_snapshots", self.write_snapshots))
         fix("write_bronze", _flag("write_bronze", self.write_bronze))
+        fix("on_unreadable", _one("on_unreadable", self.on_unreadable, UNREADABLE))
+        fix("on_duplicate", _one("on_duplicate", self.on_duplicate, DUPLICATES))
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> RunParams:
@@ -91,6 +100,8 @@ class RunParams:
             max_page=env["MAX_PAGE"],
             version=env.get("VERSION", "unknown"),
             file_date=env.get("FILE_DATE"),
-            write_snapshots=env.get("UPLOAD_TO_GCS", "true"),
-            write_bronze=env.get("UPLOAD_TO_BQ", "true"),
+            write_snapshots=env.get("WRITE_SNAPSHOTS", "true"),
+            write_bronze=env.get("WRITE_BRONZE", "true"),
+            on_unreadable=env.get("ON_UNREADABLE", "raise"),
+            on_duplicate=env.get("ON_DUPLICATE", "raise"),
         )

@@ -18,11 +18,11 @@ from hearthlake.operators.paging import (
     skip_loaded,
 )
 from hearthlake.operators.scd import as_ts
-from hearthlake.sources.snapshots import parse_snapshot_json
+from hearthlake.sources.snapshots import parse_snapshots
 
 
-#: The members of a raw listing that bronze keeps. One cast reads them all in a
-#: single pass; a value that does not fit its type is NULL on its own.
+# The members of a raw listing that bronze keeps. One cast reads them all in
+# a single pass; a value that does not fit its type is NULL on its own.
 RAW_LISTING = """struct<
   `@id`: string, name: string, url: string, description: string, petsAllowed: boolean,
   numberOfRooms: bigint, numberOfBedrooms: bigint, numberOfBathroomsTotal: bigint,
@@ -115,8 +115,12 @@ def bronze_row_id(blob: Column, key: Column) -> Column:
 
 def flatten_listings(listings: DataFrame, run_ts: datetime | str, version: str) -> DataFrame:
     """Snapshot listings (see ``parse_snapshot_json``) -> the 23 bronze columns."""
+    return read_listing(listings).select(*_bronze_columns(run_ts, version))
+
+
+def _bronze_columns(run_ts: datetime | str, version: str) -> list[Column]:
     payload = listing_columns()
-    return read_listing(listings).select(
+    return [
         bronze_row_id(F.col("blob"), F.col("listing_key")).alias("ID"),
         *[column.alias(name) for name, column in payload.items()],
         F.col("blob").alias("SRC_BLOB"),
@@ -126,7 +130,7 @@ def flatten_listings(listings: DataFrame, run_ts: datetime | str, version: str)
         F.col("page").alias("SRC_PAGE_NUM"),
         F.col("executed_at").alias("SRC_EXECUTED_AT_TS"),
         *audit_columns(run_ts, version),
-    )
+    ]
 
 
 def audit_columns(run_ts: datetime | str, version: str) -> list[Column]:
@@ -152,24 +156,70 @@ def select_snapshots(
     return chosen if loaded is None else skip_loaded(chosen, loaded)
 
 
+#: Members of a raw listing that are objects if they are there.
+OBJECTS = ("address", "floorSize", "offers")
+UNREADABLE, NO_ID, NO_RUN_TIME, MISSHAPEN = "unreadable payload", "no id", "no run time", "not an object: "
+REASON = "REASON"
+
+
+class UnreadableSnapshotError(ValueError):
+    """A chosen snapshot is not exactly one JSON object."""
+
+
+def misshapen() -> Column:
+    """Names of the members that should be objects and are something else, comma-joined; NULL if none."""
+    listing = F.col("listing")
+    wrong = [
+        F.when(
+            member(listing, f"$.{name}", "variant").isNotNull()
+            & ~F.coalesce(F.is_variant_null(member(listing, f"$.{name}", "variant")), F.lit(False))
+            & member(listing, f"$.{name}", "map<string,variant>").isNull(),
+            name,
+        )
+        for name in OBJECTS
+    ]
+    return F.nullif(F.concat_ws(",", *wrong), F.lit(""))
+
+
 def raw_bronze_rows(snapshots: DataFrame, chosen: DataFrame, run_ts: datetime | str, version: str) -> DataFrame:
-    """Every listing of the chosen snapshots as a bronze row. The choice is made on
-    paths alone; the payloads are read once, here."""
+    """Every listing of the chosen snapshots as a bronze row, with its key, and for
+    those the table does not take the ``REASON`` and the listing's JSON. A snapshot that
+    cannot be read is one row. The choice is made on paths alone; the payloads are read
+    once, here."""
     wanted = snapshots.join(chosen.select("blob"), "blob", "left_semi")
-    return flatten_listings(parse_snapshot_json(wanted), run_ts, version)
+    reason = (
+        F.when(~F.col("readable"), UNREADABLE)
+        .when(F.col("raw.`@id`").isNull(), NO_ID)
+        .when(F.col("executed_at").isNull(), NO_RUN_TIME)
+        .when(F.col("wrong").isNotNull(), F.concat(F.lit(MISSHAPEN), "wrong"))
+    )
+    judged = read_listing(parse_snapshots(wanted)).withColumn("wrong", misshapen()).withColumn("reason", reason)
+    return judged.select(
+        *_bronze_columns(run_ts, version),
+        F.col("listing_key").alias("LISTING_KEY"),
+        F.when(F.col("reason").isNotNull(), F.to_json("listing")).alias("LISTING"),
+        F.col("reason").alias(REASON),
+    )
+
+
+def loadable(rows: DataFrame) -> DataFrame:
+    """The bronze rows among ``raw_bronze_rows``."""
+    return rows.where(F.col(REASON).isNull()).drop("LISTING_KEY", "LISTING", REASON)
 
 
-#: What the table takes: a listing id, and a run time read from the path.
-_LOADABLE = "LISTING_ID IS NOT NULL AND SRC_EXECUTED_AT_TS IS NOT NULL"
+def rejected(rows: DataFrame) -> DataFrame:
+    """What the table does not take: path, key, reason and the listing itself."""
+    lost = rows.where(F.col(REASON).isNotNull())
+    return lost.select("SRC_BLOB", "LISTING_KEY", REASON, "LISTING", F.to_date("AUD_INS_TS").alias(S.QUARANTINE_PARTITION))
 
 
 def bronze_rows(snapshots: DataFrame, chosen: DataFrame, run_ts: datetime | str, version: str) -> DataFrame:
-    return raw_bronze_rows(snapshots, chosen, run_ts, version).where(_LOADABLE)
+    return loadable(raw_bronze_rows(snapshots, chosen, run_ts, version))
 
 
 def rejected_rows(snapshots: DataFrame, chosen: DataFrame, run_ts: datetime | str, version: str) -> DataFrame:
     """The rows the table does not take, for a quarantine."""
-    return raw_bronze_rows(snapshots, chosen, run_ts, version).where(f"NOT ({_LOADABLE})")
+    return rejected(raw_bronze_rows(snapshots, chosen, run_ts, version))
 
 
 def with_partition(bronze: DataFrame) -> DataFrame:

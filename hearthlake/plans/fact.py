@@ -72,16 +72,34 @@ def amenity_bridge(fact: DataFrame, amenities: DataFrame) -> DataFrame:
     return links.join(amenities.select("AMENITIES_SK", "AMENITY_NAME", "AMENITY_VALUE"), "AMENITIES_SK")
 
 
+#: Digits kept of amounts and sizes while they are summed; more than any of them has.
+_SCALE = "decimal(38,10)"
+
+
 def price_trend(fact: DataFrame) -> DataFrame:
-    """Rent level per city, property type and date. Sums are decimal, so the result
-    does not depend on the order of the rows. A floor size of zero overall has no
-    price per square metre."""
-    money = lambda c: F.sum(F.col(c).cast("decimal(38,2)")).cast("double")
-    return fact.groupBy("CITY", "PROPERTY_TYPE", "SCRAPE_DATE").agg(
-        F.count("*").alias("LISTINGS"),
-        (money("PRICE_BRL") / F.count("*")).alias("AVG_PRICE_BRL"),
+    """Rent level per city, property type and date: mean, quartiles and range of the price.
+
+    Sums are decimal, so the result does not depend on the order of the rows, and no value
+    is rounded before. Rows are first counted per price, so a city that holds most rows is
+    only as large as it has prices when the quartiles are taken (interpolated, six digits). A floor size of zero
+    overall has no price per square metre.
+    """
+    place = ["CITY", "PROPERTY_TYPE", "SCRAPE_DATE"]
+    exact = lambda c: F.sum(F.col(c).cast(_SCALE))
+    per_price = fact.groupBy(*place, "PRICE_BRL").agg(
+        F.count("*").alias("n"), *[exact(c).alias(c.lower()) for c in ("CONDO_FEE_BRL", "FLOOR_SIZE_M2")]
+    )
+    total = lambda c: F.sum(c).cast("double")
+    price = F.sum(F.col("PRICE_BRL").cast("decimal(24,10)") * F.col("n").cast("decimal(12,0)")).cast("double")
+    quartiles = F.percentile("PRICE_BRL", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n"))
+    out = per_price.groupBy(*place).agg(
+        F.sum("n").alias("LISTINGS"),
+        (price / F.sum("n")).alias("AVG_PRICE_BRL"),
         F.min("PRICE_BRL").alias("MIN_PRICE_BRL"),
         F.max("PRICE_BRL").alias("MAX_PRICE_BRL"),
-        (money("CONDO_FEE_BRL") / F.count("*")).alias("AVG_CONDO_FEE_BRL"),
-        F.try_divide(money("PRICE_BRL"), money("FLOOR_SIZE_M2")).alias("PRICE_PER_M2_BRL"),
+        quartiles.alias("quartiles"),
+        (total("condo_fee_brl") / F.sum("n")).alias("AVG_CONDO_FEE_BRL"),
+        F.try_divide(price, total("floor_size_m2")).alias("PRICE_PER_M2_BRL"),
     )
+    named = [F.round(F.col("quartiles")[i], 6).alias(name) for i, name in enumerate(("Q1_PRICE_BRL", "MEDIAN_PRICE_BRL", "Q3_PRICE_BRL"))]
+    return out.select("*", *named).drop("quartiles")

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from hearthlake import schemas as S
 from hearthlake.operators import extract, paging
 from hearthlake.operators.merge import merge_upsert, require_mergeable
+from hearthlake.operators.pick import first_per_key
 from hearthlake.params import RunParams
 from hearthlake.plans import bronze as bronze_plan
-from hearthlake.plans.dimensions import ALL
+from hearthlake.plans.dimensions import ALL, Dimension
 from hearthlake.plans.fact import fact_listings
 from hearthlake.plans.silver import silver_listings
 from hearthlake.session import Staging
@@ -22,6 +23,7 @@ from hearthlake.sources.pages import url_lineage
 from hearthlake.sources.tables import Lake, latest_date_with
 
 BRONZE_TABLE = "bronze_listings"
+QUARANTINE_TABLE = "bronze_quarantine"
 _BRONZE_CLUSTER = ("SRC_SITE_NAME", "SRC_CITY_NAME", "SRC_PROPERTY_TYPE_CAT", "SRC_PAGE_NUM")
 
 
@@ -53,6 +55,7 @@ def land_snapshots(pages: DataFrame, root: str, params: RunParams, stage: Stagin
     rows = snapshot_source.snapshot_rows(kept, params.environment, params.run_ts)
     if params.write_snapshots:
         snapshot_source.write_snapshots(rows, root)
+        snapshot_source.write_quarantine(snapshot_source.listings_without_id(kept, params.environment, params.run_ts), root)
     return rows
 
 
@@ -69,6 +72,9 @@ def load_bronze(
 
     ``paths`` lists the snapshots without their payloads, where that is cheaper to
     get than from ``snapshots``. ``file_date`` is their date, if it is one.
+    Listings the table does not take go to the quarantine table, with their reason. A
+    chosen snapshot that cannot be read stops the load before anything is written,
+    unless the run says that it is to be noted there too.
     """
     paths = snapshots.drop("payload") if paths is None else paths
     loaded = None
@@ -77,12 +83,38 @@ def load_bronze(
         loaded = paging.loaded_blobs(lake.read(BRONZE_TABLE, partition, file_date))
     chosen = bronze_plan.select_snapshots(paths, loaded, params.start_page, params.max_page).select("blob")
     # Kept so that its true size decides how the payloads are matched.
-    rows = bronze_plan.bronze_rows(snapshots, stage.keep(chosen, "chosen"), params.run_ts, params.version)
+    every = bronze_plan.raw_bronze_rows(snapshots, stage.keep(chosen, "chosen"), params.run_ts, params.version)
+    every = stage.keep(every, "bronze")
+    lost, rows = bronze_plan.rejected(every), bronze_plan.loadable(every)
+    if params.on_unreadable == "raise":
+        broken = lost.where(F.col(bronze_plan.REASON) == bronze_plan.UNREADABLE).select("SRC_BLOB").head(3)
+        if broken:
+            raise bronze_plan.UnreadableSnapshotError(", ".join(r[0] for r in broken))
     if params.write_bronze:
+        quarantine(lake, lost)
         lake.append(bronze_plan.with_partition(rows), BRONZE_TABLE, S.BRONZE_PARTITION, _BRONZE_CLUSTER)
     return rows
 
 
+def quarantine(lake: Lake, lost: DataFrame) -> None:
+    """Note rejected listings, each once however often its snapshot is looked at."""
+    keys = ["SRC_BLOB", "LISTING_KEY", bronze_plan.REASON]
+    if lake.exists(QUARANTINE_TABLE):
+        known = lake.read(QUARANTINE_TABLE).select(*keys).alias("k")
+        same = [F.col(f"l.{c}").eqNullSafe(F.col(f"k.{c}")) for c in keys]
+        lost = lost.alias("l").join(known, same, "left_anti")
+    if not lost.isEmpty():
+        lake.append(lost, QUARANTINE_TABLE, S.QUARANTINE_PARTITION, ("SRC_BLOB",))
+
+
+def first_row(columns: Sequence[str], params: RunParams) -> list[Column] | None:
+    """The order that settles a repeated key, if the run asks for one."""
+    if params.on_duplicate == "raise":
+        return None
+    lead = [c for c in ("PAGE", "BRONZE_ID") if c in columns]
+    return [F.col(c).asc_nulls_last() for c in [*lead, *[c for c in columns if c not in lead]]]
+
+
 def upsert_date(
     lake: Lake,
     rows: DataFrame,
@@ -111,28 +143,29 @@ def build_silver(lake: Lake, params: RunParams, stage: Staging) -> None:
         sites=params.sites,
         property_types=params.property_types,
     )
-    upsert_date(lake, rows, S.SILVER, params.file_date, stage)
+    upsert_date(lake, rows, S.SILVER, params.file_date, stage, first_row(S.SILVER_COLUMNS, params))
 
 
-def build_dimensions(lake: Lake, params: RunParams, stage: Staging) -> None:
-    """Each dimension: a first load, or its next version from the latest scrape."""
+def build_dimension(lake: Lake, dim: Dimension, params: RunParams, stage: Staging) -> None:
+    """A dimension's first load, or its next version from the latest scrape."""
     name, partition = S.SILVER.name, S.SILVER.partition
-    for dim in ALL:
-        target = lake.current(dim.spec.name)
-        if target is None:
-            rows = dim.full(lake.read(name), params.run_ts)
-        else:
-            # No date at all has any: the latest scrape is empty and every key vanished.
-            newest = latest_date_with(lake, name, partition, dim.counts or "true")
-            latest = stage.keep(dim.rows_of(lake.read(name, partition, newest)), dim.spec.name)
-            source = require_mergeable(target, latest, dim.spec.keys)
-            rows = dim.next_version(source, target, params.run_ts)
-        lake.publish(rows, dim.spec.name, dim.spec.cluster)
+    target = lake.current(dim.spec.name)
+    if target is None:
+        rows = dim.full(lake.read(name), params.run_ts)
+    else:
+        # No date at all has any: the latest scrape is empty and every key vanished.
+        newest = latest_date_with(lake, name, partition, dim.counts)
+        latest = dim.rows_of(lake.read(name, partition, newest))
+        order = first_row(latest.columns, params)
+        latest = latest if order is None else first_per_key(latest, dim.spec.keys, order)
+        source = require_mergeable(target, stage.keep(latest, dim.spec.name), dim.spec.keys)
+        rows = dim.next_version(source, target, params.run_ts)
+    lake.publish(rows, dim.spec.name, dim.spec.cluster)
 
 
 def build_fact(lake: Lake, params: RunParams, stage: Staging) -> None:
     silver = lake.read(S.SILVER.name, S.SILVER.partition, params.file_date)
-    upsert_date(lake, fact_listings(silver, params.run_ts), S.FACT, params.file_date, stage)
+    upsert_date(lake, fact_listings(silver, params.run_ts), S.FACT, params.file_date, stage, first_row(S.FACT_COLUMNS, params))
 
 
 def load_landed(lake: Lake, root: str, params: RunParams, stage: Staging, layout: str = "table") -> DataFrame:
@@ -157,8 +190,18 @@ def load_landed(lake: Lake, root: str, params: RunParams, stage: Staging, layout
 
 
 def build_gold(lake: Lake, params: RunParams, stage: Staging) -> None:
-    build_dimensions(lake, params, stage)
-    build_fact(lake, params, stage)
+    """The dimensions and the fact. They read silver only, so one that fails does not
+    hold back the others; what failed is raised at the end."""
+    failed = []
+    for build in [*[lambda d=d: build_dimension(lake, d, params, stage) for d in ALL], lambda: build_fact(lake, params, stage)]:
+        try:
+            build()
+        except Exception as error:  # noqa: BLE001  (all are raised below)
+            failed.append(error)
+    if len(failed) == 1:
+        raise failed[0]
+    if failed:
+        raise ExceptionGroup("gold models failed", failed)
 
 
 def run(lake: Lake, pages: DataFrame | None, snapshot_root: str, params: RunParams, layout: str = "table") -> None:

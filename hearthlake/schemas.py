@@ -56,6 +56,8 @@ BRONZE = T.StructType(
 #: Stored next to the bronze columns: Spark prunes files on a partition column,
 #: not on a date computed from SRC_EXECUTED_AT_TS.
 BRONZE_PARTITION = "SRC_EXECUTED_DATE"
+#: Date of the run that rejected a listing.
+QUARANTINE_PARTITION = "REJECTED_ON_DT"
 
 # What silver puts in place of a missing value.
 DEFAULT_TEXT = "unknown"
@@ -71,17 +73,21 @@ FACT_CURRENCY = "BRL"
 FACT_FLOOR_UNIT = "M2"
 FACT_FEE_NAME = "Condominium Fee"
 
-SILVER_COLUMNS = (
-    "BRONZE_ID LISTING_ID LISTING_NAME URL DESCRIPTION PETS_ALLOWED ROOMS BEDROOMS BATHROOMS "
-    "STREET_ADDRESS LOCALITY REGION COUNTRY FLOOR_SIZE FLOOR_SIZE_UNIT_CODE IMAGES AMENITY_FEATURES "
-    "PRICE PRICE_CURRENCY AVAILABILITY OFFERS_NAME OFFERS_PRICE OFFERS_PRICE_CURRENCY "
-    "OFFERS_PRICE_PERIOD SITE CITY PROPERTY_TYPE PAGE SCRAPE_DATE AUD_INS_TS AUD_UPD_TS"
-).split()
-
-FACT_COLUMNS = (
-    "BRONZE_ID LISTING_ID ADDRESS_SK IMAGES_SK AMENITIES_SKS SITE CITY PROPERTY_TYPE PAGE SCRAPE_DATE "
-    "PETS_ALLOWED ROOMS BEDROOMS BATHROOMS FLOOR_SIZE_M2 PRICE_BRL CONDO_FEE_BRL AUD_INS_TS AUD_UPD_TS"
-).split()
+# The columns of the silver table.
+SILVER_COLUMNS = [
+    "BRONZE_ID", "LISTING_ID", "LISTING_NAME", "URL", "DESCRIPTION", "PETS_ALLOWED", "ROOMS", "BEDROOMS",
+    "BATHROOMS", "STREET_ADDRESS", "LOCALITY", "REGION", "COUNTRY", "FLOOR_SIZE", "FLOOR_SIZE_UNIT_CODE",
+    "IMAGES", "AMENITY_FEATURES", "PRICE", "PRICE_CURRENCY", "AVAILABILITY", "OFFERS_NAME", "OFFERS_PRICE",
+    "OFFERS_PRICE_CURRENCY", "OFFERS_PRICE_PERIOD", "SITE", "CITY", "PROPERTY_TYPE", "PAGE", "SCRAPE_DATE",
+    "AUD_INS_TS", "AUD_UPD_TS",
+]
+
+# The columns of the fact table.
+FACT_COLUMNS = [
+    "BRONZE_ID", "LISTING_ID", "ADDRESS_SK", "IMAGES_SK", "AMENITIES_SKS", "SITE", "CITY", "PROPERTY_TYPE",
+    "PAGE", "SCRAPE_DATE", "PETS_ALLOWED", "ROOMS", "BEDROOMS", "BATHROOMS", "FLOOR_SIZE_M2", "PRICE_BRL",
+    "CONDO_FEE_BRL", "AUD_INS_TS", "AUD_UPD_TS",
+]
 
 ADDRESS_COLUMNS = ["STREET_ADDRESS", "LOCALITY", "REGION", "COUNTRY"]
 

@@ -24,21 +24,14 @@ TYPE_SLUGS = {
 }
 
 
-#: A scan of at most this many partitions (each of spark.sql.files.maxPartitionBytes
-#: or one row group) is small enough to be shuffled for the sake of more cores. A
-#: larger one is busy already, and moving it would cost more than it gains.
-SPREAD_LIMIT = 16
+def scan_raw_pages(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """(page_id, url, html) of every landed page.
 
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give CPU-bound work behind a small scan one partition per core."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < min(cores, SPREAD_LIMIT) else df
-
-
-def scan_raw_pages(spark: SparkSession, path: str) -> DataFrame:
-    """(page_id, url, html) of every landed page."""
-    return spread(spark.read.parquet(path).select("page_id", "url", "html"), "page_id")
+    Tasks follow the file splits (``spark.sql.files.maxPartitionBytes``);
+    ``partitions`` deals the pages out anew, for few files and many cores.
+    """
+    pages = spark.read.parquet(path).select("page_id", "url", "html")
+    return pages if partitions is None else pages.repartition(partitions)
 
 
 def url_lineage(pages: DataFrame, url: str = "url") -> DataFrame:

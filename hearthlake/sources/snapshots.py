@@ -4,9 +4,9 @@ Two layouts hold the same thing and scan to the same columns
 (``blob``, ``payload``, ``modified_ts`` and the parts of the path):
 
 * files  ``env/site/city/property_type/page/<run time>.json``, as scrapers land them;
-* a table partitioned by date and sorted by search and page, as written here. A
-  directory per page would mean one tiny file per page. Parquet by default, so
-  that choosing paths does not read the payloads; JSON lines on request.
+* a table with a folder per date, search and run, as written here. A directory per
+  page would mean one tiny file per page. Parquet by default, so that choosing paths
+  does not read the payloads; JSON lines on request.
 """
 
 from __future__ import annotations
@@ -17,13 +17,19 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthlake.functions import member, parse_stem_ts
-from hearthlake.operators.extract import OK
+from hearthlake.functions import member, parse_json_strict, parse_stem_ts
+from hearthlake.operators.extract import OK, explode_listings, split_by_id
 from hearthlake.operators.scd import as_ts
 from hearthlake.sources.tables import clustered, path_exists
 
-TABLE_COLUMNS = "file_date date, site string, city string, property_type string, page bigint, blob string, payload string"
-_CLUSTER = ("site", "city", "property_type", "page")
+#: What the table is partitioned by: a run of one search lies in one folder.
+RUN_KEYS = ("file_date", "environment", "site", "city", "property_type", "run")
+TABLE_COLUMNS = (
+    "page bigint, blob string, payload string, "
+    "file_date date, environment string, site string, city string, property_type string, run string"
+)
+#: Listings that no snapshot can hold, below the snapshots; readers pass over it.
+QUARANTINE = "_quarantine"
 
 
 def path_lineage(df: DataFrame, blob: str = "blob") -> DataFrame:
@@ -59,8 +65,9 @@ def _files(spark: SparkSession, root: str | list[str], fmt: str, file_date: date
 
 
 def _blob() -> Column:
-    """The last six parts of the file's path."""
-    return F.regexp_extract("_metadata.file_path", r"((?:[^/]+/){5}[^/]+)$", 1)
+    """The last six parts of the file's path, as they were named (the path is an URL)."""
+    encoded = F.regexp_extract("_metadata.file_path", r"((?:[^/]+/){5}[^/]+)$", 1)
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
 def list_snapshots(
@@ -88,40 +95,107 @@ def scan_snapshots(
 def scan_snapshot_table(
     spark: SparkSession, root: str, file_date: date | str | None = None, fmt: str = "parquet"
 ) -> DataFrame:
-    """Snapshots written by ``write_snapshots``; a date prunes partitions."""
+    """Snapshots written by ``write_snapshots``. Date, environment, site, city and
+    property type are folders, so a filter on them prunes."""
     table = spark.read.schema(TABLE_COLUMNS).format(fmt).load(root)
     if file_date:
         table = table.where(F.col("file_date") == F.lit(str(file_date)).cast("date"))
-    return path_lineage(
-        table.select("blob", "payload", F.col("_metadata.file_modification_time").alias("modified_ts"))
+    return table.select(
+        "blob",
+        "payload",
+        F.col("_metadata.file_modification_time").alias("modified_ts"),
+        "environment",
+        "site",
+        "city",
+        "property_type",
+        "page",
+        parse_stem_ts(F.col("run")).alias("executed_at"),
+        "file_date",
     )
 
 
-def snapshot_rows(extracted: DataFrame, environment: str, run_ts: datetime | str) -> DataFrame:
-    """One snapshot per good page, its listings keyed by id (ids unique per page)."""
-    keyed = F.filter("elements", lambda e: e["id"].isNotNull())
-    as_object = F.map_from_entries(F.transform(keyed, lambda e: F.struct(e["id"], e["item"])))
+def _place(environment: str, run_ts: datetime | str) -> list[Column]:
+    """Date, search, page and path of a page's snapshot."""
     stem = F.date_format(as_ts(run_ts), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     folder = F.concat_ws("/", F.lit(environment), "site", "city", "property_type", F.col("page").cast("string"))
-    return extracted.where(F.col("status") == OK).select(
+    return [
         F.to_date(as_ts(run_ts)).alias("file_date"),
-        "site",
-        "city",
-        "property_type",
+        F.col("site"),
+        F.col("city"),
+        F.col("property_type"),
         F.col("page").cast("bigint").alias("page"),
         F.concat(folder, F.lit("/"), stem, F.lit(".json")).alias("blob"),
-        F.to_json(as_object).alias("payload"),
+    ]
+
+
+def snapshot_rows(extracted: DataFrame, environment: str, run_ts: datetime | str) -> DataFrame:
+    """One snapshot per good page, its listings keyed by id (ids unique per page).
+    Listings without an id are in ``listings_without_id``."""
+    keyed = F.filter("elements", lambda e: e["id"].isNotNull())
+    as_object = F.map_from_entries(F.transform(keyed, lambda e: F.struct(e["id"], e["item"])))
+    return extracted.where(F.col("status") == OK).select(*_place(environment, run_ts), F.to_json(as_object).alias("payload"))
+
+
+def listings_without_id(extracted: DataFrame, environment: str, run_ts: datetime | str) -> DataFrame:
+    """The listings of good pages that a snapshot cannot key, with their page and position."""
+    _, lost = split_by_id(explode_listings(extracted.where(F.col("status") == OK)))
+    return lost.select(*_place(environment, run_ts), "pos", F.to_json("listing").alias("listing"), F.lit("no id").alias("reason"))
+
+
+def _keyed_by_run(rows: DataFrame) -> DataFrame:
+    return rows.withColumns(
+        {"environment": F.split_part("blob", F.lit("/"), F.lit(1)), "run": F.regexp_extract("blob", r"([^/]+)\.[^./]*$", 1)}
     )
 
 
+def _replace_runs(rows: DataFrame, root: str, fmt: str) -> None:
+    clustered(rows, RUN_KEYS, ("page",)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *RUN_KEYS
+    ).format(fmt).save(root)
+
+
 def write_snapshots(rows: DataFrame, root: str, fmt: str = "parquet") -> None:
-    """Append snapshots, in files of even size however many pages one search has."""
-    clustered(rows, "file_date", _CLUSTER).write.mode("append").partitionBy("file_date").format(fmt).save(root)
+    """Write snapshots; one that lies there under the same path is replaced.
+
+    Only the folders of the rows' own runs are read and written again, so a step that
+    is repeated leaves each snapshot once. ``rows`` is used more than once.
+    """
+    new = _keyed_by_run(rows)
+    spark = rows.sparkSession
+    if path_exists(spark, root):
+        old = spark.read.schema(TABLE_COLUMNS).format(fmt).load(root)
+        same_run = old.join(new.select(*RUN_KEYS).distinct(), list(RUN_KEYS), "left_semi")
+        new = new.unionByName(same_run.join(new.select("blob"), "blob", "left_anti"))
+    _replace_runs(new, root, fmt)
+
+
+def write_quarantine(lost: DataFrame, root: str) -> None:
+    """Write the listings that no snapshot holds; those of a repeated run are replaced."""
+    _replace_runs(_keyed_by_run(lost), f"{root}/{QUARANTINE}", "parquet")
+
+
+def scan_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/{QUARANTINE}")
+
+
+def _entries() -> Column:
+    """The payload's listings by key; NULL where it is not exactly one JSON object."""
+    return member(F.get(parse_json_strict(F.array("payload")), F.lit(0)), "$", "map<string,variant>")
 
 
 def parse_snapshot_json(snapshots: DataFrame) -> DataFrame:
     """One row per listing of a snapshot: its key and the raw listing. A payload
-    that is no JSON object gives no rows."""
-    entries = member(F.try_parse_json("payload"), "$", "map<string,variant>")
+    that is no JSON object gives no rows; see ``parse_snapshots``."""
     keep = [c for c in snapshots.columns if c != "payload"]
-    return snapshots.select(*keep, F.explode(entries).alias("listing_key", "listing"))
+    return snapshots.select(*keep, F.explode(_entries()).alias("listing_key", "listing"))
+
+
+def parse_snapshots(snapshots: DataFrame) -> DataFrame:
+    """``parse_snapshot_json`` plus ``readable``: a payload that is not exactly one
+    JSON object gives a single row without a listing that is not readable."""
+    keep = [c for c in snapshots.columns if c != "payload"]
+    parsed = snapshots.withColumn("_entries", _entries())
+    rows = parsed.select(
+        *keep, F.col("_entries").isNotNull().alias("readable"), F.explode_outer("_entries").alias("listing_key", "listing")
+    )
+    return rows.where("listing_key is not null or not readable")

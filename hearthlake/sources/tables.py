@@ -11,20 +11,22 @@ import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 _SCHEMA_FILE = "_columns.json"
 
 
-def clustered(df: DataFrame, partition: str, cluster: Sequence[str]) -> DataFrame:
+def clustered(df: DataFrame, partition: str | Sequence[str], cluster: Sequence[str]) -> DataFrame:
     """Even files, sorted by the cluster columns so that readers skip row groups.
 
-    ``rebalance`` splits an oversized partition and joins small ones at run time;
-    a plain repartition by date would write a day with a single task.
+    Rows are dealt by the folder they go to, so that a write of many dates does not put
+    a file of every task into every date; ``rebalance`` splits the tasks of an oversized
+    date and joins small ones at run time.
     """
-    layout = [partition, *cluster]
-    return df.hint("rebalance", *layout).sortWithinPartitions(*layout)
+    folders = [partition] if isinstance(partition, str) else [*partition]
+    return df.hint("rebalance", *folders).sortWithinPartitions(*folders, *cluster)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -98,16 +100,18 @@ class Lake:
         return sorted(c[len(prefix):] for c in self._children(self.path(name)) if c.startswith(prefix))
 
     def append(self, df: DataFrame, name: str, partition: str, cluster: Sequence[str] = ()) -> None:
-        self._remember_schema(df, name)
         clustered(df, partition, cluster).write.mode("append").partitionBy(partition).parquet(self.path(name))
+        self._remember_schema(df, name)
 
     def overwrite_partitions(self, df: DataFrame, name: str, partition: str, cluster: Sequence[str] = ()) -> None:
         """Replace exactly the dates that occur in ``df``.
 
         Files are written aside and moved in when the job commits, so ``df`` may
-        read the same table and a failed job leaves the old dates alone.
+        read the same table, and a job that fails before its commit leaves the old dates
+        alone. The commit itself swaps one date after the other: if the driver is lost
+        right then, a date may be missing until the run is repeated. The columns are
+        noted last.
         """
-        self._remember_schema(df, name)
         (
             clustered(df, partition, cluster)
             .write.mode("overwrite")
@@ -115,6 +119,7 @@ class Lake:
             .partitionBy(partition)
             .parquet(self.path(name))
         )
+        self._remember_schema(df, name)
 
     # -- versioned tables --------------------------------------------------
     def versions(self, name: str) -> list[str]:
@@ -161,13 +166,22 @@ def count_tables(spark: SparkSession, name: str) -> int:
     return int(spark.catalog.tableExists(name))
 
 
-def latest_date_with(lake: Lake, name: str, partition: str, condition: str) -> str | None:
-    """Newest partition with a row that meets ``condition``.
+def latest_date_with(lake: Lake, name: str, partition: str, condition: str | None) -> str | None:
+    """Newest date with a row that meets ``condition``; without one, the newest date.
 
-    Goes back date by date and looks for one row of each, so it normally touches
-    only the newest date instead of the table's whole history.
+    A date has a folder only if it has rows, so the newest is known by name. A condition
+    is looked for in the newest date, then in ever longer stretches before it: normally
+    one small job, and a few if there is no such row for long.
     """
-    for value in reversed(lake.partition_values(name, partition)):
-        if lake.read(name, partition, value).where(condition).head(1):
-            return value
+    values = lake.partition_values(name, partition)
+    if condition is None:
+        return values[-1] if values else None
+    stretch = 1
+    while values:
+        values, some = values[:-stretch], values[-stretch:]
+        rows = lake.read(name).where(F.col(partition).isin(*[F.lit(v).cast("date") for v in some])).where(condition)
+        found = rows.agg(F.max(partition)).first()[0]
+        if found is not None:
+            return str(found)
+        stretch *= 8
     return None

@@ -169,7 +169,7 @@ def test_params_are_cleaned():
 
 
 def test_params_take_dates_bounds_and_flags():
-    p = RunParams.from_env({**ENV, "MAX_PAGE": "5", "FILE_DATE": "2026-01-05", "VERSION": "v3", "UPLOAD_TO_BQ": "false"})
+    p = RunParams.from_env({**ENV, "MAX_PAGE": "5", "FILE_DATE": "2026-01-05", "VERSION": "v3", "WRITE_BRONZE": "false"})
     assert (p.max_page, p.file_date, p.version, p.write_bronze) == (5, date(2026, 1, 5), "v3", False)
 
 
@@ -183,7 +183,7 @@ def test_params_take_dates_bounds_and_flags():
         {"PROPERTY_TYPES": "castle"},
         {"FILE_DATE": "05/01/2026"},
         {"START_PAGE": "one"},
-        {"UPLOAD_TO_GCS": "perhaps"},
+        {"WRITE_SNAPSHOTS": "perhaps"},
     ],
 )
 def test_params_reject(change):
