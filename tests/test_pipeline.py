@@ -12,6 +12,7 @@ from hearthlake import RunParams
 from hearthlake import schemas as S
 from hearthlake.operators import quality as C
 from hearthlake.operators.merge import DuplicateKeyError
+from hearthlake.plans import bronze as B
 from hearthlake.plans import pipeline as L
 from hearthlake.session import Staging
 from hearthlake.sources import snapshots as N
@@ -239,3 +240,58 @@ def test_stream_loads_each_snapshot_once(spark, lake, root, raw_listing, tmp_pat
     follow()
     loaded = lake.read(L.BRONZE_TABLE).groupBy(F.dayofmonth(S.BRONZE_PARTITION).alias("d")).count()
     assert {r.d: r["count"] for r in loaded.collect()} == {1: 2, 2: 1}
+
+
+def test_landing_twice_leaves_each_snapshot_once(spark, lake, root, raw_listing):
+    landed = pages(spark, vivareal=[[item(raw_listing, "a"), {**item(raw_listing, "x"), "@id": None}], [item(raw_listing, "b")]])
+    for _ in range(2):
+        L.land_snapshots(landed, root, params(1), Staging(spark))
+    assert N.scan_snapshot_table(spark, root).count() == 2
+    assert [(r.page, r.pos, r.reason) for r in N.scan_quarantine(spark, root).collect()] == [(1, 1, "no id")]
+    L.run(lake, None, root, params(1))
+    assert sorted(r.LISTING_ID for r in lake.read(L.BRONZE_TABLE).collect()) == ["a", "b"]
+
+
+def test_search_columns_prune_the_snapshot_table(spark, root, raw_listing, plan_of):
+    L.land_snapshots(pages(spark, vivareal=[[item(raw_listing, "a")]]), root, params(1), Staging(spark))
+    plan = plan_of(L.in_scope(N.scan_snapshot_table(spark, root, "2026-01-01"), params(1)))
+    filters = plan.split("PartitionFilters:")[1].split("\n")[0]
+    assert all(c in filters for c in ("file_date", "environment", "site", "city", "property_type"))
+
+
+def test_broken_snapshots_stop_the_load_or_are_noted(spark, lake, root, raw_listing):
+    base = Path(root, "dev/vivareal/macae/apartment")
+    odd = {**item(raw_listing, "odd"), "offers": [1]}
+    texts = [json.dumps({"a": item(raw_listing, "a"), "odd": odd}), json.dumps({"b": item(raw_listing, "b")})[:-1], "{} {}"]
+    for page, text in enumerate(texts, 1):
+        file = base / str(page) / "2026-01-01T00:00:00Z.json"
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text(text)
+    with pytest.raises(B.UnreadableSnapshotError, match="apartment/[23]/"):
+        L.run(lake, None, root, params(1), layout="files")
+    assert not lake.exists(L.BRONZE_TABLE)
+    for _ in range(2):
+        L.run(lake, None, root, params(1, on_unreadable="quarantine"), layout="files")
+        assert [r.LISTING_ID for r in lake.read(L.BRONZE_TABLE).collect()] == ["a"]
+        noted = sorted((r.SRC_BLOB.split("/")[4], r.REASON) for r in lake.read(L.QUARANTINE_TABLE).collect())
+        assert noted == [("1", "not an object: offers"), ("2", "unreadable payload"), ("3", "unreadable payload")]
+
+
+def test_a_dimension_that_fails_does_not_hold_back_the_fact(spark, lake, root, raw_listing):
+    L.run(lake, pages(spark, vivareal=[[item(raw_listing, "a")]]), root, params(1))
+    twice = pages(spark, vivareal=[[item(raw_listing, "a", name="one")]], zapimoveis=[[item(raw_listing, "a", name="two", street="other")]])
+    with pytest.raises(DuplicateKeyError):
+        L.run(lake, twice, root, params(2))
+    assert lake.read(S.FACT.name).where("day(SCRAPE_DATE) = 2").count() == 2
+    L.run(lake, None, root, params(2, on_duplicate="first"))
+    assert lake.read(S.FACT.name).where("day(SCRAPE_DATE) = 2").count() == 1
+    assert lake.current(S.DIM_LISTINGS.name).count() == 1
+
+
+def test_a_city_name_with_a_space(spark, lake, root, raw_listing):
+    own = params(1, city="sao paulo", cities=("sao paulo",))
+    file = Path(root, "dev/vivareal/sao paulo/apartment/1/2026-01-01T00:00:00Z.json")
+    file.parent.mkdir(parents=True)
+    file.write_text(json.dumps({"a": item(raw_listing, "a")}))
+    L.run(lake, None, root, own, layout="files")
+    assert [r.CITY for r in lake.read(S.SILVER.name).collect()] == ["sao paulo"]
