@@ -38,6 +38,9 @@ COUNTERS, BITS = 1 << 22, 1 << 26
 PARTS = 256
 #: A group holds about so many sets, and about so many tokens with repeats.
 GROUP_SETS, GROUP_TOKENS = 256, 1 << 17
+#: Sets with a possible partner (three numbers each) up to which their table is sent to every
+#: task; above, it is joined by a shuffle.
+SENT_ROWS = 1 << 21
 #: Texts that are cut into words together.
 TOGETHER = 256
 #: Tokens of two groups that are compared at a time.
@@ -450,7 +453,8 @@ def _linked(staging: Staging, texts: DataFrame, n: int, percent: int) -> DataFra
     crossing = spark.sparkContext.broadcast(filter_of(pairs.select("ga").union(pairs.select("gb")), "ga"))
     with Batches(spark, 2048):
         own = texts.mapInArrow(lambda b: _own_tokens(n, chosen, b), "id bigint, own bigint, tokens binary")
-        own = own.join(wanted, (own["own"] == wanted["signature"]) & own["id"].eqNullSafe(wanted["rep"])).select("group", "signature", "tokens")
+        listed = F.broadcast(wanted) if wanted.count() <= SENT_ROWS else wanted
+        own = own.join(listed, (own["own"] == wanted["signature"]) & own["id"].eqNullSafe(wanted["rep"])).select("group", "signature", "tokens")
 
         def pack(frame: pd.DataFrame) -> pd.DataFrame:
             """A group's links among its own sets, and its matrix if it meets another group."""
