@@ -29,21 +29,21 @@ def test_every_column_is_mapped(spark, raw_listing):
     assert [f.dataType for f in df.schema] == [f.dataType for f in S.BRONZE]
     row = df.first().asDict(recursive=True)
     assert row["LISTING_ID"] == "100"
-    assert (row["LISTING_NAME"], row["LISTING_URL"]) == ("sunny-flat", "https://example.com/100")
+    assert (row["LISTING_NAME"], row["LISTING_URL"]) == ("blue-house", "https://homes.test/100")
     assert row["LISTING_PETS_ALLOWED_FLAG"] is False
     assert (row["LISTING_NUMBER_OF_ROOMS_AMT"], row["LISTING_NUMBER_OF_BATHROOMS_AMT"]) == (2, 1)
     assert row["LISTING_ADDRESS_INFOS"] == {
-        "STREET_ADDRESS": "Rua A", "LOCALITY": "Macaé", "REGION": "RJ", "COUNTRY": "BR",
+        "STREET_ADDRESS": "Rua do Mar", "LOCALITY": "Macaé", "REGION": "RJ", "COUNTRY": "BR",
     }
     assert row["LISTING_FLOOR_SIZE_INFOS"] == {"VALUE": 60.0, "UNIT_CODE": "M2"}
-    assert row["LISTING_IMAGES_LIST"] == ["https://img/1"]
-    assert row["LISTING_AMENITY_FEATURES_INFOS"] == [{"NAME": "Amenity", "VALUE": "Pool"}]
+    assert row["LISTING_IMAGES_LIST"] == ["https://pictures.test/front"]
+    assert row["LISTING_AMENITY_FEATURES_INFOS"] == [{"NAME": "Amenity", "VALUE": "Sauna"}]
     assert row["LISTING_OFFERS_INFOS"] == {
         "PRICE": 2000.0,
         "PRICE_CURRENCY": "BRL",
         "AVAILABILITY": "InStock",
         "POTENTIAL_ACTION": {
-            "TARGET": "https://example.com/rent",
+            "TARGET": "https://homes.test/offer",
             "PRICE_SPECIFICATION": {"PRICE": 2000.0, "PRICE_CURRENCY": "BRL"},
         },
         "PROPERTY_VALUE": {"NAME": "Condominium Fee", "VALUE": 300.0, "UNIT_TEXT": "BRL/month"},

@@ -30,10 +30,10 @@ def bronze_row(id, **change):
         "LISTING_NUMBER_OF_ROOMS_AMT": 2,
         "LISTING_NUMBER_OF_BEDROOMS_AMT": 2,
         "LISTING_NUMBER_OF_BATHROOMS_AMT": 1,
-        "LISTING_ADDRESS_INFOS": ("Rua A", "Macaé", "RJ", "BR"),
+        "LISTING_ADDRESS_INFOS": ("Rua do Mar", "Macaé", "RJ", "BR"),
         "LISTING_FLOOR_SIZE_INFOS": (60.0, "M2"),
         "LISTING_IMAGES_LIST": ["i1"],
-        "LISTING_AMENITY_FEATURES_INFOS": [("Amenity", "Pool")],
+        "LISTING_AMENITY_FEATURES_INFOS": [("Amenity", "Sauna")],
         "LISTING_OFFERS_INFOS": (2000.0, "BRL", "InStock", None, ("Condominium Fee", 300.0, "BRL/month")),
         "SRC_BLOB": "b",
         "SRC_SITE_NAME": "vivareal",
@@ -132,7 +132,7 @@ def test_preferred_site_then_later_run_wins(spark):
         ({"LISTING_NUMBER_OF_ROOMS_AMT": 3}, 2),
         ({"SRC_PROPERTY_TYPE_CAT": "house"}, 2),
         ({"SRC_CITY_NAME": "elsewhere"}, 1),
-        ({"LISTING_ADDRESS_INFOS": ("Rua A", "Other", "SP", "BR")}, 1),
+        ({"LISTING_ADDRESS_INFOS": ("Rua do Mar", "Other", "SP", "BR")}, 1),
         ({"LISTING_ADDRESS_INFOS": ("Rua B", "Macaé", "RJ", "BR")}, 2),
     ],
 )
@@ -295,11 +295,11 @@ def test_image_keys_depend_on_order(spark):
 
 
 def test_fact_row(spark):
-    features = [("Amenity", "Pool"), ("Amenity", "Gym"), ("Amenity", "Pool")]
+    features = [("Amenity", "Sauna"), ("Amenity", "Gym"), ("Amenity", "Sauna")]
     row = A.fact_listings(silver(spark, bronze_row("1", LISTING_AMENITY_FEATURES_INFOS=features)), RUN).first()
     assert list(row.asDict()) == S.FACT_COLUMNS
-    assert row.AMENITIES_SKS == sorted([md5("Amenity||Pool"), md5("Amenity||Gym")])
-    assert row.ADDRESS_SK == md5("Rua A||Macaé||RJ||BR")
+    assert row.AMENITIES_SKS == sorted([md5("Amenity||Sauna"), md5("Amenity||Gym")])
+    assert row.ADDRESS_SK == md5("Rua do Mar||Macaé||RJ||BR")
     assert (row.FLOOR_SIZE_M2, row.PRICE_BRL, row.CONDO_FEE_BRL) == (60.0, 2000.0, 300.0)
 
 
