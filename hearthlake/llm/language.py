@@ -97,7 +97,8 @@ def learn(documents: DataFrame) -> dict[str, Model]:
     counted = documents.filter("lang is not null and text is not null").select("lang", "text").mapInArrow(_count, "lang string, code bigint, n bigint")
     sums = counted.groupBy("lang", "code").agg(F.sum("n").alias("n"))
     totals = sums.groupBy("lang").agg((F.sum("n") / MOST_GRAMS).alias("least"))
-    kept = sums.join(totals, "lang").filter("n >= least").select("lang", "code", "n").toArrow()
+    # One row per language; a join by language would put the largest one into a single task.
+    kept = sums.join(F.broadcast(totals), "lang").filter("n >= least").select("lang", "code", "n").toArrow()
     lang = np.array(kept.column("lang").to_pylist(), object)
     code, n = kept.column("code").to_numpy().view(np.uint64), kept.column("n").to_numpy()
     return {name: Model.of(code[lang == name], n[lang == name]) for name in sorted(set(lang))}
