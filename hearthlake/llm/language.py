@@ -27,18 +27,29 @@ _LETTERS: list[np.ndarray] = []
 
 
 def letters() -> np.ndarray:
-    """Which UTF-16 units are letters; halves of a pair count as letters."""
+    """Which code points are letters."""
     if not _LETTERS:
-        _LETTERS.append(np.fromiter((0xD800 <= i < 0xE000 or chr(i).isalpha() for i in range(1 << 16)), bool, 1 << 16))
+        _LETTERS.append(np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000))
     return _LETTERS[0]
 
 
+def letter_units(units: np.ndarray) -> np.ndarray:
+    """Which UTF-16 units belong to letters: both halves of a pair or none, never a half alone."""
+    out = letters()[units]
+    first = np.flatnonzero(units[:-1] & 0xFC00 == 0xD800)
+    first = first[units[first + 1] & 0xFC00 == 0xDC00]
+    if len(first):
+        point = 0x10000 + ((units[first].astype(np.int64) & 0x3FF) << 10) + (units[first + 1] & 0x3FF)
+        out[first] = out[first + 1] = letters()[point]
+    return out
+
+
 def grams(text: str | None) -> np.ndarray:
     """The text's 4-grams in order: lower case, all between letters as one space, a space at each end; none without a letter."""
     if not text:
         return np.zeros(0, np.uint64)
     units = np.frombuffer(text.lower().encode("utf-16-le", "surrogatepass"), "<u2")
-    letter = letters()[units]
+    letter = letter_units(units)
     if not letter.any():
         return np.zeros(0, np.uint64)
     keep = letter.copy()

@@ -59,6 +59,15 @@ def test_grams_against_brute_force():
         assert got == want, text
 
 
+def test_symbols_beyond_the_first_plane_are_no_letters(spark):
+    emoji = "\U0001f600\U0001f680 \U0001f44d"
+    assert len(language.grams(emoji)) == 0 and len(language.grams("\U00010400")) == 3
+    assert language.grams(f"{emoji}ab\U0001f600c").tolist() == language.grams("ab c").tolist()
+    rows = corpus(60) + [(900, emoji, None), (901, emoji, "de")]
+    got = {r.doc_id: r for r in language.identify(frame(spark, rows)).collect()}
+    assert all((got[i].lang_pred, got[i].score, got[i].accepted) == ("und", 0.0, False) for i in (900, 901))
+
+
 def test_probabilities_are_those_of_the_formula_and_sum_to_one():
     text = "abracadabra cabra dacabra"
     codes, counts = np.unique(language.grams(text), return_counts=True)
