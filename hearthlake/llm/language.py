@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthlake.llm.kneser_ney import Model
+from hearthlake.llm import kneser_ney as kn
+from hearthlake.llm.words import posix_path
+from hearthlake.session import Staging
 
 UNKNOWN = "und"
 #: Documents with this remainder of crc32(doc_id) are not learned from.
 FOLDS, HELD_OUT = 4, 2
-#: A 4-gram rarer than one in so many characters of its language is not kept, so a model
-#: has at most so many, whatever it is learned from.
-MOST_GRAMS = 2_000_000
+#: Rows of the models' tables in a shard, about, and the least shards (as a power of two).
+SHARD_ROWS, LEAST_BITS = 1 << 20, 4
 #: How much a nat per character counts when scores are formed.
 SHARPNESS = 25.0
 #: Learned documents, in the order of a hash of their id, that set the limits of rejection,
@@ -100,24 +103,60 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
-def learn(documents: DataFrame) -> dict[str, Model]:
-    """A model per language of ``documents`` (lang, text), from all their texts.
+def _with_shard(bits, batches):
+    for batch in batches:
+        shard = kn.shard_of(batch.column(1).to_numpy().view(np.uint64), bits)
+        yield batch.append_column("shard", pa.array(shard.astype(np.int32)))
+
+
+def _write_shard(folder, rows: pa.Table) -> pa.Table:
+    column = lambda name: rows.column(name).to_numpy()
+    shard = int(rows.column("shard")[0].as_py())
+    kn.Shard.of(column("place"), column("code").view(np.uint64), column("n"), column("kinds")).save(kn.shard_place(folder, shard))
+    return pa.table({"shard": pa.array([shard], pa.int32()), "rows": pa.array([len(rows)], pa.int64())})
+
 
-    4-grams are counted in each task, then summed. A language without a letter has no model.
+def write_models(counts: DataFrame, folder: str) -> kn.Models:
+    """The models of ``counts`` (model, code, n): every counted 4-gram and all that follows from it.
+
+    Lower orders, contexts' totals and the numbers that discounts need are aggregates; rows
+    meet by shard, a range of scrambled codes, whatever model they belong to.
+    """
+    tables, once = [], []
+    for order in range(kn.ORDER, 0, -1):
+        place = F.col("model") * kn.TABLES
+        context = counts.groupBy("model", F.shiftrightunsigned("code", 16).alias("code")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds"))
+        own = counts.select("model", "code", "n", F.lit(0).cast("bigint").alias("kinds"))
+        for rows, table in ((own, kn.grams_table(order)), (context, kn.contexts_table(order))):
+            tables.append(rows.select((place + table).cast("int").alias("place"), "code", "n", "kinds"))
+        once.append(counts.groupBy("model").agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2), F.count("*")).select(F.lit(order), "*"))
+        shorter = F.col("code").bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1))
+        counts = counts.groupBy("model", shorter.alias("code")).agg(F.count("*").alias("n"))
+    union = lambda frames: reduce(DataFrame.unionAll, frames)
+    found = union(once).collect()
+    bits = max(LEAST_BITS, (2 * sum(r[4] for r in found) // SHARD_ROWS).bit_length())
+    dealt = union(tables).mapInArrow(lambda b: _with_shard(bits, b), "place int, code bigint, n bigint, kinds bigint, shard int")
+    dealt.groupBy("shard").applyInArrow(lambda rows: _write_shard(folder, rows), "shard int, rows bigint").collect()
+    return kn.Models({(r[1], r[0]): kn.discount(r[2], r[3]) for r in found}, bits, folder)
+
+
+def learn(staging: Staging, documents: DataFrame) -> tuple[list[str], kn.Models]:
+    """(languages, models): a model per language of ``documents`` (lang, text), from all their texts, numbered in order of name.
+
+    4-grams are counted in each task, then summed; none is dropped. A language without a letter has no model.
     """
     counted = documents.filter("lang is not null and text is not null").select("lang", "text").mapInArrow(_count, "lang string, code bigint, n bigint")
-    sums = counted.groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    totals = sums.groupBy("lang").agg((F.sum("n") / MOST_GRAMS).alias("least"))
-    # One row per language; a join by language would put the largest one into a single task.
-    kept = sums.join(F.broadcast(totals), "lang").filter("n >= least").select("lang", "code", "n").toArrow()
-    lang = np.array(kept.column("lang").to_pylist(), object)
-    code, n = kept.column("code").to_numpy().view(np.uint64), kept.column("n").to_numpy()
-    return {name: Model.of(code[lang == name], n[lang == name]) for name in sorted(set(lang))}
-
-
-def entropies(texts: list[str | None], models: list[Model]) -> np.ndarray:
-    """(texts, models): nats per character; NaN without a letter."""
-    out = np.full((len(texts), len(models)), np.nan)
+    sums = staging.keep(counted.groupBy("lang", "code").agg(F.sum("n").alias("n")), "grams")
+    names = sorted(r[0] for r in sums.select("lang").distinct().collect())
+    if not names:
+        return names, kn.Models({})
+    number = F.create_map(*[F.lit(x) for pair in zip(names, range(len(names)), strict=True) for x in pair])[F.col("lang")]
+    return names, write_models(sums.select(number.alias("model"), "code", "n"), posix_path(f"{staging.root}/models"))
+
+
+def entropies(texts: list[str | None], models: kn.Models, chosen: list[int]) -> np.ndarray:
+    """(texts, chosen models): nats per character; NaN without a letter."""
+    out = np.full((len(texts), len(chosen)), np.nan)
     own, numbers, waiting = [], [], 0
 
     def flush():
@@ -126,8 +165,8 @@ def entropies(texts: list[str | None], models: list[Model]) -> np.ndarray:
         lengths = np.array([len(g) for g in own])
         codes, place = np.unique(np.concatenate(own), return_inverse=True)
         first = np.cumsum(lengths) - lengths
-        for m, model in enumerate(models):
-            out[numbers, m] = -np.add.reduceat(model.logs(codes)[place], first) / lengths
+        for m, logs in enumerate(models.logs(codes, chosen)):
+            out[numbers, m] = -np.add.reduceat(logs[place], first) / lengths
 
     for i, text in enumerate(texts):
         g = grams(text)
@@ -154,16 +193,16 @@ def choose(entropy: np.ndarray, names: list[str]) -> tuple[list[str], np.ndarray
     return [UNKNOWN if b else names[k] for b, k in zip(blank, best, strict=True)], np.where(blank, 0.0, share), np.where(blank, np.nan, lowest)
 
 
-def predicted(documents: DataFrame, models: dict[str, Model]) -> DataFrame:
+def predicted(documents: DataFrame, names: list[str], models: kn.Models) -> DataFrame:
     """(doc_id, lang_pred, score, entropy) of every row of ``documents`` (doc_id, text)."""
     sent = documents.sparkSession.sparkContext.broadcast(models)
 
     def predict(batches):
-        names = list(sent.value)
+        chosen = list(range(len(names)))
         for batch in batches:
             for i in range(0, batch.num_rows, 1024):
                 part = batch.slice(i, 1024)
-                lang, score, lowest = choose(entropies(part.column(1).to_pylist(), list(sent.value.values())), names)
+                lang, score, lowest = choose(entropies(part.column(1).to_pylist(), sent.value, chosen), names)
                 yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "lang_pred": lang, "score": score, "entropy": pa.array(lowest, from_pandas=True)})
 
     return documents.select("doc_id", "text").mapInArrow(predict, "doc_id bigint, lang_pred string, score double, entropy double")
@@ -178,12 +217,12 @@ def identify(documents: DataFrame) -> DataFrame:
     that of nearly all calibration texts of the language.
     """
     known = documents.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
-    models = learn(known)
+    names, models = learn(Staging(documents.sparkSession), known)
     sample = known.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION)
-    spread = predicted(sample, models).groupBy("lang_pred").agg(F.avg("entropy").alias("mean"), F.stddev_pop("entropy").alias("dev"))
+    spread = predicted(sample, names, models).groupBy("lang_pred").agg(F.avg("entropy").alias("mean"), F.stddev_pop("entropy").alias("dev"))
     limits = {r[0]: r[1] + DEVIATIONS * r[2] for r in spread.collect() if r[1] is not None}
     limit = F.coalesce(*[F.when(F.col("lang_pred") == k, F.lit(float(v))) for k, v in sorted(limits.items())], F.lit(float("inf")))
     accepted = (F.col("lang_pred") != UNKNOWN) & (F.col("entropy") <= limit)
-    return predicted(documents, models).select(
+    return predicted(documents, names, models).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", F.coalesce(accepted, F.lit(False)).alias("accepted")
     )

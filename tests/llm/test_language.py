@@ -68,6 +68,19 @@ def test_symbols_beyond_the_first_plane_are_no_letters(spark):
     assert all((got[i].lang_pred, got[i].score, got[i].accepted) == ("und", 0.0, False) for i in (900, 901))
 
 
+def test_no_gram_is_dropped_whatever_the_size(spark, staging):
+    """2.4 million characters of one language, and a word that occurs once."""
+    texts = ["der schung " * 220_000, "xyzzy", *[t for _, t, lang in corpus(40) if lang == "de"]]
+    rows = [(i, t, "de") for i, t in enumerate(texts)] + [(900, "the ingion ter", "en")]
+    names, models = language.learn(staging, frame(spark, rows))
+    assert names == ["de", "en"]
+    for number, own in enumerate([texts, [rows[-1][1]]]):
+        codes, counts = np.unique(np.concatenate([language.grams(t) for t in own]), return_counts=True)
+        asked = np.concatenate([codes, language.grams("xyzq theb der")])
+        want = kneser_ney.Model.of(codes, counts).logs(asked)
+        assert models.logs(asked, [number])[0] == pytest.approx(want, rel=1e-12)
+
+
 def test_probabilities_are_those_of_the_formula_and_sum_to_one():
     text = "abracadabra cabra dacabra"
     codes, counts = np.unique(language.grams(text), return_counts=True)
