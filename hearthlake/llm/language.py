@@ -20,9 +20,12 @@ FOLDS, HELD_OUT = 4, 2
 SHARD_ROWS, LEAST_BITS = 1 << 20, 4
 #: How much a nat per character counts when scores are formed.
 SHARPNESS = 25.0
-#: Learned documents, in the order of a hash of their id, that set the limits of rejection,
-#: and how many standard deviations above the mean a text may lie.
-CALIBRATION, DEVIATIONS = 2000, 4.0
+#: How many standard deviations above the mean entropy of its language a text may lie, and as
+#: how many texts the deviation within all languages counts beside a language's own.
+DEVIATIONS, FEW = 4.0, 20
+#: A model per language from all its learned documents, and two from halves of them.
+HALVES = 2
+PARTS = HALVES + 1
 #: Characters looked up together; counted 4-grams that a task holds before it merges them.
 TOGETHER, HELD = 1 << 20, 1 << 22
 
@@ -69,34 +72,34 @@ def grams(text: str | None) -> np.ndarray:
 
 
 def _count(batches):
-    held: dict[str, list[np.ndarray]] = {}
-    merged: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    held: dict[tuple[str, int], list[np.ndarray]] = {}
+    merged: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = {}
     waiting = 0
 
     def merge():
-        for lang, parts in held.items():
+        for key, parts in held.items():
             codes, counts = np.unique(np.concatenate(parts), return_counts=True)
-            if lang in merged:
-                both = np.concatenate([merged[lang][0], codes])
+            if key in merged:
+                both = np.concatenate([merged[key][0], codes])
                 codes, place = np.unique(both, return_inverse=True)
-                counts = np.bincount(place, np.concatenate([merged[lang][1], counts])).astype(np.int64)
-            merged[lang] = (codes, counts)
+                counts = np.bincount(place, np.concatenate([merged[key][1], counts])).astype(np.int64)
+            merged[key] = (codes, counts)
         held.clear()
 
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        for lang, half, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
             own = grams(text.as_py())
             if len(own):
-                held.setdefault(lang, []).append(own)
+                held.setdefault((lang, half), []).append(own)
                 waiting += len(own)
         if waiting >= HELD:
             merge()
             waiting = 0
     merge()
-    for lang, (codes, counts) in merged.items():
+    for (lang, half), (codes, counts) in merged.items():
         for i in range(0, len(codes), 1 << 16):
             part = codes[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(part), "code": part.view(np.int64), "n": counts[i : i + (1 << 16)]})
+            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(part), "half": pa.array([half] * len(part), pa.int32()), "code": part.view(np.int64), "n": counts[i : i + (1 << 16)]})
 
 
 def held_out(doc_id: Column) -> Column:
@@ -140,18 +143,29 @@ def write_models(counts: DataFrame, folder: str) -> kn.Models:
     return kn.Models({(r[1], r[0]): kn.discount(r[2], r[3]) for r in found}, bits, folder)
 
 
+def half() -> Column:
+    """Which half of the learned documents one is in."""
+    return F.pmod(F.xxhash64("doc_id"), F.lit(HALVES)).cast("int").alias("half")
+
+
 def learn(staging: Staging, documents: DataFrame) -> tuple[list[str], kn.Models]:
-    """(languages, models): a model per language of ``documents`` (lang, text), from all their texts, numbered in order of name.
+    """(languages, models) of ``documents`` (doc_id, lang, text), from all their texts.
 
-    4-grams are counted in each task, then summed; none is dropped. A language without a letter has no model.
+    The k-th language in order of name has the models k * PARTS, from all its texts, and one
+    more for each half, after it. 4-grams are counted in each task, then summed; none is
+    dropped. A language, or a half of one, without a letter has no model.
     """
-    counted = documents.filter("lang is not null and text is not null").select("lang", "text").mapInArrow(_count, "lang string, code bigint, n bigint")
-    sums = staging.keep(counted.groupBy("lang", "code").agg(F.sum("n").alias("n")), "grams")
+    counted = documents.filter("lang is not null and text is not null").select("lang", half(), "text")
+    counted = counted.mapInArrow(_count, "lang string, half int, code bigint, n bigint")
+    each = [F.coalesce(F.sum(F.when(F.col("half") == h, F.col("n"))), F.lit(0)) for h in range(HALVES)]
+    sums = staging.keep(counted.groupBy("lang", "code").agg(F.array(F.sum("n"), *each).alias("n")), "grams")
     names = sorted(r[0] for r in sums.select("lang").distinct().collect())
     if not names:
         return names, kn.Models({})
     number = F.create_map(*[F.lit(x) for pair in zip(names, range(len(names)), strict=True) for x in pair])[F.col("lang")]
-    return names, write_models(sums.select(number.alias("model"), "code", "n"), posix_path(f"{staging.root}/models"))
+    parts = sums.select(number.alias("number"), "code", F.posexplode("n").alias("part", "n")).filter("n > 0")
+    counts = parts.select((F.col("number") * PARTS + F.col("part")).alias("model"), "code", "n")
+    return names, write_models(counts, posix_path(f"{staging.root}/models"))
 
 
 def entropies(texts: list[str | None], models: kn.Models, chosen: list[int]) -> np.ndarray:
@@ -198,7 +212,7 @@ def predicted(documents: DataFrame, names: list[str], models: kn.Models) -> Data
     sent = documents.sparkSession.sparkContext.broadcast(models)
 
     def predict(batches):
-        chosen = list(range(len(names)))
+        chosen = [k * PARTS for k in range(len(names))]
         for batch in batches:
             for i in range(0, batch.num_rows, 1024):
                 part = batch.slice(i, 1024)
@@ -208,20 +222,47 @@ def predicted(documents: DataFrame, names: list[str], models: kn.Models) -> Data
     return documents.select("doc_id", "text").mapInArrow(predict, "doc_id bigint, lang_pred string, score double, entropy double")
 
 
+def limits(documents: DataFrame, names: list[str], models: kn.Models) -> dict[str, float]:
+    """The highest accepted entropy by language, from all learned ``documents`` (doc_id, lang, text).
+
+    Each text is measured by the model of its language from the half that it is not in. A
+    limit is the mean plus ``DEVIATIONS`` deviations; the variance within all languages
+    counts as ``FEW`` texts beside a language's own, so one with few texts has a limit much like
+    the others'. A language of which only one half has texts gets the highest limit of the others.
+    """
+    sent = documents.sparkSession.sparkContext.broadcast(models)
+
+    def measure(batches):
+        numbers = {name: k for k, name in enumerate(names)}
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1024):
+                part, by_model = batch.slice(i, 1024), {}
+                texts = part.column(2)
+                for row, (lang, own) in enumerate(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)):
+                    by_model.setdefault((lang, numbers.get(lang, -1) * PARTS + HALVES - own), []).append(row)
+                for (lang, model), rows in by_model.items():
+                    if (model, kn.ORDER) in sent.value.discounts:
+                        entropy = entropies([texts[row].as_py() for row in rows], sent.value, [model])[:, 0]
+                        yield pa.RecordBatch.from_pydict({"lang": [lang] * len(rows), "entropy": pa.array(entropy, from_pandas=True)})
+
+    measured = documents.select("lang", half(), "text").mapInArrow(measure, "lang string, entropy double").filter("entropy is not null")
+    found = measured.groupBy("lang").agg(F.count("*"), F.avg("entropy"), F.var_pop("entropy")).collect()
+    pooled = sum(n * var for _, n, _, var in found) / max(1, sum(r[1] for r in found))
+    out = {lang: mean + DEVIATIONS * ((n * var + FEW * pooled) / (n + FEW)) ** 0.5 for lang, n, mean, var in found}
+    return {name: out.get(name, max(out.values(), default=float("inf"))) for name in names}
+
+
 def identify(documents: DataFrame) -> DataFrame:
     """Per row of ``documents`` (doc_id, text, lang): doc_id, held_out, lang_pred, score, accepted.
 
     Learned from rows with a lang outside the held-out quarter; only the text is looked at
     for a prediction. NULL texts and texts without a letter are `und` with score 0, and so is
     every text if nothing can be learned. ``accepted``: the cross-entropy is no higher than
-    that of nearly all calibration texts of the language.
+    the limit of the language, see ``limits``.
     """
     known = documents.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
     names, models = learn(Staging(documents.sparkSession), known)
-    sample = known.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION)
-    spread = predicted(sample, names, models).groupBy("lang_pred").agg(F.avg("entropy").alias("mean"), F.stddev_pop("entropy").alias("dev"))
-    limits = {r[0]: r[1] + DEVIATIONS * r[2] for r in spread.collect() if r[1] is not None}
-    limit = F.coalesce(*[F.when(F.col("lang_pred") == k, F.lit(float(v))) for k, v in sorted(limits.items())], F.lit(float("inf")))
+    limit = F.coalesce(*[F.when(F.col("lang_pred") == k, F.lit(float(v))) for k, v in limits(known, names, models).items()], F.lit(float("inf")))
     accepted = (F.col("lang_pred") != UNKNOWN) & (F.col("entropy") <= limit)
     return predicted(documents, names, models).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", F.coalesce(accepted, F.lit(False)).alias("accepted")

@@ -59,6 +59,24 @@ def test_grams_against_brute_force():
         assert got == want, text
 
 
+def test_a_rare_language_has_a_limit_of_its_own(spark, staging):
+    """One language has nearly all documents; of the others one has few texts and one a single one."""
+    rng = random.Random(5)
+    text = lambda syllables: " ".join("".join(rng.choices(syllables.split(), k=2)) for _ in range(40))
+    rows = [(i, text(SYLLABLES["en"]), "en") for i in range(2600)] + [(10_000 + i, text(SYLLABLES["de"]), "de") for i in range(24)]
+    rows += [(20_001, text(SYLLABLES["fr"]), "fr")]
+    noise = "".join(rng.choices("bcdfghjklmnpqrstvwxz", k=600))
+    rows += [(30_000 + i, f"{text(SYLLABLES['de'])} {noise}", None) for i in range(5)]
+    known = frame(spark, [r for r in rows if r[2] and crc32(str(r[0]).encode()) % 4 != 2])
+    names, models = language.learn(staging, known)
+    found = language.limits(known, names, models)
+    assert set(found) >= {"de", "en"} and all(np.isfinite(v) for v in found.values())
+    got = {r.doc_id: r for r in language.identify(frame(spark, rows)).collect()}
+    rare = [got[10_000 + i] for i in range(24)]
+    assert all(r.accepted and r.lang_pred == "de" for r in rare) and any(r.held_out for r in rare)
+    assert not any(got[30_000 + i].accepted for i in range(5))
+
+
 def test_symbols_beyond_the_first_plane_are_no_letters(spark):
     emoji = "\U0001f600\U0001f680 \U0001f44d"
     assert len(language.grams(emoji)) == 0 and len(language.grams("\U00010400")) == 3
@@ -78,7 +96,7 @@ def test_no_gram_is_dropped_whatever_the_size(spark, staging):
         codes, counts = np.unique(np.concatenate([language.grams(t) for t in own]), return_counts=True)
         asked = np.concatenate([codes, language.grams("xyzq theb der")])
         want = kneser_ney.Model.of(codes, counts).logs(asked)
-        assert models.logs(asked, [number])[0] == pytest.approx(want, rel=1e-12)
+        assert models.logs(asked, [number * language.PARTS])[0] == pytest.approx(want, rel=1e-12)
 
 
 def test_probabilities_are_those_of_the_formula_and_sum_to_one():
