@@ -22,7 +22,7 @@ PRECISION, FOLDS, SEED = 0.95, 4, 7
 
 # Candidate patterns, and the formats that settle a label.
 TOKEN = r"(?<![A-Za-z0-9+/_.@-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{12,}+={0,2}"
-ASSIGNED = r"(?<=(?:password|passwd|secret|token|api_key|apikey|api-key)[\"']?\x20{0,3}[=:]\x20{0,3}[\"']?)[^\s\"',;=:]{6,}+"
+ASSIGNED = r"(?i)(?<=(?:password|passwd|secret|token|api_key|apikey|api-key)[\"']?\x20{0,3}[=:]\x20{0,3}[\"']?)[^\s\"',;=:]{6,}+"
 NAMES = r"(?i)password|passwd|secret|token|api.?key"
 PROVIDER = (
     r"^(?:A[KS]IA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35}"
