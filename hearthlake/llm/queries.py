@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from hearthlake.llm import decontam, jaccard, language, mixing, neighbours, pii, secrets, token_ids, toxicity, warc
+from hearthlake.llm import decontam, jaccard, language, mixing, neighbours, pii, search, secrets, token_counts, token_ids, toxicity, warc, whitening
 from hearthlake.llm.registry import ORACLES, QUERIES, query, table
 from hearthlake.session import Staging
 
@@ -65,4 +65,20 @@ def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents, labels)
 
 
+@query("op11_lexical_search", search.SQL)
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, items = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
+    return search.ranked_documents(Staging(spark), documents, items)
+
+
+@query("op12_token_counts")
+def counted_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(Staging(spark), table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op13_whitening")
+def whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_report(Staging(spark), table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,3 +25,9 @@ def query(name: str, sql: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+
+
+def without_text(documents: DataFrame) -> Column:
+    """All columns but text as one struct, so that no other name can clash with them."""
+    rest = [F.col(f"`{c}`") for c in documents.columns if c != "text"]
+    return F.struct(*rest) if rest else F.struct(F.lit(1).alias("_"))
