@@ -8,7 +8,7 @@ from hearthlake import schemas as S
 from hearthlake.plans import bronze as B
 from hearthlake.sources import snapshots as N
 from hearthlake.sources.tables import Lake, count_tables, ensure_table
-from tests.conftest import RUN
+from tests.conftest import BARN, RUN, STUDIO
 
 BLOB = "dev/vivareal/macae/apartment/2/2026-01-01T08:00:00Z.json"
 
@@ -28,31 +28,37 @@ def test_every_column_is_mapped(spark, raw_listing):
     assert df.columns == S.BRONZE.fieldNames()
     assert [f.dataType for f in df.schema] == [f.dataType for f in S.BRONZE]
     row = df.first().asDict(recursive=True)
-    assert row["LISTING_ID"] == "100"
-    assert (row["LISTING_NAME"], row["LISTING_URL"]) == ("blue-house", "https://homes.test/100")
-    assert row["LISTING_PETS_ALLOWED_FLAG"] is False
-    assert (row["LISTING_NUMBER_OF_ROOMS_AMT"], row["LISTING_NUMBER_OF_BATHROOMS_AMT"]) == (2, 1)
-    assert row["LISTING_ADDRESS_INFOS"] == {
-        "STREET_ADDRESS": "Rua do Mar", "LOCALITY": "Macaé", "REGION": "RJ", "COUNTRY": "BR",
-    }
-    assert row["LISTING_FLOOR_SIZE_INFOS"] == {"VALUE": 60.0, "UNIT_CODE": "M2"}
-    assert row["LISTING_IMAGES_LIST"] == ["https://pictures.test/front"]
-    assert row["LISTING_AMENITY_FEATURES_INFOS"] == [{"NAME": "Amenity", "VALUE": "Sauna"}]
-    assert row["LISTING_OFFERS_INFOS"] == {
-        "PRICE": 2000.0,
-        "PRICE_CURRENCY": "BRL",
-        "AVAILABILITY": "InStock",
-        "POTENTIAL_ACTION": {
-            "TARGET": "https://homes.test/offer",
-            "PRICE_SPECIFICATION": {"PRICE": 2000.0, "PRICE_CURRENCY": "BRL"},
-        },
-        "PROPERTY_VALUE": {"NAME": "Condominium Fee", "VALUE": 300.0, "UNIT_TEXT": "BRL/month"},
-    }
+    assert row["LISTING_ID"] == "loft-17"
+    assert (row["LISTING_NAME"], row["LISTING_URL"]) == ("sunny-loft", "https://rent.example/loft-17")
+    assert row["LISTING_DESCRIPTION"] == "top floor/no lift" and row["LISTING_PETS_ALLOWED_FLAG"] is True
+    assert [row[f"LISTING_NUMBER_OF_{room}_AMT"] for room in ("ROOMS", "BEDROOMS", "BATHROOMS")] == [5, 3, 4]
+    assert list(row["LISTING_ADDRESS_INFOS"].items()) == [
+        ("STREET_ADDRESS", "Alameda dos Ipês"), ("LOCALITY", "Tiradentes"), ("REGION", "MG"), ("COUNTRY", "BR"),
+    ]
+    assert row["LISTING_FLOOR_SIZE_INFOS"] == {"VALUE": 84.5, "UNIT_CODE": "M2"}
+    assert row["LISTING_IMAGES_LIST"] == [f"https://rent.example/loft-17/{x}.jpg" for x in ("door", "roof")]
+    assert [tuple(f.values()) for f in row["LISTING_AMENITY_FEATURES_INFOS"]] == [("Garden", "Fig tree"), ("Safety", "Night guard")]
+    offers = row["LISTING_OFFERS_INFOS"]
+    assert (offers["PRICE"], offers["PRICE_CURRENCY"], offers["AVAILABILITY"]) == (3150.0, "BRL", "PreOrder")
+    assert offers["POTENTIAL_ACTION"] == {"TARGET": "https://rent.example/ask", "PRICE_SPECIFICATION": {"PRICE": 3090.5, "PRICE_CURRENCY": "BRL"}}
+    assert offers["PROPERTY_VALUE"] == {"NAME": "Condominium Fee", "VALUE": 415.25, "UNIT_TEXT": "BRL/month"}
     assert (row["SRC_BLOB"], row["SRC_SITE_NAME"], row["SRC_PAGE_NUM"]) == (BLOB, "vivareal", 2)
     assert str(row["SRC_EXECUTED_AT_TS"]) == "2026-01-01 08:00:00"
     assert row["AUD_VERSION_ID"] == "v9" and row["AUD_INS_TS"] == row["AUD_UPD_TS"]
 
 
+def test_homes_of_other_kinds(spark):
+    studio, barn = (one(spark, home) for home in (STUDIO, BARN))
+    assert (studio["LISTING_NUMBER_OF_ROOMS_AMT"], studio["LISTING_NUMBER_OF_BATHROOMS_AMT"]) == (1, 1)
+    assert studio["LISTING_ADDRESS_INFOS"] is None and studio["LISTING_FLOOR_SIZE_INFOS"]["VALUE"] == 28.75
+    assert studio["LISTING_OFFERS_INFOS"] == {"PRICE": 1290.9, "PRICE_CURRENCY": "BRL", "AVAILABILITY": None, "POTENTIAL_ACTION": None, "PROPERTY_VALUE": None}
+    assert barn["LISTING_PETS_ALLOWED_FLAG"] is None and barn["LISTING_NUMBER_OF_ROOMS_AMT"] == 11
+    assert barn["LISTING_ADDRESS_INFOS"] is None and barn["LISTING_IMAGES_LIST"] == []
+    assert barn["LISTING_FLOOR_SIZE_INFOS"] == {"VALUE": 2600.0, "UNIT_CODE": "FT"}
+    assert barn["LISTING_AMENITY_FEATURES_INFOS"] == [{"NAME": None, "VALUE": "Pond"}]
+    assert barn["LISTING_OFFERS_INFOS"]["PROPERTY_VALUE"] == {"NAME": "Tax", "VALUE": 12.0, "UNIT_TEXT": "/year"}
+
+
 def test_minimal_listing(spark):
     row = one(spark, {"@id": "7", "name": "x"})
     assert (row["LISTING_ID"], row["LISTING_NAME"], row["LISTING_URL"]) == ("7", "x", None)
@@ -71,7 +77,7 @@ def test_empty_objects_are_null(spark, raw_listing, empty):
     listing["offers"]["potentialAction"] = empty
     listing["offers"]["propertyValue"] = empty
     offers = one(spark, listing)["LISTING_OFFERS_INFOS"]
-    assert offers["PRICE"] == 2000.0 and offers["POTENTIAL_ACTION"] is None and offers["PROPERTY_VALUE"] is None
+    assert offers["PRICE"] == 3150.0 and offers["POTENTIAL_ACTION"] is None and offers["PROPERTY_VALUE"] is None
 
 
 def test_object_of_unknown_members_is_a_struct_of_nulls(spark):

@@ -23,18 +23,18 @@ def bronze_row(id, **change):
     row = {
         "ID": id,
         "LISTING_ID": f"L{id}",
-        "LISTING_NAME": "nice flat",
-        "LISTING_URL": "u",
-        "LISTING_DESCRIPTION": "d",
-        "LISTING_PETS_ALLOWED_FLAG": False,
-        "LISTING_NUMBER_OF_ROOMS_AMT": 2,
-        "LISTING_NUMBER_OF_BEDROOMS_AMT": 2,
-        "LISTING_NUMBER_OF_BATHROOMS_AMT": 1,
-        "LISTING_ADDRESS_INFOS": ("Rua do Mar", "Macaé", "RJ", "BR"),
-        "LISTING_FLOOR_SIZE_INFOS": (60.0, "M2"),
-        "LISTING_IMAGES_LIST": ["i1"],
-        "LISTING_AMENITY_FEATURES_INFOS": [("Amenity", "Sauna")],
-        "LISTING_OFFERS_INFOS": (2000.0, "BRL", "InStock", None, ("Condominium Fee", 300.0, "BRL/month")),
+        "LISTING_NAME": "mill",
+        "LISTING_URL": "https://rent.example/mill",
+        "LISTING_DESCRIPTION": "by a stream",
+        "LISTING_PETS_ALLOWED_FLAG": True,
+        "LISTING_NUMBER_OF_ROOMS_AMT": 7,
+        "LISTING_NUMBER_OF_BEDROOMS_AMT": 4,
+        "LISTING_NUMBER_OF_BATHROOMS_AMT": 3,
+        "LISTING_ADDRESS_INFOS": ("Travessa 9", "Ouro Preto", "MG", "BR"),
+        "LISTING_FLOOR_SIZE_INFOS": (75.0, "M2"),
+        "LISTING_IMAGES_LIST": ["wheel.jpg"],
+        "LISTING_AMENITY_FEATURES_INFOS": [("View", "Stream")],
+        "LISTING_OFFERS_INFOS": (4125.0, "BRL", "SoldOut", None, ("Condominium Fee", 85.5, "BRL/month")),
         "SRC_BLOB": "b",
         "SRC_SITE_NAME": "vivareal",
         "SRC_CITY_NAME": "macae",
@@ -77,10 +77,10 @@ def test_columns_and_defaults(spark):
             LISTING_PETS_ALLOWED_FLAG=None,
             LISTING_NUMBER_OF_ROOMS_AMT=None,
             LISTING_ADDRESS_INFOS=None,
-            LISTING_FLOOR_SIZE_INFOS=(60.0, None),
+            LISTING_FLOOR_SIZE_INFOS=(75.0, None),
             LISTING_IMAGES_LIST=None,
             LISTING_AMENITY_FEATURES_INFOS=None,
-            LISTING_OFFERS_INFOS=(2000.0, None, None, None, None),
+            LISTING_OFFERS_INFOS=(4125.0, None, None, None, None),
         ),
     ).first()
     assert list(row.asDict()) == S.SILVER_COLUMNS
@@ -125,15 +125,15 @@ def test_preferred_site_then_later_run_wins(spark):
 @pytest.mark.parametrize(
     "change, kept",
     [
-        ({"LISTING_FLOOR_SIZE_INFOS": (60.4, "M2")}, 1),
-        ({"LISTING_FLOOR_SIZE_INFOS": (60.5, "M2")}, 2),
-        ({"LISTING_FLOOR_SIZE_INFOS": (59.5, "M2")}, 1),
+        ({"LISTING_FLOOR_SIZE_INFOS": (75.4, "M2")}, 1),
+        ({"LISTING_FLOOR_SIZE_INFOS": (75.5, "M2")}, 2),
+        ({"LISTING_FLOOR_SIZE_INFOS": (74.5, "M2")}, 1),
         ({"SRC_EXECUTED_AT_TS": "2026-01-02 00:00:00"}, 2),
         ({"LISTING_NUMBER_OF_ROOMS_AMT": 3}, 2),
         ({"SRC_PROPERTY_TYPE_CAT": "house"}, 2),
         ({"SRC_CITY_NAME": "elsewhere"}, 1),
-        ({"LISTING_ADDRESS_INFOS": ("Rua do Mar", "Other", "SP", "BR")}, 1),
-        ({"LISTING_ADDRESS_INFOS": ("Rua B", "Macaé", "RJ", "BR")}, 2),
+        ({"LISTING_ADDRESS_INFOS": ("Travessa 9", "Other", "SP", "BR")}, 1),
+        ({"LISTING_ADDRESS_INFOS": ("Travessa 8", "Ouro Preto", "MG", "BR")}, 2),
     ],
 )
 def test_what_makes_a_home(spark, change, kept):
@@ -185,10 +185,10 @@ def day(n):
 
 
 def listing(id, n, name="a", price=1000.0, **change):
-    offers = (price, "BRL", "InStock", None, ("Condominium Fee", 300.0, "BRL/month"))
+    offers = (price, "BRL", None, None, ("Condominium Fee", 85.5, "BRL/month"))
     return bronze_row(
         f"{id}-{n}", LISTING_ID=id, LISTING_NAME=name, SRC_EXECUTED_AT_TS=day(n), LISTING_OFFERS_INFOS=offers,
-        **{"LISTING_ADDRESS_INFOS": (f"Rua {id}", "Macaé", "RJ", "BR"), **change},
+        **{"LISTING_ADDRESS_INFOS": (f"Travessa {id}", "Ouro Preto", "MG", "BR"), **change},
     )
 
 
@@ -295,16 +295,16 @@ def test_image_keys_depend_on_order(spark):
 
 
 def test_fact_row(spark):
-    features = [("Amenity", "Sauna"), ("Amenity", "Gym"), ("Amenity", "Sauna")]
+    features = [("View", "Stream"), ("View", "Hills"), ("View", "Stream")]
     row = A.fact_listings(silver(spark, bronze_row("1", LISTING_AMENITY_FEATURES_INFOS=features)), RUN).first()
     assert list(row.asDict()) == S.FACT_COLUMNS
-    assert row.AMENITIES_SKS == sorted([md5("Amenity||Sauna"), md5("Amenity||Gym")])
-    assert row.ADDRESS_SK == md5("Rua do Mar||Macaé||RJ||BR")
-    assert (row.FLOOR_SIZE_M2, row.PRICE_BRL, row.CONDO_FEE_BRL) == (60.0, 2000.0, 300.0)
+    assert row.AMENITIES_SKS == sorted([md5("View||Stream"), md5("View||Hills")])
+    assert row.ADDRESS_SK == md5("Travessa 9||Ouro Preto||MG||BR")
+    assert (row.FLOOR_SIZE_M2, row.PRICE_BRL, row.CONDO_FEE_BRL) == (75.0, 4125.0, 85.5)
 
 
 def test_only_the_fee_of_that_name_counts(spark):
-    offers = (2000.0, "BRL", None, None, ("condominium fee", 300.0, None))
+    offers = (4125.0, "BRL", None, None, ("condominium fee", 85.5, None))
     assert A.fact_listings(silver(spark, bronze_row("1", LISTING_OFFERS_INFOS=offers)), RUN).first().CONDO_FEE_BRL == 0.0
 
 
@@ -345,4 +345,4 @@ def test_price_trend(spark):
     trend = {str(r.SCRAPE_DATE): r for r in A.price_trend(A.fact_listings(rows, RUN)).collect()}
     first = trend["2026-01-01"]
     assert (first.LISTINGS, first.AVG_PRICE_BRL, first.MIN_PRICE_BRL, first.MAX_PRICE_BRL) == (2, 1500.0, 1000.0, 2000.0)
-    assert first.PRICE_PER_M2_BRL == 25.0 and trend["2026-01-02"].LISTINGS == 1
+    assert first.PRICE_PER_M2_BRL == 20.0 and trend["2026-01-02"].LISTINGS == 1

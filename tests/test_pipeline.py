@@ -194,7 +194,7 @@ def test_tables_are_open_to_sql(spark, lake, root, raw_listing):
            FROM gold_fact_listings_scrapes f JOIN gold_dim_listings l USING (LISTING_ID)
            JOIN gold_dim_address a USING (ADDRESS_SK)"""
     ).first()
-    assert tuple(row) == ("Blue-House", "Rua a", 2000.0)
+    assert tuple(row) == ("Sunny-Loft", "Rua a", 3150.0)
 
 
 def test_jobs_by_layer(spark, tmp_path, raw_listing, monkeypatch):
