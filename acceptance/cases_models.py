@@ -12,13 +12,15 @@ from hearthlake import functions as H
 from hearthlake import schemas as S
 from hearthlake.operators import quality as C
 from hearthlake.operators import scd
-from hearthlake.operators.merge import merge_upsert, sync_columns
+from hearthlake.operators.merge import conform
 from hearthlake.operators.pick import at_latest, first_per_key
 from hearthlake.plans import dimensions as D
 from hearthlake.plans import fact as A
+from hearthlake.plans import pipeline as L
 from hearthlake.plans import silver as V
-from hearthlake.session import work_dir
-from hearthlake.sources.tables import Lake
+from hearthlake.plans.keyed import KeyedTable
+from hearthlake.session import Staging, work_dir
+from hearthlake.sources.tables import BUCKET, ROWS, Lake
 
 # ---------------------------------------------------------------------------
 # projections and filters
@@ -134,17 +136,16 @@ def _(spark, sf):
     "fn_regexp_extract",
     Q.query(
         """
-SELECT id, nullif(regexp_extract(fee_unit, '^([A-Za-z]+)', 1), '') AS currency,
-  nullif(regexp_extract(fee_unit, '/([A-Za-z]+)$', 1), '') AS period FROM bronze""",
+SELECT id, coalesce(nullif(regexp_extract(fee_unit, '^([A-Za-z]+)', 1), ''), 'unknown') AS currency,
+  coalesce(nullif(regexp_extract(fee_unit, '/([A-Za-z]+)$', 1), ''), 'unknown') AS period FROM bronze""",
         "bronze",
     ),
 )
 def _(spark, sf):
-    unit = F.col("LISTING_OFFERS_INFOS.PROPERTY_VALUE.UNIT_TEXT")
-    return X.stored_bronze(spark, sf).select(
-        F.col("ID").alias("id"),
-        H.regexp_extract_or_null(unit, "^([A-Za-z]+)").alias("currency"),
-        H.regexp_extract_or_null(unit, "/([A-Za-z]+)$").alias("period"),
+    # The expressions of the silver model themselves.
+    columns = V.silver_columns(X.RUN_TS)
+    return V.flatten_structs(X.stored_bronze(spark, sf)).select(
+        F.col("ID").alias("id"), columns["OFFERS_PRICE_CURRENCY"].alias("currency"), columns["OFFERS_PRICE_PERIOD"].alias("period")
     )
 
 
@@ -430,6 +431,12 @@ def _full_sql(name: str) -> str:
     return Q.query(f"SELECT {dim['columns']}, {_AUDIT} FROM ({inner})", dim["src"])
 
 
+def _dimension_sql(name: str) -> str:
+    """A first load's rows, below the parts that its source needs."""
+    dim = _DIMS[name]
+    return f"SELECT {dim['columns']}, {_AUDIT} FROM ({dim['full'].format(src=dim['src'], when='true')})"
+
+
 def _step_sql(name: str, pieces: str) -> str:
     """ACTIVE and/or DEACTIVATED rows of the last date against all earlier dates."""
     dim = _DIMS[name]
@@ -468,8 +475,12 @@ def _register_dimension(name: str, dim: D.Dimension) -> None:
 
     @case(f"dim_{name}_incr", _step_sql(name, "active deactivated"))
     def incremental(spark, sf):
+        # The rows that a run puts into the stored dimension, which is kept in buckets.
         silver = X.silver(spark, sf, unique=dim is D.LISTINGS)
-        return dim.incremental(silver, dim.full(X.up_to(silver, 1), X.RUN_1), X.RUN_2)
+        build = lambda lake: KeyedTable(lake, dim.spec).create(dim.full(X.up_to(silver, 1), X.RUN_1))
+        table, stage = KeyedTable(X.lake_of(spark, sf, f"dim_{name}", build), dim.spec), Staging(spark)
+        source = stage.keep(dim.source(silver), "latest")
+        return table.changes(source, X.RUN_2, stage).upserts.drop(BUCKET)
 
 
 for _name, _dim in _BY_NAME.items():
@@ -517,12 +528,15 @@ FROM silver_u GROUP BY listing_id
 
 def _three_runs(spark, sf):
     """First load up to the last date but two, then the next two dates one by one."""
-    silver = X.silver(spark, sf, unique=True)
-    dim = D.LISTINGS
-    state = dim.full(X.up_to(silver, 2), X.RUN_1)
-    for back, run in ((1, X.RUN_2), (0, X.RUN_3)):
-        state = dim.next_version(dim.source(X.up_to(silver, back)), state, run)
-    return state
+    silver, stage = X.silver(spark, sf, unique=True), Staging(spark)
+
+    def build(lake):
+        table = KeyedTable(lake, D.LISTINGS.spec)
+        table.create(D.LISTINGS.full(X.up_to(silver, 2), X.RUN_1))
+        for back, run in ((1, X.RUN_2), (0, X.RUN_3)):
+            table.merge(stage.keep(D.LISTINGS.source(X.up_to(silver, back)), "latest"), run, stage)
+
+    return X.lake_of(spark, sf, "three_runs", build).current(D.LISTINGS.spec.name)
 
 
 @case("scd1_soft_delete", Q.query("SELECT * FROM three_runs", "three_runs"))
@@ -593,10 +607,31 @@ def _measure(rows):
     return rows.selectExpr("LISTING_ID AS listing_id", "SCRAPE_DATE AS d", "PRICE AS price")
 
 
+def _stored_early(spark, sf, shape=lambda rows: rows):
+    """(lake, version, late rows): silver in parts of a date and city, in buckets, with its early dates; the late rows are stored too."""
+    early, late = _early_and_late(spark, sf)
+
+    def build(lake):
+        L.store(lake, shape(early), S.SILVER)
+        lake.publish(late, "late")
+
+    lake = X.lake_of(spark, sf, f"early_{shape.__name__}", build)
+    return lake, lake.version(S.SILVER.name), lake.current("late")
+
+
+def _after_merge(lake, base, late):
+    """The whole table after the merge of ``late``: parts that it touches merged where they lie, the others as they are."""
+    section = base.section(ROWS)
+    dates = [r[0] for r in late.select("SCRAPE_DATE").distinct().collect()]
+    touched = section.matching(SCRAPE_DATE=dates)
+    merged = L.upsert_plan(lake, late, S.SILVER, base, sorted(touched))
+    rest = lake.read(S.SILVER.name, version=base).where(~F.col("SCRAPE_DATE").isin(dates))
+    return conform(rest, merged.schema).unionByName(merged)
+
+
 @case("merge_upsert", Q.query(_MERGED, "day_2"))
 def _(spark, sf):
-    early, late = _early_and_late(spark, sf)
-    return _measure(merge_upsert(early, late, S.SILVER.keys))
+    return _measure(_after_merge(*_stored_early(spark, sf)))
 
 
 @case("partitioned_write", Q.query(_MERGED, "day_2"))
@@ -636,44 +671,84 @@ def _(spark, sf):
     "schema_sync",
     Q.query(
         """
-SELECT listing_id, CAST(d AS VARCHAR) AS d, price, CASE WHEN d >= (SELECT d FROM day_2) THEN 'late' END AS batch,
-  false AS has_description
-FROM silver_u""",
+SELECT listing_id, CAST(d AS VARCHAR) AS d, price, late, CASE WHEN late THEN 'late' END AS batch,
+  false AS has_description, 'bigint' AS rooms_type, rooms + CASE WHEN late THEN 5000000000 ELSE 0 END AS rooms,
+  CASE WHEN late THEN page + 0.5 END AS home_score, 'struct<ROOMS:bigint,SCORE:double>' AS home_type,
+  CASE WHEN late THEN 'new' ELSE '~' END AS first_tag
+FROM (SELECT *, d >= (SELECT d FROM day_2) AS late FROM silver_u)""",
         "day_2",
     ),
 )
 def _(spark, sf):
-    # The second run has a new column BATCH and no DESCRIPTION.
-    early, late = _early_and_late(spark, sf)
-    changed = late.withColumn("PRICE", F.col("PRICE") - 1).withColumn("BATCH", F.lit("late")).drop("DESCRIPTION")
-    synced = sync_columns(early.join(changed, ["LISTING_ID", "SCRAPE_DATE"], "left_anti"), changed)
-    merged = synced.unionByName(changed)
+    # The second run has a new column and no DESCRIPTION; within a struct and an array of structs a field is new,
+    # one is gone, and an int has become a bigint.
+    def first_shape(rows):
+        home = F.struct(F.col("ROOMS").cast("int").alias("ROOMS"), F.lit("gone").alias("OLD"))
+        return rows.withColumns({"HOME": home, "TAGS": F.array(F.struct(F.lit(1).alias("N"), F.lit("x").alias("OLD")))})
+
+    lake, base, late = _stored_early(spark, sf, first_shape)
+    home = F.struct((F.col("ROOMS") + 5_000_000_000).alias("ROOMS"), (F.col("PAGE") + 0.5).alias("SCORE"))
+    tags = F.array(F.struct(F.lit(1).cast("bigint").alias("N"), F.lit("new").alias("TAG")))
+    late = late.withColumns({"PRICE": F.col("PRICE") - 1, "BATCH": F.lit("late"), "HOME": home, "TAGS": tags}).drop("DESCRIPTION")
+    merged = _after_merge(lake, base, late)
+    kinds = {f.name: f.dataType for f in merged.schema}
     return merged.select(
         F.col("LISTING_ID").alias("listing_id"),
         F.col("SCRAPE_DATE").alias("d"),
         F.round("PRICE", 2).alias("price"),
+        F.col("BATCH").isNotNull().alias("late"),
         F.col("BATCH").alias("batch"),
         F.lit("DESCRIPTION" in merged.columns).alias("has_description"),
+        F.lit(kinds["HOME"]["ROOMS"].dataType.simpleString()).alias("rooms_type"),
+        F.col("HOME.ROOMS").alias("rooms"),
+        F.col("HOME.SCORE").alias("home_score"),
+        F.lit(kinds["HOME"].simpleString()).alias("home_type"),
+        F.coalesce(F.col("TAGS")[0]["TAG"], F.lit("~")).alias("first_tag"),
     )
 
 
 # ---------------------------------------------------------------------------
 # column tests, on bronze where the fixture has failures to find
 
-_NULLABLE = {"LISTING_NAME": "name", "LISTING_URL": "url", "LISTING_DESCRIPTION": "description", "LISTING_ID": "listing_id"}
+#: Where the bronze columns are in the SQL; the others have a value in every row.
+_BRONZE_SQL = {
+    "ID": "id",
+    "LISTING_ID": "listing_id",
+    "LISTING_NAME": "name",
+    "LISTING_URL": "url",
+    "LISTING_DESCRIPTION": "description",
+    "LISTING_PETS_ALLOWED_FLAG": "pets",
+    "LISTING_NUMBER_OF_ROOMS_AMT": "rooms",
+    "LISTING_NUMBER_OF_BEDROOMS_AMT": "bedrooms",
+    "LISTING_NUMBER_OF_BATHROOMS_AMT": "bathrooms",
+    "LISTING_ADDRESS_INFOS": "country",
+    "LISTING_FLOOR_SIZE_INFOS": "size_unit",
+    "LISTING_IMAGES_LIST": "images",
+    "LISTING_AMENITY_FEATURES_INFOS": "n_amenities",
+    "LISTING_OFFERS_INFOS": "currency",
+    "SRC_BLOB": "blob",
+    "SRC_SITE_NAME": "site",
+    "SRC_CITY_NAME": "city",
+    "SRC_PROPERTY_TYPE_CAT": "kind",
+    "SRC_PAGE_NUM": "page",
+    "SRC_EXECUTED_AT_TS": "ts",
+    "AUD_VERSION_ID": "id",
+    "AUD_INS_TS": "id",
+    "AUD_UPD_TS": "id",
+}
 
 
 @case(
     "dq_not_null",
     Q.query(
         "\nUNION ALL\n".join(
-            f"SELECT '{c}' AS \"column\", count(*) FILTER ({s} IS NULL) AS failures FROM bronze" for c, s in _NULLABLE.items()
+            f"SELECT '{c}' AS \"column\", count(*) FILTER ({s} IS NULL) AS failures FROM bronze" for c, s in _BRONZE_SQL.items()
         ),
         "bronze",
     ),
 )
 def _(spark, sf):
-    return C.not_null(X.stored_bronze(spark, sf), list(_NULLABLE))
+    return C.not_null(X.stored_bronze(spark, sf), S.BRONZE.fieldNames())
 
 
 @case(
@@ -718,42 +793,79 @@ def _(spark, sf):
     return C.foreign_keys(A.fact_listings(silver, X.RUN_TS), {name: F.col(name) for name in keys}, dimensions)
 
 
-#: Where silver's columns are in the SQL; the audit columns have a value in every row.
-_SILVER_SQL = dict(
-    zip(
-        S.SILVER.not_null,
-        "bronze_id listing_id listing_name url description pets rooms bedrooms bathrooms street locality region country "
-        "size_unit images n_amenities price currency availability fee_name fee fee_currency fee_period site city kind page d d d".split(),
-        strict=True,
-    )
-)
+#: Per table: its contract, the column its test rows are told apart by, and the SQL of its rows.
+_CONTRACTS = {
+    S.SILVER: ('"BRONZE_ID"', _SILVER_SQL.format(source="silver"), "silver"),
+    S.DIM_LISTINGS: ('"LISTING_ID"', _dimension_sql("listings"), "silver"),
+    S.DIM_ADDRESS: ('"ADDRESS_SK"', _dimension_sql("address"), "silver"),
+    S.DIM_AMENITIES: ('"AMENITIES_SK" || "AMENITY_NAME" || "AMENITY_VALUE"', _dimension_sql("amenities"), "features"),
+    S.DIM_IMAGES: ('"IMAGES_SK" || "IMAGE_URL"', _dimension_sql("images"), "pictures"),
+    S.FACT: ('"BRONZE_ID"', _FACT_SQL, "fact"),
+}
 
 
-@case(
-    "dq_contracts",
-    Q.query(
-        "\nUNION ALL\n".join(
-            [
-                f"SELECT 'not_null' AS test, '{c}' AS \"column\", count(*) FILTER ({at} IS NULL OR eid % 97 = {i}) AS failures FROM silver"
-                for i, (c, at) in enumerate(_SILVER_SQL.items())
-            ]
-            + [
-                "SELECT 'unique', 'BRONZE_ID', (SELECT count(*) - count(DISTINCT bronze_id) FROM silver)",
-                "SELECT 'accepted_values', 'SITE', (SELECT count(DISTINCT site) FROM silver WHERE site = 'other')",
-                "SELECT 'accepted_values', 'PROPERTY_TYPE', (SELECT count(DISTINCT eid % 3) FROM silver WHERE eid % 41 = 0 "
-                f"AND eid % 97 <> {S.SILVER.not_null.index('PROPERTY_TYPE')})",
-            ]
-        ),
-        "silver",
-    ),
-)
+def _draw(key: str, salt: str) -> str:
+    """One hex digit of a row and a purpose, in both engines."""
+    return f"substr(md5({key} || '#{salt}'), 1, 1)"
+
+
+def _broken_sql(spec, key: str, rows: str) -> str:
+    """A table's rows with some of them twice, some property types that are none, and holes in every tested column."""
+    odd = f"CASE WHEN {_draw('k', 'odd')} = '0' THEN 'castle-' || {_draw('k', 'kind')} ELSE \"PROPERTY_TYPE\" END"
+    inner = f"SELECT *, {key} AS k FROM ({rows})"
+    twice = f"SELECT *, unnest(CASE WHEN {_draw('k', 'twice')} = 'f' THEN [0, 1] ELSE [0] END) AS again FROM ({inner})"
+    if spec.accepted:
+        twice = f'SELECT * REPLACE ({odd} AS "PROPERTY_TYPE") FROM ({twice})'
+    holes = ", ".join(f"""CASE WHEN {_draw('k', str(i))} <> '7' THEN "{c}" END AS "{c}\"""" for i, c in enumerate(spec.not_null))
+    return f"SELECT * REPLACE ({holes}) FROM ({twice})"
+
+
+def _contract_sql() -> str:
+    selects, needs = [], []
+    for spec, (key, rows, source) in _CONTRACTS.items():
+        own = f"broken_{spec.name}"
+        Q.part(own, _broken_sql(spec, key, rows), source)
+        needs.append(own)
+        line = f"SELECT '{spec.name}' AS \"table\", '%s' AS test, '%s' AS \"column\", (%s)::BIGINT AS failures"
+        selects += [line % ("not_null", c, f'SELECT count(*) FROM {own} WHERE "{c}" IS NULL') for c in spec.not_null]
+        selects += [
+            line % ("unique", c, f'SELECT count(*) FROM (SELECT "{c}" FROM {own} WHERE "{c}" IS NOT NULL GROUP BY "{c}" HAVING count(*) > 1)')
+            for c in spec.unique
+        ]
+        selects += [
+            line % ("accepted_values", c, f"""SELECT count(DISTINCT "{c}") FROM {own} WHERE "{c}" NOT IN ({', '.join(f"'{v}'" for v in values)})""")
+            for c, values in spec.accepted
+        ]
+    return Q.query("\nUNION ALL\n".join(selects), *needs)
+
+
+def _gold(spark, sf):
+    """A lake with the dimensions and the fact of the whole history, as the pipeline stores them."""
+    silver = X.silver(spark, sf)
+
+    def build(lake):
+        for dim in D.ALL:
+            KeyedTable(lake, dim.spec).create(dim.full(silver, X.RUN_1))
+        L.store(lake, A.fact_listings(silver, X.RUN_TS), S.FACT)
+
+    return X.lake_of(spark, sf, "gold", build)
+
+
+@case("dq_contracts", _contract_sql())
 def _(spark, sf):
-    # Each column is emptied in some rows, and some rows have a type that is none.
-    silver = X.silver(spark, sf).withColumn("_eid", F.col("BRONZE_ID").cast("bigint"))
-    odd = F.when(F.col("_eid") % 41 == 0, F.concat(F.lit("castle-"), F.col("_eid") % 3)).otherwise(F.col("PROPERTY_TYPE"))
-    silver = silver.withColumn("PROPERTY_TYPE", odd)
-    holes = {c: F.when(F.col("_eid") % 97 != i, F.col(c)) for i, c in enumerate(S.SILVER.not_null)}
-    return C.run_contract(silver.withColumns(holes), S.SILVER)
+    # All 76 tests: every tested column is emptied in some rows, some rows come twice, some types are none.
+    lake = _gold(spark, sf)
+    tables = {S.SILVER: X.silver(spark, sf), S.FACT: lake.read(S.FACT.name)} | {d.spec: lake.current(d.spec.name) for d in D.ALL}
+
+    def broken(spec):
+        df = tables[spec].withColumn("k", F.expr(_CONTRACTS[spec][0].replace('"', "`")))
+        df = df.withColumn("again", F.explode(F.expr(f"CASE WHEN {_draw('k', 'twice')} = 'f' THEN array(0, 1) ELSE array(0) END")))
+        if spec.accepted:
+            odd = F.expr(f"CASE WHEN {_draw('k', 'odd')} = '0' THEN 'castle-' || {_draw('k', 'kind')} ELSE PROPERTY_TYPE END")
+            df = df.withColumn("PROPERTY_TYPE", odd)
+        return df.withColumns({c: F.when(F.expr(_draw("k", str(i))) != "7", F.col(c)) for i, c in enumerate(spec.not_null)})
+
+    return C.run_contracts({spec: broken(spec) for spec in _CONTRACTS})
 
 
 @case("run_date_scope", Q.query(_FACT_SQL + " WHERE d = (SELECT d FROM last_day)", "fact", "last_day"))

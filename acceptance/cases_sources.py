@@ -14,11 +14,12 @@ from hearthlake.operators import paging as P
 from hearthlake.params import RunParams
 from hearthlake.plans import bronze as B
 from hearthlake.plans import dimensions as D
+from hearthlake.plans import pipeline as L
 from hearthlake.plans.pipeline import load_bronze
 from hearthlake.session import Staging, work_dir
 from hearthlake.sources import snapshots as N
 from hearthlake.sources.pages import scan_raw_pages, url_lineage
-from hearthlake.sources.tables import Lake, count_tables, ensure_table
+from hearthlake.sources.tables import BrokenConstraintError, Lake, count_tables, ensure_table
 
 # ---------------------------------------------------------------------------
 # scans
@@ -442,15 +443,25 @@ def _(spark, sf):
     return P.contiguous_pages(P.latest_snapshot(X.snapshot_files(spark, sf))).select(*_FILE_COLUMNS)
 
 
-def _loaded(spark, sf):
-    """A bronze table that holds the snapshots of every third page."""
-    third = P.latest_snapshot(X.snapshot_files(spark, sf)).where("page % 3 = 0")
-    return P.loaded_blobs(third.select(F.col("blob").alias("SRC_BLOB")))
+def _loads(spark, sf):
+    """A lake whose ledger has the snapshots of every third page."""
+
+    def build(lake):
+        third = P.latest_snapshot(X.snapshot_files(spark, sf)).where("page % 3 = 0")
+        entries = third.select("blob", F.col("file_date").alias(S.BRONZE_PARTITION), F.lit(1).cast("bigint").alias("listings"))
+        write = lake.write_aside(entries, L.BRONZE_TABLE, S.BRONZE_PARTITION, ("blob",))
+        lake.add(L.BRONZE_TABLE, {L.LOADS: (write, write, S.BRONZE_PARTITION, entries.schema)})
+
+    return X.lake_of(spark, sf, "loads", build)
 
 
 @case("skip_loaded", Q.query(f"SELECT {_FILE} FROM unbroken_files WHERE page % 3 <> 0", "unbroken_files"))
 def _(spark, sf):
-    return B.select_snapshots(X.snapshot_files(spark, sf), _loaded(spark, sf)).select(*_FILE_COLUMNS)
+    # What the bronze job chooses; the ledger says what is loaded.
+    files = X.snapshot_files(spark, sf)
+    params = RunParams("dev", "macae", "vivareal", "apartment", run_ts=X.RUN_TS_VALUE)
+    chosen = L.chosen_snapshots(_loads(spark, sf), files, params)
+    return files.join(chosen, "blob", "left_semi").select(*_FILE_COLUMNS)
 
 
 @case(
@@ -571,6 +582,30 @@ def _(spark, sf):
     )
 
 
+@case(
+    "ensure_table",
+    Q.query(
+        """
+SELECT true AS created, false AS created_again, true AS refused, CAST(d AS VARCHAR) AS load_date, count(*) AS n
+FROM bronze GROUP BY d""",
+        "bronze",
+    ),
+)
+def _(spark, sf):
+    # The table as the bronze job declares it: rows without a listing id are refused, as a whole write.
+    lake, name = Lake(spark, work_dir(spark, "declared"), "dev"), L.BRONZE_TABLE
+    created, again = (lake.ensure(name, S.BRONZE, S.BRONZE_PARTITION) for _ in range(2))
+    rows, refused = B.with_partition(X.bronze(spark, sf)), False
+    lake.append(rows, name, S.BRONZE_PARTITION)
+    try:
+        lake.append(rows.withColumn("LISTING_ID", F.nullif("LISTING_ID", F.lit("1"))), name, S.BRONZE_PARTITION)
+    except BrokenConstraintError:
+        refused = True
+    loads = lake.read(name).groupBy(F.col(S.BRONZE_PARTITION).alias("load_date")).agg(F.count("*").alias("n"))
+    flags = {"created": created, "created_again": again, "refused": refused}
+    return loads.select(*[F.lit(v).alias(c) for c, v in flags.items()], "load_date", "n")
+
+
 def _catalog_table(spark, sf):
     """(name, tables before, created, created again, tables after); the table holds bronze."""
     location = work_dir(spark, "catalog")
@@ -582,19 +617,6 @@ def _catalog_table(spark, sf):
     return name, before, created, again, count_tables(spark, name)
 
 
-@case(
-    "ensure_table",
-    Q.query(
-        "SELECT true AS created, false AS created_again, CAST(d AS VARCHAR) AS load_date, count(*) AS n FROM bronze GROUP BY d",
-        "bronze",
-    ),
-)
-def _(spark, sf):
-    name, _, created, again, _ = _catalog_table(spark, sf)
-    rows = spark.table(name).groupBy(F.col(S.BRONZE_PARTITION).alias("load_date")).agg(F.count("*").alias("n"))
-    return rows.select(F.lit(created).alias("created"), F.lit(again).alias("created_again"), "load_date", "n")
-
-
 @case(
     "count_tables",
     Q.query("SELECT CAST(0 AS BIGINT) AS tables_before, CAST(1 AS BIGINT) AS tables_after, count(*) AS n FROM bronze", "bronze"),

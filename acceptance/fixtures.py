@@ -22,6 +22,7 @@ VERSION = "v0"
 #: A page or snapshot draws its listings from one block of this many event ids, so
 #: its size is bounded and the number of pages grows with the events, at every size.
 BLOCK = 4096
+ROWS_A_FILE = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -146,11 +147,22 @@ def _published(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
         lake = Lake(spark, work_dir(spark, name), "dev")
-        lake.publish(build(), name)
+        # Enough files for every core, however small the table is.
+        lake.publish(build(), name, rows_a_file=ROWS_A_FILE)
         _STORED[key] = lake
     return _STORED[key].current(name)
 
 
+def lake_of(spark: SparkSession, sf_dir: str, name: str, build) -> Lake:
+    """A lake that ``build`` has filled, once per session and scale; cases only read it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        lake = Lake(spark, work_dir(spark, name), "dev")
+        build(lake)
+        _STORED[key] = lake
+    return _STORED[key]
+
+
 def stored_bronze(spark: SparkSession, sf_dir: str, unique: bool = False) -> DataFrame:
     build = lambda: with_partition(bronze(spark, sf_dir, unique))
     cluster = ("SRC_SITE_NAME", "SRC_CITY_NAME", "SRC_PROPERTY_TYPE_CAT", "SRC_PAGE_NUM")
@@ -279,6 +291,11 @@ def build_listing_pages(spark: SparkSession, sf_dir: str, repeat_ids: bool) -> D
 
 
 def snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file listing, stored once per session and scale."""
+    return _published(spark, sf_dir, "snapshot_files", lambda: build_snapshot_files(spark, sf_dir))
+
+
+def build_snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file listing: two snapshots per search page and date. The one named later
     was modified earlier. One site lacks page 6."""
     seen = (

@@ -75,19 +75,40 @@ def foreign_keys(fact: DataFrame, keys: Mapping[str, Column], dimensions: Mappin
     return counted.join(reduce(DataFrame.unionByName, known), ["fk", "value"], "left_anti")
 
 
+def _declared(spec: TableSpec) -> list[tuple[str, str]]:
+    return [
+        *[("not_null", c) for c in spec.not_null],
+        *[("unique", c) for c in spec.unique],
+        *[("accepted_values", c) for c, _ in spec.accepted],
+    ]
+
+
+def _breaches(spec: TableSpec) -> Column:
+    """What a row has for the tests of its table, as an array of (test, column, value): its NULLs where none may be,
+    the values that must be unique, and the values outside a list. Most rows have the unique ones only."""
+    entry = lambda test, c, value: F.struct(F.lit(test).alias("test"), F.lit(c).alias("column"), value.cast("string").alias("value"))
+    found = [F.when(F.col(c).isNull(), entry("not_null", c, F.lit(None))) for c in spec.not_null]
+    found += [F.when(F.col(c).isNotNull(), entry("unique", c, F.col(c))) for c in spec.unique]
+    found += [F.when(~F.col(c).isin(*values), entry("accepted_values", c, F.col(c))) for c, values in spec.accepted]
+    return F.array_compact(F.array(*found))
+
+
 def run_contract(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """(test, column, failures) for every test a table declares."""
-    labelled = [not_null(df, spec.not_null).select(F.lit("not_null").alias("test"), "column", "failures")]
-    for test, column, failed in [
-        *[("unique", c, unique(df, c)) for c in spec.unique],
-        *[("accepted_values", c, accepted_values(df, c, v)) for c, v in spec.accepted],
-    ]:
-        labelled.append(
-            failed.agg(F.count("*").alias("failures")).select(
-                F.lit(test).alias("test"), F.lit(column).alias("column"), "failures"
-            )
-        )
-    result = labelled[0]
-    for part in labelled[1:]:
-        result = result.unionByName(part)
-    return result
+    """(test, column, failures) for every test a table declares, from one pass over it.
+
+    Failures are rows for ``not_null``, repeated values for ``unique`` and strange values for ``accepted_values``.
+    Entries are counted per (test, column, value), within each task before they are shuffled, so a value that most
+    rows have is one row; then per (test, column).
+    """
+    counted = df.select(F.inline(_breaches(spec))).groupBy("test", "column", "value").agg(F.count("*").alias("n"))
+    weight = F.when(F.col("test") == "not_null", F.col("n")).when((F.col("test") == "unique") & (F.col("n") == 1), 0).otherwise(1)
+    failed = counted.groupBy("test", "column").agg(F.sum(weight).alias("failures"))
+    names = [F.struct(F.lit(test).alias("test"), F.lit(c).alias("column")) for test, c in _declared(spec)]
+    tests = df.sparkSession.range(1).select(F.inline(F.array(*names)))
+    return tests.join(failed, ["test", "column"], "left").select("test", "column", F.coalesce("failures", F.lit(0)).alias("failures"))
+
+
+def run_contracts(tables: Mapping[TableSpec, DataFrame]) -> DataFrame:
+    """(table, test, column, failures) for every test of several tables; each table is read once."""
+    parts = [run_contract(df, spec).select(F.lit(spec.name).alias("table"), "test", "column", "failures") for spec, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)

@@ -210,7 +210,8 @@ def loadable(rows: DataFrame) -> DataFrame:
 def rejected(rows: DataFrame) -> DataFrame:
     """What the table does not take: path, key, reason and the listing itself."""
     lost = rows.where(F.col(REASON).isNotNull())
-    return lost.select("SRC_BLOB", "LISTING_KEY", REASON, "LISTING", F.to_date("AUD_INS_TS").alias(S.QUARANTINE_PARTITION))
+    dates = [F.to_date("AUD_INS_TS").alias(S.REJECTED_ON), F.to_date("SRC_EXECUTED_AT_TS").alias(S.BRONZE_PARTITION)]
+    return lost.select("SRC_BLOB", "LISTING_KEY", REASON, "LISTING", *dates)
 
 
 def bronze_rows(snapshots: DataFrame, chosen: DataFrame, run_ts: datetime | str, version: str) -> DataFrame:

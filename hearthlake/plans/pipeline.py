@@ -2,28 +2,39 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearthlake import schemas as S
 from hearthlake.operators import extract, paging
-from hearthlake.operators.merge import merge_upsert, require_mergeable
+from hearthlake.operators.merge import conform, merged_schema, require_mergeable
 from hearthlake.operators.pick import first_per_key
 from hearthlake.params import RunParams
 from hearthlake.plans import bronze as bronze_plan
 from hearthlake.plans.dimensions import ALL, Dimension
 from hearthlake.plans.fact import fact_listings
+from hearthlake.plans.keyed import KeyedTable
 from hearthlake.plans.silver import silver_listings
 from hearthlake.session import Staging
 from hearthlake.sources import snapshots as snapshot_source
 from hearthlake.sources.pages import url_lineage
-from hearthlake.sources.tables import Lake, latest_date_with
+from hearthlake.sources.tables import ROWS, Lake, counted_nulls, latest_date_with
+from hearthlake.sources.versions import NULL_FOLDER, Version, unescaped, values_of
 
 BRONZE_TABLE = "bronze_listings"
 QUARANTINE_TABLE = "bronze_quarantine"
+#: Buckets of a date and city in silver and the fact.
+BUCKETS = 4
+#: The ledger, kept with bronze: loaded snapshots and how many listings each gave.
+LOADS = "loads"
+#: Whether a row of a load is for the quarantine; loads are written once, divided by it.
+_REJECTED = "REJECTED"
 _BRONZE_CLUSTER = ("SRC_SITE_NAME", "SRC_CITY_NAME", "SRC_PROPERTY_TYPE_CAT", "SRC_PAGE_NUM")
 
 
@@ -59,6 +70,15 @@ def land_snapshots(pages: DataFrame, root: str, params: RunParams, stage: Stagin
     return rows
 
 
+def chosen_snapshots(lake: Lake, paths: DataFrame, params: RunParams, file_date: date | str | None = None) -> DataFrame:
+    """Snapshots to load. What is loaded already is read from the ledger (of the date), not from bronze."""
+    loaded = None
+    if lake.exists(BRONZE_TABLE, LOADS):
+        partition = S.BRONZE_PARTITION if file_date is not None else None
+        loaded = lake.read(BRONZE_TABLE, partition, file_date, section=LOADS).select("blob")
+    return bronze_plan.select_snapshots(paths, loaded, params.start_page, params.max_page).select("blob")
+
+
 def load_bronze(
     lake: Lake,
     snapshots: DataFrame,
@@ -73,38 +93,75 @@ def load_bronze(
     ``paths`` lists the snapshots without their payloads, where that is cheaper to
     get than from ``snapshots``. ``file_date`` is their date, if it is one.
     Listings the table does not take go to the quarantine table, with their reason. A
-    chosen snapshot that cannot be read stops the load before anything is written,
-    unless the run says that it is to be noted there too.
+    chosen snapshot that cannot be read stops the load before anything is committed,
+    unless the run says that it is to be noted there too. Rows and rejects are written
+    once, in one pass, in which NULLs in the declared table's NOT NULL columns are counted; rows and
+    the ledger's entries are committed together, so a load that is repeated adds nothing.
     """
     paths = snapshots.drop("payload") if paths is None else paths
-    loaded = None
-    if lake.exists(BRONZE_TABLE):
-        partition = S.BRONZE_PARTITION if file_date is not None else None
-        loaded = paging.loaded_blobs(lake.read(BRONZE_TABLE, partition, file_date))
-    chosen = bronze_plan.select_snapshots(paths, loaded, params.start_page, params.max_page).select("blob")
     # Kept so that its true size decides how the payloads are matched.
-    every = bronze_plan.raw_bronze_rows(snapshots, stage.keep(chosen, "chosen"), params.run_ts, params.version)
-    every = stage.keep(every, "bronze")
-    lost, rows = bronze_plan.rejected(every), bronze_plan.loadable(every)
+    chosen = stage.keep(chosen_snapshots(lake, paths, params, file_date), "chosen")
+    every = bronze_plan.with_partition(bronze_plan.raw_bronze_rows(snapshots, chosen, params.run_ts, params.version))
+    if not params.write_bronze:
+        every = stage.keep(every, "bronze")
+        _stop_at_unreadable(bronze_plan.rejected(every), params)
+        return bronze_plan.loadable(every).drop(S.BRONZE_PARTITION)
+
+    log, lost = lake.log(BRONZE_TABLE), F.col(bronze_plan.REASON).isNotNull()
+    divided = every.withColumn(_REJECTED, lost)
+    required = [f.name for f in S.BRONZE if not f.nullable]
+    checked, nulls = counted_nulls(divided, required, among=~lost)
+    write = lake.write_aside(checked, BRONZE_TABLE, (_REJECTED, S.BRONZE_PARTITION), _BRONZE_CLUSTER)
+    parts = log.parts_in(write, 1)
+    if not parts:
+        log.discard(write)
+        return lake.spark.createDataFrame([], S.BRONZE)
+    lake.refuse_nulls(BRONZE_TABLE, write, nulls)
+    loaded = lake.read_aside(BRONZE_TABLE, write, T.StructType([*divided.schema.fields]))
+    rejects = bronze_plan.rejected(loaded.where(_REJECTED)) if f"{_REJECTED}=true" in parts else None
+    if rejects is not None:
+        try:
+            _stop_at_unreadable(rejects, params)
+        except bronze_plan.UnreadableSnapshotError:
+            log.discard(write)
+            raise
+        quarantine(lake, rejects)
+        log.discard(f"{write}/{_REJECTED}=true")
+    lake.ensure(BRONZE_TABLE, S.BRONZE, S.BRONZE_PARTITION)
+    rows = loaded.where(~F.col(_REJECTED))
+    if f"{_REJECTED}=false" in parts:
+        entries = rows.groupBy(F.col("SRC_BLOB").alias("blob"), S.BRONZE_PARTITION).agg(F.count("*").alias("listings"))
+        entries = entries.withColumn("loaded_at", F.lit(str(params.run_ts)).cast("timestamp"))
+        ledger = lake.write_aside(entries, BRONZE_TABLE, S.BRONZE_PARTITION, ("blob",))
+        table = T.StructType([*S.BRONZE.fields, T.StructField(S.BRONZE_PARTITION, T.DateType())])
+        lake.add(
+            BRONZE_TABLE,
+            {
+                ROWS: (write, f"{write}/{_REJECTED}=false", S.BRONZE_PARTITION, table),
+                LOADS: (ledger, ledger, S.BRONZE_PARTITION, entries.schema),
+            },
+        )
+    return rows.select(*S.BRONZE.fieldNames())
+
+
+def _stop_at_unreadable(rejects: DataFrame, params: RunParams) -> None:
     if params.on_unreadable == "raise":
-        broken = lost.where(F.col(bronze_plan.REASON) == bronze_plan.UNREADABLE).select("SRC_BLOB").head(3)
+        broken = rejects.where(F.col(bronze_plan.REASON) == bronze_plan.UNREADABLE).select("SRC_BLOB").head(3)
         if broken:
             raise bronze_plan.UnreadableSnapshotError(", ".join(r[0] for r in broken))
-    if params.write_bronze:
-        quarantine(lake, lost)
-        lake.append(bronze_plan.with_partition(rows), BRONZE_TABLE, S.BRONZE_PARTITION, _BRONZE_CLUSTER)
-    return rows
 
 
 def quarantine(lake: Lake, lost: DataFrame) -> None:
-    """Note rejected listings, each once however often its snapshot is looked at."""
+    """Note rejected listings, each once however often its snapshot is looked at. What is noted already is
+    looked up among the rejects of the same snapshots' dates only."""
     keys = ["SRC_BLOB", "LISTING_KEY", bronze_plan.REASON]
     if lake.exists(QUARANTINE_TABLE):
-        known = lake.read(QUARANTINE_TABLE).select(*keys).alias("k")
+        dates = [r[0] for r in lost.select(S.BRONZE_PARTITION).distinct().collect()]  # one per date of the load
+        known = lake.read(QUARANTINE_TABLE, **{S.BRONZE_PARTITION: dates}).select(*keys).alias("k")
         same = [F.col(f"l.{c}").eqNullSafe(F.col(f"k.{c}")) for c in keys]
         lost = lost.alias("l").join(known, same, "left_anti")
     if not lost.isEmpty():
-        lake.append(lost, QUARANTINE_TABLE, S.QUARANTINE_PARTITION, ("SRC_BLOB",))
+        lake.append(lost, QUARANTINE_TABLE, S.BRONZE_PARTITION, ("SRC_BLOB",))
 
 
 def first_row(columns: Sequence[str], params: RunParams) -> list[Column] | None:
@@ -115,6 +172,47 @@ def first_row(columns: Sequence[str], params: RunParams) -> list[Column] | None:
     return [F.col(c).asc_nulls_last() for c in [*lead, *[c for c in columns if c not in lead]]]
 
 
+def upsert_plan(
+    lake: Lake, source: DataFrame, spec: S.TableSpec, base: Version, parts: Sequence[str], on_duplicate: Sequence[Column] | None = None, fresh: bool = True
+) -> DataFrame:
+    """The rows of the parts that a stored source touches, after the merge; with ``fresh`` also those of parts that are not there yet.
+
+    A part is a date and a city, in buckets of the key. The source is dealt into the same buckets, so that the rows
+    that are there already are merged, and written again, without being moved.
+    """
+    keys, n = base.section(ROWS).notes["buckets"]
+    place = lambda values: reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v).cast(source.schema[c].dataType)) for c, v in values.items()])
+    merged, new = [], source
+    for part in parts:
+        values = values_of(part)
+        here = source.where(place(values)).repartition(n, *keys)
+        gone = source.where(place({spec.partition: values[spec.partition]})).select(*spec.keys).repartition(n, *keys)
+        if on_duplicate is not None:
+            here = first_per_key(here, spec.keys, on_duplicate)
+        target = lake.read_bucketed(spec.name, part, base)
+        merged += [target.join(gone, [*spec.keys], "left_anti"), here]
+        new = new.where(~place(values))
+    if fresh:
+        merged.append(new if on_duplicate is None else first_per_key(new, spec.keys, on_duplicate))
+    schema = merged_schema(T.StructType.fromJson(json.loads(base.section(ROWS).schema)), source.schema)
+    return reduce(DataFrame.unionByName, [conform(rows, schema) for rows in merged])
+
+
+def store(lake: Lake, rows: DataFrame, spec: S.TableSpec) -> None:
+    """Writes whole parts (dates and cities), in the table's buckets; parts of the same name are replaced."""
+    base = lake.version(spec.name)
+    buckets = base.section(ROWS).notes.get("buckets") or [[*spec.bucket], BUCKETS]
+    write = lake.write_aside(rows, spec.name, spec.folders, spec.cluster, buckets)
+    lake.replace(spec.name, write, spec.folders, rows.schema, base, notes={"buckets": buckets})
+
+
+def _touched(source: DataFrame, spec: S.TableSpec) -> list[str]:
+    """Parts that the source has rows for: one per date and city of the run."""
+    folders = spec.folders
+    name = lambda c: F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NULL_FOLDER)))
+    return [r[0] for r in source.select(F.concat_ws("/", *[name(c) for c in folders])).distinct().collect()]
+
+
 def upsert_date(
     lake: Lake,
     rows: DataFrame,
@@ -123,16 +221,30 @@ def upsert_date(
     stage: Staging,
     on_duplicate: Sequence[Column] | None = None,
 ) -> None:
-    """Merge one date's rows into a date-partitioned table. Only that date is read
-    and rewritten. A repeated key that would update one row twice is an error,
-    unless ``on_duplicate`` says which row comes first."""
-    if lake.exists(spec.name) and str(file_date) in lake.partition_values(spec.name, spec.partition):
-        source = stage.keep(rows, spec.name)
-        same_date = lake.read(spec.name, spec.partition, file_date)
-        if on_duplicate is None:
-            require_mergeable(same_date, source, spec.keys)
-        rows = merge_upsert(same_date, source, spec.keys, on_duplicate)
-    lake.overwrite_partitions(rows, spec.name, spec.partition, spec.cluster)
+    """Merge one date's rows into a table with a folder per date and city.
+
+    Only the cities of the run are rewritten, and other cities of the date in which one of its keys
+    was listed before; runs of different cities do not wait for each other. A repeated key that would
+    update one row twice is an error, unless ``on_duplicate`` says which row comes first.
+    """
+    base = lake.version(spec.name)
+    there = base.section(ROWS).matching(**{spec.partition: [file_date]})
+    if not there:
+        store(lake, rows, spec)
+        return
+    source = stage.keep(rows, spec.name)
+    own, wanted = {unescaped(p): p for p in there}, set(_touched(source, spec))
+    held = [lake.read_bucketed(spec.name, p, base).select(*spec.keys, F.lit(p).alias("_part")) for p in there]
+    keys, n = base.section(ROWS).notes["buckets"]
+    claimed = source.select(*spec.keys).repartition(n, *keys)
+    hit = stage.keep(reduce(DataFrame.unionByName, [h.join(claimed, [*spec.keys], "left_semi") for h in held]), "held")
+    if on_duplicate is None:
+        require_mergeable(hit, source, spec.keys)
+    elsewhere = {r[0] for r in hit.select("_part").distinct().collect()}
+    parts = sorted(elsewhere | {p for name, p in own.items() if name in wanted})
+    merged = upsert_plan(lake, source, spec, base, parts, on_duplicate, fresh=not wanted <= set(own))
+    write = lake.write_aside(merged, spec.name, spec.folders, spec.cluster, (keys, n), spread=False)
+    lake.replace(spec.name, write, spec.folders, merged.schema, base, emptied=parts)
 
 
 def build_silver(lake: Lake, params: RunParams, stage: Staging) -> None:
@@ -148,19 +260,16 @@ def build_silver(lake: Lake, params: RunParams, stage: Staging) -> None:
 
 def build_dimension(lake: Lake, dim: Dimension, params: RunParams, stage: Staging) -> None:
     """A dimension's first load, or its next version from the latest scrape."""
-    name, partition = S.SILVER.name, S.SILVER.partition
-    target = lake.current(dim.spec.name)
-    if target is None:
-        rows = dim.full(lake.read(name), params.run_ts)
-    else:
-        # No date at all has any: the latest scrape is empty and every key vanished.
-        newest = latest_date_with(lake, name, partition, dim.counts)
-        latest = dim.rows_of(lake.read(name, partition, newest))
-        order = first_row(latest.columns, params)
-        latest = latest if order is None else first_per_key(latest, dim.spec.keys, order)
-        source = require_mergeable(target, stage.keep(latest, dim.spec.name), dim.spec.keys)
-        rows = dim.next_version(source, target, params.run_ts)
-    lake.publish(rows, dim.spec.name, dim.spec.cluster)
+    name, partition, table = S.SILVER.name, S.SILVER.partition, KeyedTable(lake, dim.spec)
+    if not table.exists():
+        table.create(dim.full(lake.read(name), params.run_ts))
+        return
+    # No date at all has any: the latest scrape is empty and every key vanished.
+    newest = latest_date_with(lake, name, partition, dim.counts)
+    latest = dim.rows_of(lake.read(name, partition, newest))
+    order = first_row(latest.columns, params)
+    latest = latest if order is None else first_per_key(latest, dim.spec.keys, order)
+    table.merge(stage.keep(latest, dim.spec.name), params.run_ts, stage)
 
 
 def build_fact(lake: Lake, params: RunParams, stage: Staging) -> None:

@@ -57,7 +57,7 @@ BRONZE = T.StructType(
 #: not on a date computed from SRC_EXECUTED_AT_TS.
 BRONZE_PARTITION = "SRC_EXECUTED_DATE"
 #: Date of the run that rejected a listing.
-QUARANTINE_PARTITION = "REJECTED_ON_DT"
+REJECTED_ON = "REJECTED_ON_DT"
 
 # What silver puts in place of a missing value.
 DEFAULT_TEXT = "unknown"
@@ -103,6 +103,9 @@ class TableSpec:
     unique: tuple[str, ...] = ()
     accepted: tuple[tuple[str, tuple[str, ...]], ...] = ()
     partition: str | None = None
+    #: Folders of a part, and the columns whose hash deals a part into buckets.
+    folders: tuple[str, ...] = ()
+    bucket: tuple[str, ...] = ()
 
 
 _PLACE = ("SITE", "CITY", "PROPERTY_TYPE", "PAGE")
@@ -112,6 +115,8 @@ SILVER = TableSpec(
     name="silver_listings_deduped",
     keys=("LISTING_ID", "SCRAPE_DATE"),
     partition="SCRAPE_DATE",
+    folders=("SCRAPE_DATE", "CITY"),
+    bucket=("LISTING_ID",),
     cluster=_PLACE,
     not_null=tuple(c for c in SILVER_COLUMNS if c != "FLOOR_SIZE"),
     unique=("BRONZE_ID",),
@@ -147,6 +152,8 @@ FACT = TableSpec(
     name="gold_fact_listings_scrapes",
     keys=("LISTING_ID", "SCRAPE_DATE"),
     partition="SCRAPE_DATE",
+    folders=("SCRAPE_DATE", "CITY"),
+    bucket=("LISTING_ID",),
     cluster=_PLACE,
     not_null=tuple(c for c in FACT_COLUMNS if c not in ("BRONZE_ID", "PAGE")),
 )

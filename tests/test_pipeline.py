@@ -183,7 +183,7 @@ def test_amenities_that_all_vanish_are_deactivated(spark, lake, root, raw_listin
     L.run(lake, pages(spark, vivareal=[[item(raw_listing, "a")]]), root, params(1))
     bare = item(raw_listing, "a", amenityFeature=[])
     L.run(lake, pages(spark, vivareal=[[bare]]), root, params(1, run_ts=datetime(2026, 1, 1, 9)))
-    assert [r.IN_LAST_SCRAPE_FLAG for r in lake.current(S.DIM_AMENITIES.name).collect()] == [False]
+    assert [r.IN_LAST_SCRAPE_FLAG for r in lake.current(S.DIM_AMENITIES.name).collect()] == [False, False]
 
 
 def test_tables_are_open_to_sql(spark, lake, root, raw_listing):
