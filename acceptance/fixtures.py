@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -315,3 +316,29 @@ def build_snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat_ws('/', 'dev', site, city, property_type, CAST(page AS string), file_date || 'T' || hour || ':00:00Z.json') AS blob",
         "site", "city", "property_type", "page", "file_date", "modified_ts",
     )
+
+
+#: Landed files have colons in their names, which the local checksum file system does not take.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+_LANDED: dict[tuple, tuple[str, str]] = {}
+
+
+def landed_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """(root, last date): the snapshots of the last two dates as JSON files, as scrapers land them; written by the tasks."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        rows = snapshot_payloads(spark, sf_dir).select("blob", "payload", "file_date")
+        dates = [r[0] for r in rows.select("file_date").distinct().orderBy(F.desc("file_date")).limit(2).collect()]
+        root = work_dir(spark, "landed").removeprefix("file://")
+
+        def land(frames):
+            for frame in frames:
+                for blob, payload in zip(frame["blob"], frame["payload"], strict=True):
+                    path = Path(root, blob)
+                    path.parent.mkdir(parents=True, exist_ok=True)
+                    path.write_text(payload, encoding="utf-8")
+                yield frame[["blob"]]
+
+        rows.where(F.col("file_date").isin(dates)).select("blob", "payload").mapInPandas(land, "blob string").count()
+        _LANDED[key] = root, str(dates[0])
+    return _LANDED[key]

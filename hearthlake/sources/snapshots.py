@@ -11,7 +11,7 @@ Two layouts hold the same thing and scan to the same columns
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,9 +58,11 @@ def search_folders(
     return [folder for folder in wanted if path_exists(spark, folder)]
 
 
-def _files(spark: SparkSession, root: str | list[str], fmt: str, file_date: date | str | None, extension: str) -> DataFrame:
+def _files(
+    spark: SparkSession, root: str | list[str], fmt: str, file_date: date | str | None, extension: str, options: Mapping[str, str] | None = None
+) -> DataFrame:
     stem = f"{file_date}T*" if file_date else "*"
-    reader = spark.read.format(fmt).option("recursiveFileLookup", True).option("pathGlobFilter", f"{stem}.{extension}")
+    reader = spark.read.options(**(options or {})).format(fmt).option("recursiveFileLookup", True).option("pathGlobFilter", f"{stem}.{extension}")
     return (reader.option("wholetext", True) if fmt == "text" else reader).load(root)
 
 
@@ -79,10 +81,10 @@ def list_snapshots(
 
 
 def scan_snapshots(
-    spark: SparkSession, root: str | list[str], file_date: date | str | None = None, extension: str = "json"
+    spark: SparkSession, root: str | list[str], file_date: date | str | None = None, extension: str = "json", options: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Snapshot files with their content, those of one date if given."""
-    files = _files(spark, root, "text", file_date, extension)
+    """Snapshot files with their content, those of one date if given. ``options`` go to the reader and its file system."""
+    files = _files(spark, root, "text", file_date, extension, options)
     return path_lineage(
         files.select(
             _blob().alias("blob"),

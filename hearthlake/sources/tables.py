@@ -55,6 +55,12 @@ def _names(partition: str | Sequence[str]) -> list[str]:
     return [partition] if isinstance(partition, str) else [*partition]
 
 
+def _bloom(keys: Sequence[str]) -> dict[str, str]:
+    """Writer options: a Bloom filter of each key in every row group, so that a lookup by key opens few of them.
+    The cluster columns need none: rows are sorted by them, so least and greatest values tell row groups apart."""
+    return {"parquet.bloom.filter.adaptive.enabled": "true", **{f"parquet.bloom.filter.enabled#{k}": "true" for k in keys}}
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema])
 
@@ -166,7 +172,7 @@ class Lake:
             df = df.withColumn(_BUCKET, F.pmod(F.hash(*keys), F.lit(n))).hint("rebalance", *folders, _BUCKET).drop(_BUCKET)
         own = f"write_{uuid.uuid4().hex}"
         order = [c for c in cluster if c not in folders] or list(keys)
-        writer = df.write.format("parquet").option("path", f"{log.data}/{write}").partitionBy(*folders)
+        writer = df.write.format("parquet").options(**_bloom(keys)).option("path", f"{log.data}/{write}").partitionBy(*folders)
         writer.bucketBy(n, *keys).sortBy(*order).saveAsTable(own)
         self.spark.sql(f"DROP TABLE {own}")
         return write

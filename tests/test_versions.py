@@ -221,7 +221,7 @@ def test_history_is_not_joined(spark, lake, stage, plan_of):
 def test_all_keys_vanish_and_return(spark, lake, stage):
     table = KeyedTable(lake, DIM)
     table.create(with_audit(dim_rows(spark, *"abc"), "2026-01-01 00:00:00"), buckets=2)
-    table.merge(dim_rows(spark).limit(0) if False else dim_rows(spark, "x").where("false"), "2026-01-02 00:00:00", stage)
+    table.merge(dim_rows(spark, "x").where("false"), "2026-01-02 00:00:00", stage)
     assert state(table) == {k: (False, 1, 2) for k in "abc"}
     table.merge(dim_rows(spark, *"abc"), "2026-01-03 00:00:00", stage)
     assert state(table) == {k: (True, 1, 3) for k in "abc"}
@@ -317,3 +317,52 @@ def test_files_of_an_older_shape_are_read_in_the_new_one(spark, lake, stage):
     L.store(lake, day(old), SPEC)
     L.upsert_date(lake, day(new), SPEC, D2, stage)
     assert {r.k: (r.v, tuple(r.s)) for r in lake.read("t").collect()} == {"a": (1, (1, None)), "b": (1, (2, None)), "c": (1 << 40, (1 << 40, 0.5))}
+
+
+# -- skipping --------------------------------------------------------------------
+
+
+def rows_scanned(spark, df):
+    """What the scan of a plain filter reads: rows of the row groups and pages that statistics and filters leave."""
+    df.collect()
+    plan, seen = df._jdf.queryExecution().executedPlan(), []
+    nodes = [plan]
+    while nodes:
+        node = nodes.pop()
+        if "Scan" in node.nodeName():
+            seen.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    assert len(seen) == 1
+    return seen[0]
+
+
+def test_point_reads_open_few_row_groups(spark, lake):
+    import pyarrow.parquet as pq
+
+    spec = S.TableSpec("t", ("k", "d"), ("page",), (), partition="d", folders=("d", "CITY"), bucket=("k",))
+    n = 60_000
+    many = spark.range(n).selectExpr("md5(cast(id as string)) k", "cast(id % 50 as int) page", "md5(cast(id * 7 as string)) body", f"'{D1}' d", "concat('c', id % 2) CITY")
+    before = {c: spark.conf.get(c, None) for c in ("parquet.block.size", "parquet.page.size.row.check.min", "parquet.block.size.row.check.min")}
+    for c, v in zip(before, ("65536", "100", "100"), strict=True):
+        spark.conf.set(c, v)
+    try:
+        L.store(lake, many.withColumn("d", F.to_date("d")), spec)
+    finally:
+        for c, v in before.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
+    groups = wanted = 0
+    for file in files_of(lake, "t"):
+        meta = pq.ParquetFile(file).metadata
+        at = meta.schema.names.index("page")
+        for g in range(meta.num_row_groups):
+            stats = meta.row_group(g).column(at).statistics
+            groups += 1
+            wanted += "CITY=c1" in file and stats.min <= 17 <= stats.max
+    assert groups > 20 and 0 < wanted < groups / 4
+    table = lake.read("t")
+    page = rows_scanned(spark, table.where("CITY = 'c1' and page = 17"))
+    assert n / 50 <= page < n / 5
+    key = table.first()["k"]
+    found = table.where(F.col("k") == key)
+    assert found.count() == 1 and rows_scanned(spark, found) < n / 4
