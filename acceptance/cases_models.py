@@ -478,7 +478,7 @@ def _register_dimension(name: str, dim: D.Dimension) -> None:
         # The rows that a run puts into the stored dimension, which is kept in buckets.
         silver = X.silver(spark, sf, unique=dim is D.LISTINGS)
         build = lambda lake: KeyedTable(lake, dim.spec).create(dim.full(X.up_to(silver, 1), X.RUN_1))
-        table, stage = KeyedTable(X.lake_of(spark, sf, f"dim_{name}", build), dim.spec), Staging(spark)
+        table, stage = KeyedTable(X.lake_of(spark, sf, f"dim_{name}", build), dim.spec), Staging.lasting(spark)
         source = stage.keep(dim.source(silver), "latest")
         return table.changes(source, X.RUN_2, stage).upserts.drop(BUCKET)
 
@@ -528,7 +528,7 @@ FROM silver_u GROUP BY listing_id
 
 def _three_runs(spark, sf):
     """First load up to the last date but two, then the next two dates one by one."""
-    silver, stage = X.silver(spark, sf, unique=True), Staging(spark)
+    silver, stage = X.silver(spark, sf, unique=True), Staging.lasting(spark)
 
     def build(lake):
         table = KeyedTable(lake, D.LISTINGS.spec)

@@ -307,7 +307,7 @@ SELECT * FROM searched s WHERE status = 'ok' AND page = (
 )
 def _(spark, sf):
     # The extraction is kept, as in the pipeline: the rule reads it twice.
-    pages = Staging(spark).keep(url_lineage(E.extract_pages(X.listing_pages(spark, sf))), "extracted")
+    pages = Staging.lasting(spark).keep(url_lineage(E.extract_pages(X.listing_pages(spark, sf))), "extracted")
     return P.stop_at_first_empty_page(pages).select("page_id", "site", "city", "property_type", "page")
 
 
@@ -327,7 +327,7 @@ FROM kept_pages k JOIN bronze b ON b.uid = k.page_id AND b.block = k.block"""
 
 def _extracted(spark, sf):
     pages = url_lineage(E.keep_last_per_id(E.extract_pages(X.listing_pages(spark, sf))))
-    return P.stop_at_first_empty_page(Staging(spark).keep(pages, "extracted"))
+    return P.stop_at_first_empty_page(Staging.lasting(spark).keep(pages, "extracted"))
 
 
 def _written(spark, sf, times):
@@ -363,7 +363,7 @@ FROM kept_pages k JOIN listed l ON l.page_id = k.page_id AND l.block = k.block G
 def _(spark, sf):
     # Every fourth listing of a page loses its id: it is in the quarantine, the others in the snapshot.
     drop = lambda e: F.struct(e["pos"].alias("pos"), F.when(e["pos"] % 4 != 3, e["id"]).alias("id"), e["item"].alias("item"))
-    pages = Staging(spark).keep(_extracted(spark, sf).withColumn("elements", F.transform("elements", drop)), "without_ids")
+    pages = Staging.lasting(spark).keep(_extracted(spark, sf).withColumn("elements", F.transform("elements", drop)), "without_ids")
     root = work_dir(spark, "snapshots")
     N.write_snapshots(N.snapshot_rows(pages, "dev", X.RUN_TS), root)
     N.write_quarantine(N.listings_without_id(pages, "dev", X.RUN_TS), root)
@@ -648,7 +648,7 @@ def _(spark, sf):
     snapshots = N.path_lineage(payloads.withColumn("modified_ts", F.lit(X.RUN_TS).cast("timestamp")))
     # The job with its write switched off: every search's pages up to its first gap.
     params = RunParams("dev", "macae", "vivareal", "apartment", run_ts=X.RUN_TS_VALUE, write_bronze=False)
-    rows = load_bronze(lake, snapshots, params, Staging(spark))
+    rows = load_bronze(lake, snapshots, params, Staging.lasting(spark))
     return rows.select(
         F.col("SRC_BLOB").alias("blob"),
         F.col("LISTING_ID").alias("id"),

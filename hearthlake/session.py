@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -72,9 +74,29 @@ class Staging:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    @classmethod
+    def lasting(cls, spark: SparkSession) -> Staging:
+        """For results that are computed after the call that makes them: the folder goes when the process ends."""
+        own = cls(spark)
+
+        def remove() -> None:
+            with contextlib.suppress(Exception):  # the session may be gone by then
+                own.remove()
+
+        atexit.register(remove)
+        return own
+
+    def folder(self, label: str) -> str:
+        """A fresh folder for files of other kinds, which goes with the rest."""
+        self._count += 1
+        return f"{self.root}/{self._count:03d}-{label}"
+
     def __enter__(self) -> Staging:
         return self
 
     def __exit__(self, *_error) -> None:
+        self.remove()
+
+    def remove(self) -> None:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
