@@ -24,6 +24,8 @@ _PIECE = re.compile(f"'(?:[stmd]|re|ve|ll)|[{_LETTERS}]+|[{_DIGITS}]|[^\\s{_LETT
 _VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTES = {b: chr(b) for b in _VISIBLE} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
+#: The byte alphabet as a table for ``str.translate``.
+_SHOWN = {b: ord(c) for b, c in _BYTES.items()}
 _PLAIN_TEXT = re.compile(f"[\t-\r {_PLAIN}]*")
 _SPACE = re.compile("[\t-\r ]+")
 #: Begins every special string; texts with it are not plain.
@@ -59,9 +61,9 @@ class PieceModel:
 
     def _tokens(self, piece: str):
         """The model's tokens of a plain pre-token; None for any other."""
-        if not _is_plain(piece):
-            return None
-        return self.model.tokenize(piece if piece.isascii() else "".join(map(_BYTES.__getitem__, piece.encode())))
+        if piece.isascii():
+            return self.model.tokenize(piece) if piece.isprintable() and _SPECIAL not in piece else None
+        return self.model.tokenize(piece.encode().decode("latin-1").translate(_SHOWN)) if _is_plain(piece) else None
 
     def ids(self, piece: str) -> list[int]:
         tokens = self._tokens(piece)

@@ -6,109 +6,76 @@ Documents are range-partitioned by id; each partition is one shard, in ascending
 from __future__ import annotations
 
 import os
-import unicodedata
 import uuid
 import zlib
-from struct import pack
+from array import array
 
 import numpy as np
-import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from hearthlake.llm import repair
-from hearthlake.llm.words import encoded, posix_path
+from hearthlake.llm.pieces import TOKENIZER, PieceModel, pre_tokens
+from hearthlake.llm.words import posix_path
 from hearthlake.session import Staging, work_dir
 
-TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 #: Terminal ids of the grammar; the vocabulary is smaller.
 TERMINALS = 49_408
 #: Ids that are compressed together, unless one document has more.
-BLOCK_IDS = 1 << 21
-#: Words whose ids a worker keeps; the store is emptied when full.
-WORDS_KEPT = 1 << 19
+BLOCK_IDS = 1 << 20
+#: Bytes of pre-tokens whose ids a worker keeps, and what the store of one takes beside them.
+KEPT_BYTES, ENTRY_BYTES = 80_000_000, 200
 
 
-class WordEncoder:
-    """Ids of a text, word by word.
-
-    The tokenizer's patterns and merges never cross white space, so a text's ids are those
-    of its space-separated words, and a word's ids need to be found once. Plain words
-    (composed letters below U+0250, digits, punctuation) go through the tokenizer's
-    BPE model piece by piece; all others through the whole tokenizer.
-    """
-
-    # How this tokenizer cuts words, and its byte alphabet.
-    PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-    MARKS = frozenset(bytes([b]) for b in b".,;:!?")
-    PLAIN = regex.compile(r"[\x21-\x7E\xA1-\xAC\xAE-įĲ-ɏ]+")
+class Encoder:
+    """Ids of a text, pre-token by pre-token; a pre-token is encoded when it is first met."""
 
     def __init__(self, name: str = TOKENIZER):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.model = self.tokenizer.model
-        self.known: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        hidden = [b for b in range(256) if b not in visible]
-        self.letters = {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= WORDS_KEPT:
-                self.pieces.clear()
-            shown = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
-            found = [t.id for t in self.model.tokenize(shown)]
-            ids = self.pieces[piece] = pack(f"<{len(found)}H", *found)
-        return ids
-
-    def _word(self, word: bytes) -> bytes:
-        if word.isalpha():
-            return self._piece(word.decode().lower())
-        if word[:-1].isalpha() and word[-1:] in self.MARKS:
-            return self._piece(word[:-1].decode().lower()) + self._piece(word[-1:].decode())
-        text = word.decode("utf-8", "replace")
-        if "<|" not in text and self.PLAIN.fullmatch(text) and (text.isascii() or unicodedata.is_normalized("NFC", text)):
-            lower = text.lower()
-            return self._piece(lower) if lower.isalpha() else b"".join(map(self._piece, self.PIECES.findall(lower)))
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+        self.model = PieceModel(name)
+        self.known = _Known(self.model)
 
     def __call__(self, text: str | None) -> bytes:
-        """The ids of the text, two bytes each."""
-        words, known = encoded(text).split(), self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) >= WORDS_KEPT:
-                known.clear()
-            for w in words:
-                if w not in known:
-                    known[w] = self._word(w)
-            return b"".join([known[w] for w in words])
+        """The ids of the text, two bytes each (in the machine's order)."""
+        return b"".join(map(self.known.__getitem__, pre_tokens(text)))
+
+
+class _Known(dict):
+    """Packed ids by pre-token; emptied when its pre-tokens and ids have ``KEPT_BYTES``."""
+
+    def __init__(self, model: PieceModel):
+        super().__init__()
+        self.model, self.size = model, 0
+
+    def __missing__(self, piece: str) -> bytes:
+        packed = array("H", self.model.ids(piece)).tobytes()
+        if len(piece) <= KEPT_BYTES // 64:
+            if self.size > KEPT_BYTES:
+                self.clear()
+                self.size = 0
+            self[piece] = packed
+            self.size += len(piece) + len(packed) + ENTRY_BYTES
+        return packed
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(name: str = TOKENIZER) -> WordEncoder:
-    """The worker's encoder; it keeps the ids of words from task to task."""
+def encoder(name: str = TOKENIZER) -> Encoder:
+    """The worker's encoder; it keeps the ids of pre-tokens from task to task."""
     if name not in _ENCODERS:
-        _ENCODERS[name] = WordEncoder(name)
+        _ENCODERS[name] = Encoder(name)
     return _ENCODERS[name]
 
 
 def _write_shard(root, tokenizer, batches):
     place = f"{root}/shard-{TaskContext.get().partitionId():06d}"
     os.makedirs(root, exist_ok=True)
-    own, encode, end = f"{place}.{uuid.uuid4().hex}.tmp", encoder(tokenizer), np.array([END_ID], "<u2").tobytes()
+    own, encode, end = f"{place}.{uuid.uuid4().hex}.tmp", encoder(tokenizer), np.array([END_ID], "=u2").tobytes()
     docs = total = 0
-    ids, texts, held = [], [], 0
+    ids, texts, held, index = [], [], 0, []
 
     with open(own, "wb") as file:
 
@@ -117,7 +84,9 @@ def _write_shard(root, tokenizer, batches):
             counts = np.array([len(t) // 2 for t in texts], np.int64)
             known = np.array([i is not None for i in ids], bool)
             numbers = np.array([i or 0 for i in ids], np.int64)
-            symbols = np.frombuffer(b"".join(texts), "<u2")
+            symbols = np.frombuffer(b"".join(texts), "=u2")
+            some = numbers[known]
+            index.append((file.tell(), int(some.min()), int(some.max()), len(some)) if len(some) else (file.tell(), 0, 0, 0))
             file.write(repair.pack_block(numbers, known, counts, symbols, TERMINALS, END_ID))
             ids, texts, held = [], [], 0
 
@@ -132,6 +101,7 @@ def _write_shard(root, tokenizer, batches):
                     flush()
         if ids:
             flush()
+        file.write(repair.pack_index(index))
     os.replace(own, f"{place}.ids")
     shard = TaskContext.get().partitionId()
     yield pa.RecordBatch.from_pydict(
@@ -142,13 +112,15 @@ def _write_shard(root, tokenizer, batches):
 def write_shards(documents: DataFrame, folder: str, shards: int, tokenizer: str = TOKENIZER) -> DataFrame:
     """(shard, path, docs, ids) of the shards written to ``folder``, in ascending doc_id order.
 
-    Null ids come first, null texts count as empty. A shard is moved into place when it is
+    Null ids come first, null texts count as empty. Rows with one id (or none) are ordered and dealt out by
+    their texts' hash, so that many of them do not meet in one shard. A shard is moved into place when it is
     complete, so a task that is run again replaces its own file. Only the ids of one block
     are held at a time.
     """
     root = posix_path(folder)
     keyed = documents.select("doc_id", "text")
-    ranged = keyed.repartitionByRange(shards, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
+    ranged = keyed.repartitionByRange(shards, *order).sortWithinPartitions(*order)
     return ranged.mapInArrow(lambda batches: _write_shard(root, tokenizer, batches), "shard bigint, path string, docs bigint, ids bigint")
 
 
@@ -187,13 +159,10 @@ def read_shards(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
 
 
 def read_document(path: str, doc_id: int) -> list[int] | None:
-    """Random access: one document's ids from its shard, expanding its own symbols only."""
+    """Random access: one document's ids from its shard, reading its block's tables and its own symbols only."""
     with open(path, "rb") as file:
-        for block in repair.read_blocks(file):
-            place = np.flatnonzero((block.doc_ids == doc_id) & (block.known == 1))
-            if len(place):
-                return block.document(int(place[0])).tolist()
-    return None
+        ids = repair.find_document(file, doc_id)
+    return None if ids is None else ids.tolist()
 
 
 def token_output(staging: Staging, documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:

@@ -79,3 +79,54 @@ def test_repair_round_trip(own, repeats):
         assert 2 not in pair and len(grammar.expand(pair)) == length
     if len(set(own.tolist()) - {2}) == 1 and len(own) > 500 and 2 not in own:
         assert len(symbols) < len(own) / 4
+
+
+class Counting:
+    """A file that counts what is read."""
+
+    def __init__(self, file):
+        self.file, self.bytes = file, 0
+        self.seek = file.seek
+
+    def read(self, n=-1):
+        data = self.file.read(n)
+        self.bytes += len(data)
+        return data
+
+
+def test_random_access_reads_less_than_the_file(tmp_path):
+    rng = np.random.default_rng(1)
+    own = [np.append(rng.integers(5, 40_000, 300), token_ids.END_ID) for _ in range(200)]
+    index, data = [], b""
+    for i in range(0, 200, 20):
+        index.append((len(data), i, i + 19, 20))
+        data += repair.pack_block(np.arange(i, i + 20), np.ones(20, bool), np.full(20, 301), np.concatenate(own[i : i + 20]), token_ids.TERMINALS, token_ids.END_ID)
+    data += repair.pack_index(index)
+    (tmp_path / "s.ids").write_bytes(data)
+    for doc_id in (0, 57, 199):
+        with open(tmp_path / "s.ids", "rb") as file:
+            counted = Counting(file)
+            assert repair.find_document(counted, doc_id).tolist() == own[doc_id].tolist()
+            assert counted.bytes < len(data) / 20
+    with open(tmp_path / "s.ids", "rb") as file:
+        assert repair.find_document(file, 200) is None
+        file.seek(0)
+        assert len(list(repair.read_blocks(file))) == 10
+
+
+def test_no_frequent_pair_is_left():
+    rng = np.random.default_rng(2)
+    own = rng.choice(np.r_[5:400], 60_000, p=(w := 1 / np.arange(1, 396) ** 1.1) / w.sum())
+    own[::50] = 2
+    grammar, symbols = repair.compress(own, 400, 2)
+    assert grammar.expand(symbols).tolist() == own.tolist() and len(symbols) < len(own) * 0.8
+    symbols = symbols.astype(np.uint32)
+    codes = (symbols[:-1] << 16 | symbols[1:])[(symbols[:-1] != 2) & (symbols[1:] != 2)]
+    assert np.unique(codes, return_counts=True)[1].max() < repair.LEAST_PAIRS
+    assert len({tuple(p) for p in grammar.rules.tolist()}) == len(grammar.rules)
+
+
+def test_many_rows_of_one_id_are_spread(spark, docs, staging):
+    rows = [(5, f"text {i}") for i in range(400)] + [(None, f"none {i}") for i in range(400)]
+    written = staging.keep(token_ids.write_shards(docs(rows), work_dir(spark, "ids"), 4), "w").collect()
+    assert sorted(r.docs > 100 for r in written) == [True] * 4 and sum(r.docs for r in written) == 800
