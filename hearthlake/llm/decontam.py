@@ -40,11 +40,11 @@ class Block:
     vocabulary: dict[bytes, int]
     ids: np.ndarray
     lengths: np.ndarray
-    items: list[str]
+    items: list[str | None]
     item_of: np.ndarray
 
     @classmethod
-    def of(cls, rows: list[tuple[str, str]]) -> Block:
+    def of(cls, rows: list[tuple[str | None, str]]) -> Block:
         vocabulary: dict[bytes, int] = {}
         windows, item_of, items = [], [], []
         for item, text in rows:
@@ -196,7 +196,8 @@ def _mark(block, prefixes, batches):
         local = start - words.starts[doc]
         for d, s, e, i in zip(doc.tolist(), local.tolist(), (local + block.lengths[window]).tolist(), block.item_of[window].tolist(), strict=True):
             spans[d] += (s, e)
-            items[d].append(block.items[i])
+            if block.items[i] is not None:
+                items[d].append(block.items[i])
         for d in np.unique(doc).tolist():
             spans[d], items[d] = _merge(spans[d]), sorted(set(items[d]))
         new = {
@@ -209,7 +210,7 @@ def _mark(block, prefixes, batches):
 
 def blocks(benchmark: DataFrame) -> list[DataFrame]:
     """(item_id as text, text) of the benchmark in parts of about ``BLOCK_CHARS``."""
-    named = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").filter("item is not null and text is not null")
+    named = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").filter("text is not null")
     chars = named.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-chars // BLOCK_CHARS)
     return [named.filter(F.pmod(F.xxhash64("item"), F.lit(n)) == i) for i in range(n)]
@@ -220,8 +221,8 @@ def mark_hits(staging: Staging, documents: DataFrame, benchmark: DataFrame) -> D
 
     ``row`` is a struct of all input columns but text, so no name can clash. ``spans``: flat
     starts and ends (exclusive) of the hit words, merged, in order. ``items``: ids as text,
-    sorted as strings. NULL and empty texts have no words and no hits; items without id or
-    words find nothing; items with one id count as one; rows are never merged or dropped.
+    sorted as strings. NULL and empty texts have no words and no hits; items without
+    words find nothing; items without id hit words but are not among ``items``; items with one id count as one; rows are never merged or dropped.
     """
     spark = documents.sparkSession
     rest = [F.col(f"`{c}`") for c in documents.columns if c != "text"]
@@ -296,7 +297,7 @@ WITH words AS (
 ), hit AS (
   SELECT doc_id, count(DISTINCT word_at) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS word_at FROM found) GROUP BY doc_id
 ), named AS (
-  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS sha FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS sha FROM (SELECT DISTINCT doc_id, item FROM found WHERE item IS NOT NULL) GROUP BY doc_id
 )
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   coalesce(sha, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated

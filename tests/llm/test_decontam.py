@@ -1,6 +1,7 @@
 import random
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ def by_hand(docs, items):
                 for j in range(len(own) - n + 1):
                     if own[j : j + n] == w[i : i + n]:
                         hit |= set(range(j, j + n))
-                        found.add(str(item))
+                        found |= {str(item)} if item is not None else set()
         out.append((doc_id, len(own), len(hit), len(found), decontam.items_digest(list(found)), len(hit) > 0 and 20 * len(hit) >= len(own)))
     return sorted(out, key=repr)
 
@@ -56,7 +57,7 @@ def test_any_number_of_blocks_gives_the_same(spark, docs, staging, monkeypatch):
     assert rows_of(decontam.contamination(staging, docs(own), benchmark)) == by_hand(own, items)
 
 
-@pytest.mark.parametrize("items", [[], [(1, None), (None, "x y z")], [(1, "...")]])
+@pytest.mark.parametrize("items", [[], [(1, None), (None, None)], [(1, "..."), (None, "")]])
 def test_nothing_to_find(spark, docs, staging, items):
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     got = decontam.contamination(staging, docs([(1, "x y z"), (2, None)]), benchmark)
@@ -64,6 +65,19 @@ def test_nothing_to_find(spark, docs, staging, items):
     assert decontam.contamination(staging, docs([]), benchmark).count() == 0
 
 
+def test_items_without_id_hit_words(spark, docs, staging, tmp_path):
+    items = [(None, "x y z"), (None, "x y z"), (4, "q r"), (5, None)]
+    own = [(1, "a x y z q r"), (2, "x y z"), (3, "q r"), (4, None)]
+    got = decontam.contamination(staging, docs(own), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert rows_of(got) == by_hand(own, items)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", own)
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    assert sorted(con.execute(decontam.SQL).fetchall(), key=repr) == by_hand(own, items)
+
+
 def test_clean_documents_keep_all_columns(spark, docs, staging):
     own, items = cases()
     df = docs(own, spans="s", n_words="n", row="r", items="i")
