@@ -489,18 +489,30 @@ def _linked(staging: Staging, texts: DataFrame, n: int, percent: int) -> DataFra
 
 
 def one_of_each(staging: Staging, documents: DataFrame, n: int = NGRAM, percent: int = PERCENT) -> DataFrame:
-    """The documents without near copies, all columns: of each component the smallest doc_id stays.
+    """The documents without near copies, all columns: one row of each component stays.
 
-    Documents with an empty set all stay, as do rows without id. Rows that repeat an id count
-    as one document, of which one row stays.
+    It is the row with the smallest doc_id, a null id coming last. Rows count by id and text: rows that
+    share an id but not their text are documents of their own, and rows without id are reduced
+    like others. Of rows equal in id and text the one with the least other columns stays. Documents with an
+    empty set all stay.
     """
-    linked = linked_documents(staging, documents, n, percent)
-    kept = staging.keep(linked.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
-    wanted = kept.select(F.col("doc_id").alias("_kept"))
-    single = documents.join(wanted, documents["doc_id"] == wanted["_kept"], "left_semi")
-    if not kept.filter("rows > 1").isEmpty():
-        single = single.dropDuplicates(["doc_id"])
-    return single.unionByName(documents.filter("doc_id is null"))
+    code = F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), "text")
+    keyed = documents.select(code.alias("code"), "doc_id", "text")
+    linked = linked_documents(staging, keyed.select(F.col("code").alias("doc_id"), "text"), n, percent)
+    linked = linked.select(F.col("doc_id").alias("code"), "n_shingles", "component_id")
+    ids = keyed.groupBy("code").agg(F.first("doc_id").alias("id"), F.count("*").alias("rows"))
+    some = linked.filter("n_shingles > 0").select("code", "component_id").distinct().join(ids, "code")
+    first = some.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("code"), F.col("rows"))).alias("first"))
+    empty = linked.filter("n_shingles = 0").select("code", F.lit(1).cast("bigint").alias("rows")).distinct()
+    kept = staging.keep(first.select("first.code", "first.rows").unionByName(empty), "kept")
+    coded = documents.select(code.alias("_code"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"))
+    single = coded.join(kept.select(F.col("code").alias("_kept")), F.col("_code") == F.col("_kept"), "left_semi")
+    repeated = kept.filter("rows > 1").select(F.col("code").alias("_kept"))
+    if not repeated.isEmpty():
+        again = F.col("_code") == F.col("_kept")
+        one = single.join(repeated, again, "left_semi").groupBy("_code").agg(F.min("_row").alias("_row"))
+        single = single.join(repeated, again, "left_anti").unionByName(one)
+    return single.select("_row.*")
 
 
 SQL = """

@@ -82,6 +82,16 @@ def test_one_of_each(docs, staging):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in by_hand(rows)})
 
 
+def test_one_of_each_goes_by_row(docs, staging):
+    same, other = "one two three four five", "six seven eight nine ten"
+    rows = [(1, same), (1, other), (None, "a b c d e"), (None, "a b c d e"), (2, same), (None, same), (7, None), (7, None), (8, ""), (9, other), (9, other)]
+    kept = jaccard.one_of_each(staging, docs(rows, _code="c", _row="w"))
+    assert rows_of(kept, "doc_id", "text") == sorted([(1, same), (1, other), (None, "a b c d e"), (7, None), (7, None), (8, "")], key=repr)
+    twice = docs([(3, same, "s2"), (3, same, "s1"), (3, same, "s1")])
+    assert rows_of(jaccard.one_of_each(staging, twice)) == [(3, same, "s1")]
+    assert jaccard.one_of_each(staging, docs([])).count() == 0
+
+
 def test_opening_a_pair_finds_all_links():
     rng = np.random.default_rng(0)
     base = rng.integers(0, 1 << 60, 200, dtype=np.uint64)
