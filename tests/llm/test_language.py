@@ -44,6 +44,14 @@ def test_odd_rows(spark):
     assert {r.lang_pred for r in language.identify(frame(spark, [(1, "abc", None)])).collect()} == {"und"}
 
 
+def test_other_columns_may_have_any_name(spark):
+    rows = corpus(60)
+    plain = frame(spark, rows)
+    more = plain.selectExpr("*", "'x' score", "'y' lang_pred", "1 held_out", "2 entropy", "3 half", "'g' gram", "4 accepted")
+    got = [sorted(map(tuple, language.identify(df).collect())) for df in (plain, more)]
+    assert got[0] == got[1]
+
+
 def test_lang_of_held_out_rows_is_not_looked_at(spark):
     rows = corpus(80)
     turned = [(i, t, "fr" if crc32(str(i).encode()) % 4 == 2 else lang) for i, t, lang in rows]

@@ -42,6 +42,14 @@ def test_archives_are_readable_gzip_and_payloads_return(spark, staging):
     assert back == {i: (u, h) for i, u, h in rows}
 
 
+def test_other_columns_may_have_any_name(spark, staging):
+    rows = [(1, "u", "x" * 1200), (2, "u", "x" * 1200), (3, None, None)]
+    plain = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    more = plain.selectExpr("*", "'t' record_type", "7 refers_to", "'d' payload_digest", "'p' payload", "1 digest", "'n' path", "2 records")
+    got = [sorted((tuple(r) for r in warc.archive_round_trip(staging, df).collect()), key=repr) for df in (plain, more)]
+    assert got[0] == got[1] == by_hand(rows)
+
+
 @given(st.lists(st.binary(max_size=300), max_size=6), st.integers(1, 50))
 def test_members_in_pieces(contents, size):
     data = b"".join(gzip.compress(c) for c in contents)
