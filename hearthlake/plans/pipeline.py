@@ -25,7 +25,7 @@ from hearthlake.session import Staging
 from hearthlake.sources import snapshots as snapshot_source
 from hearthlake.sources.pages import url_lineage
 from hearthlake.sources.tables import ROWS, Lake, counted_nulls, latest_date_with
-from hearthlake.sources.versions import NULL_FOLDER, Version, unescaped, values_of
+from hearthlake.sources.versions import NULL_FOLDER, Version, unescaped
 
 BRONZE_TABLE = "bronze_listings"
 QUARANTINE_TABLE = "bronze_quarantine"
@@ -172,30 +172,18 @@ def first_row(columns: Sequence[str], params: RunParams) -> list[Column] | None:
     return [F.col(c).asc_nulls_last() for c in [*lead, *[c for c in columns if c not in lead]]]
 
 
-def upsert_plan(
-    lake: Lake, source: DataFrame, spec: S.TableSpec, base: Version, parts: Sequence[str], on_duplicate: Sequence[Column] | None = None, fresh: bool = True
-) -> DataFrame:
-    """The rows of the parts that a stored source touches, after the merge; with ``fresh`` also those of parts that are not there yet.
+def upsert_plan(lake: Lake, source: DataFrame, spec: S.TableSpec, base: Version, parts: Sequence[str], on_duplicate: Sequence[Column] | None = None) -> DataFrame:
+    """A stored source and, of the parts that it touches, the rows whose keys it lacks.
 
     A part is a date and a city, in buckets of the key. The source is dealt into the same buckets, so that the rows
-    that are there already are merged, and written again, without being moved.
+    that are there already are compared, and written again, without being moved; its keys are dealt once for all parts.
     """
-    keys, n = base.section(ROWS).notes["buckets"]
-    place = lambda values: reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v).cast(source.schema[c].dataType)) for c, v in values.items()])
-    merged, new = [], source
-    for part in parts:
-        values = values_of(part)
-        here = source.where(place(values)).repartition(n, *keys)
-        gone = source.where(place({spec.partition: values[spec.partition]})).select(*spec.keys).repartition(n, *keys)
-        if on_duplicate is not None:
-            here = first_per_key(here, spec.keys, on_duplicate)
-        target = lake.read_bucketed(spec.name, part, base)
-        merged += [target.join(gone, [*spec.keys], "left_anti"), here]
-        new = new.where(~place(values))
-    if fresh:
-        merged.append(new if on_duplicate is None else first_per_key(new, spec.keys, on_duplicate))
+    bucket, n = base.section(ROWS).notes["buckets"]
+    claimed = source.select(*spec.keys).repartition(n, *bucket)
+    new = source if on_duplicate is None else first_per_key(source, spec.keys, on_duplicate)
+    kept = [lake.read_bucketed(spec.name, part, base).join(claimed, [*spec.keys], "left_anti") for part in parts]
     schema = merged_schema(T.StructType.fromJson(json.loads(base.section(ROWS).schema)), source.schema)
-    return reduce(DataFrame.unionByName, [conform(rows, schema) for rows in merged])
+    return reduce(DataFrame.unionByName, [conform(rows, schema) for rows in [*kept, new.repartition(n, *bucket)]])
 
 
 def store(lake: Lake, rows: DataFrame, spec: S.TableSpec) -> None:
@@ -242,7 +230,7 @@ def upsert_date(
         require_mergeable(hit, source, spec.keys)
     elsewhere = {r[0] for r in hit.select("_part").distinct().collect()}
     parts = sorted(elsewhere | {p for name, p in own.items() if name in wanted})
-    merged = upsert_plan(lake, source, spec, base, parts, on_duplicate, fresh=not wanted <= set(own))
+    merged = upsert_plan(lake, source, spec, base, parts, on_duplicate)
     write = lake.write_aside(merged, spec.name, spec.folders, spec.cluster, (keys, n), spread=False)
     lake.replace(spec.name, write, spec.folders, merged.schema, base, emptied=parts)
 

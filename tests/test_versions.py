@@ -157,7 +157,7 @@ def test_the_target_is_merged_where_it_lies(spark, lake, stage, plan_of):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        merged = L.upsert_plan(lake, source, SPEC, base, sorted(base.section(ROWS).parts), fresh=False)
+        merged = L.upsert_plan(lake, source, SPEC, base, sorted(base.section(ROWS).parts))
         plan = plan_of(merged, "simple")
         scans = above(plan, "Bucketed: true")
         assert len(scans) == 2 and all("Join" in " ".join(own) for own in scans)
