@@ -18,6 +18,8 @@ from hearthlake.llm.words import mix64
 WORD_SLOTS, GRAM_SLOTS = 1 << 14, 1 << 15
 INPUT, HIDDEN = 8, 8
 GRAMS = (3, 4, 5)
+#: Words whose n-grams are looked at together.
+TOGETHER = 1 << 13
 
 
 @dataclass
@@ -30,6 +32,14 @@ class WordTable:
 
     @classmethod
     def of(cls, words: list[bytes]) -> WordTable:
+        """Built from ``TOGETHER`` words at a time, so that what it takes meanwhile is bounded."""
+        parts = [cls._of(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)] or [cls._of([])]
+        counts = np.concatenate([p.counts() for p in parts])
+        first = np.concatenate([[0], np.cumsum(counts)])
+        return cls(np.concatenate([p.word for p in parts]), np.concatenate([p.gram for p in parts]), first)
+
+    @classmethod
+    def _of(cls, words: list[bytes]) -> WordTable:
         word = np.fromiter((zlib.crc32(w) & (WORD_SLOTS - 1) for w in words), np.int64, len(words))
         text = np.frombuffer(b"".join(b"\x01" + w + b"\x02" for w in words) + bytes(max(GRAMS)), np.uint8).astype(np.uint64)
         lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
@@ -42,7 +52,7 @@ class WordTable:
             code = code << np.uint64(8) | text[n - 1 : n - 1 + len(owner)]
             if n in GRAMS:
                 inside = left >= n
-                slots.append((mix64(code[inside] + np.uint64(n << 48)) & np.uint64(GRAM_SLOTS - 1)).astype(np.int64))
+                slots.append((mix64(code[inside] + np.uint64(n << 48)) & np.uint64(GRAM_SLOTS - 1)).astype(np.int32))
                 owners.append(owner[inside])
         slot, own = np.concatenate(slots), np.concatenate(owners)
         order = np.argsort(own, kind="stable")
@@ -77,10 +87,12 @@ class Network:
         """(words, INPUT), summed over a word and its n-grams."""
         x = self.p["word"][table.word]
         counts = table.counts()
-        some = counts > 0
-        if some.any():
-            sums = np.add.reduceat(self.p["gram"][table.gram], table.first[:-1][some], axis=0)
-            x[some] += sums / np.sqrt(counts[some])[:, None]
+        for i in range(0, len(x), TOGETHER):
+            own, first = counts[i : i + TOGETHER], table.first[i : i + TOGETHER + 1]
+            some = own > 0
+            if some.any():
+                sums = np.add.reduceat(self.p["gram"][table.gram[first[0] : first[-1]]], first[:-1][some] - first[0], axis=0)
+                x[i : i + TOGETHER][some] += sums / np.sqrt(own[some])[:, None]
         return x
 
     def projected(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

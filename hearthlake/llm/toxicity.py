@@ -30,7 +30,7 @@ ROUNDS, BATCH, RATE, SEED = 5, 256, 0.03, 20_260_101
 #: z values up to this are taken as chance.
 BY_CHANCE = 4.0
 #: Windows scored together; words whose inputs a worker keeps.
-WINDOWS_TOGETHER, WORDS_KEPT = 4096, 1 << 18
+WINDOWS_TOGETHER, WORDS_KEPT = 4096, 1 << 16
 
 
 def window_starts(words: int) -> np.ndarray:
@@ -87,6 +87,7 @@ class Scorer:
         self._start()
 
     def _start(self):
+        """Forgets all words."""
         self.numbers, self.rows = Numbers(), None
 
     def window_logits(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -94,14 +95,24 @@ class Scorer:
         if len(self.numbers.of) > WORDS_KEPT:
             self._start()
         places, docs, new = self.numbers.places(texts)
-        if new or self.rows is None:
-            fresh = self.network.projected(self.network.inputs(WordTable.of(new))) if new else None
-            pad = self.network.projected(np.zeros((1, self.network.p["in_f"].shape[0]), np.float32))
-            parts = [self.rows or pad] + ([fresh] if fresh else [])
-            self.rows = tuple(np.concatenate([p[i] for p in parts]) for i in range(2))
+        self._know(new)
         logits = [self.network.logits(self.rows, places[:, i : i + WINDOWS_TOGETHER]) for i in range(0, places.shape[1], WINDOWS_TOGETHER)]
         return np.concatenate(logits) if logits else np.zeros(0, np.float32), docs
 
+    def _know(self, new: list[bytes]) -> None:
+        """Adds the projected inputs of words not met before; room for more is made by doubling."""
+        used = len(self.numbers.of) + 1 - len(new)
+        if self.rows is None:
+            pad, used = self.network.projected(np.zeros((1, self.network.p["in_f"].shape[0]), np.float32)), 1
+            self.rows = tuple(np.concatenate([p, np.empty((1 << 12, p.shape[1]), p.dtype)]) for p in pad)
+        need = used + len(new)
+        if need > len(self.rows[0]):
+            more = max(need, 2 * len(self.rows[0])) - len(self.rows[0])
+            self.rows = tuple(np.concatenate([r, np.empty((more, r.shape[1]), r.dtype)]) for r in self.rows)
+        if new:
+            for rows, fresh in zip(self.rows, self.network.projected(self.network.inputs(WordTable.of(new))), strict=True):
+                rows[used:need] = fresh
+
     def worst(self, texts: list[str | None]) -> np.ndarray:
         """The highest window logit of each text, NaN without words."""
         logits, docs = self.window_logits(texts)
@@ -250,6 +261,8 @@ def with_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
                 texts = part.column(1).to_pylist()
                 scores = np.zeros(len(texts)) if own is None else own.scores(texts)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(scores, pa.float64())], names=part.schema.names)
+        if own is not None:
+            own._start()  # the worker lives on
 
     return packed.mapInArrow(score, packed.schema)
 
