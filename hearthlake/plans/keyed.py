@@ -92,6 +92,13 @@ class KeyedTable:
         stay = self._rows(base, False, returned).join(back.select(*keys), keys, "left_anti")
         return Changes(upserts, base, returned, stay)
 
+    def after(self, found: Changes) -> DataFrame:
+        """The whole table as it is once the changes are in, without writing it."""
+        n = found.base.section(ROWS).notes["buckets"]
+        rest = self._rows(found.base, False, [b for b in range(n) if b not in found.returned])
+        columns = found.upserts.columns
+        return found.upserts.unionByName(found.stay.select(*columns)).unionByName(rest.select(*columns)).drop(BUCKET)
+
     def merge(self, source: DataFrame, run_ts: datetime | str, stage: Staging) -> None:
         """Writes what changes, and makes it the table's next version with the parts that stay."""
         name, lake = self.spec.name, self.lake

@@ -196,7 +196,10 @@ def test_history_that_does_not_change_keeps_its_files(spark, lake, stage):
     history = {p: f for p, f in parts.items() if "FLAG=false" in p}
     assert len(history) == 8
     # One key goes, one is new, one returns: only the bucket of the one that returns is written anew.
-    table.merge(dim_rows(spark, *keys[1:20], "new", "k150"), at(3), stage)
+    source = stage.keep(dim_rows(spark, *keys[1:20], "new", "k150"), "source")
+    told = sorted(map(tuple, table.after(table.changes(source, at(3), stage)).select("k", "IN_LAST_SCRAPE_FLAG", "AUD_UPD_TS").collect()))
+    table.merge(source, at(3), stage)
+    assert told == sorted(map(tuple, lake.current("dim").select("k", "IN_LAST_SCRAPE_FLAG", "AUD_UPD_TS").collect()))
     now = lake.version("dim").section(ROWS).parts
     home = dim_rows(spark, "k150").select(F.pmod(F.xxhash64("k"), F.lit(8))).first()[0]
     for part, folders in history.items():
