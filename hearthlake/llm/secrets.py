@@ -74,9 +74,11 @@ def fit(featured: DataFrame) -> Column:
     fold = F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(FOLDS)).cast("int")
     labelled = featured.withColumn("label", label()).filter("label is not null").withColumn("fold", fold)
     x, ones, zeros, fold = trees.feature_counts(labelled, list(FEATURES))
-    learn, held = fold != 0, fold == 0
-    if not ones[learn].sum():
+    if not ones.sum():
         return F.lit(False)
+    learn, held = fold != 0, fold == 0
+    if not ones[learn].sum():  # all labelled secrets lie in one fold: all findings are learned from
+        learn = held = np.ones(len(fold), bool)
     part = {k: v[learn] for k, v in x.items()}
     model = trees.forest(part, ones[learn], zeros[learn], SEED)
     score = np.round(sum(t.values(x, len(ones)) for t in model), 6)
@@ -89,14 +91,15 @@ def find_secrets(staging: Staging, documents: DataFrame) -> tuple[DataFrame, Dat
     """(rows, candidates) of ``documents`` (doc_id, text); candidates have row, start, end, value and secret.
 
     Where two candidates overlap the one that begins first, and of these the longest, stays.
-    NULL and empty texts have none.
+    NULL and empty texts have none. A provider's key format is a secret whatever else the table holds; all
+    other candidates are decided by the forest.
     """
     rows, found = candidates(staging, documents, generators())
     order = Window.partitionBy("row").orderBy("start", F.col("end").desc(), "generator")
     before = F.coalesce(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1))
     single = found.withColumn("apart", before <= F.col("start")).filter("apart")
     featured = staging.keep(with_features(single), "candidates")
-    return rows, featured.withColumn("secret", fit(featured)).select("row", "start", "end", "value", "secret")
+    return rows, featured.withColumn("secret", F.col("value").rlike(PROVIDER) | fit(featured)).select("row", "start", "end", "value", "secret")
 
 
 def secret_report(staging: Staging, documents: DataFrame) -> DataFrame:
