@@ -50,7 +50,14 @@ class Codes:
         return np.packbits(bits, axis=1).view(">u2").astype(np.uint16)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """The vectors, each times a power of two, so that squares neither overflow nor vanish; cosines stay the same to the last bit."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1, initial=0.0))
+    return np.ldexp(vectors, -exponent[:, None])
+
+
 def unit_vectors(vectors: np.ndarray) -> np.ndarray:
+    vectors = scaled(vectors)
     return vectors / np.linalg.norm(vectors, axis=1)[:, None]
 
 
@@ -97,10 +104,16 @@ class Shard:
     vectors: np.ndarray
     codes: np.ndarray
     order: np.ndarray
+    #: No id comes twice here.
+    single: bool
 
     @classmethod
     def of(cls, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray) -> Shard:
-        return cls(ids, vectors, codes, np.argsort(codes, axis=0, kind="stable").astype(np.int32))
+        return cls(ids, vectors, codes, np.argsort(codes, axis=0, kind="stable").astype(np.int32), len(np.unique(ids)) == len(ids))
+
+    def distinct(self, rows: np.ndarray) -> int:
+        """How many ids some rows have."""
+        return len(rows) if self.single else len(np.unique(self.ids[rows]))
 
     def tables(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per substring: its distinct values, and how many rows in ``order`` each one has."""
@@ -119,17 +132,20 @@ class Shard:
         return rows[np.bitwise_count(self.codes[rows] ^ code).sum(axis=1, dtype=np.int64) <= radius]
 
     def nearest(self, query_id: int, vector: np.ndarray, code: np.ndarray, radius: int, k: int, tables) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, cosines) of the best ``k`` within the radius, which grows until there are ``k`` or no more rows."""
-        others = int((self.ids != query_id).sum())
+        """(ids, cosines) of the best ``k`` ids within the radius, which grows until there are ``k`` or no more."""
+        others = self.distinct(np.flatnonzero(self.ids != query_id))
         while True:
             rows = self.within(code, radius, tables)
             rows = rows[self.ids[rows] != query_id]
-            if len(rows) >= min(k, others):
+            if self.distinct(rows) >= min(k, others):
                 break
             radius += self.codes.shape[1]
         own = self.vectors[rows]
         cosine = (own * vector).sum(axis=1) / (np.sqrt((own * own).sum(axis=1)) * np.sqrt((vector * vector).sum()))
-        best = np.lexsort((self.ids[rows], -cosine))[:k]
+        best = np.lexsort((self.ids[rows], -cosine))
+        if not self.single:  # one answer an id: its best row
+            best = best[np.sort(np.unique(self.ids[rows[best]], return_index=True)[1])]
+        best = best[:k]
         return self.ids[rows[best]], cosine[best]
 
 
@@ -147,7 +163,7 @@ def usable(embeddings: DataFrame) -> DataFrame:
 
 
 def _packed(frame: pd.DataFrame, codes: Codes) -> bytes:
-    vectors = np.stack(frame["v"].to_numpy()).astype(np.float64)
+    vectors = scaled(np.stack(frame["v"].to_numpy()).astype(np.float64))
     return pickle.dumps(Shard.of(frame["vec_id"].to_numpy(), vectors, codes.of(unit_vectors(vectors))), protocol=5)
 
 
@@ -166,30 +182,32 @@ def _search(k, radius, batches):
 def search(staging: Staging, embeddings: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of each row whose id is divisible by ``every``.
 
-    All other rows are candidates; fewer than ``k`` of them are all returned. Ties go to the
-    smaller vec_id. A row that repeats another's id is one candidate more with that id, and
-    one answer per query and id is returned; a repeated query is asked once. An empty table
-    gives no row.
+    All rows of other ids are candidates; fewer than ``k`` ids are all returned. Ties go to the
+    smaller vec_id. Rows may repeat an id: each of its vectors is a candidate, and one answer per query and
+    id is returned, the best; a query whose id has several vectors is asked once, with the least of them. An
+    empty table gives no row.
     """
     spark = staging.spark
-    good = staging.keep(usable(embeddings).dropDuplicates(["vec_id"]), "vectors")
+    good = staging.keep(usable(embeddings).dropDuplicates(["vec_id", "v"]), "vectors")
     n = good.count()
     if not n:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     sample = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()
     codes = learn(np.array([r[0] for r in sample], np.float64))
     sent = spark.sparkContext.broadcast(codes)
-    n_queries = good.filter(F.col("vec_id") % every == 0).count()
+    questions = good.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    n_queries = questions.count()
     shards, blocks = -(-n // SHARD_ROWS), max(1, -(-n_queries // BLOCK_QUERIES))
     pack = lambda frame: pd.DataFrame({"shard": [frame["shard"].iloc[0]], "data": [_packed(frame, sent.value)]})
-    dealt = good.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
+    dealt = good.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)))
     index = staging.keep(dealt.groupBy("shard").applyInPandas(pack, "shard bigint, data binary"), "index")
-    asked = good.filter(F.col("vec_id") % every == 0).withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
+    asked = questions.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
     queries = staging.keep(asked.groupBy("shard").applyInPandas(pack, "shard bigint, data binary"), "queries")
     met = queries.select(F.col("data").alias("asked"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))).alias("to"))
     met = met.join(index, F.col("to") == F.col("shard")).select("data", "asked")
     with Batches(spark, 2):
         found = staging.keep(met.mapInArrow(lambda b: _search(k, codes.radius, b), "query_id bigint, vec_id bigint, score double"), "found")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    single = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    ranked = single.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -65,3 +65,16 @@ def test_repeated_rows_count_once(spark, staging):
     rows = [(i % 60, [float(i % 60), 1.0], 0) for i in range(120)]
     got = neighbours.search(staging, vectors(spark, rows))
     assert got.groupBy("query_id", "vec_id").count().filter("count > 1").isEmpty() and got.agg(F.count("*")).first()[0] == 10
+
+
+def test_all_vectors_of_an_id_are_candidates(spark, staging):
+    rows = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [1.0, 0.5]), (3, [-1.0, 0.2]), (3, [1.0, 0.2]), (50, [0.0, 2.0]), (50, [5.0, 0.0])]
+    got = found(neighbours.search(staging, vectors(spark, [(i, v, 0) for i, v in rows])))
+    assert [i for i, _ in got[0]] == [50, 1, 3, 2] and len(got[50]) == 4
+    assert abs(got[0][1][1] - 1 / np.sqrt(1.01)) < 1e-7
+
+
+def test_huge_and_tiny_values(spark, staging):
+    rows = [(0, [3e38, 1e38]), (1, [3e-38, 1e-38]), (2, [1.0, -1.0]), (3, [1e-40, 0.0]), (4, [-3e38, 3e38])]
+    got = found(neighbours.search(staging, vectors(spark, [(i, v, 0) for i, v in rows])))
+    assert [i for i, _ in got[0]] == [1, 3, 2, 4] and all(np.isfinite(s) for _, s in got[0]) and got[0][0][1] > 0.999999
