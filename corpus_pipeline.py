@@ -20,22 +20,22 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones."""
-    return jaccard.one_of_each(Staging(spark), docs)
+    return jaccard.one_of_each(Staging.lasting(spark), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated with benchmark items."""
-    return decontam.clean_documents(Staging(spark), docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
+    return decontam.clean_documents(Staging.lasting(spark), docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources; a document comes as often as the mix takes it."""
-    return mixing.mixed_documents(Staging(spark), docs)
+    return mixing.mixed_documents(Staging.lasting(spark), docs)
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the mix, in shards, as read back."""
-    return token_ids.token_output(Staging(spark), docs)
+    return token_ids.token_output(Staging.lasting(spark), docs)
 
 
 STAGES = [
@@ -51,7 +51,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staging, docs = Staging(spark), spark.read.parquet(f"{sf_dir}/documents.parquet")
+    staging, docs = Staging.lasting(spark), spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = staging.keep(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
