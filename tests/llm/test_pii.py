@@ -78,6 +78,46 @@ def test_wider_candidates_are_added_when_they_look_like_known_ones(docs, staging
     assert got[5000] == "phone:12:28" and got[5001] == "" and got[5002] == ""
 
 
+def test_a_number_that_runs_into_an_address_is_added(docs, staging):
+    """The base phone match takes both and fails; the grouped number alone has a known phone's format."""
+    rng = random.Random(8)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    rows = [(i, f"a +1 ({digits(3)}) {digits(3)}-{digits(4)} word") for i in range(150)]
+    rows += [(1000 + i, f"b 10.{rng.randrange(256)}.{rng.randrange(100, 256)}.{rng.randrange(100, 256)} word") for i in range(150)]
+    rows += [(2000 + i, f"c {digits(16)} word") for i in range(150)]
+    rows += [(5000, "a +1 (826) 555-4081 190.137.223.204 word"), (5001, "no. 2024-05-17 12 word"), (5002, "isbn 978-0-306-40615-7 x")]
+    got = {r.doc_id: r for r in pii.personal_data(staging, docs(rows)).collect()}
+    assert got[5000].spans == "phone:2:19,ip:20:35" and (got[5000].n_spans, got[5000].n_added) == (2, 1)
+    assert got[5001].spans == got[5002].spans == ""
+    assert not any(got[2000 + i].n_added for i in range(150))
+
+
+def account(rng):
+    """An account number with right check digits."""
+    body = "".join(rng.choice("0123456789") for _ in range(18))
+    check = 98 - int(body + "131400") % 97
+    whole = f"DE{check:02d}{body}"
+    return " ".join(whole[i : i + 4] for i in range(0, len(whole), 4))
+
+
+def test_account_numbers_by_check_sum(docs, staging):
+    rng = random.Random(9)
+    right = [account(rng) for _ in range(60)]
+    wrong = [a[:-1] + str((int(a[-1]) + 1) % 10) for a in right[:2]]
+    rows = [(i, f"iban {a} please") for i, a in enumerate(right)] + [(100 + i, f"iban {a} please") for i, a in enumerate(wrong)]
+    got = {r.doc_id: r.spans for r in pii.personal_data(staging, docs(rows)).collect()}
+    assert all(f"iban:5:{5 + len(a)}" in got[i].split(",") for i, a in enumerate(right))
+    assert not any("iban" in got[100 + i] for i in range(len(wrong)))
+
+
+def test_written_out_addresses_are_added(docs, staging):
+    rows = [(i, f"mail name{i}@host{i % 7}.org now") for i in range(60)]
+    rows += [(100, "write bob (at) example (dot) com"), (101, "write ann at example dot org now"), (102, "meet at noon, dot it")]
+    rows += [(200, "from 2001:db8:0:1:2:3:4:5 on")]
+    got = {r.doc_id: r.spans for r in pii.personal_data(staging, docs(rows)).collect()}
+    assert got[100] == "email:6:32" and got[101] == "email:6:28" and got[102] == ""
+
+
 def test_main_path_has_no_python(docs, staging, plan_of):
     assert "Python" not in plan_of(pii.personal_data(staging, docs([(1, "a@b.c")])))
 
