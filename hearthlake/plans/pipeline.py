@@ -23,6 +23,7 @@ from hearthlake.plans.keyed import KeyedTable
 from hearthlake.plans.silver import silver_listings
 from hearthlake.session import Staging
 from hearthlake.sources import snapshots as snapshot_source
+from hearthlake.sources.landed import LandedIndex
 from hearthlake.sources.pages import url_lineage
 from hearthlake.sources.tables import ROWS, Lake, counted_nulls, latest_date_with
 from hearthlake.sources.versions import NULL_FOLDER, Version, unescaped
@@ -269,8 +270,9 @@ def load_landed(lake: Lake, root: str, params: RunParams, stage: Staging, layout
     """Bronze load of one date from either snapshot layout.
 
     ``files``: one JSON file per page and run, below the folders of the searches
-    asked for; paths are listed without opening files. ``table``: as written by
-    ``land_snapshots``.
+    asked for; folders that changed since the last load are listed without opening files, and the
+    date's files are read by name (a dry run, which writes no index, lists all). ``table``: as
+    written by ``land_snapshots``.
     """
     spark, day = lake.spark, params.file_date
     if layout == "table":
@@ -281,6 +283,12 @@ def load_landed(lake: Lake, root: str, params: RunParams, stage: Staging, layout
     )
     if not folders:
         return spark.createDataFrame([], S.BRONZE)
+    if params.write_bronze:
+        index = LandedIndex(lake, root)
+        index.refresh(folders)
+        folders = index.paths(folders, day)
+        if not folders:
+            return spark.createDataFrame([], S.BRONZE)
     snapshots = snapshot_source.scan_snapshots(spark, folders, day)
     paths = snapshot_source.list_snapshots(spark, folders, day)
     return load_bronze(lake, snapshots, params, stage, paths, day)
