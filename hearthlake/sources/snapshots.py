@@ -30,6 +30,7 @@ TABLE_COLUMNS = (
 )
 #: Listings that no snapshot can hold, below the snapshots; readers pass over it.
 QUARANTINE = "_quarantine"
+QUARANTINE_COLUMNS = TABLE_COLUMNS.replace("payload string", "pos int, listing string, reason string")
 
 
 def path_lineage(df: DataFrame, blob: str = "blob") -> DataFrame:
@@ -177,7 +178,8 @@ def write_quarantine(lost: DataFrame, root: str) -> None:
 
 
 def scan_quarantine(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{QUARANTINE}")
+    """The listings that no snapshot holds; none where every listing had an id (there is no file to read columns from)."""
+    return spark.read.schema(QUARANTINE_COLUMNS).parquet(f"{root}/{QUARANTINE}")
 
 
 def _entries() -> Column:

@@ -150,6 +150,19 @@ def test_written_snapshots_round_trip(spark, tmp_path):
         assert N.scan_snapshot_table(spark, root, "2026-01-02", fmt).count() == 0
 
 
+def test_quarantine_without_listings_can_be_scanned(spark, tmp_path):
+    url = "https://www.vivareal.com.br/aluguel/rj/macae/apartamento_residencial/?pagina=1"
+    columns = "page bigint, blob string, pos int, listing string, reason string, file_date date, "
+    columns += "environment string, site string, city string, property_type string, run string"
+    for name, items, want in (("all", [{"@id": "1"}], []), ("some", [{"@id": "1"}, {"name": "no id"}], [1])):
+        pages = spark.createDataFrame([(url, page_html(item_list(*items)))], "url string, html string")
+        lost = N.listings_without_id(E.extract_pages(url_lineage(pages)), "dev", RUN)
+        N.write_quarantine(lost, str(tmp_path / name))
+        found = N.scan_quarantine(spark, str(tmp_path / name))
+        assert [r.pos for r in found.collect()] == want
+        assert ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema) == columns
+
+
 def test_path_choice_reads_no_payload(spark, tmp_path, plan_of):
     rows = spark.createDataFrame(
         [("2026-01-01", "s", "c", "t", 1, "dev/s/c/t/1/2026-01-01T00:00:00Z.json", "{}")],
