@@ -8,7 +8,6 @@ from acceptance import fixtures as X
 from acceptance import sql as Q
 from acceptance.registry import case
 from hearthlake import schemas as S
-from hearthlake.functions import parse_json_strict
 from hearthlake.operators import extract as E
 from hearthlake.operators import paging as P
 from hearthlake.params import RunParams
@@ -233,10 +232,10 @@ FROM landed""",
     ),
 )
 def _(spark, sf):
-    pages = X.listing_pages(spark, sf).withColumn("blocks", parse_json_strict(E.jsonld_blocks(F.col("html"))))
-    return pages.select("page_id", "block", F.posexplode("blocks").alias("pos", "body")).select(
-        "page_id", "block", "pos", F.try_variant_get("body", '$["@type"]', "string").alias("kind")
-    )
+    pages = E.parsed_blocks(X.listing_pages(spark, sf), "blocks")
+    # Outer, and without the rows of pages that have no block: an inner one tests the array below.
+    bodies = pages.select("page_id", "block", F.posexplode_outer("blocks").alias("pos", "body")).where("pos IS NOT NULL")
+    return bodies.select("page_id", "block", "pos", F.try_variant_get("body", '$["@type"]', "string").alias("kind"))
 
 
 @case(

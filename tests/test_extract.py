@@ -1,4 +1,6 @@
+import itertools
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,6 +100,36 @@ def test_extraction_neither_shuffles_nor_parses_twice(spark, plan_of):
     assert plan.count("regexp_extract_all") == 1
 
 
+def test_a_filter_on_what_is_extracted_does_not_parse_again(spark, plan_of):
+    pages = spark.createDataFrame([(1, page_html(LIST)), (2, page_html(WEB)), (3, None)], "page_id int, html string")
+    sizes = E.extract_pages(pages).select("page_id", F.size("elements").alias("n")).where("n >= 0")
+    kinds = E.parsed_blocks(pages, "blocks").select("page_id", F.posexplode("blocks").alias("pos", "body")).where("body IS NOT NULL")
+    for rows in (sizes, kinds):
+        assert plan_of(rows, "simple").count("regexp_extract_all") == 1
+    assert [tuple(r) for r in sizes.collect()] == [(1, len(ITEMS))]
+    assert sorted((r.page_id, r.pos) for r in kinds.collect()) == [(1, 0), (2, 0)]
+
+
+def test_every_token_is_told_apart_as_by_one_pattern_each(spark):
+    # A token of each kind in each order, also in other cases, unclosed and next to other angle brackets.
+    script = "<script type='application/ld+json'>%s</script>"
+    parts = [
+        "<!-- a --", "-->", script % "[1]", (script % '{"b": 2}').upper().replace("LD+JSON", "ld+json").replace("APPLICATION", "application"),
+        "<script>x</script >", "<STYLE>y</style>", "<style", "<p>", "<", "<script", ">",
+    ]
+    htmls = ["".join(order) for order in itertools.permutations(parts, 3)]
+    each = [
+        r"<!--.*?-->",
+        r"""<(?i:script)\b(?=[^>]*?(?<=[\s"'])(?i:type)\s*=\s*(?:"application/ld\+json"|'application/ld\+json'|application/ld\+json(?=[\s>])))[^>]*>(.*?)</(?i:script)\s*>""",
+        r"<(?i:script)\b[^>]*>.*?</(?i:script)\s*>",
+        r"<(?i:style)\b[^>]*>.*?</(?i:style)\s*>",
+    ]
+    want = [[m[1] for m in re.finditer("|".join(each), html, re.S) if m[1]] for html in htmls]
+    df = spark.createDataFrame(list(enumerate(htmls)), "n int, html string").select("n", E.jsonld_blocks(F.col("html")).alias("b"))
+    got = {r.n: r.b for r in df.collect()}
+    assert [got[n] for n in range(len(htmls))] == want
+
+
 @pytest.mark.parametrize(
     "url, want",
     [
