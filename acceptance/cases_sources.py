@@ -244,7 +244,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     pages = E.extract_pages(X.listing_pages(spark, sf))
-    return pages.select("page_id", "block", F.size("elements").alias("elements")).where("elements >= 0")
+    # As a generator's output: a filter on a plain column is put below it, and counts once more.
+    return pages.select("page_id", "block", F.explode_outer(F.array(F.size("elements"))).alias("elements")).where("elements >= 0")
 
 
 @case("explode_listings", Q.query("SELECT page_id, block, pos, id AS listing_id, name FROM listed", "listed"))
