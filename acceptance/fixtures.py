@@ -30,8 +30,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event with its user's place, and the scalar parts of a listing.
+def raw_events(spark: SparkSession, sf_dir: str, deal_by: tuple[str, ...] = ()) -> DataFrame:
+    """Every event with its user's place, and the scalar parts of a listing. ``deal_by``: columns of the events (or ``block``) to shuffle them by before.
 
     Prices are coarse and a region has one street, so many listings of a day are the same
     home, on one site and on several, also with ties in run time.
@@ -41,8 +41,10 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         events.join(customer, F.col("user_id") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .withColumn("block", F.expr(f"event_id div {BLOCK}"))
     )
-    return joined.selectExpr(
+    dealt = joined.repartition(*deal_by) if deal_by else joined
+    return dealt.selectExpr(
         "event_id AS eid",
         "user_id AS uid",
         "CAST(ts AS timestamp) AS ts",
@@ -77,7 +79,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "element_at(array('zapimoveis', 'vivareal', 'other'), CAST(event_id % 3 + 1 AS int)) AS site",
         "lower(r_name) AS city",
         "CASE WHEN event_id % 2 = 0 THEN 'apartment' ELSE 'house' END AS property_type",
-        f"event_id div {BLOCK} AS block",
+        "block",
         f"event_id div 6 % 10 + 1 + 10 * (event_id div {BLOCK}) AS page",
     ).withColumn(
         "blob",
@@ -245,33 +247,43 @@ def build_snapshot_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing_pages(spark: SparkSession, sf_dir: str, repeat_ids: bool = False) -> DataFrame:
-    """Landed pages, stored once per session and scale."""
-    name = f"landed_pages{'_repeated' * repeat_ids}"
-    return _published(spark, sf_dir, name, lambda: build_listing_pages(spark, sf_dir, repeat_ids))
+    """Landed pages. Their item lists are stored once per session and scale; the HTML, which every
+    block of a page has a copy of, is neither stored nor shuffled with its copies."""
+    name = f"item_lists{'_repeated' * repeat_ids}"
+    lists = _published(spark, sf_dir, name, lambda: build_item_lists(spark, sf_dir, repeat_ids))
+    return splice_lists(scan_raw_pages(spark, f"{sf_dir}/pages.parquet"), lists)
 
 
-def build_listing_pages(spark: SparkSession, sf_dir: str, repeat_ids: bool) -> DataFrame:
-    """Landed pages with JSON-LD spliced in: page ``n`` lists the events of user
-    ``n``, one landed page per block of event ids.
+def build_item_lists(spark: SparkSession, sf_dir: str, repeat_ids: bool) -> DataFrame:
+    """The events of each user and block of event ids as one JSON-LD item list.
 
-    Every page also holds a commented-out broken block, an empty block and a
-    foreign script, none of which may count. Every seventh page has a broken
-    block; pages without events have no item list.
+    The events are dealt out while they are narrow: files hold many of them, and a task
+    that makes listings of a whole file's events holds more than its memory.
     """
-    id_sql = "concat(uid, '-', eid % 7)" if repeat_ids else "CAST(eid AS string)"
-    lists = (
-        raw_events(spark, sf_dir)
-        .selectExpr("uid", "block", f"named_struct('eid', eid, 'item', {ITEM.format(id=id_sql)}) AS e")
+    item = ITEM.format(id="concat(uid, '-', eid % 7)" if repeat_ids else "CAST(eid AS string)")
+    entry = """'{"@type":"ListItem","position":' || (i + 1) || ',"item":' || e.item || '}'"""
+    return (
+        raw_events(spark, sf_dir, deal_by=("user_id", "block"))
+        .selectExpr("uid", "block", f"named_struct('eid', eid, 'item', to_json({item})) AS e")
         .groupBy("uid", "block")
-        .agg(F.array_sort(F.collect_list("e"), lambda a, b: (a["eid"] - b["eid"]).cast("int")).alias("es"))
+        .agg(F.array_sort(F.collect_list("e")).alias("es"))
         .selectExpr(
             "uid",
             "block",
-            """to_json(named_struct('@context', 'https://schema.org', '@type', 'ItemList', 'itemListElement',
-               transform(es, (e, i) -> named_struct('@type', 'ListItem', 'position', i + 1, 'item', e.item)))) AS list""",
+            f"""'{{"@context":"https://schema.org","@type":"ItemList","itemListElement":['
+               || array_join(transform(es, (e, i) -> {entry}), ',') || ']}}' AS list""",
         )
     )
-    pages = scan_raw_pages(spark, f"{sf_dir}/pages.parquet")
+
+
+def splice_lists(pages: DataFrame, lists: DataFrame) -> DataFrame:
+    """Landed pages with JSON-LD spliced in: page ``n`` lists the events of user
+    ``n``, one landed page per block of event ids.
+
+    Every page also holds a commented-out broken block, an empty block and a
+    foreign script, none of which may count. Every seventh page has a broken
+    block; pages without events have no item list.
+    """
     block = lambda body: F.concat(F.lit('<script type="application/ld+json">'), body, F.lit("</script>"))
     web_page = F.lit('{"@type": "WebPage"}')
     second = F.when(F.col("page_id") % 7 == 0, F.lit("{not valid json}")).otherwise(F.coalesce("list", web_page))
@@ -284,7 +296,7 @@ def build_listing_pages(spark: SparkSession, sf_dir: str, repeat_ids: bool) -> D
         WHEN 2 THEN 'https://www.zapimoveis.com.br/aluguel/apartamentos/rj+' || city || '/?pagina=' || ({number})
         ELSE 'https://www.zapimoveis.com.br/aluguel/casas/rj+' || city || '/?pagina=' || ({number}) END"""
     return (
-        pages.join(lists, F.col("page_id") == F.col("uid"), "left")
+        pages.repartition("page_id").join(lists, F.col("page_id") == F.col("uid"), "left")
         .withColumn("block", F.coalesce("block", F.lit(0)))
         .withColumn("city", F.expr("element_at(array('macae', 'niteroi', 'campos'), CAST(page_id % 3 + 1 AS int)) || '-' || block"))
         .select("page_id", "block", F.expr(url).alias("url"), F.replace("html", F.lit("<body>"), spliced).alias("html"))
