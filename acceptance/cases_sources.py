@@ -49,11 +49,10 @@ def _(spark, sf):
     )
 
 
-@case("scan_snapshots", Q.query(_BLOB_ROWS.replace("GROUP BY", "WHERE d = (SELECT max(d) FROM bronze) GROUP BY"), "bronze"))
+@case("scan_snapshots", Q.query(_BLOB_ROWS, "bronze"))
 def _(spark, sf):
-    # Landed files of two dates, of which one is read.
-    root, last = X.landed_files(spark, sf)
-    listings = N.parse_snapshot_json(N.scan_snapshots(spark, root, last, options=X.PLAIN_FILES))
+    # Landed files of all dates.
+    listings = N.parse_snapshot_json(N.scan_snapshots(spark, X.landed_files(spark, sf), options=X.PLAIN_FILES))
     return listings.groupBy("blob", "site", "city", "property_type", "page", "file_date").agg(
         F.count("*").alias("listings")
     )

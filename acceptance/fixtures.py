@@ -332,15 +332,13 @@ def build_snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Landed files have colons in their names, which the local checksum file system does not take.
 PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
-_LANDED: dict[tuple, tuple[str, str]] = {}
+_LANDED: dict[tuple, str] = {}
 
 
-def landed_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """(root, last date): the snapshots of the last two dates as JSON files, as scrapers land them; written by the tasks."""
+def landed_files(spark: SparkSession, sf_dir: str) -> str:
+    """Root of all snapshots as JSON files, as scrapers land them; written by the tasks."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDED:
-        rows = snapshot_payloads(spark, sf_dir).select("blob", "payload", "file_date")
-        dates = [r[0] for r in rows.select("file_date").distinct().orderBy(F.desc("file_date")).limit(2).collect()]
         root = work_dir(spark, "landed").removeprefix("file://")
 
         def land(frames):
@@ -351,6 +349,6 @@ def landed_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
                     path.write_text(payload, encoding="utf-8")
                 yield frame[["blob"]]
 
-        rows.where(F.col("file_date").isin(dates)).select("blob", "payload").mapInPandas(land, "blob string").count()
-        _LANDED[key] = root, str(dates[0])
+        snapshot_payloads(spark, sf_dir).select("blob", "payload").mapInPandas(land, "blob string").count()
+        _LANDED[key] = root
     return _LANDED[key]

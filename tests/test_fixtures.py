@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from acceptance import fixtures as X
+from acceptance import cases_sources  # noqa: F401  (registers the queries)
+from acceptance.registry import QUERIES
 from hearthlake.operators import extract as E
 
 
@@ -26,6 +28,11 @@ def tables(spark, tmp_path):
     return str(tmp_path / "sf")
 
 
+def test_landed_files_of_all_dates_are_scanned(spark, tables):
+    rows = QUERIES["scan_snapshots"](spark, tables).collect()
+    assert sorted((r.file_date, r.listings) for r in rows) == [("2024-01-01", 1)] * 3 + [("2024-01-02", 1), ("2024-01-03", 1)]
+
+
 def test_landed_pages_list_their_block_in_order_of_events(spark, tables):
     pages = X.listing_pages(spark, tables)
     assert pages.columns == ["page_id", "block", "url", "html"]
