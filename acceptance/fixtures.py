@@ -349,6 +349,8 @@ def landed_files(spark: SparkSession, sf_dir: str) -> str:
                     path.write_text(payload, encoding="utf-8")
                 yield frame[["blob"]]
 
-        snapshot_payloads(spark, sf_dir).select("blob", "payload").mapInPandas(land, "blob string").count()
+        # A snapshot without a run time has no file name; it lands under one that is no run time.
+        named = F.when(F.col("file_date").isNull(), F.concat("blob", F.lit("/undated.json"))).otherwise(F.col("blob"))
+        snapshot_payloads(spark, sf_dir).select(named.alias("blob"), "payload").mapInPandas(land, "blob string").count()
         _LANDED[key] = root
     return _LANDED[key]

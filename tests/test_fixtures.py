@@ -15,7 +15,7 @@ def tables(spark, tmp_path):
     """Driver tables of a few rows: user 1 has events in two blocks, user 3 in one, page 2 lists nothing, page 7 is broken."""
     at = datetime(2024, 1, 1, 8)
     events = [(5, at, 1, "view", 30.0, "{}"), (3, at, 1, "click", 60.0, "{}"), (X.BLOCK + 1, at.replace(day=2), 1, "view", 10.0, "{}"),
-              (8, at.replace(day=3), 3, "view", 10.0, "{}"), (9, at, 7, "view", 10.0, "{}")]
+              (8, at.replace(day=3), 3, "view", 10.0, "{}"), (9, at, 7, "view", 10.0, "{}"), (10, None, 4, "view", 10.0, "{}")]
     rows = {
         "events": (events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"),
         "customer": ([(n, f"c{n}", 0, "AUTO") for n in range(9)], "c_custkey long, c_name string, c_nationkey int, c_mktsegment string"),
@@ -30,7 +30,9 @@ def tables(spark, tmp_path):
 
 def test_landed_files_of_all_dates_are_scanned(spark, tables):
     rows = QUERIES["scan_snapshots"](spark, tables).collect()
-    assert sorted((r.file_date, r.listings) for r in rows) == [("2024-01-01", 1)] * 3 + [("2024-01-02", 1), ("2024-01-03", 1)]
+    found = sorted((r.file_date or "", r.page, r.listings) for r in rows)
+    assert [(d, n) for d, _, n in found] == [("", 1)] + [("2024-01-01", 1)] * 3 + [("2024-01-02", 1), ("2024-01-03", 1)]
+    assert found[0][1] == 2  # the event without a time, on its page
 
 
 def test_landed_pages_list_their_block_in_order_of_events(spark, tables):
