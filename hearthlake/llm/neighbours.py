@@ -5,20 +5,21 @@ substrings; a code within radius r of the query's has at least one substring wit
 r / (number of substrings), so probing each substring's index finds all of them. What is
 within the radius is ranked by cosine on the original vectors, in double precision.
 
-The index is kept in shards, each with its substring tables; queries go to all shards in
+The index is kept in shards, each with its substrings; queries go to all shards in
 blocks, and each shard returns its best few per query.
 """
 
 from __future__ import annotations
 
 import pickle
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearthlake.llm.jaccard import Batches
 from hearthlake.session import Staging
@@ -28,6 +29,8 @@ K, EVERY = 5, 50
 ROTATIONS, STEPS, SUB_BITS = 4, 30, 16
 #: Rows the rotations and the radius are fitted on, by a hash of the id, and queries among them.
 SAMPLE, TRIALS = 20_000, 400
+#: Trial queries that meet the sample at once; the sample is cut off by this many leading bits of the hash.
+TRIAL_BLOCK, PLACE_BITS = 40, 12
 #: Share of the sample's true neighbours that the radius takes in.
 REACH = 0.97
 SHARD_ROWS, BLOCK_QUERIES = 8192, 2048
@@ -87,49 +90,59 @@ def learn(vectors: np.ndarray) -> Codes:
         rotations.append(turn)
     codes = Codes(mean, rotations)
     trials = rng.permutation(len(unit))[:TRIALS]
-    cosine = unit[trials] @ unit.T
-    cosine[np.arange(len(trials)), trials] = -np.inf
-    nearest = np.argsort(-cosine, axis=1)[:, : min(K, len(unit) - 1)]
-    own = codes.of(unit)
-    apart = np.take_along_axis(distances(own[trials], own), nearest, axis=1)
+    own, parts = codes.of(unit), []
+    for some in np.split(trials, range(TRIAL_BLOCK, len(trials), TRIAL_BLOCK)):
+        cosine = unit[some] @ unit.T
+        cosine[np.arange(len(some)), some] = -np.inf
+        nearest = np.argsort(-cosine, axis=1)[:, : min(K, len(unit) - 1)]
+        parts.append(np.take_along_axis(distances(own[some], own), nearest, axis=1))
+    apart = np.concatenate(parts)
     codes.radius = int(np.quantile(apart, REACH, method="higher")) if apart.size else 0
     return codes
 
 
+def _words(codes: np.ndarray) -> np.ndarray:
+    """(words, rows): the substrings four at a time, so that bits are counted in few steps."""
+    return np.ascontiguousarray(np.pad(codes, ((0, 0), (0, -codes.shape[1] % 4))).view(np.uint64).T)
+
+
 @dataclass
 class Shard:
-    """Some rows with, per substring, the rows in the order of their value there."""
+    """Some rows with the substrings of their codes."""
 
     ids: np.ndarray
     vectors: np.ndarray
     codes: np.ndarray
-    order: np.ndarray
     #: No id comes twice here.
     single: bool
 
     @classmethod
     def of(cls, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray) -> Shard:
-        return cls(ids, vectors, codes, np.argsort(codes, axis=0, kind="stable").astype(np.int32), len(np.unique(ids)) == len(ids))
+        return cls(ids, vectors, codes, len(np.unique(ids)) == len(ids))
+
+    def packed(self) -> bytes:
+        """To be kept and sent; vectors that single precision holds to the last bit take half the room."""
+        narrow = self.vectors.astype(np.float32)
+        return pickle.dumps(replace(self, vectors=narrow if (narrow == self.vectors).all() else self.vectors), protocol=5)
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Shard:
+        own = pickle.loads(data)
+        return replace(own, vectors=own.vectors.astype(np.float64, copy=False))
 
     def distinct(self, rows: np.ndarray) -> int:
         """How many ids some rows have."""
         return len(rows) if self.single else len(np.unique(self.ids[rows]))
 
-    def tables(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per substring: its distinct values, and how many rows in ``order`` each one has."""
-        out = []
-        for j in range(self.codes.shape[1]):
-            out.append(np.unique(self.codes[self.order[:, j], j], return_counts=True))
-        return out
+    def tables(self) -> tuple[np.ndarray, np.ndarray]:
+        """The rows' values by substring, and their whole codes by word."""
+        return np.ascontiguousarray(self.codes.T), _words(self.codes)
 
     def within(self, code: np.ndarray, radius: int, tables) -> np.ndarray:
         """All rows whose code is within ``radius``: some substring is within its share of it."""
-        share, hit = radius // self.codes.shape[1], np.zeros(len(self.ids), bool)
-        for j, (values, counts) in enumerate(tables):
-            opened = np.bitwise_count(values ^ code[j]) <= share
-            hit[self.order[np.repeat(opened, counts), j]] = True
-        rows = np.flatnonzero(hit)
-        return rows[np.bitwise_count(self.codes[rows] ^ code).sum(axis=1, dtype=np.int64) <= radius]
+        substrings, words = tables
+        rows = np.flatnonzero(np.bitwise_count(substrings ^ code[:, None]).min(axis=0, initial=SUB_BITS) <= radius // len(code))
+        return rows[np.bitwise_count(words.take(rows, axis=1) ^ _words(code[None])).sum(axis=0, dtype=np.uint16) <= radius]
 
     def nearest(self, query_id: int, vector: np.ndarray, code: np.ndarray, radius: int, k: int, tables) -> tuple[np.ndarray, np.ndarray]:
         """(ids, cosines) of the best ``k`` ids within the radius, which grows until there are ``k`` or no more."""
@@ -150,27 +163,45 @@ class Shard:
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, vector of doubles) of the rows that take part.
+    """(vec_id, vector of floats where the column has these, else of doubles) of the rows that take part.
 
     Vectors that are null, empty, zero, hold a null or non-finite part, or have not the most
     common length take no part, nor do rows without id.
     """
-    vector = F.col("embedding").cast("array<double>")
+    single = embeddings.schema["embedding"].dataType == T.ArrayType(T.FloatType(), embeddings.schema["embedding"].dataType.containsNull)
+    vector = F.col("embedding").cast(f"array<{'float' if single else 'double'}>")
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = embeddings.select("vec_id", vector.alias("v")).filter(F.col("vec_id").isNotNull() & (F.size("v") > 0) & finite & F.exists("v", lambda x: x != 0))
     sizes = good.groupBy(F.size("v").alias("size")).count().orderBy(F.col("count").desc(), "size").first()
     return good.filter(F.size("v") == (sizes[0] if sizes else 0))
 
 
+def first_by_hash(staging: Staging, good: DataFrame, rows: int) -> np.ndarray:
+    """The vectors of the first ``rows`` rows of ``usable`` by a hash of the id, in that order.
+
+    An ordered limit that is collected would have every task send its own first ``rows`` to the driver, so what the
+    driver holds would grow with the table. Here rows are counted by the hash's leading bits, only those up to the
+    place that holds the last one wanted are put in order, by the executors, and the driver reads the result.
+    """
+    keyed = good.select(F.xxhash64("vec_id").alias("h"), "vec_id", "v")
+    place = F.shiftright("h", 64 - PLACE_BITS)
+    counts = sorted(keyed.groupBy(place.alias("place")).count().collect())
+    reached = np.cumsum([r["count"] for r in counts])
+    last = counts[min(int(np.searchsorted(reached, rows)), len(counts) - 1)]["place"]
+    first = staging.keep(keyed.filter(place <= last).orderBy("h", "vec_id", "v").limit(rows), "sample").toArrow()
+    order = np.lexsort([first[c].to_numpy() for c in ("vec_id", "h")])
+    return first["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(order), -1)[order]
+
+
 def _packed(frame: pd.DataFrame, codes: Codes) -> bytes:
     vectors = scaled(np.stack(frame["v"].to_numpy()).astype(np.float64))
-    return pickle.dumps(Shard.of(frame["vec_id"].to_numpy(), vectors, codes.of(unit_vectors(vectors))), protocol=5)
+    return Shard.of(frame["vec_id"].to_numpy(), vectors, codes.of(unit_vectors(vectors))).packed()
 
 
 def _search(k, radius, batches):
     for batch in batches:
         for row in range(batch.num_rows):
-            shard, queries = (pickle.loads(batch.column(c)[row].as_py()) for c in range(2))
+            shard, queries = (Shard.unpacked(batch.column(c)[row].as_py()) for c in range(2))
             tables, out = shard.tables(), []
             for query_id, vector, code in zip(queries.ids.tolist(), queries.vectors, queries.codes, strict=True):
                 ids, cosines = shard.nearest(query_id, vector, code, radius, k, tables)
@@ -192,19 +223,18 @@ def search(staging: Staging, embeddings: DataFrame, k: int = K, every: int = EVE
     n = good.count()
     if not n:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    sample = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()
-    codes = learn(np.array([r[0] for r in sample], np.float64))
+    codes = learn(first_by_hash(staging, good, SAMPLE).astype(np.float64))
     sent = spark.sparkContext.broadcast(codes)
     questions = good.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     n_queries = questions.count()
     shards, blocks = -(-n // SHARD_ROWS), max(1, -(-n_queries // BLOCK_QUERIES))
     pack = lambda frame: pd.DataFrame({"shard": [frame["shard"].iloc[0]], "data": [_packed(frame, sent.value)]})
-    dealt = good.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)))
+    dealt = good.withColumn("shard", F.pmod(F.xxhash64("vec_id", F.col("v").cast("array<double>")), F.lit(shards)))
     index = staging.keep(dealt.groupBy("shard").applyInPandas(pack, "shard bigint, data binary"), "index")
     asked = questions.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
     queries = staging.keep(asked.groupBy("shard").applyInPandas(pack, "shard bigint, data binary"), "queries")
-    met = queries.select(F.col("data").alias("asked"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))).alias("to"))
-    met = met.join(index, F.col("to") == F.col("shard")).select("data", "asked")
+    # Every shard meets every block where it lies: a join by shard would write each block once a shard.
+    met = index.select("data").crossJoin(queries.select(F.col("data").alias("asked")))
     with Batches(spark, 2):
         found = staging.keep(met.mapInArrow(lambda b: _search(k, codes.radius, b), "query_id bigint, vec_id bigint, score double"), "found")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

@@ -78,3 +78,39 @@ def test_huge_and_tiny_values(spark, staging):
     rows = [(0, [3e38, 1e38]), (1, [3e-38, 1e-38]), (2, [1.0, -1.0]), (3, [1e-40, 0.0]), (4, [-3e38, 3e38])]
     got = found(neighbours.search(staging, vectors(spark, [(i, v, 0) for i, v in rows])))
     assert [i for i, _ in got[0]] == [1, 3, 2, 4] and all(np.isfinite(s) for _, s in got[0]) and got[0][0][1] > 0.999999
+
+
+def test_the_sample_is_the_first_by_hash(spark, staging):
+    rng = np.random.default_rng(3)
+    rows = [(i // 2 * 7, rng.standard_normal(4).tolist(), 0) for i in range(600)]
+    good = neighbours.usable(vectors(spark, rows)).repartition(7)
+    want = [r.v for r in good.orderBy(F.xxhash64("vec_id"), "vec_id", "v").collect()]
+    for n in (1, 40, 599, 600, 1000):
+        first = neighbours.first_by_hash(staging, good, n).tolist()
+        assert sorted(first) == sorted(want[:n])
+        assert [first.index(v) // 2 for v in want[:n]] == [i // 2 for i in range(min(n, 600))]
+
+
+def test_the_driver_gets_the_sample_once(spark, staging, monkeypatch):
+    """No task sends the driver its own first rows: what it collects does not grow with the number of tasks."""
+    monkeypatch.setattr(neighbours, "SAMPLE", 50)
+    sizes, learn = [], neighbours.learn
+    monkeypatch.setattr(neighbours, "learn", lambda v: sizes.append(len(v)) or learn(v))
+    sent, frame = [], type(spark.range(1))
+    for name in ("collect", "toArrow"):
+        plan = lambda df, f=getattr(frame, name): sent.append((df.columns, df._jdf.queryExecution().executedPlan().toString())) or f(df)
+        monkeypatch.setattr(frame, name, plan)
+    rows = [(i, [float(i % 13 + 1), float(i % 7)], 0) for i in range(400)]
+    neighbours.search(staging, vectors(spark, rows).repartition(8))
+    plans = [plan for columns, plan in sent if "v" in columns]
+    assert sizes == [50] and len(plans) == 1 and "TakeOrderedAndProject" not in plans[0]
+
+
+def test_trials_in_blocks_give_the_same_radius(monkeypatch):
+    own = np.random.default_rng(4).standard_normal((900, 16))
+    monkeypatch.setattr(neighbours, "TRIALS", 90)
+    whole = []
+    for block in (90, 40, 7):
+        monkeypatch.setattr(neighbours, "TRIAL_BLOCK", block)
+        whole.append(neighbours.learn(own).radius)
+    assert whole[0] > 0 and len(set(whole)) == 1
