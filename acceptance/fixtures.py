@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import os
 from datetime import datetime
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -344,9 +344,14 @@ def landed_files(spark: SparkSession, sf_dir: str) -> str:
         def land(frames):
             for frame in frames:
                 for blob, payload in zip(frame["blob"], frame["payload"], strict=True):
-                    path = Path(root, blob)
-                    path.parent.mkdir(parents=True, exist_ok=True)
-                    path.write_text(payload, encoding="utf-8")
+                    path = f"{root}/{blob}"
+                    try:
+                        file = open(path, "w", encoding="utf-8")
+                    except FileNotFoundError:  # the first of its folder
+                        os.makedirs(os.path.dirname(path), exist_ok=True)
+                        file = open(path, "w", encoding="utf-8")
+                    with file:
+                        file.write(payload)
                 yield frame[["blob"]]
 
         # A snapshot without a run time has no file name; it lands under one that is no run time.

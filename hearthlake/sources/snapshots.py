@@ -11,8 +11,11 @@ Two layouts hold the same thing and scan to the same columns
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import os
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from datetime import date, datetime
+from itertools import chain
+from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,12 +70,120 @@ def _files(
     return (reader.option("wholetext", True) if fmt == "text" else reader).load(root)
 
 
+_LAST_SIX = r"((?:[^/]+/){5}[^/]+)$"
+
+
 def _blob() -> Column:
     """The last six parts of the file's path, as they were named (the path is an URL)."""
-    encoded = F.regexp_extract("_metadata.file_path", r"((?:[^/]+/){5}[^/]+)$", 1)
+    encoded = F.regexp_extract("_metadata.file_path", _LAST_SIX, 1)
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
+#: Folders below which tasks are dealt out anew, and bytes of content handed on at once.
+SPREAD, HANDED_ON = 1000, 4_000_000
+
+
+def _mounted(spark: SparkSession, roots: Sequence[str], extension: str, options: Mapping[str, str]) -> list[str] | None:
+    """The roots as local paths where tasks can list and read them themselves: plain files and folders that
+    are there, in the local or a mounted file system. None for what only Spark's reader knows: other stores, patterns,
+    compressed files, options of the reader; missing roots are its error."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    plain = not any(c in text for text in (*roots, extension) for c in "*?[]{}\\") and all(key.startswith("fs.file.") for key in options)
+    if not roots or not plain or jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(jvm.org.apache.hadoop.fs.Path(f"x.{extension}")):
+        return None
+    paths = [jvm.org.apache.hadoop.fs.Path(root) for root in roots]
+    file_system = jvm.org.apache.hadoop.fs.FileSystem
+    if any((path.toUri().getScheme() or file_system.getDefaultUri(conf).getScheme()) != "file" for path in paths):
+        return None
+    local = dict.fromkeys(path.toUri().getPath() for path in paths)
+    apart = not any(str(above) in local for path in local for above in PurePosixPath(path).parents)
+    return list(local) if apart and all(os.path.isabs(path) and os.path.exists(path) for path in local) else None
+
+
+def _wanted(path: str, names: tuple[str, str]) -> bool:
+    """Whether a file is read: its name has the wanted start and end, and is none that Spark's readers pass over."""
+    name = os.path.basename(path)
+    return not _hidden(name) and name.startswith(names[0]) and name.endswith(names[1])
+
+
+def _hidden(name: str) -> bool:
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+
+def _children(folder: str, names: tuple[str, str]) -> tuple[list[str], list[str]]:
+    """(folders, files by the wanted start and end of their names) in a folder."""
+    folders, files = [], []
+    with os.scandir(folder) as entries:
+        for entry in entries:
+            if not entry.is_dir():
+                files += [entry.path] * _wanted(entry.name, names)
+            elif not _hidden(entry.name) or entry.name.startswith(("_metadata", "_common_metadata")):
+                folders.append(entry.path)
+    return folders, files
+
+
+def _walk(names: tuple[str, str], most: float, levels: float, batches: Iterable) -> Iterator:
+    """Files as they are, folders as the files below them. Folders that are ``levels`` deeper, or wait when ``most`` do, are handed on as folders."""
+    import pyarrow as pa
+
+    batch = lambda paths, is_file: pa.RecordBatch.from_pydict({"path": paths, "is_file": pa.array([is_file] * len(paths), pa.bool_())})
+    for given in batches:
+        rows = list(zip(*(given[c].to_pylist() for c in ("path", "is_file")), strict=True))
+        yield batch(pa.array([path for path, is_file in rows if is_file], pa.string()), True)
+        waiting, depth = [path for path, is_file in rows if not is_file], 0
+        while waiting and depth < levels:
+            deeper: list[str] = []
+            for i, folder in enumerate(waiting):
+                if len(waiting) - i + len(deeper) >= most:
+                    break
+                folders, files = _children(folder, names)
+                deeper += folders
+                for at in range(0, len(files), 10_000):
+                    yield batch(pa.array(files[at : at + 10_000], pa.string()), True)
+            else:
+                waiting, depth = deeper, depth + 1
+                continue
+            waiting = [*waiting[i:], *deeper]
+            break
+        for at in range(0, len(waiting), 10_000):
+            yield batch(pa.array(waiting[at : at + 10_000], pa.string()), False)
+
+
+def _read(batches: Iterable) -> Iterator:
+    """path, ms of the last change and content of files that are not empty."""
+    import pyarrow as pa
+
+    kinds = pa.schema([("path", pa.string()), ("ms", pa.int64()), ("content", pa.binary())])
+    rows: list[tuple] = []
+    size = 0
+    for path in chain.from_iterable(batch["path"].to_pylist() for batch in batches):
+        with open(path, "rb", buffering=0) as file:
+            ms, content = os.fstat(file.fileno()).st_mtime_ns // 1_000_000, file.readall()
+        if content:
+            rows.append((path, ms, content))
+            size += len(content)
+        if size >= HANDED_ON:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.types, strict=True)], schema=kinds)
+            rows, size = [], 0
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.types, strict=True)], schema=kinds)
+
+
+def _mounted_files(spark: SparkSession, roots: list[str], file_date: date | str | None, extension: str) -> DataFrame:
+    """path, ms and content of the files below some roots, listed and read by tasks when rows are asked for.
+
+    Spark's file source lists on the driver, which then holds every file, starts thousands of tasks to list folders
+    and counts a file as 4 MB, so that a task reads a few small files. Here folders are dealt out, listed, and dealt out once
+    more as they get many, then the files.
+    """
+    names, parts = (f"{file_date}T" if file_date else "", f".{extension}"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    given = [(root, os.path.isfile(root)) for root in roots]
+    rows = spark.createDataFrame([g for g in given if not g[1] or _wanted(g[0], names)], "path string, is_file boolean")
+    for most, levels in ((SPREAD, float("inf")), (float("inf"), 1), (float("inf"), float("inf"))):
+        rows = rows.mapInArrow(lambda b, m=most, n=levels: _walk(names, m, n, b), rows.schema).repartition(parts)
+    return rows.mapInArrow(_read, "path string, ms bigint, content binary")
+
+
 def list_snapshots(
     spark: SparkSession, root: str | list[str], file_date: date | str | None = None, extension: str = "json"
 ) -> DataFrame:
@@ -84,15 +195,24 @@ def list_snapshots(
 def scan_snapshots(
     spark: SparkSession, root: str | list[str], file_date: date | str | None = None, extension: str = "json", options: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Snapshot files with their content, those of one date if given. ``options`` go to the reader and its file system."""
-    files = _files(spark, root, "text", file_date, extension, options)
-    return path_lineage(
-        files.select(
-            _blob().alias("blob"),
-            F.col("value").alias("payload"),
-            F.col("_metadata.file_modification_time").alias("modified_ts"),
+    """Snapshot files with their content, those of one date if given. ``options`` go to the reader and its file system.
+
+    Below local and mounted roots the files are those that are there when rows are asked for, else those
+    that are there now.
+    """
+    roots = [root] if isinstance(root, str) else root
+    local = _mounted(spark, roots, extension, options or {})
+    if local:
+        files = _mounted_files(spark, local, file_date, extension)
+        read = files.select(
+            F.regexp_extract("path", _LAST_SIX, 1).alias("blob"),
+            F.col("content").cast("string").alias("payload"),
+            F.timestamp_millis("ms").alias("modified_ts"),
         )
-    )
+    else:
+        files = _files(spark, root, "text", file_date, extension, options)
+        read = files.select(_blob().alias("blob"), F.col("value").alias("payload"), F.col("_metadata.file_modification_time").alias("modified_ts"))
+    return path_lineage(read)
 
 
 def scan_snapshot_table(

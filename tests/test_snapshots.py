@@ -56,6 +56,50 @@ def test_listing_files_reads_no_content(spark, landed):
     assert same.count() == 5
 
 
+def scanned(spark, monkeypatch, root, day=None, own=True):
+    with monkeypatch.context() as m:
+        if not own:
+            m.setattr(N, "_mounted", lambda *_: None)
+        rows = N.scan_snapshots(spark, root, day)
+        assert ("MapInArrow" in rows._jdf.queryExecution().executedPlan().toString()) == own
+        return sorted(tuple(r) for r in rows.withColumn("payload", F.hex("payload")).collect())
+
+
+def test_tasks_scan_what_the_file_source_scans(spark, landed, monkeypatch, tmp_path):
+    base = tmp_path / "dev/vivareal/São Paulo +%2B é/house"
+    files = {"3/2026-01-01T00:00:00Z.json": b"{}", "3/2026-01-01T01:00:00Z.json": b"", "3/.hidden.json": b"x", "3/_later.json": b"x", "3/a._COPYING_": b"x",
+             "3/undated.json": b'{"1": "\xff\xc3"}\r\n', "_tmp/2026-01-01T00:00:00Z.json": b"x", "_k=1/2026-01-01T00:00:00Z.json": b"kept",
+             ".git/2026-01-01T00:00:00Z.json": b"x", "4/5/6/2026-01-02T00:00:00Z.json": b"deep", "2026-01-01T00:00:00Z.json": b"high", "7/a=1 b?.json": b"named"}
+    for name, content in files.items():
+        (base / name).parent.mkdir(parents=True, exist_ok=True)
+        (base / name).write_bytes(content)
+    (base / "empty").mkdir()
+    by_name = [str(base / "3/undated.json"), str(base / "3/2026-01-01T00:00:00Z.json"), str(base / "3/_later.json")]
+    for spread in (N.SPREAD, 2):
+        monkeypatch.setattr(N, "SPREAD", spread)
+        for root, day in ((landed, None), (landed, "2026-01-01"), (f"file://{landed}/", "2026-01-02"), ([f"{landed}/dev/vivareal/macae", str(base)], None), (by_name, None), (by_name, "2026-01-01")):
+            want = scanned(spark, monkeypatch, root, day, own=False)
+            assert want and scanned(spark, monkeypatch, root, day) == want
+
+
+def test_small_files_share_tasks_and_are_not_listed_by_the_driver(spark, tmp_path):
+    for page in range(200):
+        land(str(tmp_path), f"dev/vivareal/macae/apartment/{page}/2026-01-01T00:00:00Z.json", {"1": page}, 1_767_000_000)
+    rows = N.scan_snapshots(spark, str(tmp_path))
+    assert "Location: InMemoryFileIndex" not in rows._jdf.queryExecution().executedPlan().toString()
+    tasks = rows.groupBy(F.spark_partition_id()).count().collect()
+    assert 1 < len(tasks) <= 4 and sum(r["count"] for r in tasks) == 200
+
+
+def test_other_roots_are_left_to_the_file_source(spark, landed):
+    own = lambda roots, extension="json", **options: N._mounted(spark, roots, extension, options)
+    assert own([landed, landed + "/"]) == [landed]
+    assert own([landed], **{"fs.file.impl": "x"}) == [landed]
+    assert all(x is None for x in (own([]), own([landed + "/*"]), own([landed, landed + "/dev"]), own([landed], "json.gz"), own([landed], encoding="x"), own(["s3a://b/x"]), own([landed + "/none"])))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        N.scan_snapshots(spark, landed + "/none")
+
+
 def test_latest_is_by_modification_time_not_name(spark, landed):
     latest = P.latest_snapshot(N.list_snapshots(spark, landed, "2026-01-01"))
     chosen = {(r.page, r.blob.rsplit("/", 1)[1]) for r in latest.collect()}
